@@ -117,6 +117,290 @@ def q_latest_arrival_delay(spark, sf_dir):
                                           STATION_NAME, order_cols=roles.SNAPSHOT_ORDER))
 
 
+from railyard.operators.nearest import nearest_station_per_point  # noqa: E402
+
+
+@register("nearest_station_batch", V.with_(V.STATIONS, V.POINTS) + """
+SELECT point_id, station_id, station_name, round(distance_score, 6) AS distance_score
+FROM (SELECT p.point_id, s.station_id, s.station_name,
+             power(s.latitude - p.latitude, 2) + power(s.longitude - p.longitude, 2) AS distance_score,
+             row_number() OVER (PARTITION BY p.point_id
+                                ORDER BY power(s.latitude - p.latitude, 2) + power(s.longitude - p.longitude, 2),
+                                         s.station_id) AS rn
+      FROM points p, stations s)
+WHERE rn = 1""")
+def q_nearest_station_batch(spark, sf_dir):
+    return rounded(nearest_station_per_point(roles.points(spark, sf_dir), roles.stations(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------------------
+# Step 2: time slots, trains, scalar functions
+# ---------------------------------------------------------------------------
+from railyard.functions.movement import event_delay, warehouse_delay  # noqa: E402
+from railyard.functions.names import normalize_names, overrides_frame  # noqa: E402
+from railyard.functions.timefmt import format_compact_ts, parse_compact_ts  # noqa: E402
+from railyard.operators.dims import train_dimension  # noqa: E402
+from railyard.operators.latest import latest_per_key  # noqa: E402
+from railyard.sources.sql import run_sql  # noqa: E402
+from railyard.sources.timedim import slot_join  # noqa: E402
+
+
+def _slot_fact(spark, sf_dir):
+    return slot_join(roles.slotted_events(spark, sf_dir), roles.time_dim(spark, sf_dir))
+
+
+@register("dim_time", V.with_(V.TIME_DIM) + "SELECT * FROM dim_time")
+def q_dim_time(spark, sf_dir):
+    return roles.time_dim(spark, sf_dir)
+
+
+@register("time_slot_join", V.with_(V.TIME_DIM, V.SLOTTED_EVENTS) + """
+SELECT f.event_id, t.time_id, f.slot_ts FROM slotted f JOIN dim_time t ON f.slot_ts = t.slot_ts""")
+def q_time_slot_join(spark, sf_dir):
+    return _slot_fact(spark, sf_dir).select("event_id", "time_id", "slot_ts")
+
+
+@register("cancellations_at_hour", V.with_(V.TIME_DIM, V.SLOTTED_EVENTS) + f"""
+SELECT count(*) AS total_canceled_trains
+FROM slotted f JOIN dim_time t ON f.slot_ts = t.slot_ts
+WHERE t.date = DATE '{TARGET_DATE}' AND t.hour = {TARGET_HOUR} AND f.is_canceled""")
+def q_cancellations_at_hour(spark, sf_dir):
+    return A.cancellations_at_hour(_slot_fact(spark, sf_dir), roles.time_dim(spark, sf_dir), TARGET_DATE, TARGET_HOUR)
+
+
+@register("snapshot_counts", V.with_(V.TIME_DIM, V.SLOTTED_EVENTS) + """
+SELECT t.time_id, t.slot_ts, count(*) AS n_movements, count(*) FILTER (WHERE f.is_arrival) AS n_arrivals,
+       count(*) FILTER (WHERE f.is_canceled) AS n_canceled
+FROM slotted f JOIN dim_time t ON f.slot_ts = t.slot_ts GROUP BY t.time_id, t.slot_ts""")
+def q_snapshot_counts(spark, sf_dir):
+    from railyard.operators.merge import snapshot_counts
+    return snapshot_counts(_slot_fact(spark, sf_dir), ["time_id", "slot_ts"])
+
+
+@register("latest_snapshot", V.with_(V.SNAPSHOT_MOVEMENTS) + """
+SELECT stop_id, is_arrival, station_id, delay_minutes, l_linenumber, l_shipdate, l_partkey, l_suppkey
+FROM (SELECT *, row_number() OVER (PARTITION BY stop_id, is_arrival
+                 ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM snap)
+WHERE rn = 1""")
+def q_latest_snapshot(spark, sf_dir):
+    return latest_per_key(roles.snapshot_movements(spark, sf_dir), ["stop_id", "is_arrival"], roles.SNAPSHOT_ORDER)
+
+
+PARAM_SQL_TEXT = """
+-- Mean clamped delay of the latest snapshot per arrival at one station.
+WITH unique_movements AS (
+    SELECT f.delay_minutes,
+           ROW_NUMBER() OVER (PARTITION BY f.station_id, f.stop_id, f.is_arrival
+                              ORDER BY f.l_linenumber DESC, f.l_shipdate DESC, f.l_partkey DESC, f.l_suppkey DESC) AS rn
+    FROM fact_train_movement f
+    JOIN dim_station s ON f.station_id = s.station_id
+    WHERE s.station_name = :station_name
+      AND f.is_arrival = TRUE
+)
+SELECT ROUND(AVG(GREATEST(0, delay_minutes)), 6) AS avg_delay_minutes
+FROM unique_movements
+WHERE rn = 1 AND delay_minutes IS NOT NULL;
+"""
+PARAM_STATION = "Supplier#000000003"
+
+
+@register("param_sql", V.with_(V.SNAPSHOT_MOVEMENTS, V.STATIONS) + f"""
+SELECT round(avg(greatest(0, delay_minutes)), 6) AS avg_delay_minutes
+FROM (SELECT f.delay_minutes,
+             row_number() OVER (PARTITION BY f.station_id, f.stop_id, f.is_arrival
+                                ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
+      FROM snap f JOIN stations s ON f.station_id = s.station_id
+      WHERE s.station_name = '{PARAM_STATION}' AND f.is_arrival)
+WHERE rn = 1 AND delay_minutes IS NOT NULL""")
+def q_param_sql(spark, sf_dir):
+    views = {"fact_train_movement": roles.snapshot_movements(spark, sf_dir),
+             "dim_station": roles.stations(spark, sf_dir)}
+    return rounded(run_sql(spark, PARAM_SQL_TEXT, {"station_name": PARAM_STATION}, views))
+
+
+@register("dim_train", """
+SELECT train_id, line_category, train_number, owner_id
+FROM (SELECT p_type || '-' || CAST(p_size AS VARCHAR) AS train_id, p_type AS line_category,
+             CAST(p_size AS INTEGER) AS train_number, p_brand AS owner_id,
+             row_number() OVER (PARTITION BY p_type || '-' || CAST(p_size AS VARCHAR) ORDER BY p_partkey) AS rn
+      FROM part)
+WHERE rn = 1""")
+def q_dim_train(spark, sf_dir):
+    return train_dimension(roles.train_stops(spark, sf_dir))
+
+
+@register("delay_minutes", V.with_(V.UPDATES, V.PLANS) + """
+SELECT u.stop_id, u.l_linenumber, u.l_shipdate, u.l_partkey, u.l_suppkey, p.planned_time, u.ct AS actual_time,
+       CASE WHEN u.ct IS NOT NULL
+            THEN CAST(round(greatest(0, date_diff('second', p.planned_time, u.ct) / 60.0)) AS INTEGER) END
+         AS warehouse_delay,
+       CASE WHEN p.planned_time IS NOT NULL AND u.ct IS NOT NULL
+            THEN round(greatest(0, date_diff('second', p.planned_time, u.ct) / 60.0), 6) ELSE 0.0 END
+         AS event_delay
+FROM updates u LEFT JOIN plans p ON u.stop_id = p.stop_id""")
+def q_delay_minutes(spark, sf_dir):
+    u, p = roles.updates(spark, sf_dir), roles.plans(spark, sf_dir)
+    j = u.join(p, "stop_id", "left")
+    return rounded(j.select("stop_id", *roles.SNAPSHOT_ORDER, "planned_time", F.col("ct").alias("actual_time"),
+                            warehouse_delay("planned_time", "ct").alias("warehouse_delay"),
+                            event_delay("planned_time", "ct").alias("event_delay")))
+
+
+def _compact_text(spark, sf_dir):
+    e = roles.table(spark, sf_dir, "events")
+    f = format_compact_ts("ts")
+    raw = (F.when(F.col("event_type") == F.lit("error"), F.concat(f.substr(1, 2), F.lit("13"), f.substr(5, 6)))
+           .when(F.col("event_type") == F.lit("signup"), F.lit(""))
+           .otherwise(f))
+    return e.select("event_id", raw.alias("raw"))
+
+
+@register("parse_compact_ts", """
+SELECT event_id, raw, try_strptime(raw, '%y%m%d%H%M') AS parsed
+FROM (SELECT event_id,
+             CASE WHEN event_type = 'error' THEN strftime(ts, '%y') || '13' || strftime(ts, '%d%H%M')
+                  WHEN event_type = 'signup' THEN ''
+                  ELSE strftime(ts, '%y%m%d%H%M') END AS raw
+      FROM events)""")
+def q_parse_compact_ts(spark, sf_dir):
+    t = _compact_text(spark, sf_dir)
+    return t.select("event_id", "raw", parse_compact_ts("raw").alias("parsed"))
+
+
+@register("normalize_name", V.with_(V.RAW_NAMES, V.OVERRIDES) + """
+SELECT r.raw_name,
+       CASE WHEN nullif(r.raw_name, '') IS NULL THEN NULL
+            WHEN o.override_name IS NOT NULL THEN o.override_name
+            WHEN starts_with(r.raw_name, 'Berlin ') THEN trim(substr(r.raw_name, 8))
+            ELSE r.raw_name END AS normalized
+FROM raw_names r LEFT JOIN overrides o ON r.raw_name = o.raw_name""")
+def q_normalize_name(spark, sf_dir):
+    names = roles.raw_names(spark, sf_dir)
+    return normalize_names(names, "raw_name", overrides_frame(spark, roles.ROLE_OVERRIDES)).select("raw_name", "normalized")
+
+
+
+# ---------------------------------------------------------------------------
+# Step 3: merges, de-duplication, inserts; step 7: constraint checks
+# ---------------------------------------------------------------------------
+from railyard.functions.movement import cancelled_flag  # noqa: E402
+from railyard.operators import checks as C  # noqa: E402
+from railyard.operators import merge as M  # noqa: E402
+
+_ORD = "(l_linenumber, l_shipdate, l_partkey, l_suppkey)"
+
+
+@register("update_merge_coalesce", V.with_(V.UPDATES, V.PLANS) + f"""
+, agg AS (
+  SELECT stop_id,
+         arg_max(ct, {_ORD}) FILTER (WHERE ct IS NOT NULL) AS actual_time,
+         arg_max(cp, {_ORD}) FILTER (WHERE nullif(cp, '') IS NOT NULL) AS actual_platform,
+         bool_or(coalesce(cs = 'c' AND clt IS NOT NULL, false)) AS cancelled
+  FROM updates
+  WHERE ct IS NOT NULL OR nullif(cp, '') IS NOT NULL OR nullif(cs, '') IS NOT NULL
+  GROUP BY stop_id)
+SELECT p.stop_id, p.planned_time, a.actual_time, a.actual_platform,
+       CASE WHEN a.actual_time IS NOT NULL
+            THEN CAST(round(greatest(0, date_diff('second', p.planned_time, a.actual_time) / 60.0)) AS INTEGER)
+       END AS delay_minutes,
+       coalesce(a.cancelled, false) AS is_canceled
+FROM plans p LEFT JOIN agg a ON p.stop_id = a.stop_id""".replace("\n, agg", ", agg", 1))
+def q_update_merge_coalesce(spark, sf_dir):
+    return M.update_merge_coalesce(roles.plans(spark, sf_dir), roles.updates(spark, sf_dir),
+                                   ["stop_id"], roles.SNAPSHOT_ORDER)
+
+
+def _tagged(spark, sf_dir):
+    upd = roles.updates(spark, sf_dir).select(
+        "stop_id", F.col("ct").alias("actual_time"), cancelled_flag("cs", "clt").alias("is_canceled"),
+        *roles.SNAPSHOT_ORDER)
+    plan = roles.plans(spark, sf_dir).select(
+        "stop_id", "planned_time", *[F.lit(None).cast(t).alias(c) for c, t in
+                                     zip(roles.SNAPSHOT_ORDER, ("int", "timestamp_ntz", "bigint", "bigint"))])
+    return M.tag_events(plan, upd, ["stop_id"], roles.SNAPSHOT_ORDER)
+
+
+@register("event_union", V.with_(V.UPDATES, V.PLANS) + """
+SELECT stop_id, 'plan' AS kind, planned_time, CAST(NULL AS TIMESTAMP) AS actual_time, CAST(NULL AS BOOLEAN) AS is_canceled
+FROM plans
+UNION ALL
+SELECT stop_id, 'update', CAST(NULL AS TIMESTAMP), ct, coalesce(cs = 'c' AND clt IS NOT NULL, false) FROM updates""")
+def q_event_union(spark, sf_dir):
+    return _tagged(spark, sf_dir).select("stop_id", "kind", "planned_time", "actual_time", "is_canceled")
+
+
+@register("event_merge_overwrite", V.with_(V.UPDATES, V.PLANS) + f"""
+, u AS (
+  SELECT stop_id, arg_max({{'a': ct, 'c': coalesce(cs = 'c' AND clt IS NOT NULL, false)}}, {_ORD}) AS last
+  FROM updates GROUP BY stop_id)
+SELECT coalesce(p.stop_id, u.stop_id) AS stop_id, p.planned_time, u.last.a AS actual_time,
+       round(CASE WHEN p.planned_time IS NOT NULL AND u.last.a IS NOT NULL
+                  THEN greatest(0, date_diff('second', p.planned_time, u.last.a) / 60.0) ELSE 0.0 END, 6) AS delay_minutes,
+       coalesce(u.last.c, false) AS is_canceled,
+       CAST(coalesce(p.planned_time, u.last.a) AS DATE) AS event_date
+FROM plans p FULL OUTER JOIN u ON p.stop_id = u.stop_id""".replace("\n, u AS", ", u AS", 1))
+def q_event_merge_overwrite(spark, sf_dir):
+    return rounded(M.event_merge_overwrite(_tagged(spark, sf_dir), ["stop_id"], roles.SNAPSHOT_ORDER))
+
+
+@register("fact_dedup", V.with_(V.SNAPSHOT_MOVEMENTS) + """
+SELECT stop_id, is_arrival, station_id, delay_minutes, l_linenumber, l_shipdate, l_partkey, l_suppkey
+FROM (SELECT *, row_number() OVER (PARTITION BY stop_id, is_arrival
+                 ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey) AS rn FROM snap)
+WHERE rn = 1""")
+def q_fact_dedup(spark, sf_dir):
+    return M.fact_dedup(roles.snapshot_movements(spark, sf_dir), ["stop_id", "is_arrival"], roles.SNAPSHOT_ORDER)
+
+
+SPLIT_DATE = "1998-01-01"
+
+
+@register("fact_insert_new", V.with_(V.SNAPSHOT_MOVEMENTS) + f"""
+, old AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY stop_id, is_arrival
+                 ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey) AS rn
+                 FROM snap WHERE l_shipdate < TIMESTAMP '{SPLIT_DATE}') WHERE rn = 1),
+new AS (
+  SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY stop_id, is_arrival
+                 ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey) AS rn
+                 FROM snap WHERE l_shipdate >= TIMESTAMP '{SPLIT_DATE}') WHERE rn = 1)
+SELECT stop_id, is_arrival, station_id, delay_minutes, l_linenumber, l_shipdate, l_partkey, l_suppkey FROM old
+UNION ALL
+SELECT stop_id, is_arrival, station_id, delay_minutes, l_linenumber, l_shipdate, l_partkey, l_suppkey FROM new
+WHERE NOT EXISTS (SELECT 1 FROM old WHERE old.stop_id = new.stop_id AND old.is_arrival = new.is_arrival)
+""".replace("\n, old AS", ", old AS", 1))
+def q_fact_insert_new(spark, sf_dir):
+    snap = roles.snapshot_movements(spark, sf_dir)
+    cut = F.lit(SPLIT_DATE).cast("timestamp_ntz")
+    keys = ["stop_id", "is_arrival"]
+    existing = M.fact_dedup(snap.filter(F.col("l_shipdate") < cut), keys, roles.SNAPSHOT_ORDER)
+    batch = snap.filter(F.col("l_shipdate") >= cut)
+    return M.fact_insert_new(existing, batch, keys, roles.SNAPSHOT_ORDER)
+
+
+@register("unique_violations", V.with_(V.SNAPSHOT_MOVEMENTS) + """
+SELECT stop_id, is_arrival, count(*) AS n_rows FROM snap GROUP BY stop_id, is_arrival HAVING count(*) > 1""")
+def q_unique_violations(spark, sf_dir):
+    return C.unique_violations(roles.snapshot_movements(spark, sf_dir), ["stop_id", "is_arrival"])
+
+
+@register("not_null_violations", V.with_(V.UPDATES) + """
+SELECT * FROM (VALUES ('stop_id', (SELECT count(*) FILTER (WHERE stop_id IS NULL) FROM updates)),
+                      ('ct', (SELECT count(*) FILTER (WHERE ct IS NULL) FROM updates)),
+                      ('cp', (SELECT count(*) FILTER (WHERE cp IS NULL) FROM updates)),
+                      ('cs', (SELECT count(*) FILTER (WHERE cs IS NULL) FROM updates))) v(column_name, n_null)""")
+def q_not_null_violations(spark, sf_dir):
+    return C.not_null_violations(roles.updates(spark, sf_dir), ["stop_id", "ct", "cp", "cs"])
+
+
+@register("fk_orphans", """
+SELECT o_orderkey, o_custkey, o_orderdate FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""")
+def q_fk_orphans(spark, sf_dir):
+    return C.fk_orphans(roles.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
+                        roles.table(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -401,6 +401,87 @@ def q_fk_orphans(spark, sf_dir):
                         roles.table(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey")
 
 
+
+# ---------------------------------------------------------------------------
+# Step 4: names
+# ---------------------------------------------------------------------------
+from railyard.operators import resolve as R  # noqa: E402
+
+_TRI_A = V.TRIGRAMS.format(c="search_name")
+_TRI_B = V.TRIGRAMS.format(c="station_name")
+_PROBES = "probes AS (SELECT DISTINCT " + V.MESSY.format(c="p_name") + " AS search_name FROM part)"
+_FUZZY = f"""fz_pairs AS (
+  SELECT p.search_name, s.station_id, s.station_name, {_TRI_A} AS a, {_TRI_B} AS b
+  FROM __PROBE_REL__ p, name_stations s),
+fz_scored AS (
+  SELECT *, len(list_intersect(a, b)) AS sh, len(a) + len(b) - len(list_intersect(a, b)) AS un FROM fz_pairs),
+fz_best AS (
+  SELECT search_name, station_id, station_name, sh / un AS similarity FROM (
+    SELECT *, row_number() OVER (PARTITION BY search_name ORDER BY sh / un DESC, station_name, station_id) AS rn
+    FROM fz_scored WHERE sh * 5 > un * 2) WHERE rn = 1)"""
+
+
+@register("trigram_similarity", f"""
+WITH pairs AS (SELECT DISTINCT {V.MESSY.format(c="p_name")} AS search_name, p_name AS station_name FROM part),
+g AS (SELECT search_name, station_name, {_TRI_A} AS a, {_TRI_B} AS b FROM pairs)
+SELECT search_name, station_name, CAST(len(list_intersect(a, b)) AS INTEGER) AS n_shared,
+       CAST(len(a) + len(b) - len(list_intersect(a, b)) AS INTEGER) AS n_union,
+       round(CASE WHEN len(a) + len(b) - len(list_intersect(a, b)) > 0
+                  THEN len(list_intersect(a, b)) / (len(a) + len(b) - len(list_intersect(a, b))) ELSE 0 END, 6)
+         AS similarity
+FROM g""")
+def q_trigram_similarity(spark, sf_dir):
+    return rounded(R.pair_similarity(roles.abbreviated_pairs(spark, sf_dir), "search_name", "station_name"))
+
+
+@register("fuzzy_name_join", V.with_(V.NAME_STATIONS, _PROBES, _FUZZY.replace("__PROBE_REL__", "probes")) + """
+SELECT search_name, station_id, station_name, round(similarity, 6) AS similarity FROM fz_best""")
+def q_fuzzy_name_join(spark, sf_dir):
+    probes = roles.abbreviated_pairs(spark, sf_dir).select("search_name")
+    return rounded(R.fuzzy_best_match(probes, "search_name", roles.name_stations(spark, sf_dir)))
+
+
+_RESOLVE = [V.RAW_NAMES, V.OVERRIDES, V.NAME_STATIONS, """idx AS (
+  SELECT station_name, count(*) AS n_st, min(station_id) AS idx_id FROM name_stations GROUP BY station_name)""",
+            """base AS (
+  SELECT r.raw_name, o.override_name,
+         nullif(CASE WHEN starts_with(r.raw_name, 'Berlin ') THEN trim(substr(r.raw_name, 8)) ELSE r.raw_name END, '')
+           AS search_name
+  FROM raw_names r LEFT JOIN overrides o ON r.raw_name = o.raw_name)""",
+            """looked AS (
+  SELECT b.*, i.n_st, i.idx_id FROM base b LEFT JOIN idx i ON i.station_name = coalesce(b.override_name, b.search_name))""",
+            "need AS (SELECT DISTINCT search_name FROM looked WHERE override_name IS NULL AND n_st IS NULL)",
+            _FUZZY.replace("__PROBE_REL__", "need"),
+            """resolved AS (
+  SELECT l.raw_name, l.override_name, l.n_st, l.idx_id, f.station_id AS fz_id
+  FROM looked l LEFT JOIN fz_best f ON l.override_name IS NULL AND l.search_name = f.search_name)"""]
+
+
+@register("station_resolve", V.with_(*_RESOLVE) + """
+SELECT raw_name,
+       CASE WHEN n_st = 1 THEN idx_id ELSE fz_id END AS station_id,
+       CASE WHEN override_name IS NOT NULL THEN 'override' WHEN n_st = 1 THEN 'exact' ELSE 'fuzzy' END AS method
+FROM resolved
+WHERE n_st = 1 OR (override_name IS NULL AND n_st IS NULL AND fz_id IS NOT NULL)""")
+def q_station_resolve(spark, sf_dir):
+    r = R.resolve_names(roles.raw_names(spark, sf_dir), roles.name_stations(spark, sf_dir),
+                        overrides_frame(spark, roles.ROLE_OVERRIDES))
+    return r.filter(F.col("station_id").isNotNull()).select("raw_name", "station_id", "method")
+
+
+@register("station_unresolved", V.with_(*_RESOLVE) + """
+SELECT raw_name,
+       CASE WHEN override_name IS NOT NULL AND n_st IS NULL THEN 'override target missing'
+            WHEN override_name IS NOT NULL THEN 'ambiguous override target'
+            WHEN n_st > 1 THEN 'ambiguous name' ELSE 'no match' END AS reason
+FROM resolved
+WHERE NOT coalesce(n_st = 1 OR (override_name IS NULL AND n_st IS NULL AND fz_id IS NOT NULL), false)""")
+def q_station_unresolved(spark, sf_dir):
+    r = R.resolve_names(roles.raw_names(spark, sf_dir), roles.name_stations(spark, sf_dir),
+                        overrides_frame(spark, roles.ROLE_OVERRIDES))
+    return r.filter(F.col("station_id").isNull()).select("raw_name", "reason")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -73,8 +73,8 @@ OVERRIDES = """overrides AS (
 
 # Trigram set of a text expression, as a DuckDB list.
 TRIGRAMS = """list_distinct(flatten(list_transform(
-    list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), w -> w <> ''),
-    w -> list_transform(range(1, length(w) + 2), i -> substr('  ' || w || ' ', i, 3)))))"""
+    list_filter(regexp_split_to_array(lower({c}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''),
+    lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"""
 
 GRAPH_MOVEMENTS = """gm AS (
   SELECT user_id AS train_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS station_id,

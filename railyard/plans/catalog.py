@@ -482,6 +482,89 @@ def q_station_unresolved(spark, sf_dir):
     return r.filter(F.col("station_id").isNull()).select("raw_name", "reason")
 
 
+
+# ---------------------------------------------------------------------------
+# Step 5: nested sources and the partitioned sink
+# ---------------------------------------------------------------------------
+from railyard.sources import json as J  # noqa: E402
+from railyard.sources import parquet as P  # noqa: E402
+from railyard.sources import xml as X  # noqa: E402
+
+_XML_EV = """xev AS (
+  SELECT *, CASE WHEN event_type = 'purchase' THEN 'Bus' ELSE event_type END AS cat,
+         CAST(CAST(floor(value) AS INTEGER) % 12 AS VARCHAR) AS platform,
+         date_trunc('minute', ts) AS pt,
+         CASE WHEN value >= 30 THEN date_trunc('minute', ts) + to_minutes(CAST(floor(value) AS BIGINT)) END AS ct
+  FROM events),
+xm AS (
+  SELECT xev.*, x.is_arrival FROM xev JOIN (VALUES (true), (false)) x(is_arrival)
+    ON (x.is_arrival AND event_type IN ('click', 'signup', 'purchase'))
+    OR (NOT x.is_arrival AND event_type IN ('view', 'signup', 'error')))"""
+
+
+@register("xml_plan_rows", V.with_(_XML_EV) + """
+SELECT CAST(user_id AS VARCHAR) AS station_name, CAST(event_id AS VARCHAR) AS stop_id,
+       cat || '-' || CAST(user_id AS VARCHAR) AS train_id, is_arrival, platform AS planned_platform,
+       pt AS planned_time, (event_type = 'error' AND NOT is_arrival) AS is_canceled
+FROM xm WHERE event_type <> 'signup' AND cat <> 'Bus'""")
+def q_xml_plan_rows(spark, sf_dir):
+    rows = X.warehouse_plan_rows(roles.event_documents(spark, sf_dir))
+    return rows.select("station_name", "stop_id", "train_id", "is_arrival", "planned_platform",
+                       "planned_time", "is_canceled")
+
+
+@register("xml_change_rows", V.with_(_XML_EV) + """
+SELECT CAST(user_id AS VARCHAR) AS station_name, CAST(event_id AS VARCHAR) AS stop_id, is_arrival, ct,
+       CASE WHEN event_type = 'click' THEN platform END AS cp,
+       coalesce(event_type = 'error' AND value > 50, false) AS cancelled
+FROM xm WHERE ct IS NOT NULL OR event_type IN ('click', 'error')""")
+def q_xml_change_rows(spark, sf_dir):
+    rows = X.warehouse_change_rows(roles.event_documents(spark, sf_dir, change=True))
+    return rows.select("station_name", "stop_id", "is_arrival", "ct", "cp", "cancelled")
+
+
+@register("xml_malformed_skipped", f"""
+WITH d AS (SELECT user_id, floor(event_id / {roles.DOC_GROUP}) AS grp, count(*) AS n,
+                  arg_min(event_type, event_id) AS first_type FROM events GROUP BY ALL)
+SELECT count(*) AS n_documents, count(*) FILTER (WHERE first_type = 'error') AS n_rejected,
+       CAST(coalesce(sum(n) FILTER (WHERE first_type <> 'error'), 0) AS BIGINT) AS n_stops
+FROM d""")
+def q_xml_malformed_skipped(spark, sf_dir):
+    return X.malformed_report(roles.event_documents(spark, sf_dir, corrupt=True))
+
+
+@register("parquet_partition_read", V.with_(_XML_EV) + """
+SELECT CAST(user_id AS VARCHAR) AS station_name, CAST(event_id AS VARCHAR) AS stop_id,
+       CASE WHEN event_type <> 'signup' THEN cat || '-' || CAST(user_id AS VARCHAR) END AS train_id,
+       is_arrival, pt AS planned_time, ct AS actual_time,
+       round(CASE WHEN ct IS NOT NULL THEN greatest(0, date_diff('second', pt, ct) / 60.0) ELSE 0.0 END, 6)
+         AS delay_minutes,
+       coalesce(event_type = 'error' AND value > 50, false) AS is_canceled, CAST(pt AS DATE) AS event_date
+FROM xm WHERE cat <> 'Bus'""")
+def q_parquet_partition_read(spark, sf_dir):
+    docs = roles.event_documents(spark, sf_dir).unionByName(roles.event_documents(spark, sf_dir, change=True))
+    rows = X.movement_rows(docs, overrides_frame(spark))
+    merged = M.event_merge_overwrite(rows, ["station_name", "stop_id", "train_id", "is_arrival"],
+                                     ["snapshot_ts", "file_path", "pos"])
+    path = P.write_movement_events(merged)
+    return rounded(P.read_movement_events(spark, path))
+
+
+@register("json_station_flatten", """
+SELECT s_suppkey AS station_id, s_name AS station_name,
+       CASE WHEN s_nationkey % 5 = 1 THEN NULL ELSE round(CAST(s_nationkey AS DOUBLE), 6) END AS latitude,
+       round(s_acctbal / 1000.0, 6) AS longitude,
+       'de:11000:' || CAST(s_suppkey AS VARCHAR) AS ifopt_id, CAST(s_nationkey % 7 AS INTEGER) AS category,
+       CAST(s_nationkey % 3 + 1 AS INTEGER) AS price_category,
+       lpad(CAST(10000 + s_suppkey % 90000 AS VARCHAR), 5, '0') AS zipcode,
+       CASE WHEN s_acctbal < 0 THEN 'no' WHEN s_acctbal < 5000 THEN 'partial' ELSE 'yes' END AS has_stepless_access,
+       CASE WHEN s_nationkey % 4 = 0 THEN false WHEN s_nationkey % 4 = 1 THEN true
+            WHEN s_nationkey % 4 = 2 THEN s_acctbal > 2500 ELSE false END AS has_wifi
+FROM supplier WHERE s_suppkey <> 0 AND s_nationkey % 5 <> 3""")
+def q_json_station_flatten(spark, sf_dir):
+    return rounded(J.flatten_stations(J.parse_station_documents(roles.station_json(spark, sf_dir))))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

@@ -189,3 +189,110 @@ def route_requests(spark) -> DataFrame:
             (5, "st099", "st000", "2024-01-29 23:50"), (6, "st031", "st064", "2024-03-01 08:00"),
             (7, "st045", "st002", "2024-01-10 17:15")]
     return spark.createDataFrame(rows, "request_id int, origin_name string, destination_name string, depart_text string")
+
+
+# --- XML snapshot documents --------------------------------------------------------------
+
+# Stops per document are bounded: a document holds the events of one station
+# whose ids share ``event_id // DOC_GROUP`` (at most DOC_GROUP stops).
+DOC_GROUP = 16
+
+
+def _event_xml_parts(e: DataFrame, change: bool) -> DataFrame:
+    from railyard.functions.timefmt import floor_to_slot, format_compact_ts  # local: avoid cycles
+    et = F.col("event_type")
+    pt = format_compact_ts("ts")
+    platform = (F.floor("value").cast("int") % 12).cast("string")
+    category = F.when(et == F.lit("purchase"), F.lit("Bus")).otherwise(et)
+    tl = F.when(et == F.lit("signup"), F.lit("")).otherwise(
+        F.concat(F.lit('<tl c="'), category, F.lit('" n="'), F.col("user_id").cast("string"),
+                 F.lit('" o="'), et, F.lit('"/>')))
+
+    def attr(name, value):
+        return F.when(value.isNotNull(), F.concat(F.lit(f' {name}="'), value, F.lit('"'))).otherwise(F.lit(""))
+
+    if change:
+        ct = F.when(F.col("value") >= 30, format_compact_ts(
+            F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.floor("value").cast("int"))))
+        attrs = F.concat(attr("ct", ct), attr("cp", F.when(et == F.lit("click"), platform)),
+                         attr("cs", F.when(et == F.lit("error"), F.lit("c"))),
+                         attr("clt", F.when((et == F.lit("error")) & (F.col("value") > 50), pt)))
+        ar_attrs = dp_attrs = attrs
+    else:
+        ar_attrs = F.concat(attr("pt", pt), attr("pp", platform))
+        dp_attrs = F.concat(ar_attrs, attr("cs", F.when(et == F.lit("error"), F.lit("c"))),
+                            attr("clt", F.when(et == F.lit("error"), pt)))
+    has_ar = et.isin("click", "signup", "purchase")
+    has_dp = et.isin("view", "signup", "error")
+    s = F.concat(F.lit('<s id="'), F.col("event_id").cast("string"), F.lit('">'), tl,
+                 F.when(has_ar, F.concat(F.lit("<ar"), ar_attrs, F.lit("/>"))).otherwise(F.lit("")),
+                 F.when(has_dp, F.concat(F.lit("<dp"), dp_attrs, F.lit("/>"))).otherwise(F.lit("")),
+                 F.lit("</s>"))
+    return e.select("user_id", "event_id", "ts", "event_type", F.floor(F.col("event_id") / DOC_GROUP).alias("grp"),
+                    s.alias("s"), floor_to_slot("ts").alias("slot"))
+
+
+def event_documents(spark, sf_dir, change: bool = False, corrupt: bool = False) -> DataFrame:
+    """``file_path, snapshot_ts, value``: one XML document per (station, id group).
+
+    With ``corrupt`` the documents whose first stop is an 'error' event are cut
+    in half (malformed XML).
+    """
+    from railyard.functions.timefmt import format_compact_ts
+    parts = _event_xml_parts(table(spark, sf_dir, "events"), change)
+    docs = parts.groupBy("user_id", "grp").agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "s"))).alias("stops"),
+        F.min("slot").alias("snapshot_ts"),
+        F.min_by("event_type", "event_id").alias("first_type"))
+    text = F.concat(F.lit('<timetable station="'), F.col("user_id").cast("string"), F.lit('">'),
+                    F.array_join(F.transform("stops", lambda x: x["s"]), ""), F.lit("</timetable>"))
+    if corrupt:
+        text = F.when(F.col("first_type") == F.lit("error"),
+                      text.substr(F.lit(1), (F.length(text) / 2).cast("int"))).otherwise(text)
+    suffix = "_change.xml" if change else "_timetable.xml"
+    path = F.concat(F.lit("/snapshots/"), format_compact_ts("snapshot_ts"), F.lit("/"),
+                    F.col("user_id").cast("string"), F.lit("_"), F.col("grp").cast("string"), F.lit(suffix))
+    return docs.select(path.alias("file_path"), "snapshot_ts", text.alias("value"))
+
+
+# --- station JSON documents --------------------------------------------------------------
+
+JSON_GROUP = 16
+
+
+def station_json(spark, sf_dir) -> DataFrame:
+    """``value``: ``{"result": [...]}`` documents of at most JSON_GROUP suppliers each.
+
+    Per supplier: a non-main EVA entry first, then the main one (absent when
+    nationkey % 5 = 3, coordinates cut to [lon] when nationkey % 5 = 1);
+    hasWiFi is missing, a JSON boolean, or text in mixed case.
+    """
+    s = table(spark, sf_dir, "supplier")
+    lat = F.col("s_nationkey").cast("double")
+    lon = F.col("s_acctbal") / F.lit(1000.0)
+    coords = F.when(F.col("s_nationkey") % 5 == 1, F.array(lon)).otherwise(F.array(lon, lat))
+    entry = lambda num, main, c: F.struct(num.alias("number"), F.lit(main).alias("isMain"),
+                                          F.struct(c.alias("coordinates")).alias("geographicCoordinates"))
+    other = entry(F.col("s_suppkey") + F.lit(1_000_000), False, F.array(lon + 1, lat + 1))
+    evas = F.when(F.col("s_nationkey") % 5 == 3, F.array(other)).otherwise(
+        F.array(other, entry(F.col("s_suppkey"), True, coords)))
+    wifi_mode = F.col("s_nationkey") % 4
+    wifi = (F.when(wifi_mode == 1, F.lit("__JSON_TRUE__"))
+            .when(wifi_mode == 2, F.when(F.col("s_acctbal") > 2500, F.lit("True")).otherwise(F.lit("false")))
+            .when(wifi_mode == 3, F.lit("FALSE")))
+    station = F.struct(
+        F.col("s_name").alias("name"),
+        F.concat(F.lit("de:11000:"), F.col("s_suppkey").cast("string")).alias("ifopt"),
+        (F.col("s_nationkey") % 7).alias("category"),
+        (F.col("s_nationkey") % 3 + 1).alias("priceCategory"),
+        F.when(F.col("s_acctbal") < 0, F.lit("no")).when(F.col("s_acctbal") < 5000, F.lit("partial"))
+         .otherwise(F.lit("yes")).alias("hasSteplessAccess"),
+        wifi.alias("hasWiFi"),
+        F.struct(F.lpad((F.lit(10000) + F.col("s_suppkey") % 90000).cast("string"), 5, "0").alias("zipcode"))
+         .alias("mailingAddress"),
+        evas.alias("evaNumbers"))
+    grouped = s.select(F.floor(F.col("s_suppkey") / JSON_GROUP).alias("grp"), F.col("s_suppkey"),
+                       F.to_json(station).alias("j"))
+    docs = grouped.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("s_suppkey", "j"))).alias("items"))
+    text = F.concat(F.lit('{"result": ['), F.array_join(F.transform("items", lambda x: x["j"]), ", "), F.lit("]}"))
+    return docs.select(F.regexp_replace(text, '"__JSON_TRUE__"', "true").alias("value"))

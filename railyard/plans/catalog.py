@@ -565,6 +565,189 @@ def q_json_station_flatten(spark, sf_dir):
     return rounded(J.flatten_stations(J.parse_station_documents(roles.station_json(spark, sf_dir))))
 
 
+
+# ---------------------------------------------------------------------------
+# Step 6: graph
+# ---------------------------------------------------------------------------
+from railyard.operators import graph as G  # noqa: E402
+
+H0, H1 = roles.HOPS_WINDOW
+W0, W1 = roles.ARRIVAL_WINDOW
+
+
+def _values(rows, cols):
+    def lit(v):
+        return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"(VALUES {body}) v({', '.join(cols)})"
+
+
+_GNAMES = "gnames AS (SELECT station_name, max(station_id) AS station_id FROM gstations GROUP BY station_name)"
+_HOP_REQ = ("hreq AS (SELECT v.*, o.station_id AS origin_id, d.station_id AS destination_id FROM "
+            + _values(roles.HOP_REQUESTS, ["request_id", "origin_name", "destination_name"])
+            + " LEFT JOIN gnames o ON o.station_name = v.origin_name"
+            + " LEFT JOIN gnames d ON d.station_name = v.destination_name)")
+_ROUTE_REQ = ("rreq AS (SELECT v.*, o.station_id AS origin_id, d.station_id AS destination_id, "
+              "try_strptime(v.depart_text, '%Y-%m-%d %H:%M') AS depart_ts FROM "
+              + _values(roles.ROUTE_REQUESTS, ["request_id", "origin_name", "destination_name", "depart_text"])
+              + " LEFT JOIN gnames o ON o.station_name = v.origin_name"
+              + " LEFT JOIN gnames d ON d.station_name = v.destination_name)")
+_BFS = """adj AS (SELECT DISTINCT u, v FROM edges),
+reach(origin, node, hops) AS (
+  SELECT station_id, station_id, 0 FROM __ORIGINS__
+  UNION
+  SELECT r.origin, a.v, r.hops + 1 FROM reach r JOIN adj a ON a.u = r.node WHERE r.hops < 30),
+dist AS (SELECT origin, node, min(hops) AS d FROM reach GROUP BY origin, node),
+paths(origin, node, lvl, path) AS (
+  SELECT o.station_id, o.station_id, 0, [n.station_name]
+  FROM __ORIGINS__ o JOIN gnames n ON n.station_id = o.station_id
+  UNION ALL
+  SELECT p.origin, a.v, p.lvl + 1, min(list_append(p.path, n.station_name))
+  FROM paths p JOIN adj a ON a.u = p.node
+  JOIN dist d ON d.origin = p.origin AND d.node = a.v AND d.d = p.lvl + 1
+  JOIN gnames n ON n.station_id = a.v
+  GROUP BY p.origin, a.v, p.lvl + 1)"""
+_LABELS = """lab(request_id, origin_id, node, t) AS (
+  SELECT request_id, origin_id, origin_id, depart_ts FROM __STARTS__
+  UNION
+  SELECT l.request_id, l.origin_id, e.v, e.arr FROM lab l JOIN edges e ON e.u = l.node
+    AND e.dep >= CASE WHEN l.node = l.origin_id THEN l.t ELSE l.t + INTERVAL 2 MINUTE END),
+best AS (SELECT request_id, node, min(t) AS arrival FROM lab GROUP BY request_id, node)"""
+
+
+def _rwith(*ctes):
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
+
+
+def _edges_h(spark, sf_dir):
+    return G.build_edges(roles.graph_movements(spark, sf_dir), H0, H1)
+
+
+def _edges_w(spark, sf_dir):
+    return G.build_edges(roles.graph_movements(spark, sf_dir), W0, W1)
+
+
+@register("graph_edges", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte(W0, W1)) + "SELECT train_id, u, v, dep, arr FROM edges")
+def q_graph_edges(spark, sf_dir):
+    return _edges_w(spark, sf_dir)
+
+
+@register("graph_adjacency", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte(H0, H1)) + "SELECT DISTINCT u, v FROM edges")
+def q_graph_adjacency(spark, sf_dir):
+    return G.adjacency(_edges_h(spark, sf_dir))
+
+
+@register("graph_time_range", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte(W0, W1)) + f"""
+SELECT min(planned_time) AS min_time, max(planned_time) AS max_time, count(*) AS n_movements,
+       (SELECT count(*) FROM edges) AS n_edges
+FROM gm WHERE planned_time >= TIMESTAMP '{W0}' AND planned_time < TIMESTAMP '{W1}'""")
+def q_graph_time_range(spark, sf_dir):
+    return G.time_range(roles.graph_movements(spark, sf_dir), W0, W1, _edges_w(spark, sf_dir))
+
+
+@register("shortest_hops_all", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(H0, H1), _GNAMES,
+                                      _BFS.replace("__ORIGINS__", "gnames")) + """
+SELECT o.station_name AS origin_name, n.station_name AS station_name, p.lvl AS hops,
+       array_to_string(p.path, ' -> ') AS path
+FROM paths p JOIN gnames o ON o.station_id = p.origin JOIN gnames n ON n.station_id = p.node""")
+def q_shortest_hops_all(spark, sf_dir):
+    st = roles.graph_stations(spark, sf_dir)
+    paths = G.bfs_paths(G.adjacency(_edges_h(spark, sf_dir)), st, st.select(F.col("station_id").alias("origin_id")))
+    o = st.select(F.col("station_id").alias("origin_id"), F.col("station_name").alias("origin_name"))
+    return (paths.join(o, "origin_id").join(st, "station_id")
+            .select("origin_name", "station_name", "hops", F.array_join("path", " -> ").alias("path")))
+
+
+_HOPS_ORIGINS = "horig AS (SELECT DISTINCT origin_id AS station_id FROM hreq WHERE origin_id IS NOT NULL AND destination_id IS NOT NULL)"
+
+
+@register("shortest_hops", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(H0, H1), _GNAMES, _HOP_REQ,
+                                  _HOPS_ORIGINS, _BFS.replace("__ORIGINS__", "horig")) + f"""
+SELECT r.request_id, r.origin_name, r.destination_name, p.lvl AS hops, array_to_string(p.path, ' -> ') AS path,
+       CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
+            WHEN p.lvl IS NULL THEN 'No connection found' ELSE 'ok' END AS status
+FROM hreq r LEFT JOIN paths p ON p.origin = r.origin_id AND p.node = r.destination_id""")
+def q_shortest_hops(spark, sf_dir):
+    return G.shortest_hops(roles.hop_requests(spark), G.adjacency(_edges_h(spark, sf_dir)),
+                           roles.graph_stations(spark, sf_dir))
+
+
+_ROUTE_STARTS = ("rstart AS (SELECT request_id, origin_id, depart_ts FROM rreq "
+                 "WHERE origin_id IS NOT NULL AND destination_id IS NOT NULL AND depart_ts IS NOT NULL)")
+
+
+@register("earliest_arrival", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES, _ROUTE_REQ,
+                                     _ROUTE_STARTS, _LABELS.replace("__STARTS__", "rstart")) + """
+SELECT r.request_id, r.origin_name, r.destination_name, r.depart_ts, b.arrival,
+       CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
+            WHEN b.arrival IS NULL THEN 'No connection found' ELSE 'ok' END AS status
+FROM rreq r LEFT JOIN best b ON b.request_id = r.request_id AND b.node = r.destination_id""")
+def q_earliest_arrival(spark, sf_dir):
+    return G.earliest_arrival(roles.route_requests(spark), _edges_w(spark, sf_dir), roles.graph_stations(spark, sf_dir))
+
+
+_ALL_STARTS = (f"astart AS (SELECT station_id AS request_id, station_id AS origin_id, TIMESTAMP '{W0}' AS depart_ts "
+               "FROM (SELECT DISTINCT u AS station_id FROM edges))")
+
+
+@register("earliest_arrival_all", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES,
+                                         _ALL_STARTS, _LABELS.replace("__STARTS__", "astart")) + """
+SELECT o.station_name AS origin_name, n.station_name AS station_name, b.arrival
+FROM best b JOIN gnames o ON o.station_id = b.request_id JOIN gnames n ON n.station_id = b.node""")
+def q_earliest_arrival_all(spark, sf_dir):
+    edges = _edges_w(spark, sf_dir)
+    st = roles.graph_stations(spark, sf_dir)
+    starts = edges.select(F.col("u").alias("origin_id")).distinct().select(
+        F.col("origin_id").cast("bigint").alias("request_id"), "origin_id",
+        F.lit(W0).cast("timestamp_ntz").alias("depart_ts"))
+    labels = G.earliest_arrival_labels(starts, edges)
+    o = st.select(F.col("station_id").alias("origin_id"), F.col("station_name").alias("origin_name"))
+    return labels.join(o, "origin_id").join(st, "station_id").select("origin_name", "station_name", "arrival")
+
+
+@register("earliest_arrival_itinerary", _rwith(
+    V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES, _ROUTE_REQ, _ROUTE_STARTS,
+    _LABELS.replace("__STARTS__", "rstart"), """walk(request_id, origin_id, node, label, final_arrival, legs) AS (
+  SELECT r.request_id, r.origin_id, r.destination_id, b.arrival, b.arrival,
+         CAST([] AS STRUCT(station_id INTEGER, dep TIMESTAMP, train_id BIGINT)[])
+  FROM rreq r JOIN best b ON b.request_id = r.request_id AND b.node = r.destination_id
+  UNION ALL
+  SELECT request_id, origin_id, pick.u, pick.lab_u, final_arrival,
+         list_prepend({'station_id': pick.u, 'dep': pick.dep, 'train_id': pick.train_id}, legs)
+  FROM (SELECT w.request_id, w.origin_id, w.final_arrival, w.legs,
+               arg_max({'u': e.u, 'dep': e.dep, 'train_id': e.train_id, 'lab_u': bu.arrival},
+                       (e.dep, -e.u, -e.train_id)) AS pick
+        FROM walk w JOIN edges e ON e.v = w.node AND e.arr = w.label
+        JOIN best bu ON bu.request_id = w.request_id AND bu.node = e.u
+        WHERE w.node <> w.origin_id
+          AND e.dep >= CASE WHEN e.u = w.origin_id THEN bu.arrival ELSE bu.arrival + INTERVAL 2 MINUTE END
+        GROUP BY w.request_id, w.origin_id, w.final_arrival, w.legs))""") + """
+SELECT w.request_id, w.final_arrival AS arrival,
+       concat_ws(' -> ', nullif(array_to_string(list_transform(w.legs, lambda x:
+           format('st{:03d}', x.station_id) || ' ' || strftime(x.dep, '%H:%M') || ' [' || CAST(x.train_id AS VARCHAR) || ']'),
+           ' -> '), ''),
+         d.station_name || ' arr ' || strftime(w.final_arrival, '%H:%M')) AS itinerary
+FROM walk w JOIN rreq r ON r.request_id = w.request_id JOIN gnames d ON d.station_id = r.destination_id
+WHERE w.node = w.origin_id""")
+def q_earliest_arrival_itinerary(spark, sf_dir):
+    return G.itineraries(roles.route_requests(spark), _edges_w(spark, sf_dir), roles.graph_stations(spark, sf_dir))
+
+
+@register("route_status", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES, _ROUTE_REQ,
+                                 _ROUTE_STARTS, _LABELS.replace("__STARTS__", "rstart"),
+                                 f"""rng AS (SELECT min(planned_time) AS lo, max(planned_time) AS hi FROM gm
+  WHERE planned_time >= TIMESTAMP '{W0}' AND planned_time < TIMESTAMP '{W1}')""") + """
+SELECT r.request_id,
+       CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
+            WHEN b.arrival IS NULL THEN 'No connection found' ELSE 'ok' END AS status,
+       coalesce(r.depart_ts < rng.lo OR r.depart_ts > rng.hi, false) AS out_of_range
+FROM rreq r LEFT JOIN best b ON b.request_id = r.request_id AND b.node = r.destination_id, rng""")
+def q_route_status(spark, sf_dir):
+    moves = roles.graph_movements(spark, sf_dir)
+    res = G.earliest_arrival(roles.route_requests(spark), _edges_w(spark, sf_dir), roles.graph_stations(spark, sf_dir))
+    return G.route_status(res, G.time_range(moves, W0, W1))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

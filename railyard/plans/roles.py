@@ -177,18 +177,21 @@ def graph_stations(spark, sf_dir) -> DataFrame:
     return g.select("station_id", F.format_string("st%03d", F.col("station_id")).alias("station_name"))
 
 
+HOP_REQUESTS = [(1, "st000", "st050"), (2, "st007", "st093"), (3, "st012", "st012"),
+                (4, "nowhere", "st001"), (5, "st099", "st000"), (6, "st031", "st064")]
+ROUTE_REQUESTS = [(1, "st000", "st050", "2024-01-01 08:00"), (2, "st007", "st093", "2024-01-02 06:30"),
+                  (3, "st012", "st012", "2024-01-03 12:00"), (4, "nowhere", "st001", "2024-01-01 08:00"),
+                  (5, "st099", "st000", "2024-01-29 23:50"), (6, "st031", "st064", "2024-03-01 08:00"),
+                  (7, "st045", "st002", "2024-01-10 17:15")]
+
+
 def hop_requests(spark) -> DataFrame:
-    rows = [(1, "st000", "st050"), (2, "st007", "st093"), (3, "st012", "st012"),
-            (4, "nowhere", "st001"), (5, "st099", "st000"), (6, "st031", "st064")]
-    return spark.createDataFrame(rows, "request_id int, origin_name string, destination_name string")
+    return spark.createDataFrame(HOP_REQUESTS, "request_id int, origin_name string, destination_name string")
 
 
 def route_requests(spark) -> DataFrame:
-    rows = [(1, "st000", "st050", "2024-01-01 08:00"), (2, "st007", "st093", "2024-01-02 06:30"),
-            (3, "st012", "st012", "2024-01-03 12:00"), (4, "nowhere", "st001", "2024-01-01 08:00"),
-            (5, "st099", "st000", "2024-01-29 23:50"), (6, "st031", "st064", "2024-03-01 08:00"),
-            (7, "st045", "st002", "2024-01-10 17:15")]
-    return spark.createDataFrame(rows, "request_id int, origin_name string, destination_name string, depart_text string")
+    return spark.createDataFrame(ROUTE_REQUESTS,
+                                 "request_id int, origin_name string, destination_name string, depart_text string")
 
 
 # --- XML snapshot documents --------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import Window
 from railyard.constants import (ITINERARY_TIME_FORMAT, STATUS_NO_CONNECTION, STATUS_NOT_FOUND, STATUS_OK,
                                 TRANSFER_BUFFER_MINUTES)
 from railyard.functions.timefmt import parse_route_time
-from railyard.session import checkpoint_dir
+from railyard.session import checkpoint_dir, cut, debug, write_table
 
 
 # --- G1 / G2 / A12: graph construction ----------------------------------------------
@@ -102,12 +102,13 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
     """
     checkpoint_dir(adj.sparkSession)
     names = name_index(stations).select(F.col("station_id").alias("v"), F.col("station_name").alias("v_name"))
-    adj_named = adj.join(names, "v").select(F.col("u"), F.col("v"), "v_name")
+    adj_named = cut(adj.join(names, "v").select(F.col("u"), F.col("v"), "v_name").repartition("u"))
     start = (origins.select(F.col("origin_id")).distinct()
              .join(names.select(F.col("v").alias("origin_id"), "v_name"), "origin_id")
              .select("origin_id", F.col("origin_id").alias("station_id"), F.lit(0).alias("hops"),
                      F.array("v_name").alias("path")))
-    visited = start.checkpoint()
+    levels = [write_table(start, "bfs-level")]
+    visited = levels[0]
     frontier = visited
     level = 0
     while level < max_levels:
@@ -116,11 +117,16 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
                 .select("origin_id", F.col("v").alias("station_id"),
                         F.array_append(F.col("path"), F.col("v_name")).alias("path")))
         fresh = cand.join(visited.select("origin_id", "station_id"), ["origin_id", "station_id"], "left_anti")
-        frontier = (fresh.groupBy("origin_id", "station_id").agg(F.min("path").alias("path"))
-                    .withColumn("hops", F.lit(level)).select("origin_id", "station_id", "hops", "path")).checkpoint()
-        if frontier.isEmpty():
+        frontier = write_table(fresh.groupBy("origin_id", "station_id").agg(F.min("path").alias("path"))
+                               .withColumn("hops", F.lit(level)).select("origin_id", "station_id", "hops", "path"),
+                               "bfs-level")
+        n = frontier.count()
+        debug(f"bfs level {level}: {n} new")
+        if n == 0:
             break
-        visited = visited.unionByName(frontier).checkpoint()
+        # Visited = union of the level tables: each is a file scan, so the plan grows by one leaf per level.
+        levels.append(frontier)
+        visited = visited.unionByName(frontier)
     return visited
 
 
@@ -151,26 +157,30 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
     """
     checkpoint_dir(starts.sparkSession)
     buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
-    e = edges.select("u", "v", "dep", "arr")
-    labels = starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
-                           F.col("depart_ts").alias("arrival")).checkpoint()
-    improved = labels
+    e = cut(edges.select("u", "v", "dep", "arr").repartition("u"))
+    # One state table per round: every label plus whether it improved in that round.
+    state = write_table(starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
+                                      F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh")), "ea-labels")
     rounds = 0
     while rounds < max_rounds:
         rounds += 1
+        improved = state.filter(F.col("fresh"))
         ready = F.when(F.col("station_id") == F.col("origin_id"), F.col("arrival")).otherwise(F.col("arrival") + buf)
         cand = (improved.join(e, improved["station_id"] == e["u"])
                 .filter(F.col("dep") >= ready)
                 .groupBy("request_id", "origin_id", F.col("v").alias("station_id"))
-                .agg(F.min("arr").alias("arrival")))
-        old = labels.select("request_id", "station_id", F.col("arrival").alias("_old"))
-        improved = (cand.join(old, ["request_id", "station_id"], "left")
-                    .filter(F.col("_old").isNull() | (F.col("arrival") < F.col("_old")))
-                    .drop("_old")).checkpoint()
-        if improved.isEmpty():
+                .agg(F.min("arr").alias("cand")))
+        old = state.select("request_id", "origin_id", "station_id", F.col("arrival").alias("old"))
+        merged = old.join(cand, ["request_id", "origin_id", "station_id"], "full_outer")
+        better = F.col("cand").isNotNull() & (F.col("old").isNull() | (F.col("cand") < F.col("old")))
+        state = write_table(merged.select("request_id", "origin_id", "station_id",
+                                          F.when(better, F.col("cand")).otherwise(F.col("old")).alias("arrival"),
+                                          better.alias("fresh")), "ea-labels")
+        n = state.filter(F.col("fresh")).count()
+        debug(f"earliest-arrival round {rounds}: {n} improved")
+        if n == 0:
             break
-        labels = (labels.unionByName(improved).groupBy("request_id", "origin_id", "station_id")
-                  .agg(F.min("arrival").alias("arrival"))).checkpoint()
+    labels = state.drop("fresh")
     return labels
 
 
@@ -217,8 +227,9 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     done = cur.filter(F.col("node") == F.col("origin_id"))
     cur = cur.filter(F.col("node") != F.col("origin_id"))
     rounds = 0
-    e = edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id"))
-    while rounds < max_rounds and not cur.isEmpty():
+    e = cut(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")).repartition("v"))
+    n_open = -1
+    while rounds < max_rounds and n_open != 0:
         rounds += 1
         step = (cur.join(e, (cur["node"] == e["v"]) & (cur["label"] == e["arr"]))
                 .join(lab_u.drop("origin_id"), ["request_id", "u"])
@@ -232,9 +243,11 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
             F.col("b.lab_u").alias("label"), F.col("b.final_arrival").alias("final_arrival"),
             F.concat(F.array(F.struct(F.col("b.u").cast("bigint").alias("station_id"), F.col("b.dep").alias("dep"),
                                       F.col("b.train_id").alias("train_id"))), F.col("b.legs")).alias("legs")
-        ).checkpoint()
+        )
+        nxt = write_table(nxt, "itinerary-walk")
         done = done.unionByName(nxt.filter(F.col("node") == F.col("origin_id")))
         cur = nxt.filter(F.col("node") != F.col("origin_id"))
+        n_open = cur.count()
     out = done.join(ok.select("request_id", "destination_id"), "request_id")
     legs = F.transform("legs", lambda x: F.struct(x["station_id"].alias("station_id"), x["dep"].alias("dep"),
                                                   x["train_id"].alias("train_id")))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.session import checkpoint_dir
+from railyard.session import checkpoint_dir, cut, write_table
 
 _OUT = "{k} long, station_id long, station_name string, distance_score double"
 
@@ -30,25 +30,32 @@ def _ring(k: int) -> list[tuple[int, int]]:
     return [(dx, dy) for dx in range(-k, k + 1) for dy in range(-k, k + 1) if max(abs(dx), abs(dy)) == k]
 
 
-def _ring_cells(k: int):
-    return F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in _ring(k)]))
-
-
-def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: float = 1.0,
+def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: float | None = None,
                               point_key: str = "point_id") -> DataFrame:
     """``(point_key, station_id, station_name, distance_score)`` for every point with coordinates.
 
     Distance is the squared Euclidean distance on (latitude, longitude); ties
     go to the smaller station id. Rows with a null coordinate take no part.
+    Without ``cell`` the side is chosen so that a cell holds about four
+    stations on average (from one aggregate over the stations).
     """
     spark = points.sparkSession
     checkpoint_dir(spark)
+    if cell is None:
+        g = stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).agg(
+            F.count(F.lit(1)).alias("n"), (F.max("latitude") - F.min("latitude")).alias("h"),
+            (F.max("longitude") - F.min("longitude")).alias("w")).first()
+        if not g["n"]:
+            return spark.createDataFrame([], _OUT.format(k=point_key))
+        area = max(g["h"], 1e-9) * max(g["w"], 1e-9)
+        cell = max((4.0 * area / g["n"]) ** 0.5, 1e-9)
     st = _cells(stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
                 .select("station_id", "station_name", "latitude", "longitude"), cell) \
         .select("station_id", "station_name", F.col("latitude").alias("s_lat"),
                 F.col("longitude").alias("s_lon"), F.col("_cx").alias("s_cx"), F.col("_cy").alias("s_cy"))
-    pts = _cells(points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-                 .select(point_key, "latitude", "longitude"), cell)
+    st = cut(st.repartition("s_cx", "s_cy"))
+    pts = cut(_cells(points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+                     .select(point_key, "latitude", "longitude"), cell))
 
     # Two one-row aggregates bound the number of rings (driver sees 8 numbers).
     sb = st.agg(F.min("s_cx"), F.max("s_cx"), F.min("s_cy"), F.max("s_cy")).first()
@@ -58,27 +65,31 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: floa
     max_ring = int(max(sb[1] - pb[0], pb[1] - sb[0], sb[3] - pb[2], pb[3] - sb[2], 0))
 
     keys = [point_key, "_cx", "_cy", "latitude", "longitude"]
-    best = None      # unresolved points that have a candidate
-    resolved = None  # final answers
-    open_pts = pts   # unresolved points
-    for k in range(max_ring + 1):
-        probe = open_pts.select(*keys, _ring_cells(k).alias("o")) \
+    # State: every point with its best candidate so far and whether it is final.
+    best_t = "struct<d:double,id:bigint,name:string>"
+    state = write_table(pts.select(*keys, F.lit(None).cast(best_t).alias("b"), F.lit(False).alias("final")),
+                        "nearest-state")
+    dist = F.pow(F.col("s_lat") - F.col("latitude"), 2) + F.pow(F.col("s_lon") - F.col("longitude"), 2)
+    k = 0
+    while k <= max_ring:
+        k = max(k, 1) if k == 0 else k  # the first round probes rings 0 and 1 together
+        open_pts = state.filter(~F.col("final"))
+        rings = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                                    for r in ((0, 1) if k == 1 else (k,)) for dx, dy in _ring(r)]))
+        probe = open_pts.select(*keys, rings.alias("o")) \
             .select(*keys, (F.col("_cx") + F.col("o.dx")).alias("q_cx"), (F.col("_cy") + F.col("o.dy")).alias("q_cy"))
-        dist = F.pow(F.col("s_lat") - F.col("latitude"), 2) + F.pow(F.col("s_lon") - F.col("longitude"), 2)
         cand = (probe.join(st, (F.col("q_cx") == F.col("s_cx")) & (F.col("q_cy") == F.col("s_cy")))
-                .select(*keys, F.struct(dist.alias("d"), F.col("station_id").alias("id"),
-                                        F.col("station_name").alias("name")).alias("b")))
-        merged = cand if best is None else best.unionByName(cand)
-        best = merged.groupBy(*keys).agg(F.min("b").alias("b")).checkpoint()
+                .select(point_key, F.struct(dist.alias("d"), F.col("station_id").cast("bigint").alias("id"),
+                                            F.col("station_name").alias("name")).alias("c"))
+                .groupBy(point_key).agg(F.min("c").alias("c")))
+        merged = state.join(cand, point_key, "left")
+        b = F.when(F.col("b").isNull(), F.col("c")).when(F.col("c").isNull(), F.col("b")).otherwise(F.least("b", "c"))
         limit = float((k * cell) ** 2)
-        done = best.filter(F.col("b.d") < F.lit(limit))
-        best = best.filter(F.col("b.d") >= F.lit(limit))
-        resolved = done if resolved is None else resolved.unionByName(done)
-        if k == max_ring:
-            resolved = resolved.unionByName(best)
-            break
-        open_pts = open_pts.join(done.select(point_key), point_key, "left_anti").checkpoint()
-        if open_pts.isEmpty():
+        final = F.col("final") | (k == max_ring) | F.coalesce(b["d"] < F.lit(limit), F.lit(False))
+        state = write_table(merged.select(*keys, b.alias("b"), final.alias("final")), "nearest-state")
+        if state.filter(~F.col("final")).count() == 0:
             break
+        k += 1
+    resolved = state.filter(F.col("b").isNotNull())
     return resolved.select(point_key, F.col("b.id").alias("station_id"), F.col("b.name").alias("station_name"),
                            F.col("b.d").alias("distance_score"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,3 +76,37 @@ def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
     """
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` and cut its lineage with a reliable checkpoint.
+
+    The frame is persisted first so the checkpoint write reads the cached
+    blocks instead of recomputing the plan; the checkpoint files live in the
+    shared ``spark.checkpoint.dir`` and survive executor loss.
+    """
+    from pyspark import StorageLevel
+    checkpoint_dir(df.sparkSession)
+    p = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = p.checkpoint(eager=True)
+    p.unpersist(blocking=False)
+    return out
+
+
+def debug(msg: str) -> None:
+    """Loop progress on stderr when RAILYARD_DEBUG is set."""
+    if os.environ.get("RAILYARD_DEBUG"):
+        print(f"[railyard {time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    This is how iterative jobs cut lineage and plan growth each round: the
+    returned frame's plan is a file scan (declared schema, so empty results
+    read back too), it survives executor loss, and the write is one job.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,10 +1,12 @@
 """Transport graph and route search.
 
 Searches are batched: a request table goes in, every request advances one
-level per round, and each round is a couple of joins and aggregates. Loop
-state is cut with reliable ``checkpoint()`` (in ``spark.checkpoint.dir``), so a
-lost executor recomputes at most one round. The driver only sees one
-``isEmpty()`` per round.
+level per round, and each round is a couple of joins and aggregates. Each
+round's state is written as a Parquet table in the shared checkpoint folder
+(``spark.checkpoint.dir``), which cuts plan and lineage growth and survives
+executor loss; static inputs (edges, adjacency) are materialised once with a
+reliable checkpoint. The driver sees one row count per round, which also
+decides whether the (small) frontier is broadcast into the edge join.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Window
 from railyard.constants import (ITINERARY_TIME_FORMAT, STATUS_NO_CONNECTION, STATUS_NOT_FOUND, STATUS_OK,
                                 TRANSFER_BUFFER_MINUTES)
 from railyard.functions.timefmt import parse_route_time
-from railyard.session import checkpoint_dir, cut, debug, write_table
+from railyard.session import broadcast_if, checkpoint_dir, cut, debug, write_table
 
 
 # --- G1 / G2 / A12: graph construction ----------------------------------------------
@@ -102,7 +104,7 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
     """
     checkpoint_dir(adj.sparkSession)
     names = name_index(stations).select(F.col("station_id").alias("v"), F.col("station_name").alias("v_name"))
-    adj_named = cut(adj.join(names, "v").select(F.col("u"), F.col("v"), "v_name").repartition("u"))
+    adj_named = cut(adj.join(names, "v").select(F.col("u"), F.col("v"), "v_name"))
     start = (origins.select(F.col("origin_id")).distinct()
              .join(names.select(F.col("v").alias("origin_id"), "v_name"), "origin_id")
              .select("origin_id", F.col("origin_id").alias("station_id"), F.lit(0).alias("hops"),
@@ -110,10 +112,13 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
     levels = [write_table(start, "bfs-level")]
     visited = levels[0]
     frontier = visited
+    n = frontier.count()
     level = 0
     while level < max_levels:
         level += 1
-        cand = (frontier.join(adj_named, frontier["station_id"] == adj_named["u"])
+        # The frontier is broadcast while its measured size allows; the adjacency is never moved then.
+        fr = broadcast_if(frontier, n)
+        cand = (fr.join(adj_named, fr["station_id"] == adj_named["u"])
                 .select("origin_id", F.col("v").alias("station_id"),
                         F.array_append(F.col("path"), F.col("v_name")).alias("path")))
         fresh = cand.join(visited.select("origin_id", "station_id"), ["origin_id", "station_id"], "left_anti")
@@ -157,14 +162,16 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
     """
     checkpoint_dir(starts.sparkSession)
     buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
-    e = cut(edges.select("u", "v", "dep", "arr").repartition("u"))
+    # Edges are materialised once, evenly partitioned (not by u: a hub station must not become one task).
+    e = cut(edges.select("u", "v", "dep", "arr"))
     # One state table per round: every label plus whether it improved in that round.
     state = write_table(starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
                                       F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh")), "ea-labels")
+    n = state.count()
     rounds = 0
     while rounds < max_rounds:
         rounds += 1
-        improved = state.filter(F.col("fresh"))
+        improved = broadcast_if(state.filter(F.col("fresh")), n)
         ready = F.when(F.col("station_id") == F.col("origin_id"), F.col("arrival")).otherwise(F.col("arrival") + buf)
         cand = (improved.join(e, improved["station_id"] == e["u"])
                 .filter(F.col("dep") >= ready)
@@ -223,15 +230,17 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     cur = (ok.join(labels, (ok["request_id"] == labels["request_id"]) & (ok["destination_id"] == labels["station_id"]))
            .select(ok["request_id"], ok["origin_id"], F.col("station_id").alias("node"), F.col("arrival").alias("label"),
                    F.col("arrival").alias("final_arrival"), F.array().cast(
-                       "array<struct<station_id:bigint,dep:timestamp_ntz,train_id:bigint>>").alias("legs"))).checkpoint()
+                       "array<struct<station_id:bigint,dep:timestamp_ntz,train_id:bigint>>").alias("legs")))
+    cur = write_table(cur, "itinerary-walk")
     done = cur.filter(F.col("node") == F.col("origin_id"))
     cur = cur.filter(F.col("node") != F.col("origin_id"))
     rounds = 0
-    e = cut(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")).repartition("v"))
-    n_open = -1
+    e = cut(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")))
+    n_open = cur.count()
     while rounds < max_rounds and n_open != 0:
         rounds += 1
-        step = (cur.join(e, (cur["node"] == e["v"]) & (cur["label"] == e["arr"]))
+        walkers = broadcast_if(cur, n_open)
+        step = (walkers.join(e, (walkers["node"] == e["v"]) & (walkers["label"] == e["arr"]))
                 .join(lab_u.drop("origin_id"), ["request_id", "u"])
                 .filter(F.col("dep") >= F.when(F.col("u") == F.col("origin_id"), F.col("lab_u"))
                         .otherwise(F.col("lab_u") + buf)))

@@ -53,7 +53,7 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: floa
                 .select("station_id", "station_name", "latitude", "longitude"), cell) \
         .select("station_id", "station_name", F.col("latitude").alias("s_lat"),
                 F.col("longitude").alias("s_lon"), F.col("_cx").alias("s_cx"), F.col("_cy").alias("s_cy"))
-    st = cut(st.repartition("s_cx", "s_cy"))
+    st = cut(st)
     pts = cut(_cells(points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
                      .select(point_key, "latitude", "longitude"), cell))
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from railyard.constants import NAME_PREFIX
 from railyard.functions.names import strip_prefix
 from railyard.functions.trigram import similarity_from_sets, trigrams
+from railyard.session import size_checked_broadcast
 
 # Threshold 0.4 as the integer ratio 2/5 (strict: similarity > 2/5).
 T_NUM, T_DEN = 2, 5
@@ -29,6 +30,7 @@ def _grams(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
 def _prefixes(g: DataFrame, id_cols: list[str], freq: DataFrame) -> DataFrame:
     """Rarest ``n - ceil(t*n) + 1`` grams of each set."""
     exploded = g.select(*id_cols, "n", F.explode("grams").alias("gram"))
+    # One row per distinct gram, broadcast after a size check: a frequent gram is then no hot join key.
     ranked = exploded.join(freq, "gram")
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(T_NUM) / F.lit(T_DEN)) + 1
     per_set = ranked.groupBy(*id_cols, "n").agg(
@@ -47,6 +49,7 @@ def fuzzy_candidates(probes: DataFrame, probe_col: str, stations: DataFrame) ->
     freq = (pg.select(F.explode("grams").alias("gram"))
             .unionByName(sg.select(F.explode("grams").alias("gram")))
             .groupBy("gram").agg(F.count(F.lit(1)).alias("freq")))
+    freq = size_checked_broadcast(freq)
     pp = _prefixes(pg, [probe_col], freq)
     sp = _prefixes(sg, ["station_id", "station_name"], freq)
     pairs = pp.join(sp, "gram").select(probe_col, "station_id", "station_name").distinct()

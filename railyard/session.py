@@ -67,6 +67,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/railyard-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def broadcast_if(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast only when ``n_rows`` (a count measured on ``df``) is within the bound."""
+    return F.broadcast(df) if 0 <= n_rows <= max_rows else df
+
+
 def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only if a run-time row count proves it small.
 

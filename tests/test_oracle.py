@@ -37,3 +37,12 @@ def test_query_matches_duckdb(spark, con, name):
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
+
+
+@pytest.mark.parametrize("name", ["peak_departures", "update_merge_coalesce", "event_merge_overwrite",
+                                  "xml_plan_rows", "json_station_flatten", "fuzzy_name_join", "graph_edges",
+                                  "nearest_station_batch", "earliest_arrival"])
+def test_no_python_evaluation_in_plans(spark, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "PythonUDF" not in plan

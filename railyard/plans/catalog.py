@@ -543,10 +543,8 @@ SELECT CAST(user_id AS VARCHAR) AS station_name, CAST(event_id AS VARCHAR) AS st
 FROM xm WHERE cat <> 'Bus'""")
 def q_parquet_partition_read(spark, sf_dir):
     docs = roles.event_documents(spark, sf_dir).unionByName(roles.event_documents(spark, sf_dir, change=True))
-    rows = X.movement_rows(docs, overrides_frame(spark))
-    merged = M.event_merge_overwrite(rows, ["station_name", "stop_id", "train_id", "is_arrival"],
-                                     ["snapshot_ts", "file_path", "pos"])
-    path = P.write_movement_events(merged)
+    from railyard.operators.warehouse import movement_events
+    path = P.write_movement_events(movement_events(docs, overrides_frame(spark)))
     return rounded(P.read_movement_events(spark, path))
 
 

@@ -29,6 +29,15 @@ def write_movement_events(df: DataFrame, path: str | None = None, mode: str = "o
     return path
 
 
+def overwrite_dates(df: DataFrame, path: str) -> str:
+    """Replace only the ``event_date`` partitions present in ``df`` (dynamic partition overwrite)."""
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in MOVEMENT_EVENT.fields]
+    (df.select(*cols).filter(F.col("event_date").isNotNull())
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("event_date").parquet(path))
+    return path
+
+
 def read_movement_events(spark: SparkSession, path: str, date_from: str | None = None,
                          date_to: str | None = None) -> DataFrame:
     """Read the partitioned table with its declared schema; date bounds prune partitions."""

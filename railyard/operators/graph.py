@@ -4,9 +4,9 @@ Searches are batched: a request table goes in, every request advances one
 level per round, and each round is a couple of joins and aggregates. Each
 round's state is written as a Parquet table in the shared checkpoint folder
 (``spark.checkpoint.dir``), which cuts plan and lineage growth and survives
-executor loss; static inputs (edges, adjacency) are materialised once with a
-reliable checkpoint. The driver sees one row count per round, which also
-decides whether the (small) frontier is broadcast into the edge join.
+executor loss; static inputs (edges, adjacency, resolved requests) are
+written once the same way. The driver sees one row count per round, which
+also decides whether the (small) frontier is broadcast into the edge join.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from railyard.constants import (ITINERARY_TIME_FORMAT, STATUS_NO_CONNECTION, STATUS_NOT_FOUND, STATUS_OK,
                                 TRANSFER_BUFFER_MINUTES)
 from railyard.functions.timefmt import parse_route_time
-from railyard.session import broadcast_if, checkpoint_dir, cut, debug, write_table
+from railyard.session import broadcast_if, checkpoint_dir, debug, write_table
 
 
 # --- G1 / G2 / A12: graph construction ----------------------------------------------
@@ -104,7 +104,7 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
     """
     checkpoint_dir(adj.sparkSession)
     names = name_index(stations).select(F.col("station_id").alias("v"), F.col("station_name").alias("v_name"))
-    adj_named = cut(adj.join(names, "v").select(F.col("u"), F.col("v"), "v_name"))
+    adj_named = write_table(adj.join(names, "v").select(F.col("u"), F.col("v"), "v_name"), "bfs-adjacency")
     start = (origins.select(F.col("origin_id")).distinct()
              .join(names.select(F.col("v").alias("origin_id"), "v_name"), "origin_id")
              .select("origin_id", F.col("origin_id").alias("station_id"), F.lit(0).alias("hops"),
@@ -137,7 +137,7 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
 
 def shortest_hops(requests: DataFrame, adj: DataFrame, stations: DataFrame) -> DataFrame:
     """Per request: ``hops``, ``path`` (names joined by ' -> ') and ``status``."""
-    r = resolve_endpoints(requests, stations)
+    r = write_table(resolve_endpoints(requests, stations), "hop-requests")
     ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull())
     paths = bfs_paths(adj, stations, ok.select("origin_id"))
     j = r.join(paths.select("origin_id", F.col("station_id").alias("destination_id"), "hops", "path"),
@@ -163,7 +163,7 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
     checkpoint_dir(starts.sparkSession)
     buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
     # Edges are materialised once, evenly partitioned (not by u: a hub station must not become one task).
-    e = cut(edges.select("u", "v", "dep", "arr"))
+    e = write_table(edges.select("u", "v", "dep", "arr"), "ea-edges")
     # One state table per round: every label plus whether it improved in that round.
     state = write_table(starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
                                       F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh")), "ea-labels")
@@ -192,8 +192,9 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
 
 
 def route_starts(requests: DataFrame, stations: DataFrame) -> DataFrame:
+    """Requests with resolved endpoint ids and parsed departure, materialised once (one row per request)."""
     r = resolve_endpoints(requests, stations).withColumn("depart_ts", parse_route_time("depart_text"))
-    return r
+    return write_table(r, "route-requests")
 
 
 def earliest_arrival(requests: DataFrame, edges: DataFrame, stations: DataFrame,
@@ -235,7 +236,8 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     done = cur.filter(F.col("node") == F.col("origin_id"))
     cur = cur.filter(F.col("node") != F.col("origin_id"))
     rounds = 0
-    e = cut(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")))
+    e = write_table(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")),
+                    "itinerary-edges")
     n_open = cur.count()
     while rounds < max_rounds and n_open != 0:
         rounds += 1

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.session import checkpoint_dir, cut, write_table
+from railyard.session import checkpoint_dir, write_table
 
 _OUT = "{k} long, station_id long, station_name string, distance_score double"
 
@@ -53,9 +53,9 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: floa
                 .select("station_id", "station_name", "latitude", "longitude"), cell) \
         .select("station_id", "station_name", F.col("latitude").alias("s_lat"),
                 F.col("longitude").alias("s_lon"), F.col("_cx").alias("s_cx"), F.col("_cy").alias("s_cy"))
-    st = cut(st)
-    pts = cut(_cells(points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-                     .select(point_key, "latitude", "longitude"), cell))
+    st = write_table(st, "nearest-stations")
+    pts = write_table(_cells(points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
+                             .select(point_key, "latitude", "longitude"), cell), "nearest-points")
 
     # Two one-row aggregates bound the number of rings (driver sees 8 numbers).
     sb = st.agg(F.min("s_cx"), F.max("s_cx"), F.min("s_cy"), F.max("s_cy")).first()

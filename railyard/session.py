@@ -83,21 +83,6 @@ def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS
     return F.broadcast(df) if n <= max_rows else df
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` and cut its lineage with a reliable checkpoint.
-
-    The frame is persisted first so the checkpoint write reads the cached
-    blocks instead of recomputing the plan; the checkpoint files live in the
-    shared ``spark.checkpoint.dir`` and survive executor loss.
-    """
-    from pyspark import StorageLevel
-    checkpoint_dir(df.sparkSession)
-    p = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = p.checkpoint(eager=True)
-    p.unpersist(blocking=False)
-    return out
-
-
 def debug(msg: str) -> None:
     """Loop progress on stderr when RAILYARD_DEBUG is set."""
     if os.environ.get("RAILYARD_DEBUG"):

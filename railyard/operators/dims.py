@@ -28,3 +28,12 @@ def train_dimension(stops: DataFrame, order_col: str = "seen_order") -> DataFram
 
 def train_rejects(stops: DataFrame) -> DataFrame:
     return stops.filter(F.col("category").isNull() | F.col("number").try_cast("int").isNull())
+
+
+def with_surrogate_key(df: DataFrame, key_cols, name: str = "movement_pk") -> DataFrame:
+    """Deterministic surrogate key from the natural key (``xxhash64``).
+
+    Computed per row, so it needs no global ordering (a ``row_number`` over the
+    whole fact would run in one task) and is stable across reloads.
+    """
+    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in key_cols]))

@@ -50,7 +50,7 @@ def next_in_sequence(df: DataFrame, key: str, order: list[str], payload: list[st
     return out.withColumn("nxt", F.coalesce(F.col("_nx"), F.col("_nb"))).drop("_nx", "_nb", "_bk")
 
 
-def build_edges(movements: DataFrame, start: str, end: str, bucket_unit: str = "day") -> DataFrame:
+def build_edges(movements: DataFrame, start: str, end: str, bucket_unit: str = "hour") -> DataFrame:
     """Connections ``(train_id, u, v, dep, arr)``: a departure row followed directly
     (same train, by planned time then ``tie``) by an arrival row at another station.
     """

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railyard.constants import NAME_PREFIX
-from railyard.operators.dims import train_dimension
+from railyard.operators.dims import train_dimension, with_surrogate_key
 from railyard.operators.merge import fact_dedup, update_merge_coalesce
 from railyard.operators.resolve import resolve_names
 from railyard.schemas import FACT_UNIQUE_KEY
@@ -45,7 +45,7 @@ def load_fact(plan_docs: DataFrame, stations: DataFrame, dim_time: DataFrame, ov
                                          F.struct(*DOC_ORDER).alias("seen_order")))
     fact = fact_dedup(good.select(*FACT_UNIQUE_KEY, "train_id", "planned_platform", "planned_time", "is_canceled",
                                   *DOC_ORDER), list(FACT_UNIQUE_KEY), DOC_ORDER)
-    return fact.drop(*DOC_ORDER), trains, rejects
+    return with_surrogate_key(fact.drop(*DOC_ORDER), FACT_UNIQUE_KEY), trains, rejects
 
 
 def apply_changes(fact: DataFrame, change_docs: DataFrame, stations: DataFrame, overrides: DataFrame,

@@ -34,6 +34,7 @@ def test_load_and_update(spark):
     fact, trains, rejects = load_fact(plan, st, dim_time, overrides_frame(spark))
     assert fact.count() == 3  # stop 1 in two snapshots, stop 2 once (duplicate in one file dropped)
     assert unique_violations(fact, ["station_id", "time_id", "stop_id", "is_arrival"]).count() == 0
+    assert fact.select("movement_pk").distinct().count() == 3
     assert {(r.train_id, r.owner_id) for r in trains.collect()} == {("RE-5", "x"), ("RE-6", "z")}
     assert [r.reason for r in rejects.collect()] == ["no match"]
     changes = _docs(spark, [("/c/2509031220/a_change.xml", 20,

@@ -172,3 +172,24 @@ def test_grid_nearest_equals_brute_force_with_ties(spark):
     for pid, la, lo in pts:
         best = min(stations, key=lambda s: ((s[2] - la) ** 2 + (s[3] - lo) ** 2, s[0]))
         assert got[pid] == best[0]
+
+
+def test_edges_equal_sequential_pairing_with_a_dominant_train(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(1500):
+        train = 1 if rng.random() < 0.6 else rng.randrange(2, 12)  # train 1 holds most rows
+        t = T(2024, 1, 1) + dt.timedelta(minutes=rng.randrange(60 * 24 * 6))
+        rows.append((train, rng.randrange(15), rng.random() < 0.5, t, i))
+    mv = spark.createDataFrame(rows, "train_id long, station_id int, is_arrival boolean, planned_time timestamp_ntz, tie long")
+    got = sorted(tuple(r) for r in G.build_edges(mv, "2024-01-01 00:00:00", "2024-01-08 00:00:00").collect())
+    want = []
+    by_train = defaultdict(list)
+    for r in rows:
+        by_train[r[0]].append(r)
+    for train, rs in by_train.items():
+        rs.sort(key=lambda r: (r[3], r[4]))
+        for a, b in zip(rs, rs[1:]):
+            if not a[2] and b[2] and a[1] != b[1]:
+                want.append((train, a[1], b[1], a[3], b[3]))
+    assert got == sorted(want)

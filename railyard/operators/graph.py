@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from railyard.constants import (ITINERARY_TIME_FORMAT, STATUS_NO_CONNECTION, STATUS_NOT_FOUND, STATUS_OK,
                                 TRANSFER_BUFFER_MINUTES)
 from railyard.functions.timefmt import parse_route_time
-from railyard.session import broadcast_if, checkpoint_dir, debug, write_table
+from railyard.session import broadcast_if, checkpoint_dir, debug, write_table, write_table_observed
 
 
 # --- G1 / G2 / A12: graph construction ----------------------------------------------
@@ -109,10 +109,10 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
              .join(names.select(F.col("v").alias("origin_id"), "v_name"), "origin_id")
              .select("origin_id", F.col("origin_id").alias("station_id"), F.lit(0).alias("hops"),
                      F.array("v_name").alias("path")))
-    levels = [write_table(start, "bfs-level")]
-    visited = levels[0]
-    frontier = visited
-    n = frontier.count()
+    first, n = write_table_observed(start, "bfs-level")
+    levels = [first]
+    visited = first
+    frontier = first
     level = 0
     while level < max_levels:
         level += 1
@@ -122,10 +122,9 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
                 .select("origin_id", F.col("v").alias("station_id"),
                         F.array_append(F.col("path"), F.col("v_name")).alias("path")))
         fresh = cand.join(visited.select("origin_id", "station_id"), ["origin_id", "station_id"], "left_anti")
-        frontier = write_table(fresh.groupBy("origin_id", "station_id").agg(F.min("path").alias("path"))
-                               .withColumn("hops", F.lit(level)).select("origin_id", "station_id", "hops", "path"),
-                               "bfs-level")
-        n = frontier.count()
+        frontier, n = write_table_observed(
+            fresh.groupBy("origin_id", "station_id").agg(F.min("path").alias("path"))
+            .withColumn("hops", F.lit(level)).select("origin_id", "station_id", "hops", "path"), "bfs-level")
         debug(f"bfs level {level}: {n} new")
         if n == 0:
             break
@@ -165,9 +164,9 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
     # Edges are materialised once, evenly partitioned (not by u: a hub station must not become one task).
     e = write_table(edges.select("u", "v", "dep", "arr"), "ea-edges")
     # One state table per round: every label plus whether it improved in that round.
-    state = write_table(starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
-                                      F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh")), "ea-labels")
-    n = state.count()
+    state, n = write_table_observed(starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
+                                                  F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh")),
+                                    "ea-labels")
     rounds = 0
     while rounds < max_rounds:
         rounds += 1
@@ -180,10 +179,10 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
         old = state.select("request_id", "origin_id", "station_id", F.col("arrival").alias("old"))
         merged = old.join(cand, ["request_id", "origin_id", "station_id"], "full_outer")
         better = F.col("cand").isNotNull() & (F.col("old").isNull() | (F.col("cand") < F.col("old")))
-        state = write_table(merged.select("request_id", "origin_id", "station_id",
-                                          F.when(better, F.col("cand")).otherwise(F.col("old")).alias("arrival"),
-                                          better.alias("fresh")), "ea-labels")
-        n = state.filter(F.col("fresh")).count()
+        state, n = write_table_observed(
+            merged.select("request_id", "origin_id", "station_id",
+                          F.when(better, F.col("cand")).otherwise(F.col("old")).alias("arrival"), better.alias("fresh")),
+            "ea-labels", F.count_if(F.col("fresh")))
         debug(f"earliest-arrival round {rounds}: {n} improved")
         if n == 0:
             break
@@ -232,13 +231,12 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
            .select(ok["request_id"], ok["origin_id"], F.col("station_id").alias("node"), F.col("arrival").alias("label"),
                    F.col("arrival").alias("final_arrival"), F.array().cast(
                        "array<struct<station_id:bigint,dep:timestamp_ntz,train_id:bigint>>").alias("legs")))
-    cur = write_table(cur, "itinerary-walk")
+    cur, n_open = write_table_observed(cur, "itinerary-walk", F.count_if(F.col("node") != F.col("origin_id")))
     done = cur.filter(F.col("node") == F.col("origin_id"))
     cur = cur.filter(F.col("node") != F.col("origin_id"))
     rounds = 0
     e = write_table(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")),
                     "itinerary-edges")
-    n_open = cur.count()
     while rounds < max_rounds and n_open != 0:
         rounds += 1
         walkers = broadcast_if(cur, n_open)
@@ -255,10 +253,9 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
             F.concat(F.array(F.struct(F.col("b.u").cast("bigint").alias("station_id"), F.col("b.dep").alias("dep"),
                                       F.col("b.train_id").alias("train_id"))), F.col("b.legs")).alias("legs")
         )
-        nxt = write_table(nxt, "itinerary-walk")
+        nxt, n_open = write_table_observed(nxt, "itinerary-walk", F.count_if(F.col("node") != F.col("origin_id")))
         done = done.unionByName(nxt.filter(F.col("node") == F.col("origin_id")))
         cur = nxt.filter(F.col("node") != F.col("origin_id"))
-        n_open = cur.count()
     out = done.join(ok.select("request_id", "destination_id"), "request_id")
     legs = F.transform("legs", lambda x: F.struct(x["station_id"].alias("station_id"), x["dep"].alias("dep"),
                                                   x["train_id"].alias("train_id")))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.session import checkpoint_dir, write_table
+from railyard.session import checkpoint_dir, write_table, write_table_observed
 
 _OUT = "{k} long, station_id long, station_name string, distance_score double"
 
@@ -86,8 +86,9 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: floa
         b = F.when(F.col("b").isNull(), F.col("c")).when(F.col("c").isNull(), F.col("b")).otherwise(F.least("b", "c"))
         limit = float((k * cell) ** 2)
         final = F.col("final") | (k == max_ring) | F.coalesce(b["d"] < F.lit(limit), F.lit(False))
-        state = write_table(merged.select(*keys, b.alias("b"), final.alias("final")), "nearest-state")
-        if state.filter(~F.col("final")).count() == 0:
+        state, n_open = write_table_observed(merged.select(*keys, b.alias("b"), final.alias("final")),
+                                             "nearest-state", F.count_if(~F.col("final")))
+        if n_open == 0:
             break
         k += 1
     resolved = state.filter(F.col("b").isNotNull())

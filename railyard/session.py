@@ -100,3 +100,19 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def write_table_observed(df: DataFrame, name: str, metric=None) -> tuple[DataFrame, int]:
+    """``write_table`` that also returns an aggregate (default: row count) computed by the same job.
+
+    The metric is collected with ``DataFrame.observe``, so a loop learns the
+    size of its new state without a second pass over it.
+    """
+    from pyspark.sql import Observation
+    spark = df.sparkSession
+    obs = Observation(f"railyard_{name.replace('-', '_')}_{uuid.uuid4().hex[:8]}")
+    metric = F.count(F.lit(1)) if metric is None else metric
+    path = scratch_path(spark, name)
+    df.observe(obs, metric.alias("m")).write.mode("overwrite").parquet(path)
+    value = obs.get.get("m")
+    return spark.read.schema(df.schema).parquet(path), int(value or 0)

@@ -254,6 +254,7 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
                                       F.col("b.train_id").alias("train_id"))), F.col("b.legs")).alias("legs")
         )
         nxt, n_open = write_table_observed(nxt, "itinerary-walk", F.count_if(F.col("node") != F.col("origin_id")))
+        debug(f"itinerary walk round {rounds}: {n_open} open")
         done = done.unionByName(nxt.filter(F.col("node") == F.col("origin_id")))
         cur = nxt.filter(F.col("node") != F.col("origin_id"))
     out = done.join(ok.select("request_id", "destination_id"), "request_id")

@@ -44,10 +44,18 @@ def parse_route_time(col) -> Column:
 
 
 def floor_to_slot(col, minutes: int = SLOT_MINUTES) -> Column:
-    """Floor a timestamp to the start of its ``minutes``-wide slot (same type)."""
+    """Floor a timestamp_ntz to the start of its ``minutes``-wide slot (``minutes`` divides 60).
+
+    Built field by field as timestamp_ntz, so no session time zone is involved.
+    """
     c = _c(col)
-    mins = F.floor(F.minute(c) / minutes) * minutes
-    return F.date_trunc("hour", c) + F.make_dt_interval(F.lit(0), F.lit(0), mins.cast("int"))
+    mins = (F.floor(F.minute(c) / minutes) * minutes).cast("int")
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), mins, F.lit(0))
+
+
+def start_of_day(col) -> Column:
+    """Midnight of the timestamp's date, as timestamp_ntz."""
+    return F.to_date(_c(col)).cast("timestamp_ntz")
 
 
 def is_peak_hour(col, peak_hours=PEAK_HOURS) -> Column:

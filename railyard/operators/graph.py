@@ -55,8 +55,10 @@ def build_edges(movements: DataFrame, start: str, end: str, bucket_unit: str = "
     (same train, by planned time then ``tie``) by an arrival row at another station.
     """
     m = window_movements(movements, start, end).select("train_id", "station_id", "is_arrival", "planned_time", "tie")
+    # Bucket = whole units since a fixed origin: monotone in time and free of the session time zone.
+    origin = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
     seq = next_in_sequence(m, "train_id", ["planned_time", "tie"], ["station_id", "is_arrival"],
-                           F.date_trunc(bucket_unit, F.col("planned_time")))
+                           F.timestamp_diff(bucket_unit.upper(), origin, F.col("planned_time")))
     e = seq.filter((~F.col("is_arrival")) & F.col("nxt.is_arrival") & (F.col("station_id") != F.col("nxt.station_id")))
     return e.select("train_id", F.col("station_id").alias("u"), F.col("nxt.station_id").alias("v"),
                     F.col("planned_time").alias("dep"), F.col("nxt.planned_time").alias("arr"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.functions.timefmt import floor_to_slot
+from railyard.functions.timefmt import floor_to_slot, start_of_day
 from railyard.sources.timedim import time_dimension
 
 # Overrides used with the part-name roles: two that hit a canonical name and
@@ -106,7 +106,7 @@ def movement_events(spark, sf_dir) -> DataFrame:
 def time_dim(spark, sf_dir) -> DataFrame:
     """15-minute slots from the first event day for 14 days (later events miss)."""
     bounds = (table(spark, sf_dir, "events")
-              .agg(F.date_trunc("day", F.min("ts")).alias("start"))
+              .agg(start_of_day(F.min("ts")).alias("start"))
               .select("start", (F.col("start") + F.expr("INTERVAL 14 DAYS")).alias("end")))
     return time_dimension(bounds)
 

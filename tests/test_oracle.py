@@ -46,3 +46,17 @@ def test_no_python_evaluation_in_plans(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "PythonUDF" not in plan
+
+
+@pytest.mark.parametrize("name", ["time_slot_join", "cancellations_at_hour", "graph_edges", "parse_compact_ts",
+                                  "parquet_partition_read", "earliest_arrival"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = entry.queries()[name](spark, SF_SMALL)
+        got = canonical(df.columns, df.collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    cur = con.execute(entry.oracle_sql()[name])
+    assert got == canonical([c[0] for c in cur.description], cur.fetchall())

@@ -226,7 +226,9 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
     r = route_starts(requests, stations)
     ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull() & F.col("depart_ts").isNotNull())
-    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "depart_ts"), edges, buffer_minutes)
+    e = write_table(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")),
+                    "itinerary-edges")
+    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "depart_ts"), e, buffer_minutes)
     names = name_index(stations)
     lab_u = labels.select("request_id", F.col("station_id").alias("u"), F.col("arrival").alias("lab_u"), "origin_id")
     cur = (ok.join(labels, (ok["request_id"] == labels["request_id"]) & (ok["destination_id"] == labels["station_id"]))
@@ -237,8 +239,6 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     done = cur.filter(F.col("node") == F.col("origin_id"))
     cur = cur.filter(F.col("node") != F.col("origin_id"))
     rounds = 0
-    e = write_table(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")),
-                    "itinerary-edges")
     while rounds < max_rounds and n_open != 0:
         rounds += 1
         walkers = broadcast_if(cur, n_open)

@@ -31,6 +31,7 @@ from railyard.sources import xml as X
 from railyard.sources.sql import run_sql
 from railyard.sources.timedim import slot_join
 from railyard.plans import oracle_views as V
+from railyard.session import write_table
 from railyard.plans import roles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -688,7 +689,7 @@ _ALL_STARTS = (f"astart AS (SELECT station_id AS request_id, station_id AS origi
 SELECT o.station_name AS origin_name, n.station_name AS station_name, b.arrival
 FROM best b JOIN gnames o ON o.station_id = b.request_id JOIN gnames n ON n.station_id = b.node""")
 def q_earliest_arrival_all(spark, sf_dir):
-    edges = _edges_w(spark, sf_dir)
+    edges = write_table(_edges_w(spark, sf_dir), "edges")  # used for the start set and the search
     st = roles.graph_stations(spark, sf_dir)
     starts = edges.select(F.col("u").alias("origin_id")).distinct().select(
         F.col("origin_id").cast("bigint").alias("request_id"), "origin_id",

@@ -39,7 +39,3 @@ def similarity_from_sets(a_grams, b_grams) -> Column:
 def similarity(a, b) -> Column:
     return similarity_from_sets(trigrams(a), trigrams(b))
 
-
-def above_threshold(shared, union, threshold_num: int = 2, threshold_den: int = 5) -> Column:
-    """``shared / union > num / den`` in integers (no float rounding at 0.4)."""
-    return _c(shared) * threshold_den > _c(union) * threshold_num

@@ -18,7 +18,7 @@ from pyspark.sql import Window
 from railyard.constants import (ITINERARY_TIME_FORMAT, STATUS_NO_CONNECTION, STATUS_NOT_FOUND, STATUS_OK,
                                 TRANSFER_BUFFER_MINUTES)
 from railyard.functions.timefmt import parse_route_time
-from railyard.session import broadcast_if, checkpoint_dir, debug, write_table, write_table_observed
+from railyard.session import TablePair, broadcast_if, checkpoint_dir, debug, write_table, write_table_observed
 
 
 # --- G1 / G2 / A12: graph construction ----------------------------------------------
@@ -166,9 +166,10 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
     # Edges are materialised once, evenly partitioned (not by u: a hub station must not become one task).
     e = write_table(edges.select("u", "v", "dep", "arr"), "ea-edges")
     # One state table per round: every label plus whether it improved in that round.
+    pair = TablePair(starts.sparkSession, "ea-labels")
     state, n = write_table_observed(starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
                                                   F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh")),
-                                    "ea-labels")
+                                    "ea-labels", pair=pair)
     rounds = 0
     while rounds < max_rounds:
         rounds += 1
@@ -184,7 +185,7 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
         state, n = write_table_observed(
             merged.select("request_id", "origin_id", "station_id",
                           F.when(better, F.col("cand")).otherwise(F.col("old")).alias("arrival"), better.alias("fresh")),
-            "ea-labels", F.count_if(F.col("fresh")))
+            "ea-labels", F.count_if(F.col("fresh")), pair=pair)
         debug(f"earliest-arrival round {rounds}: {n} improved")
         if n == 0:
             break

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railyard.session import checkpoint_dir, write_table, write_table_observed
+from railyard.session import TablePair, checkpoint_dir, write_table, write_table_observed
 
 _OUT = "{k} long, station_id long, station_name string, distance_score double"
 
@@ -67,8 +67,9 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: floa
     keys = [point_key, "_cx", "_cy", "latitude", "longitude"]
     # State: every point with its best candidate so far and whether it is final.
     best_t = "struct<d:double,id:bigint,name:string>"
-    state = write_table(pts.select(*keys, F.lit(None).cast(best_t).alias("b"), F.lit(False).alias("final")),
-                        "nearest-state")
+    pair = TablePair(spark, "nearest-state")
+    state, _ = write_table_observed(pts.select(*keys, F.lit(None).cast(best_t).alias("b"), F.lit(False).alias("final")),
+                                    "nearest-state", pair=pair)
     dist = F.pow(F.col("s_lat") - F.col("latitude"), 2) + F.pow(F.col("s_lon") - F.col("longitude"), 2)
     k = 0
     while k <= max_ring:
@@ -87,7 +88,7 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: floa
         limit = float((k * cell) ** 2)
         final = F.col("final") | (k == max_ring) | F.coalesce(b["d"] < F.lit(limit), F.lit(False))
         state, n_open = write_table_observed(merged.select(*keys, b.alias("b"), final.alias("final")),
-                                             "nearest-state", F.count_if(~F.col("final")))
+                                             "nearest-state", F.count_if(~F.col("final")), pair=pair)
         if n_open == 0:
             break
         k += 1

@@ -102,7 +102,25 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_table_observed(df: DataFrame, name: str, metric=None) -> tuple[DataFrame, int]:
+class TablePair:
+    """Two alternating folders for loop state that only depends on the previous round.
+
+    Round k overwrites the folder of round k-2, so scratch space stays at two
+    copies of the state however many rounds run (a round never reads the
+    folder it writes).
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        base = scratch_path(spark, name)
+        self._paths = (f"{base}/a", f"{base}/b")
+        self._turn = 0
+
+    def next_path(self) -> str:
+        self._turn ^= 1
+        return self._paths[self._turn]
+
+
+def write_table_observed(df: DataFrame, name: str, metric=None, pair: TablePair | None = None) -> tuple[DataFrame, int]:
     """``write_table`` that also returns an aggregate (default: row count) computed by the same job.
 
     The metric is collected with ``DataFrame.observe``, so a loop learns the
@@ -112,7 +130,7 @@ def write_table_observed(df: DataFrame, name: str, metric=None) -> tuple[DataFra
     spark = df.sparkSession
     obs = Observation(f"railyard_{name.replace('-', '_')}_{uuid.uuid4().hex[:8]}")
     metric = F.count(F.lit(1)) if metric is None else metric
-    path = scratch_path(spark, name)
+    path = pair.next_path() if pair is not None else scratch_path(spark, name)
     df.observe(obs, metric.alias("m")).write.mode("overwrite").parquet(path)
     value = obs.get.get("m")
     return spark.read.schema(df.schema).parquet(path), int(value or 0)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import exact_dedup, mixing, token_counts, warc
+from railyard.llm import exact_dedup, mixing, sentence_pieces, token_counts, warc
 from railyard.llm.tables import read
 
 
@@ -14,6 +14,10 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.encode_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(read(spark, sf_dir, "pages"))
     return warc.describe(warc.read_records(spark, archive))
@@ -29,6 +33,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": op2_pareto_mix,
+    "op4_sentencepiece": op4_sentencepiece,
     "op7_warc_archive": op7_warc_archive,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_token_counts": op10_token_counts,

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import exact_dedup, mixing, sentence_pieces, token_counts, warc
+from railyard.llm import exact_dedup, language_id, mixing, sentence_pieces, token_counts, warc
 from railyard.llm.tables import read
 
 
@@ -27,6 +27,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read(spark, sf_dir, "documents"))
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sentencepiece": op4_sentencepiece,
     "op7_warc_archive": op7_warc_archive,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_language_id": op9_language_id,
     "op10_token_counts": op10_token_counts,
 }
 

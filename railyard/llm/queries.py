@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import exact_dedup, language_id, mixing, sentence_pieces, token_counts, warc
+from railyard.llm import exact_dedup, language_id, mixing, quality, sentence_pieces, token_counts, warc
 from railyard.llm.tables import read
 
 
@@ -18,6 +18,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_documents(read(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(read(spark, sf_dir, "pages"))
     return warc.describe(warc.read_records(spark, archive))
@@ -38,6 +42,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": op2_pareto_mix,
     "op4_sentencepiece": op4_sentencepiece,
+    "op6_quality": op6_quality,
     "op7_warc_archive": op7_warc_archive,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language_id": op9_language_id,

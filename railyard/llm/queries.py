@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railyard.llm import exact_dedup, language_id, mixing, quality, sentence_pieces, token_counts, warc
+from railyard.llm import exact_dedup, language_id, mixing, near_dedup, quality, sentence_pieces, token_counts, warc
 from railyard.llm.tables import read
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -40,6 +44,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op2_pareto_mix": op2_pareto_mix,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_quality": op6_quality,
@@ -50,6 +55,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_minhash": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+            WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT reach.a, edges.b FROM reach JOIN edges ON edges.a = reach.b),
+        least_id AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
+        FROM documents d LEFT JOIN sizes USING (doc_id) JOIN least_id ON least_id.a = d.doc_id""",
     "op2_pareto_mix": r"""
         WITH sized AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from railyard.llm import exact_dedup, language_id, mixing, near_dedup, quality, sentence_pieces, token_counts, warc
+from railyard.llm import exact_dedup, language_id, mixing, near_dedup, quality, sentence_pieces, token_counts, vectors, warc
 from railyard.llm.tables import read
 
 
@@ -18,6 +19,10 @@ def op2_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_documents(read(spark, sf_dir, "documents"))
 
@@ -46,6 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_pareto_mix": op2_pareto_mix,
+    "op3_posting_lists": op3_posting_lists,
     "op4_sentencepiece": op4_sentencepiece,
     "op6_quality": op6_quality,
     "op7_warc_archive": op7_warc_archive,

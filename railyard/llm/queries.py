@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railyard.llm import exact_dedup, language_id, mixing, near_dedup, quality, sentence_pieces, token_counts, vectors, warc
+from railyard.llm import exact_dedup, language_id, mixing, near_dedup, quality, repeats, sentence_pieces, token_counts, vectors, warc
 from railyard.llm.tables import read
 
 
@@ -27,6 +27,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_documents(read(spark, sf_dir, "documents"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read(spark, sf_dir, "documents")).drop("kept")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": op2_pareto_mix,
     "op3_posting_lists": op3_posting_lists,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_repeats": op5_repeats,
     "op6_quality": op6_quality,
     "op7_warc_archive": op7_warc_archive,
     "op8_exact_dedup": op8_exact_dedup,

@@ -14,8 +14,8 @@ import numpy as np
 
 #: Bytes of the texts that are hashed as one array; a longer text is a group of its own.
 GROUP_BYTES = 2 << 20
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+BASE = np.uint64(0x9E3779B97F4A7C15)
+BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _ODD = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -30,7 +30,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
+def powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -50,8 +50,8 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     last = word.copy()
     last[:-1] &= ~word[1:] | first[1:]
     ends = np.flatnonzero(last) + 1
-    up = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)))])
-    hashes = (up[ends] - up[starts]) * _powers(_BASE_INVERSE, len(data) + 1)[starts]
+    up = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)))])
+    hashes = (up[ends] - up[starts]) * powers(BASE_INVERSE, len(data) + 1)[starts]
     return mixed(hashes + (ends - starts).astype(np.uint64) * _ODD[0]), np.searchsorted(starts, edges)
 
 

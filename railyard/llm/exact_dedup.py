@@ -106,6 +106,8 @@ def verified(docs: DataFrame, keys: DataFrame, state: DataFrame) -> DataFrame:
     hits = state.filter("group_size > 1").select("text_sha256", "keep_id", "group_size")
     rows = docs.select("doc_id", normalised(F.col("text")).alias("norm")) \
         .withColumn("text_sha256", F.sha2(F.col("norm").cast("binary"), 256)).join(hits, "text_sha256")
+    # The one shuffle of texts; what is written are the texts of groups of two or more.
+    rows = materialise(rows, "dedup-hits")
     keeper = (rows.filter(F.col("doc_id").eqNullSafe(F.col("keep_id")))
               .groupBy("text_sha256").agg(F.min("norm").alias("keep_norm")))
     rows = rows.join(keeper, "text_sha256").withColumn("differs", F.col("norm") != F.col("keep_norm"))

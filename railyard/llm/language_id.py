@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard.llm.pieces import VOCABULARY, Pieces, by_length, expected_pieces, log_marginal
-from railyard.llm.tables import crc_mod, materialise, small_batches
+from railyard.llm.tables import crc_mod, materialise, python_tasks
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -109,7 +109,7 @@ def piece_counts(train: DataFrame, pieces, languages: list[str], logp: np.ndarra
 def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) -> Model:
     """Learn from ``doc_id, text, lang``, of which about ``train_rows`` rows."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_tasks(spark)
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     part = min(1.0, train_rows / max(1, sum(by_lang.values())))
@@ -178,7 +178,7 @@ def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every document; rows that are held out teach nothing."""
     spark = docs.sparkSession
     model = learn(docs.filter(~held_out(F.col("doc_id"))), train_rows)
-    small_batches(spark)
+    python_tasks(spark)
     p = predictor(spark, model)
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), p(F.col("text")).alias("p")) \
         .select("doc_id", "held_out", "p.lang_pred", "p.score")

@@ -112,7 +112,7 @@ def pareto_sample(rows: DataFrame, seed: str) -> DataFrame:
 
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.5, max_copies: float = 2.0,
         seed: str = "mix", carry: Sequence[str] = ()) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, copies`` and the ``carry`` columns, one row per document.
+    """``doc_id, size, source_size, target, taken, copies`` and the ``carry`` columns as ``carry_...``, one row per document.
 
     ``weights`` repeat over the sources in code-point order, null last;
     ``share`` is the wanted total as a part of all words.
@@ -129,4 +129,4 @@ def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), share: float = 1.
         .withColumn("missing", F.col("target") - F.floor("expected") * F.col("source_size"))
     out = pareto_sample(rows, seed)
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"),
-                      "copies", *[F.col(f"carry_{c}").alias(c) for c in carry])
+                      "copies", *[f"carry_{c}" for c in carry])

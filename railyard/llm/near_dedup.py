@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from railyard.llm.components import components
 from railyard.llm.shingles import Hashes, groups, mixed, shingle_sets
-from railyard.llm.tables import materialise, small_batches
+from railyard.llm.tables import materialise, python_tasks
 
 BANDS, ROWS = 32, 6
 WORDS = 3
@@ -118,7 +118,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per document."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     all_rows = materialise(sketches(docs, width), "near-sketches")
     rows = all_rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_a", "set_b", "n_shingles"]

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railyard.llm.tables import crc_mod, materialise, small_batches
+from railyard.llm.tables import crc_mod, materialise, python_tasks
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHRINKAGE = 0.1
@@ -149,7 +149,7 @@ def held_out(doc_id: Column, folds: int = 3, fold: int = 1) -> Column:
 
 def classify(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every document; labels of held-out rows are not looked at."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     rows = materialise(docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), features(F.col("text")).alias("x")),
                        "quality-features")
     taught = labels.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", "quality")

@@ -45,7 +45,7 @@ from pyspark.sql import types as T
 
 from railyard.llm.columnwise import MOST, sorted_suffixes
 from railyard.llm.shingles import BASE, mixed, powers
-from railyard.llm.tables import materialise, small_batches
+from railyard.llm.tables import materialise, python_tasks
 
 LENGTH = 100
 GRAM = 16
@@ -247,7 +247,7 @@ def joined(starts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` (the remaining bytes) for every document."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     rows = numbered(docs)
     ranges = repeated_ranges(rows, length, gram).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("r"))
     out = rows.join(ranges, "doc", "left").select("doc_id", cut_out("bytes", F.col("r.start"), F.col("r.stop")).alias("c"))

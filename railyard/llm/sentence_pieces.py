@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard.llm.pieces import MARKER, VOCABULARY, Pieces, best_path, by_length
-from railyard.llm.tables import small_batches
+from railyard.llm.tables import python_tasks
 
 PART = re.compile(rb" *[^ \n]+|\n| +")
 #: Parts whose ids a worker keeps; some 150 bytes each.
@@ -110,7 +110,7 @@ def decoder(spark: SparkSession, vocabulary: str = VOCABULARY):
 def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, ids, n_tokens, round_trip``; the last tells whether decoding gave the text again."""
     spark = docs.sparkSession
-    small_batches(spark)
+    python_tasks(spark)
     text: Column = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), encoder(spark, vocabulary)(text).alias("ids"))
     back = decoder(spark, vocabulary)(F.col("ids"))

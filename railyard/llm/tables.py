@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import railyard
 from railyard.session import write_table
 
 #: ASCII white space that separates words in every operator here, as the inside of a regular expression's class.
@@ -23,8 +28,19 @@ def documents(df: DataFrame, *extra: str) -> DataFrame:
     return df.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bound the rows and bytes of an Arrow batch, unless the session already asks for less."""
+def python_tasks(spark: SparkSession) -> None:
+    """Get the session ready for Python functions in tasks.
+
+    Bounds the rows and bytes of an Arrow batch, unless the session already
+    asks for less, and sends this library to the workers (once per context),
+    which need not have it installed.
+    """
+    context = spark.sparkContext
+    if not getattr(context, "railyard_sent", False):
+        package = Path(railyard.__file__).parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='railyard-code-')}/railyard_code", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        context.railyard_sent = True
     for key, most in ARROW_BOUNDS.items():
         now = spark.conf.get(key).rstrip("b")
         if not now.isdigit() or not 0 < int(now) <= most:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railyard.llm.tables import small_batches
+from railyard.llm.tables import python_tasks
 
 VOCABULARY = "word_bpe_49k.json"
 #: Bytes of one call of the batch encoder, and entries of the cache of counts (some 100 bytes each).
@@ -82,7 +82,7 @@ def token_count(text: Column, vocabulary: str = VOCABULARY) -> Column:
 
 def count_tokens(docs: DataFrame, limit: int = 2048, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit`` for every document."""
-    small_batches(docs.sparkSession)
+    python_tasks(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
                        token_count(text, vocabulary).alias("n_tokens")) \

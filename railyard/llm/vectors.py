@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from railyard.llm.tables import materialise
+from railyard.llm.tables import materialise, python_tasks
 
 FIT_ROWS = 20_000
 LIST_ROWS = 256
@@ -198,6 +198,7 @@ def nearest_of_block(k: int):
 def nearest(table: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row for which ``is_query`` holds."""
     spark = table.sparkSession
+    python_tasks(spark)
     rows = usable(table)
     dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("dim")).first()
     if dims is None:

@@ -5,6 +5,6 @@ DataFrame; nothing is collected to the driver except small control values in
 the iterative graph loops (a row count per round).
 """
 
-from railyard.session import build_session, checkpoint_dir, size_checked_broadcast
+from railyard.session import build_session, checkpoint_dir
 
-__all__ = ["build_session", "checkpoint_dir", "size_checked_broadcast"]
+__all__ = ["build_session", "checkpoint_dir"]

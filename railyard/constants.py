@@ -45,4 +45,3 @@ ITINERARY_TIME_FORMAT = "HH:mm"
 STATUS_OK = "ok"
 STATUS_NOT_FOUND = "Station not found"
 STATUS_NO_CONNECTION = "No connection found"
-STATUS_OUT_OF_RANGE = "outside loaded range"

@@ -20,11 +20,7 @@ def strip_prefix(col, prefix: str = NAME_PREFIX) -> Column:
 
 
 def overrides_frame(spark: SparkSession, overrides: dict[str, str] | None = None) -> DataFrame:
-    """Override map as a two-column DataFrame (raw_name, override_name).
-
-    The map is a user parameter whose size is fixed by the caller, so it is
-    safe to broadcast.
-    """
+    """Override map as a two-column DataFrame (raw_name, override_name)."""
     rows = sorted((overrides if overrides is not None else NAME_OVERRIDES).items())
     return spark.createDataFrame(rows, "raw_name string, override_name string")
 
@@ -32,7 +28,7 @@ def overrides_frame(spark: SparkSession, overrides: dict[str, str] | None = None
 def normalize_names(names: DataFrame, name_col: str, overrides: DataFrame,
                     prefix: str = NAME_PREFIX, out_col: str = "normalized") -> DataFrame:
     """Spark-path normalisation: override, else prefix strip, else unchanged."""
-    ov = F.broadcast(overrides.withColumnRenamed("raw_name", "_ov_raw"))
+    ov = overrides.withColumnRenamed("raw_name", "_ov_raw")
     joined = names.join(ov, F.col(name_col) == F.col("_ov_raw"), "left")
     value = F.when(F.nullif(F.col(name_col), F.lit("")).isNull(), F.lit(None).cast("string")) \
         .otherwise(F.coalesce(F.col("override_name"), strip_prefix(name_col, prefix)))

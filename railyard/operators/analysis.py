@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from railyard.constants import PEAK_HOURS
 from railyard.functions.timefmt import is_peak_hour
 from railyard.operators.latest import latest_per_key
-from railyard.session import size_checked_broadcast
 
 
 # --- warehouse queries ------------------------------------------------------
@@ -53,7 +52,7 @@ def latest_arrival_delay(fact: DataFrame, stations: DataFrame, station_name: str
     """
     ids = stations.filter(F.col("station_name") == F.lit(station_name)).select("station_id")
     arrivals = (fact.filter(F.col("is_arrival"))
-                .join(size_checked_broadcast(ids), "station_id")
+                .join(ids, "station_id")
                 .select("station_id", "stop_id", "is_arrival", "delay_minutes", *order_cols))
     latest = latest_per_key(arrivals, ["station_id", "stop_id", "is_arrival"], list(order_cols))
     return (latest.filter(F.col("delay_minutes").isNotNull())

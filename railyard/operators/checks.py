@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,3 +25,11 @@ def fk_orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key:
     """Child rows whose key has no parent row (foreign-key check)."""
     p = parent.select(F.col(parent_key).alias("_pk"))
     return child.join(p, F.col(child_key) == F.col("_pk"), "left_anti")
+
+
+def fact_fk_orphans(fact: DataFrame, dimensions: Mapping[str, DataFrame]) -> DataFrame:
+    """``column_name, n_orphans`` per foreign key of a fact: rows whose value its dimension lacks (nulls refer to nothing)."""
+    counts = [fk_orphans(fact.filter(F.col(c).isNotNull()).select(c), d, c, c)
+              .agg(F.count(F.lit(1)).alias("n_orphans")).select(F.lit(c).alias("column_name"), "n_orphans")
+              for c, d in dimensions.items()]
+    return reduce(DataFrame.unionByName, counts)

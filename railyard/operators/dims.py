@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.functions.movement import train_id
 from railyard.operators.latest import first_per_key
 
 
+def has_train(category: Column, number: Column) -> Column:
+    """Whether a stop names a train: a category, and a number that is an integer."""
+    return category.isNotNull() & number.try_cast("int").isNotNull()
+
+
 def train_dimension(stops: DataFrame, order_col: str = "seen_order") -> DataFrame:
     """One train per ``category-number``; the first seen owner wins (insert-if-absent).
 
@@ -16,7 +21,7 @@ def train_dimension(stops: DataFrame, order_col: str = "seen_order") -> DataFram
     column. Stops lacking category or a numeric number are rejects (see
     ``train_rejects``), since the id and the NOT NULL integer number need them.
     """
-    valid = stops.filter(F.col("category").isNotNull() & F.col("number").try_cast("int").isNotNull())
+    valid = stops.filter(has_train(F.col("category"), F.col("number")))
     rows = valid.select(
         train_id("category", "number").alias("train_id"),
         F.col("category").alias("line_category"),
@@ -27,13 +32,16 @@ def train_dimension(stops: DataFrame, order_col: str = "seen_order") -> DataFram
 
 
 def train_rejects(stops: DataFrame) -> DataFrame:
-    return stops.filter(F.col("category").isNull() | F.col("number").try_cast("int").isNull())
+    return stops.filter(~has_train(F.col("category"), F.col("number")))
 
 
 def with_surrogate_key(df: DataFrame, key_cols, name: str = "movement_pk") -> DataFrame:
-    """Deterministic surrogate key from the natural key (``xxhash64``).
+    """Deterministic surrogate key from the natural key: 128 bits of its SHA-256, as text.
 
     Computed per row, so it needs no global ordering (a ``row_number`` over the
-    whole fact would run in one task) and is stable across reloads.
+    whole fact would run in one task) and is stable across reloads. 64 bits
+    would collide at some billions of rows; at 128 the chance stays below one in
+    10^15 for 10^11 rows.
     """
-    return df.withColumn(name, F.xxhash64(*[F.col(c) for c in key_cols]))
+    parts = F.to_json(F.struct(*[F.col(c) for c in key_cols]), {"ignoreNullFields": "false"})
+    return df.withColumn(name, F.substring(F.sha2(parts, 256), 1, 32))

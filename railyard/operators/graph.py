@@ -5,8 +5,9 @@ level per round, and each round is a couple of joins and aggregates. Each
 round's state is written as a Parquet table in the shared checkpoint folder
 (``spark.checkpoint.dir``), which cuts plan and lineage growth and survives
 executor loss; static inputs (edges, adjacency, resolved requests) are
-written once the same way. The driver sees one row count per round, which
-also decides whether the (small) frontier is broadcast into the edge join.
+written once the same way. The driver sees one row of measures per round; which
+side of a join is broadcast is left to the planner, which knows the bytes of a
+written table. No search has a limit of rounds: an empty frontier ends it.
 """
 
 from __future__ import annotations
@@ -18,15 +19,22 @@ from pyspark.sql import Window
 from railyard.constants import (ITINERARY_TIME_FORMAT, STATUS_NO_CONNECTION, STATUS_NOT_FOUND, STATUS_OK,
                                 TRANSFER_BUFFER_MINUTES)
 from railyard.functions.timefmt import parse_route_time
-from railyard.session import TablePair, broadcast_if, checkpoint_dir, debug, write_table, write_table_observed
+from railyard.operators.latest import latest_per_key
+from railyard.session import checkpoint_dir, debug, write_table, write_table_metrics, write_table_observed
+
+# Rows of a train's hour above which its minutes are ordered apart.
+HOUR_ROWS = 100_000
+# Rounds after which the tables that a search appends are made one again.
+COMPACT_ROUNDS = 8
 
 
 # --- G1 / G2 / A12: graph construction ----------------------------------------------
 
-def window_movements(movements: DataFrame, start: str, end: str) -> DataFrame:
-    """Half-open planned-time window ``[start, end)`` (pushed to the scan)."""
+def window_movements(movements: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Half-open planned-time window ``[start, end)`` (pushed to the scan); without bounds the whole table."""
     t = F.col("planned_time")
-    return movements.filter((t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast("timestamp_ntz")))
+    m = movements if start is None else movements.filter(t >= F.lit(start).cast("timestamp_ntz"))
+    return m if end is None else m.filter(t < F.lit(end).cast("timestamp_ntz"))
 
 
 def next_in_sequence(df: DataFrame, key: str, order: list[str], payload: list[str],
@@ -50,33 +58,52 @@ def next_in_sequence(df: DataFrame, key: str, order: list[str], payload: list[st
     return out.withColumn("nxt", F.coalesce(F.col("_nx"), F.col("_nb"))).drop("_nx", "_nb", "_bk")
 
 
-def build_edges(movements: DataFrame, start: str, end: str, bucket_unit: str = "hour") -> DataFrame:
+def build_edges(movements: DataFrame, start: str | None = None, end: str | None = None,
+                hour_rows: int = HOUR_ROWS) -> DataFrame:
     """Connections ``(train_id, u, v, dep, arr)``: a departure row followed directly
     (same train, by planned time then ``tie``) by an arrival row at another station.
+
+    A train's rows are ordered hour by hour, and minute by minute in hours
+    with more than ``hour_rows`` rows.
     """
     m = window_movements(movements, start, end).select("train_id", "station_id", "is_arrival", "planned_time", "tie")
-    # Bucket = whole units since a fixed origin: monotone in time and free of the session time zone.
-    origin = F.lit("2000-01-01 00:00:00").cast("timestamp_ntz")
-    seq = next_in_sequence(m, "train_id", ["planned_time", "tie"], ["station_id", "is_arrival"],
-                           F.timestamp_diff(bucket_unit.upper(), origin, F.col("planned_time")))
+    # Buckets are minutes since a fixed origin, so they are monotone in time and free of the session time zone.
+    minute = F.timestamp_diff("MINUTE", F.lit("2000-01-01 00:00:00").cast("timestamp_ntz"), F.col("planned_time"))
+    hour = F.floor(minute / 60)
+    m = m.withColumn("_minute", minute).withColumn("_hour", hour)
+    crowded = m.groupBy("train_id", "_hour").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hour_rows)
+    m = m.join(crowded, ["train_id", "_hour"], "left")
+    seq = next_in_sequence(m.drop("_hour"), "train_id", ["planned_time", "tie"], ["station_id", "is_arrival"],
+                           F.when(F.col("_n").isNull(), F.floor(F.col("_minute") / 60) * 60).otherwise(F.col("_minute")))
     e = seq.filter((~F.col("is_arrival")) & F.col("nxt.is_arrival") & (F.col("station_id") != F.col("nxt.station_id")))
     return e.select("train_id", F.col("station_id").alias("u"), F.col("nxt.station_id").alias("v"),
                     F.col("planned_time").alias("dep"), F.col("nxt.planned_time").alias("arr"))
 
 
+def fact_movements(fact: DataFrame, keys: list[str], snapshot_order: list[str]) -> DataFrame:
+    """Movements of a fact with a row per snapshot: each stop event as its latest snapshot has it.
+
+    At one minute a train's arrivals come before its departures, then stops by id.
+    """
+    now = latest_per_key(fact, keys, snapshot_order)
+    return now.select("train_id", "station_id", "is_arrival", "planned_time",
+                      F.struct(~F.col("is_arrival"), F.col("stop_id")).alias("tie"))
+
+
 def adjacency(edges: DataFrame) -> DataFrame:
     """Static directed adjacency: distinct (u, v)."""
     return edges.select("u", "v").distinct()
 
 
-def time_range(movements: DataFrame, start: str, end: str, edges: DataFrame | None = None) -> DataFrame:
+def time_range(movements: DataFrame, start: str | None = None, end: str | None = None,
+               edges: DataFrame | None = None) -> DataFrame:
     """True min / max planned time and row count of the loaded window (plus edge count)."""
     m = window_movements(movements, start, end)
     r = m.agg(F.min("planned_time").alias("min_time"), F.max("planned_time").alias("max_time"),
               F.count(F.lit(1)).alias("n_movements"))
     if edges is not None:
         n = edges.agg(F.count(F.lit(1)).alias("n_edges"))
-        r = r.withColumn("_k", F.lit(1)).join(n.withColumn("_k", F.lit(1)), "_k").drop("_k")  # 1 row x 1 row
+        r = r.crossJoin(n)  # two aggregates of one row each
     return r
 
 
@@ -96,13 +123,15 @@ def resolve_endpoints(requests: DataFrame, stations: DataFrame) -> DataFrame:
 
 # --- G3: fewest hops -------------------------------------------------------------------
 
-def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_levels: int = 10_000) -> DataFrame:
+def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, targets: DataFrame | None = None) -> DataFrame:
     """Level-synchronous BFS from every origin: ``origin_id, station_id, hops, path``.
 
     ``path`` is the lexicographically smallest shortest path (array of names):
     at each level the smallest extension of the previous level's chosen paths
     wins, which equals the smallest among all shortest paths since they have
-    equal length. Only the new frontier is joined each round.
+    equal length. Only the new frontier is joined each round. With ``targets``
+    (``origin_id, destination_id``) an origin stops once its destinations are
+    reached. The search ends when a level finds nothing new.
     """
     checkpoint_dir(adj.sparkSession)
     names = name_index(stations).select(F.col("station_id").alias("v"), F.col("station_name").alias("v_name"))
@@ -111,16 +140,16 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
              .join(names.select(F.col("v").alias("origin_id"), "v_name"), "origin_id")
              .select("origin_id", F.col("origin_id").alias("station_id"), F.lit(0).alias("hops"),
                      F.array("v_name").alias("path")))
-    first, n = write_table_observed(start, "bfs-level")
-    levels = [first]
-    visited = first
-    frontier = first
-    level = 0
-    while level < max_levels:
+    visited = frontier = write_table(start, "bfs-level")
+    level, n = 0, 1
+    while n:
         level += 1
-        # The frontier is broadcast while its measured size allows; the adjacency is never moved then.
-        fr = broadcast_if(frontier, n)
-        cand = (fr.join(adj_named, fr["station_id"] == adj_named["u"])
+        now = frontier
+        if targets is not None:
+            reached = visited.select("origin_id", F.col("station_id").alias("destination_id"))
+            missing = targets.join(reached, ["origin_id", "destination_id"], "left_anti").select("origin_id").distinct()
+            now = frontier.join(missing, "origin_id", "left_semi")
+        cand = (now.join(adj_named, now["station_id"] == adj_named["u"])
                 .select("origin_id", F.col("v").alias("station_id"),
                         F.array_append(F.col("path"), F.col("v_name")).alias("path")))
         fresh = cand.join(visited.select("origin_id", "station_id"), ["origin_id", "station_id"], "left_anti")
@@ -128,11 +157,10 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, max_level
             fresh.groupBy("origin_id", "station_id").agg(F.min("path").alias("path"))
             .withColumn("hops", F.lit(level)).select("origin_id", "station_id", "hops", "path"), "bfs-level")
         debug(f"bfs level {level}: {n} new")
-        if n == 0:
-            break
-        # Visited = union of the level tables: each is a file scan, so the plan grows by one leaf per level.
-        levels.append(frontier)
+        # Visited = union of the level tables, made one table again every few levels.
         visited = visited.unionByName(frontier)
+        if level % COMPACT_ROUNDS == 0:
+            visited = write_table(visited, "bfs-visited")
     return visited
 
 
@@ -140,7 +168,7 @@ def shortest_hops(requests: DataFrame, adj: DataFrame, stations: DataFrame) -> D
     """Per request: ``hops``, ``path`` (names joined by ' -> ') and ``status``."""
     r = write_table(resolve_endpoints(requests, stations), "hop-requests")
     ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull())
-    paths = bfs_paths(adj, stations, ok.select("origin_id"))
+    paths = bfs_paths(adj, stations, ok.select("origin_id"), ok.select("origin_id", "destination_id").distinct())
     j = r.join(paths.select("origin_id", F.col("station_id").alias("destination_id"), "hops", "path"),
                ["origin_id", "destination_id"], "left")
     status = (F.when(F.col("origin_id").isNull() | F.col("destination_id").isNull(), F.lit(STATUS_NOT_FOUND))
@@ -151,51 +179,67 @@ def shortest_hops(requests: DataFrame, adj: DataFrame, stations: DataFrame) -> D
 
 # --- G4: earliest arrival -------------------------------------------------------------
 
+def dated_edges(edges: DataFrame) -> DataFrame:
+    """Edges written once, a folder per departure date, so that a search scans only the dates it can still use."""
+    train = F.col("train_id").cast("bigint") if "train_id" in edges.columns else F.lit(None).cast("bigint")
+    e = edges.select("u", "v", "dep", "arr", train.alias("train_id"), F.to_date("dep").alias("dep_date"))
+    return write_table(e.hint("rebalance", "dep_date"), "dated-edges", partition_by="dep_date")
+
+
 def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
-                            buffer_minutes: int = TRANSFER_BUFFER_MINUTES, max_rounds: int = 100_000) -> DataFrame:
+                            buffer_minutes: int = TRANSFER_BUFFER_MINUTES) -> DataFrame:
     """Label-correcting search for all requests at once.
 
-    ``starts``: request_id, origin_id, depart_ts. Returns final labels
+    ``starts``: request_id, origin_id, depart_ts and, if only the way to it is
+    wanted, destination_id. ``edges``: best from ``dated_edges``, else they are written so. Returns labels
     ``request_id, origin_id, station_id, arrival``: the earliest arrival at each
-    reachable station. An edge (u, v, dep, arr) is usable when
-    ``dep >= label(u)`` at the origin and ``dep >= label(u) + buffer`` elsewhere.
-    Each round joins only the labels improved in the previous round.
+    reachable station, or with a destination at those that can lie on a way to
+    it. An edge (u, v, dep, arr) is usable when ``dep >= label(u)`` at the origin
+    and ``dep >= label(u) + buffer`` elsewhere.
+
+    Each round joins only the labels improved in the previous one, reads only
+    edges of the dates from the earliest of them on, and drops what does not
+    arrive before the destination's label so far. Improvements are appended and
+    reduced to the minimum where they are read.
     """
     checkpoint_dir(starts.sparkSession)
+    edges = edges if "dep_date" in edges.columns else dated_edges(edges)
     buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
-    # Edges are materialised once, evenly partitioned (not by u: a hub station must not become one task).
-    e = write_table(edges.select("u", "v", "dep", "arr"), "ea-edges")
-    # One state table per round: every label plus whether it improved in that round.
-    pair = TablePair(starts.sparkSession, "ea-labels")
-    state, n = write_table_observed(starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"),
-                                                  F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh")),
-                                    "ea-labels", pair=pair)
-    rounds = 0
-    while rounds < max_rounds:
+    keys = ["request_id", "origin_id", "station_id"]
+    goals = starts.select("request_id", F.col("destination_id").alias("goal")) if "destination_id" in starts.columns else None
+    measures = {"n": F.count(F.lit(1)), "first": F.min("arrival")}
+    fresh, seen = write_table_metrics(
+        starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"), F.col("depart_ts").alias("arrival")),
+        "ea-labels", **measures)
+    labels, rounds = fresh, 0
+    while seen["n"]:
         rounds += 1
-        improved = broadcast_if(state.filter(F.col("fresh")), n)
+        usable = edges.filter((F.col("dep_date") >= F.lit(seen["first"].date())) & (F.col("dep") >= F.lit(seen["first"])))
         ready = F.when(F.col("station_id") == F.col("origin_id"), F.col("arrival")).otherwise(F.col("arrival") + buf)
-        cand = (improved.join(e, improved["station_id"] == e["u"])
+        cand = (fresh.join(usable, fresh["station_id"] == usable["u"])
                 .filter(F.col("dep") >= ready)
                 .groupBy("request_id", "origin_id", F.col("v").alias("station_id"))
-                .agg(F.min("arr").alias("cand")))
-        old = state.select("request_id", "origin_id", "station_id", F.col("arrival").alias("old"))
-        merged = old.join(cand, ["request_id", "origin_id", "station_id"], "full_outer")
-        better = F.col("cand").isNotNull() & (F.col("old").isNull() | (F.col("cand") < F.col("old")))
-        state, n = write_table_observed(
-            merged.select("request_id", "origin_id", "station_id",
-                          F.when(better, F.col("cand")).otherwise(F.col("old")).alias("arrival"), better.alias("fresh")),
-            "ea-labels", F.count_if(F.col("fresh")), pair=pair)
-        debug(f"earliest-arrival round {rounds}: {n} improved")
-        if n == 0:
-            break
-    labels = state.drop("fresh")
-    return labels
+                .agg(F.min("arr").alias("arrival")))
+        best = labels.groupBy(*keys).agg(F.min("arrival").alias("best"))
+        better = cand.join(best, keys, "left").filter(F.col("best").isNull() | (F.col("arrival") < F.col("best"))).drop("best")
+        if goals is not None:
+            goal = best.join(goals, (best["station_id"] == goals["goal"]) & (best["request_id"] == goals["request_id"])) \
+                .select(best["request_id"], F.col("best").alias("goal_arrival"))
+            better = better.join(goal, "request_id", "left") \
+                .filter(F.col("goal_arrival").isNull() | (F.col("arrival") < F.col("goal_arrival"))).drop("goal_arrival")
+        fresh, seen = write_table_metrics(better.select(*keys, "arrival"), "ea-labels", **measures)
+        debug(f"earliest-arrival round {rounds}: {seen['n']} improved")
+        labels = labels.unionByName(fresh)
+        if rounds % COMPACT_ROUNDS == 0:
+            labels = write_table(labels.groupBy(*keys).agg(F.min("arrival").alias("arrival")), "ea-labels")
+    return write_table(labels.groupBy(*keys).agg(F.min("arrival").alias("arrival")), "ea-labels")
 
 
 def route_starts(requests: DataFrame, stations: DataFrame) -> DataFrame:
     """Requests with resolved endpoint ids and parsed departure, materialised once (one row per request)."""
-    r = resolve_endpoints(requests, stations).withColumn("depart_ts", parse_route_time("depart_text"))
+    r = resolve_endpoints(requests, stations)
+    if "depart_text" in requests.columns:
+        r = r.withColumn("depart_ts", parse_route_time("depart_text"))
     return write_table(r, "route-requests")
 
 
@@ -204,7 +248,8 @@ def earliest_arrival(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     """Per request: earliest ``arrival`` at the destination and ``status``."""
     r = route_starts(requests, stations)
     ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull() & F.col("depart_ts").isNotNull())
-    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "depart_ts"), edges, buffer_minutes)
+    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "destination_id", "depart_ts"), dated_edges(edges),
+                                     buffer_minutes)
     j = r.join(labels.select("request_id", F.col("station_id").alias("destination_id"), "arrival"),
                ["request_id", "destination_id"], "left")
     status = (F.when(F.col("origin_id").isNull() | F.col("destination_id").isNull(), F.lit(STATUS_NOT_FOUND))
@@ -215,21 +260,23 @@ def earliest_arrival(requests: DataFrame, edges: DataFrame, stations: DataFrame,
 # --- G5: itinerary --------------------------------------------------------------------
 
 def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
-                buffer_minutes: int = TRANSFER_BUFFER_MINUTES, max_rounds: int = 100_000) -> DataFrame:
+                buffer_minutes: int = TRANSFER_BUFFER_MINUTES) -> DataFrame:
     """Per reachable request: legs ``array<struct<station, dep, train_id>>`` and text.
 
     Walk back from the destination over a canonical predecessor: an edge into
     the current station arriving exactly at its label and departing no earlier
     than the previous station's label (+ buffer away from the origin); among
     those the latest departure, then smallest station id, then smallest train.
-    Labels strictly decrease along the walk, so it ends at the origin.
+    As the buffer must be above 0, labels strictly decrease along the walk, so
+    it ends at the origin.
     """
+    if buffer_minutes <= 0:
+        raise ValueError("itineraries need a transfer buffer above 0 minutes")
     buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
     r = route_starts(requests, stations)
     ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull() & F.col("depart_ts").isNotNull())
-    e = write_table(edges.select("u", "v", "dep", "arr", F.col("train_id").cast("bigint").alias("train_id")),
-                    "itinerary-edges")
-    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "depart_ts"), e, buffer_minutes)
+    e = dated_edges(edges)
+    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "destination_id", "depart_ts"), e, buffer_minutes)
     names = name_index(stations)
     lab_u = labels.select("request_id", F.col("station_id").alias("u"), F.col("arrival").alias("lab_u"), "origin_id")
     cur = (ok.join(labels, (ok["request_id"] == labels["request_id"]) & (ok["destination_id"] == labels["station_id"]))
@@ -240,10 +287,9 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     done = cur.filter(F.col("node") == F.col("origin_id"))
     cur = cur.filter(F.col("node") != F.col("origin_id"))
     rounds = 0
-    while rounds < max_rounds and n_open != 0:
+    while n_open:
         rounds += 1
-        walkers = broadcast_if(cur, n_open)
-        step = (walkers.join(e, (walkers["node"] == e["v"]) & (walkers["label"] == e["arr"]))
+        step = (cur.join(e, (cur["node"] == e["v"]) & (cur["label"] == e["arr"]))
                 .join(lab_u.drop("origin_id"), ["request_id", "u"])
                 .filter(F.col("dep") >= F.when(F.col("u") == F.col("origin_id"), F.col("lab_u"))
                         .otherwise(F.col("lab_u") + buf)))
@@ -283,7 +329,6 @@ def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
 
 def route_status(results: DataFrame, loaded_range: DataFrame) -> DataFrame:
     """``request_id, status, out_of_range``: a departure outside the loaded window is flagged."""
-    rng = F.broadcast(loaded_range.select("min_time", "max_time").withColumn("_k", F.lit(1)))  # one row
-    j = results.withColumn("_k", F.lit(1)).join(rng, "_k", "left")
+    j = results.crossJoin(F.broadcast(loaded_range.select("min_time", "max_time")))  # an aggregate of one row
     out = F.coalesce((F.col("depart_ts") < F.col("min_time")) | (F.col("depart_ts") > F.col("max_time")), F.lit(False))
     return j.select("request_id", "status", out.alias("out_of_range"))

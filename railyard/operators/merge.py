@@ -48,24 +48,27 @@ def update_merge_coalesce(plan: DataFrame, updates: DataFrame, keys: Sequence[st
                           order: Sequence[str]) -> DataFrame:
     """Warehouse merge: apply all relevant updates of a stop event to its plan row(s).
 
-    ``plan``: keys, planned_time[, planned_platform, is_canceled].
+    ``plan``: keys, planned_time[, planned_platform, actual_time, actual_platform, delay_minutes, is_canceled];
+    a frame that this function returned is a plan again, and later updates change only what they carry.
     ``updates``: keys, ct (timestamp), cp, cs, clt, order columns.
     Updates without a plan row are dropped (left join from the plan). The
     cancellation flag is sticky; null updates keep the old value; the delay
-    follows the last non-null time and stays null without one.
+    follows a new time and is the old one without.
     """
     upd = relevant_updates(updates).withColumn("cancelled", cancelled_flag("cs", "clt"))
     folded = fold_updates_coalesce(upd, keys, order, actual_time="ct", platform="cp")
     cols = set(plan.columns)
     base_cancel = F.coalesce(F.col("is_canceled"), F.lit(False)) if "is_canceled" in cols else F.lit(False)
     base_platform = F.col("actual_platform") if "actual_platform" in cols else F.lit(None).cast("string")
+    base_actual = F.col("actual_time") if "actual_time" in cols else F.lit(None).cast("timestamp_ntz")
+    base_delay = F.col("delay_minutes") if "delay_minutes" in cols else F.lit(None).cast("int")
     merged = plan.join(folded, list(keys), "left")
     actual = F.col("upd_actual_time")
     out = merged.select(
         *[F.col(c) for c in plan.columns if c not in ("actual_time", "actual_platform", "is_canceled", "delay_minutes")],
-        actual.alias("actual_time"),
+        F.coalesce(actual, base_actual).alias("actual_time"),
         F.coalesce(F.col("upd_platform"), base_platform).alias("actual_platform"),
-        warehouse_delay("planned_time", actual).alias("delay_minutes"),
+        F.when(actual.isNotNull(), warehouse_delay("planned_time", actual)).otherwise(base_delay).alias("delay_minutes"),
         (base_cancel | F.coalesce(F.col("upd_cancelled"), F.lit(False))).alias("is_canceled"))
     return out
 
@@ -112,6 +115,17 @@ def fact_insert_new(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
     return existing.unionByName(fresh.select(*existing.columns))
 
 
+def load_metrics(plan_rows: DataFrame, folded: DataFrame, keys: Sequence[str], unresolved: DataFrame) -> DataFrame:
+    """One row per load: rows loaded, updates seen, rows they changed, updates without a row, names not resolved."""
+    hit = plan_rows.join(folded.select(*keys, "n_updates"), list(keys), "left").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("n_updates").alias("n_updated"))
+    seen = folded.join(plan_rows.select(*keys).distinct().withColumn("has_row", F.lit(True)), list(keys), "left").agg(
+        F.coalesce(F.sum("n_updates"), F.lit(0)).alias("n_updates"),
+        F.coalesce(F.sum(F.when(F.col("has_row").isNull(), F.col("n_updates"))), F.lit(0)).alias("n_without_row"))
+    names = unresolved.agg(F.count(F.lit(1)).alias("n_unresolved"))
+    return hit.crossJoin(seen).crossJoin(names)  # three aggregates of one row each
+
+
 def snapshot_counts(fact: DataFrame, slot_cols: Sequence[str]) -> DataFrame:
     """Load metrics per snapshot: movements, arrivals, cancellations."""
     return fact.groupBy(*slot_cols).agg(

@@ -1,97 +1,98 @@
-"""Nearest station for a table of points (J10 at scale) by exact grid ring search.
-
-Stations and points are bucketed into square cells of side ``cell``. Round k
-expands each unresolved point into the cells at Chebyshev cell distance
-exactly k (an ``explode`` of offsets), equi-joins them with the stations of
-those cells, keeps the best candidate so far (distance, then station id) and
-resolves points whose best distance is strictly below ``(k * cell)^2``: any
-station not yet examined lies at least ``k * cell`` away. No points x stations
-product is formed and nothing is broadcast, so both sides may be data-sized.
+"""Nearest station for a table of points (J10 at scale) by an exact search down a pyramid of cells.
+
+Stations with one coordinate are one place (smallest id). Places are counted in
+square cells of several levels, each ``FAN x FAN`` times finer than the one
+above; a cell with few places is a leaf and is not split further, so depth
+follows the density. All points go down together: a point keeps, per level,
+the cells that can still hold its nearest place, that is those whose bounding
+box begins no farther than some kept box ends. The leaves it keeps are joined
+with their places. There is one round per level, however far a point lies from
+all stations; nothing is ever paired off as a whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from railyard.session import TablePair, checkpoint_dir, write_table, write_table_observed
+from railyard.session import checkpoint_dir, write_table
 
 _OUT = "{k} long, station_id long, station_name string, distance_score double"
+# Children of a cell per axis, places below which a cell is not split, and levels at most.
+FAN, LEAF_PLACES, MOST_LEVELS = 4, 8, 12
+
+
+def _square(x: Column) -> Column:
+    return F.pow(x, F.lit(2))
 
 
-def _cells(df: DataFrame, cell: float) -> DataFrame:
-    return (df.withColumn("_cx", F.floor(F.col("latitude") / cell))
-              .withColumn("_cy", F.floor(F.col("longitude") / cell)))
+def _nearest_of_box() -> Column:
+    gap = lambda p, lo, hi: F.greatest(F.col(lo) - F.col(p), F.col(p) - F.col(hi), F.lit(0.0))
+    return _square(gap("latitude", "lat_lo", "lat_hi")) + _square(gap("longitude", "lon_lo", "lon_hi"))
 
 
-def _ring(k: int) -> list[tuple[int, int]]:
-    if k == 0:
-        return [(0, 0)]
-    return [(dx, dy) for dx in range(-k, k + 1) for dy in range(-k, k + 1) if max(abs(dx), abs(dy)) == k]
+def _farthest_of_box() -> Column:
+    reach = lambda p, lo, hi: F.greatest(F.abs(F.col(p) - F.col(lo)), F.abs(F.col(p) - F.col(hi)))
+    return _square(reach("latitude", "lat_lo", "lat_hi")) + _square(reach("longitude", "lon_lo", "lon_hi"))
 
 
-def nearest_station_per_point(points: DataFrame, stations: DataFrame, cell: float | None = None,
-                              point_key: str = "point_id") -> DataFrame:
+def nearest_station_per_point(points: DataFrame, stations: DataFrame, point_key: str = "point_id") -> DataFrame:
     """``(point_key, station_id, station_name, distance_score)`` for every point with coordinates.
 
     Distance is the squared Euclidean distance on (latitude, longitude); ties
     go to the smaller station id. Rows with a null coordinate take no part.
-    Without ``cell`` the side is chosen so that a cell holds about four
-    stations on average (from one aggregate over the stations).
     """
     spark = points.sparkSession
     checkpoint_dir(spark)
-    if cell is None:
-        g = stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).agg(
-            F.count(F.lit(1)).alias("n"), (F.max("latitude") - F.min("latitude")).alias("h"),
-            (F.max("longitude") - F.min("longitude")).alias("w")).first()
-        if not g["n"]:
-            return spark.createDataFrame([], _OUT.format(k=point_key))
-        area = max(g["h"], 1e-9) * max(g["w"], 1e-9)
-        cell = max((4.0 * area / g["n"]) ** 0.5, 1e-9)
-    st = _cells(stations.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-                .select("station_id", "station_name", "latitude", "longitude"), cell) \
-        .select("station_id", "station_name", F.col("latitude").alias("s_lat"),
-                F.col("longitude").alias("s_lon"), F.col("_cx").alias("s_cx"), F.col("_cy").alias("s_cy"))
-    st = write_table(st, "nearest-stations")
-    pts = write_table(_cells(points.filter(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())
-                             .select(point_key, "latitude", "longitude"), cell), "nearest-points")
-
-    # Two one-row aggregates bound the number of rings (driver sees 8 numbers).
-    sb = st.agg(F.min("s_cx"), F.max("s_cx"), F.min("s_cy"), F.max("s_cy")).first()
-    pb = pts.agg(F.min("_cx"), F.max("_cx"), F.min("_cy"), F.max("_cy")).first()
-    if sb[0] is None or pb[0] is None:
+    located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    places = stations.filter(located).groupBy("latitude", "longitude").agg(
+        F.min(F.struct(F.col("station_id").cast("bigint").alias("id"), F.col("station_name").alias("name"))).alias("s"))
+    box = places.agg(F.count(F.lit(1)).alias("n"), F.min("latitude").alias("lat"), F.min("longitude").alias("lon"),
+                     F.max("latitude").alias("lat_hi"), F.max("longitude").alias("lon_hi")).first()
+    if not box["n"]:
         return spark.createDataFrame([], _OUT.format(k=point_key))
-    max_ring = int(max(sb[1] - pb[0], pb[1] - sb[0], sb[3] - pb[2], pb[3] - sb[2], 0))
-
-    keys = [point_key, "_cx", "_cy", "latitude", "longitude"]
-    # State: every point with its best candidate so far and whether it is final.
-    best_t = "struct<d:double,id:bigint,name:string>"
-    pair = TablePair(spark, "nearest-state")
-    state, _ = write_table_observed(pts.select(*keys, F.lit(None).cast(best_t).alias("b"), F.lit(False).alias("final")),
-                                    "nearest-state", pair=pair)
-    dist = F.pow(F.col("s_lat") - F.col("latitude"), 2) + F.pow(F.col("s_lon") - F.col("longitude"), 2)
-    k = 0
-    while k <= max_ring:
-        k = max(k, 1) if k == 0 else k  # the first round probes rings 0 and 1 together
-        open_pts = state.filter(~F.col("final"))
-        rings = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                                    for r in ((0, 1) if k == 1 else (k,)) for dx, dy in _ring(r)]))
-        probe = open_pts.select(*keys, rings.alias("o")) \
-            .select(*keys, (F.col("_cx") + F.col("o.dx")).alias("q_cx"), (F.col("_cy") + F.col("o.dy")).alias("q_cy"))
-        cand = (probe.join(st, (F.col("q_cx") == F.col("s_cx")) & (F.col("q_cy") == F.col("s_cy")))
-                .select(point_key, F.struct(dist.alias("d"), F.col("station_id").cast("bigint").alias("id"),
-                                            F.col("station_name").alias("name")).alias("c"))
-                .groupBy(point_key).agg(F.min("c").alias("c")))
-        merged = state.join(cand, point_key, "left")
-        b = F.when(F.col("b").isNull(), F.col("c")).when(F.col("c").isNull(), F.col("b")).otherwise(F.least("b", "c"))
-        limit = float((k * cell) ** 2)
-        final = F.col("final") | (k == max_ring) | F.coalesce(b["d"] < F.lit(limit), F.lit(False))
-        state, n_open = write_table_observed(merged.select(*keys, b.alias("b"), final.alias("final")),
-                                             "nearest-state", F.count_if(~F.col("final")), pair=pair)
-        if n_open == 0:
-            break
-        k += 1
-    resolved = state.filter(F.col("b").isNotNull())
-    return resolved.select(point_key, F.col("b.id").alias("station_id"), F.col("b.name").alias("station_name"),
-                           F.col("b.d").alias("distance_score"))
+    side = max(box["lat_hi"] - box["lat"], box["lon_hi"] - box["lon"], 1e-9) * (1 + 1e-9)
+    levels = min(MOST_LEVELS, 2 + math.ceil(math.log(max(box["n"], 2), FAN * FAN)))
+    finest = FAN ** (levels - 1)
+
+    def cell(axis: str, low: float) -> Column:
+        return F.least(F.floor((F.col(axis) - F.lit(low)) / F.lit(side) * F.lit(finest)), F.lit(finest - 1)).cast("long")
+
+    placed = places.withColumn("x", cell("latitude", box["lat"])).withColumn("y", cell("longitude", box["lon"]))
+    at_level = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(FAN ** (levels - 1 - k)).alias("step"))
+                                   for k in range(levels)])).alias("at")
+    every = placed.select("latitude", "longitude", "s", at_level, "x", "y").select(
+        "latitude", "longitude", "s", "at.level", F.floor(F.col("x") / F.col("at.step")).alias("cx"),
+        F.floor(F.col("y") / F.col("at.step")).alias("cy"))
+    key = ["level", "cx", "cy"]
+    cells = write_table(every.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n"), F.min("latitude").alias("lat_lo"), F.max("latitude").alias("lat_hi"),
+        F.min("longitude").alias("lon_lo"), F.max("longitude").alias("lon_hi"))
+        .withColumn("leaf", (F.col("n") <= LEAF_PLACES) | (F.col("level") == levels - 1)), "nearest-cells")
+    # A place belongs to the first leaf on its way down.
+    leaves = every.join(cells.filter("leaf").select(*key), key).groupBy("latitude", "longitude", "s").agg(
+        F.min(F.struct(*key)).alias("c"))
+    leaves = write_table(leaves.select("c.*", F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"), "s"), "nearest-leaves")
+
+    point = [point_key, "latitude", "longitude"]
+    bounds = ["near", "far"]
+    top = cells.filter("level = 0").drop("n")  # one row
+    state = points.filter(located).select(*point).crossJoin(F.broadcast(top)) \
+        .select(*point, *key, "leaf", _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
+    mine = Window.partitionBy(*point)
+    for level in range(1, levels):
+        below = cells.filter(F.col("level") == level).select(
+            F.col("level").alias("b_level"), F.col("cx").alias("b_cx"), F.col("cy").alias("b_cy"), F.col("leaf").alias("b_leaf"),
+            F.floor(F.col("cx") / FAN).alias("cx"), F.floor(F.col("cy") / FAN).alias("cy"), "lat_lo", "lat_hi", "lon_lo", "lon_hi")
+        finer = state.filter("NOT leaf").join(below, ["cx", "cy"]).select(
+            *point, F.col("b_level").alias("level"), F.col("b_cx").alias("cx"), F.col("b_cy").alias("cy"),
+            F.col("b_leaf").alias("leaf"), _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
+        both = state.filter("leaf").select(*point, *key, "leaf", *bounds).unionByName(finer)
+        state = write_table(both.withColumn("least", F.min("far").over(mine)).filter("near <= least").drop("least"), "nearest-state")
+    dist = _square(F.col("s_lat") - F.col("latitude")) + _square(F.col("s_lon") - F.col("longitude"))
+    best = state.join(leaves, key).groupBy(*point).agg(F.min(F.struct(dist.alias("d"), "s.id", "s.name")).alias("b"))
+    return best.select(point_key, F.col("b.id").alias("station_id"), F.col("b.name").alias("station_name"),
+                       F.col("b.d").alias("distance_score"))

@@ -17,51 +17,55 @@ from pyspark.sql import functions as F
 from railyard.constants import NAME_PREFIX
 from railyard.functions.names import strip_prefix
 from railyard.functions.trigram import similarity_from_sets, trigrams
-from railyard.session import size_checked_broadcast
+from railyard.session import write_table
 
 # Threshold 0.4 as the integer ratio 2/5 (strict: similarity > 2/5).
 T_NUM, T_DEN = 2, 5
 
 
-def _grams(df: DataFrame, id_cols: list[str], text_col: str) -> DataFrame:
-    return df.select(*id_cols, trigrams(text_col).alias("grams")).withColumn("n", F.size("grams"))
-
-
-def _prefixes(g: DataFrame, id_cols: list[str], freq: DataFrame) -> DataFrame:
-    """Rarest ``n - ceil(t*n) + 1`` grams of each set."""
-    exploded = g.select(*id_cols, "n", F.explode("grams").alias("gram"))
-    # One row per distinct gram, broadcast after a size check: a frequent gram is then no hot join key.
-    ranked = exploded.join(freq, "gram")
+def _prefixes(g: DataFrame, freq: DataFrame) -> DataFrame:
+    """``key, n, at, gram``: the rarest ``n - ceil(t*n) + 1`` grams of each set with their place in the order."""
+    ranked = g.select("key", "n", F.explode("grams").alias("gram")).join(freq, "gram")
     keep = F.col("n") - F.ceil(F.col("n") * F.lit(T_NUM) / F.lit(T_DEN)) + 1
-    per_set = ranked.groupBy(*id_cols, "n").agg(
-        F.array_sort(F.collect_list(F.struct("freq", "gram"))).alias("ordered"))
-    return per_set.select(*id_cols, F.explode(F.slice("ordered", F.lit(1), keep.cast("int"))).alias("p")) \
-        .select(*id_cols, F.col("p.gram").alias("gram"))
+    per_set = ranked.groupBy("key", "n").agg(F.array_sort(F.collect_list(F.struct("freq", "gram"))).alias("ordered"))
+    return per_set.select("key", "n", F.posexplode(F.slice("ordered", F.lit(1), keep.cast("int"))).alias("at", "p")) \
+        .select("key", "n", "at", F.col("p.gram").alias("gram"))
 
 
 def fuzzy_candidates(probes: DataFrame, probe_col: str, stations: DataFrame) -> DataFrame:
     """All (probe, station) pairs with similarity strictly above 0.4, with the similarity.
 
     ``probes``: distinct ``probe_col`` texts. ``stations``: station_id, station_name.
+    Gram sets and prefixes are written once. Two sets can only be similar
+    enough if their sizes are close and, from the first gram they share, enough
+    grams are left on both sides; both are part of the join, so common grams
+    make few pairs.
     """
-    pg = _grams(probes.select(probe_col).distinct(), [probe_col], probe_col)
-    sg = _grams(stations.select("station_id", "station_name"), ["station_id", "station_name"], "station_name")
-    freq = (pg.select(F.explode("grams").alias("gram"))
-            .unionByName(sg.select(F.explode("grams").alias("gram")))
-            .groupBy("gram").agg(F.count(F.lit(1)).alias("freq")))
-    freq = size_checked_broadcast(freq)
-    pp = _prefixes(pg, [probe_col], freq)
-    sp = _prefixes(sg, ["station_id", "station_name"], freq)
-    pairs = pp.join(sp, "gram").select(probe_col, "station_id", "station_name").distinct()
-    full = (pairs.join(pg, probe_col)
-            .join(sg.select("station_id", F.col("grams").alias("s_grams"), F.col("n").alias("s_n")), "station_id"))
-    size_ok = F.least("n", "s_n") * T_DEN >= F.greatest("n", "s_n") * T_NUM
-    shared = F.size(F.array_intersect("grams", "s_grams"))
-    verified = (full.filter(size_ok)
-                .withColumn("n_shared", shared)
+    pg = write_table(probes.select(F.col(probe_col).alias("key"), trigrams(probe_col).alias("grams")).distinct()
+                     .withColumn("n", F.size("grams")), "fuzzy-probes")
+    sg = write_table(stations.select("station_id", "station_name", trigrams("station_name").alias("grams"))
+                     .withColumn("key", F.col("station_id")).withColumn("n", F.size("grams")), "fuzzy-stations")
+    freq = write_table(pg.select(F.explode("grams").alias("gram"))
+                       .unionByName(sg.select(F.explode("grams").alias("gram")))
+                       .groupBy("gram").agg(F.count(F.lit(1)).alias("freq")), "fuzzy-grams")
+    pp = write_table(_prefixes(pg, freq), "fuzzy-probe-prefixes").select(
+        "gram", F.col("key").alias("p_key"), F.col("n").alias("p_n"), F.col("at").alias("p_at"))
+    sp = write_table(_prefixes(sg, freq), "fuzzy-station-prefixes").select(
+        "gram", F.col("key").alias("s_key"), F.col("n").alias("s_n"), F.col("at").alias("s_at"))
+    size_ok = F.least("p_n", "s_n") * T_DEN >= F.greatest("p_n", "s_n") * T_NUM
+    # The pair's first shared gram is at these places; at most the rest of the shorter tail can be shared too.
+    left = F.least(F.col("p_n") - F.col("p_at"), F.col("s_n") - F.col("s_at"))
+    place_ok = left * T_DEN >= (F.col("p_n") + F.col("s_n") - left) * T_NUM
+    pairs = pp.join(sp, "gram").filter(size_ok).groupBy("p_key", "s_key").agg(
+        F.min(F.struct("p_at", "s_at", "p_n", "s_n")).alias("m")).select("p_key", "s_key", "m.*").filter(place_ok) \
+        .select("p_key", "s_key")
+    full = (pairs.join(pg.select(F.col("key").alias("p_key"), "grams", "n"), "p_key")
+            .join(sg.select(F.col("key").alias("s_key"), "station_name", F.col("grams").alias("s_grams"),
+                            F.col("n").alias("s_n")), "s_key"))
+    verified = (full.withColumn("n_shared", F.size(F.array_intersect("grams", "s_grams")))
                 .withColumn("n_union", F.col("n") + F.col("s_n") - F.col("n_shared"))
                 .filter(F.col("n_shared") * T_DEN > F.col("n_union") * T_NUM))
-    return verified.select(probe_col, "station_id", "station_name", "n_shared", "n_union",
+    return verified.select(F.col("p_key").alias(probe_col), F.col("s_key").alias("station_id"), "station_name", "n_shared", "n_union",
                            (F.col("n_shared") / F.col("n_union")).alias("similarity"))
 
 
@@ -96,10 +100,11 @@ def resolve_names(raw: DataFrame, stations: DataFrame, overrides: DataFrame,
         F.nullif(F.col("raw_name"), F.lit("")).isNotNull()).distinct()
     index = stations.groupBy("station_name").agg(F.count(F.lit(1)).alias("n_st"),
                                                  F.min("station_id").alias("idx_id"))
-    base = (names.join(F.broadcast(overrides.select("raw_name", "override_name")), "raw_name", "left")
+    base = (names.join(overrides.select("raw_name", "override_name"), "raw_name", "left")
             .withColumn("search_name", strip_prefix("raw_name", prefix))
             .withColumn("lookup", F.coalesce(F.col("override_name"), F.col("search_name"))))
-    looked = base.join(index, F.col("lookup") == F.col("station_name"), "left").drop("station_name")
+    looked = write_table(base.join(index, F.col("lookup") == F.col("station_name"), "left").drop("station_name"),
+                         "resolve-looked-up")
     via_override = F.col("override_name").isNotNull()
     need_fuzzy = looked.filter(~via_override & F.col("n_st").isNull() & F.col("search_name").isNotNull())
     fuzzy = fuzzy_best_match(need_fuzzy.select("search_name"), "search_name", stations) \

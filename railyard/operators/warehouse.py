@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from railyard.constants import NAME_PREFIX
-from railyard.operators.dims import train_dimension, with_surrogate_key
+from railyard.operators.dims import has_train, train_dimension, with_surrogate_key
 from railyard.operators.merge import fact_dedup, update_merge_coalesce
 from railyard.operators.resolve import resolve_names
 from railyard.schemas import FACT_UNIQUE_KEY
@@ -32,9 +32,11 @@ def load_fact(plan_docs: DataFrame, stations: DataFrame, dim_time: DataFrame, ov
               prefix: str = NAME_PREFIX) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Return ``(fact, dim_train, rejects)`` from plan documents with ``file_path, snapshot_ts, value``."""
     rows = _resolved(warehouse_plan_rows(plan_docs), stations, overrides, prefix)
-    slots = F.broadcast(dim_time.select(F.col("slot_ts").alias("snapshot_ts"), "time_id"))  # bounded by the range
+    slots = dim_time.select(F.col("slot_ts").alias("snapshot_ts"), "time_id")
     rows = rows.join(slots, "snapshot_ts", "left")
-    ok = F.col("station_id").isNotNull() & F.col("time_id").isNotNull() & F.col("train_id").isNotNull()
+    # One rule for facts, trains and rejects: a fact never names a train that the dimension lacks.
+    known_train = has_train(F.col("line_category"), F.col("train_number"))
+    ok = F.col("station_id").isNotNull() & F.col("time_id").isNotNull() & known_train
     rejects = rows.filter(~ok).select(
         "file_path", "station_name", "stop_id",
         F.coalesce(F.col("reason"), F.when(F.col("time_id").isNull(), F.lit("no time slot")),

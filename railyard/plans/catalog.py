@@ -29,9 +29,8 @@ from railyard.sources import json as J
 from railyard.sources import parquet as P
 from railyard.sources import xml as X
 from railyard.sources.sql import run_sql
-from railyard.sources.timedim import slot_join
+from railyard.sources.timedim import slot_join, slot_misses
 from railyard.plans import oracle_views as V
-from railyard.session import write_table
 from railyard.plans import roles
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -122,13 +121,11 @@ def q_nearest_station(spark, sf_dir):
 
 
 @register("latest_arrival_delay", V.with_(V.SNAPSHOT_MOVEMENTS, V.STATIONS) + f"""
-SELECT round(avg(greatest(0, delay_minutes)), 6) AS avg_delay_minutes
-FROM (SELECT f.delay_minutes,
-             row_number() OVER (PARTITION BY f.station_id, f.stop_id, f.is_arrival
-                                ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
-      FROM snap f JOIN stations s ON f.station_id = s.station_id
-      WHERE s.station_name = '{STATION_NAME}' AND f.is_arrival)
-WHERE rn = 1 AND delay_minutes IS NOT NULL""")
+SELECT round(avg(greatest(0, late.m)), 6) AS avg_delay_minutes
+FROM (SELECT arg_max({{'m': delay_minutes}}, (l_linenumber, l_shipdate, l_partkey, l_suppkey)) AS late
+      FROM snap WHERE is_arrival AND station_id IN (SELECT station_id FROM stations WHERE station_name = '{STATION_NAME}')
+      GROUP BY station_id, stop_id)
+WHERE late.m IS NOT NULL""")
 def q_latest_arrival_delay(spark, sf_dir):
     return rounded(A.latest_arrival_delay(roles.snapshot_movements(spark, sf_dir), roles.stations(spark, sf_dir),
                                           STATION_NAME, order_cols=roles.SNAPSHOT_ORDER))
@@ -167,6 +164,16 @@ def q_time_slot_join(spark, sf_dir):
     return _slot_fact(spark, sf_dir).select("event_id", "time_id", "slot_ts")
 
 
+_WORK_SLOTS = "work_slots AS (SELECT slot_ts FROM dim_time WHERE NOT is_weekend)"
+
+
+@register("slot_misses", V.with_(V.TIME_DIM, V.SLOTTED_EVENTS, _WORK_SLOTS) + """
+SELECT event_id, station_id, slot_ts FROM slotted f WHERE NOT EXISTS (SELECT 1 FROM work_slots w WHERE w.slot_ts = f.slot_ts)""")
+def q_slot_misses(spark, sf_dir):
+    return slot_misses(roles.slotted_events(spark, sf_dir), roles.weekday_time_dim(spark, sf_dir)).select(
+        "event_id", "station_id", "slot_ts")
+
+
 @register("cancellations_at_hour", V.with_(V.TIME_DIM, V.SLOTTED_EVENTS) + f"""
 SELECT count(*) AS total_canceled_trains
 FROM slotted f JOIN dim_time t ON f.slot_ts = t.slot_ts
@@ -193,35 +200,31 @@ def q_latest_snapshot(spark, sf_dir):
 
 
 PARAM_SQL_TEXT = """
--- Mean clamped delay of the latest snapshot per arrival at one station.
-WITH unique_movements AS (
-    SELECT f.delay_minutes,
-           ROW_NUMBER() OVER (PARTITION BY f.station_id, f.stop_id, f.is_arrival
-                              ORDER BY f.l_linenumber DESC, f.l_shipdate DESC, f.l_partkey DESC, f.l_suppkey DESC) AS rn
-    FROM fact_train_movement f
-    JOIN dim_station s ON f.station_id = s.station_id
-    WHERE s.station_name = :station_name
-      AND f.is_arrival = TRUE
-)
-SELECT ROUND(AVG(GREATEST(0, delay_minutes)), 6) AS avg_delay_minutes
-FROM unique_movements
-WHERE rn = 1 AND delay_minutes IS NOT NULL;
+-- What the newest snapshot says of each arrival at one station, and how late those are on average.
+SELECT round(avg(CASE WHEN newest.late > 0 THEN newest.late ELSE 0 END), 6) AS avg_delay_minutes
+FROM (
+    SELECT max_by(delay_minutes, struct(l_linenumber, l_shipdate, l_partkey, l_suppkey)) AS late
+    FROM movements
+    WHERE is_arrival AND station_id IN (SELECT station_id FROM stations WHERE station_name = :station_name)
+    GROUP BY station_id, stop_id) AS newest
+WHERE newest.late IS NOT NULL;
 """
 PARAM_STATION = "Supplier#000000003"
 
 
-@register("param_sql", V.with_(V.SNAPSHOT_MOVEMENTS, V.STATIONS) + f"""
-SELECT round(avg(greatest(0, delay_minutes)), 6) AS avg_delay_minutes
-FROM (SELECT f.delay_minutes,
-             row_number() OVER (PARTITION BY f.station_id, f.stop_id, f.is_arrival
-                                ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
-      FROM snap f JOIN stations s ON f.station_id = s.station_id
-      WHERE s.station_name = '{PARAM_STATION}' AND f.is_arrival)
-WHERE rn = 1 AND delay_minutes IS NOT NULL""")
+def _mean_newest_delay(station: str) -> str:
+    return V.with_(V.SNAPSHOT_MOVEMENTS, V.STATIONS) + f"""
+SELECT round(avg(greatest(0, late.m)), 6) AS avg_delay_minutes
+FROM (SELECT arg_max({{'m': delay_minutes}}, (l_linenumber, l_shipdate, l_partkey, l_suppkey)) AS late
+      FROM snap WHERE is_arrival AND station_id IN (SELECT station_id FROM stations WHERE station_name = '{station}')
+      GROUP BY station_id, stop_id)
+WHERE late.m IS NOT NULL"""
+
+
+@register("param_sql", _mean_newest_delay(PARAM_STATION))
 def q_param_sql(spark, sf_dir):
-    views = {"fact_train_movement": roles.snapshot_movements(spark, sf_dir),
-             "dim_station": roles.stations(spark, sf_dir)}
-    return rounded(run_sql(spark, PARAM_SQL_TEXT, {"station_name": PARAM_STATION}, views))
+    frames = {"movements": roles.snapshot_movements(spark, sf_dir), "stations": roles.stations(spark, sf_dir)}
+    return rounded(run_sql(spark, PARAM_SQL_TEXT, {"station_name": PARAM_STATION}, frames))
 
 
 @register("dim_train", """
@@ -314,6 +317,41 @@ def q_update_merge_coalesce(spark, sf_dir):
                                    ["stop_id"], roles.SNAPSHOT_ORDER)
 
 
+@register("update_merge_incremental", V.with_(V.UPDATES, V.PLANS, _FOLDED) + """
+SELECT p.stop_id, p.planned_time, a.actual_time, a.actual_platform,
+       CASE WHEN a.actual_time IS NOT NULL
+            THEN CAST(round(greatest(0, date_diff('second', p.planned_time, a.actual_time) / 60.0)) AS INTEGER)
+       END AS delay_minutes,
+       coalesce(a.cancelled, false) AS is_canceled
+FROM plans p LEFT JOIN agg a ON p.stop_id = a.stop_id""")
+def q_update_merge_incremental(spark, sf_dir):
+    """Updates in two loads, split within stops by their order, give what one load of all gives."""
+    updates, late = roles.updates(spark, sf_dir), F.col("l_linenumber") > 2
+    first = M.update_merge_coalesce(roles.plans(spark, sf_dir), updates.filter(~late), ["stop_id"], roles.SNAPSHOT_ORDER)
+    return M.update_merge_coalesce(first, updates.filter(late), ["stop_id"], roles.SNAPSHOT_ORDER)
+
+
+@register("load_metrics", V.with_(V.UPDATES, V.PLANS, "late_plans AS (SELECT * FROM plans WHERE stop_id % 4 <> 0)",
+                                  """seen AS (SELECT stop_id, count(*) AS n FROM updates
+  WHERE ct IS NOT NULL OR nullif(cp, '') IS NOT NULL OR nullif(cs, '') IS NOT NULL GROUP BY stop_id)""",
+                                  """unresolved AS (SELECT count(*) AS n FROM supplier s
+  WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = s_nationkey AND n_regionkey <> 3))""") + """
+SELECT (SELECT count(*) FROM late_plans) AS n_rows,
+       (SELECT count(*) FROM late_plans p JOIN seen USING (stop_id)) AS n_updated,
+       (SELECT coalesce(sum(n), 0)::BIGINT FROM seen) AS n_updates,
+       (SELECT coalesce(sum(n), 0)::BIGINT FROM seen WHERE stop_id NOT IN (SELECT stop_id FROM late_plans)) AS n_without_row,
+       (SELECT n FROM unresolved) AS n_unresolved""")
+def q_load_metrics(spark, sf_dir):
+    """A load whose plan lacks every fourth stop, and whose stations of one region have no entry."""
+    plan = roles.plans(spark, sf_dir).filter(F.col("stop_id") % 4 != 0)
+    folded = M.fold_updates_coalesce(
+        M.relevant_updates(roles.updates(spark, sf_dir)).withColumn("cancelled", cancelled_flag("cs", "clt")),
+        ["stop_id"], roles.SNAPSHOT_ORDER, actual_time="ct")
+    known = roles.table(spark, sf_dir, "nation").filter("n_regionkey <> 3")
+    unresolved = C.fk_orphans(roles.table(spark, sf_dir, "supplier"), known, "s_nationkey", "n_nationkey")
+    return M.load_metrics(plan, folded, ["stop_id"], unresolved)
+
+
 def _tagged(spark, sf_dir):
     upd = roles.updates(spark, sf_dir).select(
         "stop_id", F.col("ct").alias("actual_time"), cancelled_flag("cs", "clt").alias("is_canceled"),
@@ -406,6 +444,27 @@ def q_fk_orphans(spark, sf_dir):
                         roles.table(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey")
 
 
+@register("fact_fk_orphans", """
+WITH fact AS (SELECT l_suppkey AS station_id, l_shipdate AS slot_ts, l_partkey AS part_id FROM lineitem),
+trains AS (SELECT DISTINCT p_type || '-' || CAST(p_size AS VARCHAR) AS train_id FROM part WHERE p_size > 10),
+times AS (SELECT DISTINCT o_orderdate AS slot_ts FROM orders),
+named AS (SELECT f.*, p_type || '-' || CAST(p_size AS VARCHAR) AS train_id FROM fact f JOIN part ON p_partkey = part_id)
+SELECT 'station_id' AS column_name, count(*) AS n_orphans FROM named
+WHERE station_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey <> 5)
+UNION ALL SELECT 'slot_ts', count(*) FROM named WHERE slot_ts NOT IN (SELECT slot_ts FROM times)
+UNION ALL SELECT 'train_id', count(*) FROM named WHERE train_id NOT IN (SELECT train_id FROM trains)""")
+def q_fact_fk_orphans(spark, sf_dir):
+    """A fact against three dimensions that each lack some rows, so that every check finds orphans."""
+    fact = roles.table(spark, sf_dir, "lineitem").join(
+        roles.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
+        F.col("l_suppkey").alias("station_id"), F.col("l_shipdate").alias("slot_ts"),
+        F.concat("p_type", F.lit("-"), F.col("p_size").cast("string")).alias("train_id"))
+    trains = train_dimension(roles.train_stops(spark, sf_dir)).filter("train_number > 10")
+    times = roles.table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("slot_ts")).distinct()
+    stations = roles.table(spark, sf_dir, "supplier").filter("s_nationkey <> 5").select(F.col("s_suppkey").alias("station_id"))
+    return C.fact_fk_orphans(fact, {"station_id": stations, "slot_ts": times, "train_id": trains})
+
+
 # ---------------------------------------------------------------------------
 # Step 4: names
 # ---------------------------------------------------------------------------
@@ -565,7 +624,6 @@ def q_json_station_flatten(spark, sf_dir):
 # Step 6: graph
 # ---------------------------------------------------------------------------
 
-H0, H1 = roles.HOPS_WINDOW
 W0, W1 = roles.ARRIVAL_WINDOW
 
 
@@ -587,20 +645,14 @@ _ROUTE_REQ = ("rreq AS (SELECT v.*, o.station_id AS origin_id, d.station_id AS d
               + " LEFT JOIN gnames o ON o.station_name = v.origin_name"
               + " LEFT JOIN gnames d ON d.station_name = v.destination_name)")
 _BFS = """adj AS (SELECT DISTINCT u, v FROM edges),
-reach(origin, node, hops) AS (
-  SELECT station_id, station_id, 0 FROM __ORIGINS__
-  UNION
-  SELECT r.origin, a.v, r.hops + 1 FROM reach r JOIN adj a ON a.u = r.node WHERE r.hops < 30),
-dist AS (SELECT origin, node, min(hops) AS d FROM reach GROUP BY origin, node),
-paths(origin, node, lvl, path) AS (
+paths(origin, node, lvl, path) USING KEY (origin, node) AS (
   SELECT o.station_id, o.station_id, 0, [n.station_name]
   FROM __ORIGINS__ o JOIN gnames n ON n.station_id = o.station_id
-  UNION ALL
-  SELECT p.origin, a.v, p.lvl + 1, min(list_append(p.path, n.station_name))
-  FROM paths p JOIN adj a ON a.u = p.node
-  JOIN dist d ON d.origin = p.origin AND d.node = a.v AND d.d = p.lvl + 1
-  JOIN gnames n ON n.station_id = a.v
-  GROUP BY p.origin, a.v, p.lvl + 1)"""
+  UNION
+  SELECT p.origin, a.v, min(p.lvl) + 1, min(list_append(p.path, n.station_name))
+  FROM paths p JOIN adj a ON a.u = p.node JOIN gnames n ON n.station_id = a.v
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.paths x WHERE x.origin = p.origin AND x.node = a.v)
+  GROUP BY p.origin, a.v)"""
 _LABELS = """lab(request_id, origin_id, node, t) AS (
   SELECT request_id, origin_id, origin_id, depart_ts FROM __STARTS__
   UNION
@@ -613,56 +665,77 @@ def _rwith(*ctes):
     return "WITH RECURSIVE " + ",\n".join(ctes) + "\n"
 
 
-def _edges_h(spark, sf_dir):
-    return G.build_edges(roles.graph_movements(spark, sf_dir), H0, H1)
+def _edges(spark, sf_dir):
+    return G.build_edges(roles.graph_movements(spark, sf_dir))
 
 
-def _edges_w(spark, sf_dir):
+@register("graph_edges", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte(W0, W1)) + "SELECT train_id, u, v, dep, arr FROM edges")
+def q_graph_edges(spark, sf_dir):
     return G.build_edges(roles.graph_movements(spark, sf_dir), W0, W1)
 
 
-@register("graph_edges", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte(W0, W1)) + "SELECT train_id, u, v, dep, arr FROM edges")
-def q_graph_edges(spark, sf_dir):
-    return _edges_w(spark, sf_dir)
+@register("graph_edges_fact", """
+WITH now AS (
+  SELECT l_orderkey AS stop_id, l_linestatus = 'F' AS is_arrival,
+         arg_max({'train_id': l_partkey, 'station_id': l_suppkey, 't': l_shipdate},
+                 (l_linenumber, l_shipdate, l_partkey, l_suppkey)) AS r
+  FROM lineitem GROUP BY l_orderkey, l_linestatus = 'F'),
+seq AS (
+  SELECT r.train_id AS train_id, r.station_id AS u, is_arrival, r.t AS dep, lead(r.station_id) OVER w AS v,
+         lead(is_arrival) OVER w AS then_arrival, lead(r.t) OVER w AS arr
+  FROM now WINDOW w AS (PARTITION BY r.train_id ORDER BY r.t, NOT is_arrival, stop_id))
+SELECT train_id, u, v, dep, arr FROM seq WHERE NOT is_arrival AND then_arrival AND u <> v""")
+def q_graph_edges_fact(spark, sf_dir):
+    return G.build_edges(G.fact_movements(roles.snapshot_fact(spark, sf_dir), ["stop_id", "is_arrival"], list(roles.SNAPSHOT_ORDER)))
 
 
-@register("graph_adjacency", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte(H0, H1)) + "SELECT DISTINCT u, v FROM edges")
+@register("graph_adjacency", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte()) + "SELECT DISTINCT u, v FROM edges")
 def q_graph_adjacency(spark, sf_dir):
-    return G.adjacency(_edges_h(spark, sf_dir))
+    return G.adjacency(_edges(spark, sf_dir))
 
 
-@register("graph_time_range", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte(W0, W1)) + f"""
+@register("graph_time_range", V.with_(V.GRAPH_MOVEMENTS, V.edges_cte()) + f"""
 SELECT min(planned_time) AS min_time, max(planned_time) AS max_time, count(*) AS n_movements,
        (SELECT count(*) FROM edges) AS n_edges
-FROM gm WHERE planned_time >= TIMESTAMP '{W0}' AND planned_time < TIMESTAMP '{W1}'""")
+FROM gm""")
 def q_graph_time_range(spark, sf_dir):
-    return G.time_range(roles.graph_movements(spark, sf_dir), W0, W1, _edges_w(spark, sf_dir))
+    return G.time_range(roles.graph_movements(spark, sf_dir), edges=_edges(spark, sf_dir))
+
+
+_CUST_REQ = """creq AS (
+  SELECT c_custkey AS request_id, format('st{:03d}', c_custkey % 100) AS origin_name,
+         format('st{:03d}', (c_custkey * 7 + c_nationkey) % 100) AS destination_name,
+         (SELECT min(planned_time) FROM gm) + to_hours(CAST(c_nationkey AS BIGINT)) AS depart_ts
+  FROM customer),
+cres AS (SELECT c.*, o.station_id AS origin_id, d.station_id AS destination_id FROM creq c
+  LEFT JOIN gnames o ON o.station_name = c.origin_name LEFT JOIN gnames d ON d.station_name = c.destination_name)"""
 
 
-@register("shortest_hops_all", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(H0, H1), _GNAMES,
-                                      _BFS.replace("__ORIGINS__", "gnames")) + """
-SELECT o.station_name AS origin_name, n.station_name AS station_name, p.lvl AS hops,
-       array_to_string(p.path, ' -> ') AS path
-FROM paths p JOIN gnames o ON o.station_id = p.origin JOIN gnames n ON n.station_id = p.node""")
+@register("shortest_hops_all", _rwith(
+    V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(), _GNAMES, _CUST_REQ,
+    "corig AS (SELECT DISTINCT origin_id AS station_id FROM cres WHERE origin_id IS NOT NULL AND destination_id IS NOT NULL)",
+    _BFS.replace("__ORIGINS__", "corig")) + """
+SELECT r.request_id, r.origin_name, r.destination_name, p.lvl AS hops, array_to_string(p.path, ' -> ') AS path,
+       CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
+            WHEN p.lvl IS NULL THEN 'No connection found' ELSE 'ok' END AS status
+FROM cres r LEFT JOIN paths p ON p.origin = r.origin_id AND p.node = r.destination_id""")
 def q_shortest_hops_all(spark, sf_dir):
-    st = roles.graph_stations(spark, sf_dir)
-    paths = G.bfs_paths(G.adjacency(_edges_h(spark, sf_dir)), st, st.select(F.col("station_id").alias("origin_id")))
-    o = st.select(F.col("station_id").alias("origin_id"), F.col("station_name").alias("origin_name"))
-    return (paths.join(o, "origin_id").join(st, "station_id")
-            .select("origin_name", "station_name", "hops", F.array_join("path", " -> ").alias("path")))
+    """One request for every customer."""
+    return G.shortest_hops(roles.customer_requests(spark, sf_dir), G.adjacency(_edges(spark, sf_dir)),
+                           roles.graph_stations(spark, sf_dir))
 
 
 _HOPS_ORIGINS = "horig AS (SELECT DISTINCT origin_id AS station_id FROM hreq WHERE origin_id IS NOT NULL AND destination_id IS NOT NULL)"
 
 
-@register("shortest_hops", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(H0, H1), _GNAMES, _HOP_REQ,
+@register("shortest_hops", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(), _GNAMES, _HOP_REQ,
                                   _HOPS_ORIGINS, _BFS.replace("__ORIGINS__", "horig")) + f"""
 SELECT r.request_id, r.origin_name, r.destination_name, p.lvl AS hops, array_to_string(p.path, ' -> ') AS path,
        CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
             WHEN p.lvl IS NULL THEN 'No connection found' ELSE 'ok' END AS status
 FROM hreq r LEFT JOIN paths p ON p.origin = r.origin_id AND p.node = r.destination_id""")
 def q_shortest_hops(spark, sf_dir):
-    return G.shortest_hops(roles.hop_requests(spark), G.adjacency(_edges_h(spark, sf_dir)),
+    return G.shortest_hops(roles.hop_requests(spark), G.adjacency(_edges(spark, sf_dir)),
                            roles.graph_stations(spark, sf_dir))
 
 
@@ -670,37 +743,36 @@ _ROUTE_STARTS = ("rstart AS (SELECT request_id, origin_id, depart_ts FROM rreq "
                  "WHERE origin_id IS NOT NULL AND destination_id IS NOT NULL AND depart_ts IS NOT NULL)")
 
 
-@register("earliest_arrival", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES, _ROUTE_REQ,
+@register("earliest_arrival", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(), _GNAMES, _ROUTE_REQ,
                                      _ROUTE_STARTS, _LABELS.replace("__STARTS__", "rstart")) + """
 SELECT r.request_id, r.origin_name, r.destination_name, r.depart_ts, b.arrival,
        CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
             WHEN b.arrival IS NULL THEN 'No connection found' ELSE 'ok' END AS status
 FROM rreq r LEFT JOIN best b ON b.request_id = r.request_id AND b.node = r.destination_id""")
 def q_earliest_arrival(spark, sf_dir):
-    return G.earliest_arrival(roles.route_requests(spark), _edges_w(spark, sf_dir), roles.graph_stations(spark, sf_dir))
+    return G.earliest_arrival(roles.route_requests(spark), _edges(spark, sf_dir), roles.graph_stations(spark, sf_dir))
 
 
-_ALL_STARTS = (f"astart AS (SELECT station_id AS request_id, station_id AS origin_id, TIMESTAMP '{W0}' AS depart_ts "
-               "FROM (SELECT DISTINCT u AS station_id FROM edges))")
-
-
-@register("earliest_arrival_all", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES,
-                                         _ALL_STARTS, _LABELS.replace("__STARTS__", "astart")) + """
-SELECT o.station_name AS origin_name, n.station_name AS station_name, b.arrival
-FROM best b JOIN gnames o ON o.station_id = b.request_id JOIN gnames n ON n.station_id = b.node""")
+@register("earliest_arrival_all", _rwith(
+    V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(), _GNAMES, _CUST_REQ, """lab(origin_id, depart_ts, node, t) USING KEY (origin_id, depart_ts, node) AS (
+  SELECT DISTINCT origin_id, depart_ts, origin_id, depart_ts FROM cres WHERE origin_id IS NOT NULL AND destination_id IS NOT NULL
+  UNION
+  SELECT l.origin_id, l.depart_ts, e.v, min(e.arr) FROM lab l JOIN edges e ON e.u = l.node
+    AND e.dep >= CASE WHEN l.node = l.origin_id THEN l.t ELSE l.t + INTERVAL 2 MINUTE END
+  WHERE NOT EXISTS (SELECT 1 FROM recurring.lab x WHERE x.origin_id = l.origin_id AND x.depart_ts = l.depart_ts
+                    AND x.node = e.v AND x.t <= e.arr)
+  GROUP BY l.origin_id, l.depart_ts, e.v)""") + """
+SELECT r.request_id, r.origin_name, r.destination_name, r.depart_ts, b.t AS arrival,
+       CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
+            WHEN b.t IS NULL THEN 'No connection found' ELSE 'ok' END AS status
+FROM cres r LEFT JOIN lab b ON b.origin_id = r.origin_id AND b.depart_ts = r.depart_ts AND b.node = r.destination_id""")
 def q_earliest_arrival_all(spark, sf_dir):
-    edges = write_table(_edges_w(spark, sf_dir), "edges")  # used for the start set and the search
-    st = roles.graph_stations(spark, sf_dir)
-    starts = edges.select(F.col("u").alias("origin_id")).distinct().select(
-        F.col("origin_id").cast("bigint").alias("request_id"), "origin_id",
-        F.lit(W0).cast("timestamp_ntz").alias("depart_ts"))
-    labels = G.earliest_arrival_labels(starts, edges)
-    o = st.select(F.col("station_id").alias("origin_id"), F.col("station_name").alias("origin_name"))
-    return labels.join(o, "origin_id").join(st, "station_id").select("origin_name", "station_name", "arrival")
+    """One request for every customer."""
+    return G.earliest_arrival(roles.customer_requests(spark, sf_dir), _edges(spark, sf_dir), roles.graph_stations(spark, sf_dir))
 
 
 @register("earliest_arrival_itinerary", _rwith(
-    V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES, _ROUTE_REQ, _ROUTE_STARTS,
+    V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(), _GNAMES, _ROUTE_REQ, _ROUTE_STARTS,
     _LABELS.replace("__STARTS__", "rstart"), """walk(request_id, origin_id, node, label, final_arrival, legs) AS (
   SELECT r.request_id, r.origin_id, r.destination_id, b.arrival, b.arrival,
          CAST([] AS STRUCT(station_id INTEGER, dep TIMESTAMP, train_id BIGINT)[])
@@ -724,13 +796,12 @@ SELECT w.request_id, w.final_arrival AS arrival,
 FROM walk w JOIN rreq r ON r.request_id = w.request_id JOIN gnames d ON d.station_id = r.destination_id
 WHERE w.node = w.origin_id""")
 def q_earliest_arrival_itinerary(spark, sf_dir):
-    return G.itineraries(roles.route_requests(spark), _edges_w(spark, sf_dir), roles.graph_stations(spark, sf_dir))
+    return G.itineraries(roles.route_requests(spark), _edges(spark, sf_dir), roles.graph_stations(spark, sf_dir))
 
 
-@register("route_status", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(W0, W1), _GNAMES, _ROUTE_REQ,
+@register("route_status", _rwith(V.GRAPH_MOVEMENTS, V.GRAPH_STATIONS, V.edges_cte(), _GNAMES, _ROUTE_REQ,
                                  _ROUTE_STARTS, _LABELS.replace("__STARTS__", "rstart"),
-                                 f"""rng AS (SELECT min(planned_time) AS lo, max(planned_time) AS hi FROM gm
-  WHERE planned_time >= TIMESTAMP '{W0}' AND planned_time < TIMESTAMP '{W1}')""") + """
+                                 f"""rng AS (SELECT min(planned_time) AS lo, max(planned_time) AS hi FROM gm)""") + """
 SELECT r.request_id,
        CASE WHEN r.origin_id IS NULL OR r.destination_id IS NULL THEN 'Station not found'
             WHEN b.arrival IS NULL THEN 'No connection found' ELSE 'ok' END AS status,
@@ -738,8 +809,8 @@ SELECT r.request_id,
 FROM rreq r LEFT JOIN best b ON b.request_id = r.request_id AND b.node = r.destination_id, rng""")
 def q_route_status(spark, sf_dir):
     moves = roles.graph_movements(spark, sf_dir)
-    res = G.earliest_arrival(roles.route_requests(spark), _edges_w(spark, sf_dir), roles.graph_stations(spark, sf_dir))
-    return G.route_status(res, G.time_range(moves, W0, W1))
+    res = G.earliest_arrival(roles.route_requests(spark), _edges(spark, sf_dir), roles.graph_stations(spark, sf_dir))
+    return G.route_status(res, G.time_range(moves))
 
 
 def queries() -> dict[str, QueryFn]:

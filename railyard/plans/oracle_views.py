@@ -45,8 +45,8 @@ TIME_DIM = """dim_time AS (
          dayname(slot_ts) AS day_of_week, CAST(hour(slot_ts) AS INTEGER) AS hour,
          CAST(minute(slot_ts) AS INTEGER) AS minute,
          hour(slot_ts) IN (7, 8, 17, 18) AS is_peak_hour, isodow(slot_ts) >= 6 AS is_weekend
-  FROM (SELECT unnest(generate_series(b.s, b.s + INTERVAL 14 DAY, INTERVAL 15 MINUTE)) AS slot_ts
-        FROM (SELECT date_trunc('day', min(ts)) AS s FROM events) b))"""
+  FROM (SELECT unnest(generate_series(b.s, b.e, INTERVAL 15 MINUTE)) AS slot_ts
+        FROM (SELECT date_trunc('day', min(ts)) AS s, max(ts) AS e FROM events) b))"""
 
 SLOTTED_EVENTS = """slotted AS (
   SELECT event_id, user_id AS station_id, event_type <> 'view' AS is_arrival,
@@ -85,12 +85,13 @@ GRAPH_STATIONS = """gstations AS (
   SELECT DISTINCT station_id, format('st{:03d}', station_id) AS station_name FROM gm)"""
 
 
-def edges_cte(start: str, end: str, name: str = "edges") -> str:
+def edges_cte(start: str | None = None, end: str | None = None, name: str = "edges") -> str:
+    window = f"WHERE planned_time >= TIMESTAMP '{start}' AND planned_time < TIMESTAMP '{end}'" if start else ""
     return f"""{name} AS (
   SELECT train_id, station_id AS u, nxt_station AS v, planned_time AS dep, nxt_time AS arr
   FROM (SELECT *, lead(station_id) OVER w AS nxt_station, lead(is_arrival) OVER w AS nxt_arrival,
                lead(planned_time) OVER w AS nxt_time
-        FROM gm WHERE planned_time >= TIMESTAMP '{start}' AND planned_time < TIMESTAMP '{end}'
+        FROM gm {window}
         WINDOW w AS (PARTITION BY train_id ORDER BY planned_time, tie))
   WHERE NOT is_arrival AND nxt_arrival AND station_id <> nxt_station)"""
 

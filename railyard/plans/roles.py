@@ -22,8 +22,7 @@ ROLE_OVERRIDES = {
 }
 ROLE_UNMATCHED = "Zzyzx Qwv"
 
-# Graph windows: 3 days for fewest hops, the whole month for earliest arrival.
-HOPS_WINDOW = ("2024-01-01 00:00:00", "2024-01-04 00:00:00")
+# A window of planned time, for the query whose feature it is; the searches take the whole table.
 ARRIVAL_WINDOW = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
 
 
@@ -104,11 +103,13 @@ def movement_events(spark, sf_dir) -> DataFrame:
 # --- time slots -----------------------------------------------------------------
 
 def time_dim(spark, sf_dir) -> DataFrame:
-    """15-minute slots from the first event day for 14 days (later events miss)."""
-    bounds = (table(spark, sf_dir, "events")
-              .agg(start_of_day(F.min("ts")).alias("start"))
-              .select("start", (F.col("start") + F.expr("INTERVAL 14 DAYS")).alias("end")))
-    return time_dimension(bounds)
+    """15-minute slots from the first event day to the last event."""
+    return time_dimension(table(spark, sf_dir, "events").agg(start_of_day(F.min("ts")).alias("start"), F.max("ts").alias("end")))
+
+
+def weekday_time_dim(spark, sf_dir) -> DataFrame:
+    """The slots of working days only, so that events at weekends have none."""
+    return time_dim(spark, sf_dir).filter(~F.col("is_weekend"))
 
 
 def slotted_events(spark, sf_dir) -> DataFrame:
@@ -194,6 +195,25 @@ def route_requests(spark) -> DataFrame:
                                  "request_id int, origin_name string, destination_name string, depart_text string")
 
 
+def customer_requests(spark, sf_dir) -> DataFrame:
+    """One route request per customer: stations and departure follow from its keys."""
+    first = table(spark, sf_dir, "events").agg(F.min("ts").alias("first"))
+    c = table(spark, sf_dir, "customer").crossJoin(first)  # an aggregate of one row
+    hours = F.make_dt_interval(F.lit(0), F.col("c_nationkey").cast("int"))
+    return c.select(F.col("c_custkey").alias("request_id"),
+                    F.format_string("st%03d", F.col("c_custkey") % 100).alias("origin_name"),
+                    F.format_string("st%03d", (F.col("c_custkey") * 7 + F.col("c_nationkey")) % 100).alias("destination_name"),
+                    (F.col("first") + hours).alias("depart_ts"))
+
+
+def snapshot_fact(spark, sf_dir) -> DataFrame:
+    """A fact with trains in which a stop event has a row per snapshot."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_partkey").alias("train_id"), F.col("l_suppkey").alias("station_id"),
+                     F.col("l_orderkey").alias("stop_id"), (F.col("l_linestatus") == F.lit("F")).alias("is_arrival"),
+                     F.col("l_shipdate").alias("planned_time"), *[F.col(c) for c in SNAPSHOT_ORDER])
+
+
 # --- XML snapshot documents --------------------------------------------------------------
 
 # Stops per document are bounded: a document holds the events of one station

@@ -11,11 +11,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows below which a dimension-like side may be broadcast. Checked at run time
-# by a count on that side (an aggregate, not a collect of rows).
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "railyard") -> SparkSession:
     """Session for local runs and tests; on a cluster use the cluster's builder.
@@ -33,7 +28,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", os.environ.get("BENCH_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -46,8 +41,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; it is only set here when
-    absent (local runs and tests), never overridden.
+    The cluster names it in ``spark.checkpoint.dir``; it is never overridden.
+    Only a local master, whose executors are the driver's process, gets a
+    temporary folder where it is unset; on a cluster that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,8 +52,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
-    else:
+    elif sc.master.startswith("local") and not sc.master.startswith("local-cluster"):
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="railyard-ckpt-"))
+    else:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return sc.getCheckpointDir()
 
 
@@ -67,29 +65,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/railyard-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def broadcast_if(df: DataFrame, n_rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``n_rows`` (a count measured on ``df``) is within the bound."""
-    return F.broadcast(df) if 0 <= n_rows <= max_rows else df
-
-
-def size_checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if a run-time row count proves it small.
-
-    Beyond the bound the frame is returned unhinted, so the planner falls back
-    to a shuffle join (with AQE's skew splitting) instead of shipping a
-    data-sized table to every executor.
-    """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def debug(msg: str) -> None:
     """Loop progress on stderr when RAILYARD_DEBUG is set."""
     if os.environ.get("RAILYARD_DEBUG"):
         print(f"[railyard {time.strftime('%H:%M:%S')}] {msg}", file=sys.stderr, flush=True)
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     This is how iterative jobs cut lineage and plan growth each round: the
@@ -98,10 +80,19 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_table_metrics(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, dict]:
+    """``write_table`` that also returns aggregates of the rows, taken by the same job."""
+    from pyspark.sql import Observation
+    seen = Observation(f"railyard_{name.replace('-', '_')}_{uuid.uuid4().hex[:8]}")
+    table = write_table(df.observe(seen, *[m.alias(k) for k, m in metrics.items()]), name)
+    return table, dict(seen.get)
+
+
 class TablePair:
     """Two alternating folders for loop state that only depends on the previous round.
 
@@ -134,3 +125,14 @@ def write_table_observed(df: DataFrame, name: str, metric=None, pair: TablePair
     df.observe(obs, metric.alias("m")).write.mode("overwrite").parquet(path)
     value = obs.get.get("m")
     return spark.read.schema(df.schema).parquet(path), int(value or 0)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Delete the folder of a table that ``write_table`` made and nothing reads any more."""
+    spark = df.sparkSession
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_dir(spark)}/railyard-tables")
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        if files.makeQualified(path).toString().startswith(files.makeQualified(base).toString()):
+            files.delete(path, True)

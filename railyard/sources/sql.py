@@ -13,14 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def run_sql(spark: SparkSession, sql_text: str, params: Mapping[str, object] | None = None,
-            views: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Register ``views`` as temp views, then run ``sql_text`` with named parameters."""
-    for name, df in (views or {}).items():
-        df.createOrReplaceTempView(name)
-    text = sql_text.strip().rstrip(";")
-    return spark.sql(text, args=dict(params or {}))
+            frames: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Run ``sql_text`` with named parameters; the ``frames`` are tables of that name for this statement only.
+
+    A statement's names are resolved when it is submitted, so the frames are
+    views just that long; a view of the caller's with such a name is put back.
+    """
+    mine = dict(frames or {})
+    before = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name in mine} if mine else {}
+    try:
+        for name, df in mine.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(sql_text.strip().rstrip(";"), args=dict(params or {}))
+    finally:
+        for name in mine:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)
 
 
 def run_sql_file(spark: SparkSession, path: str, params: Mapping[str, object] | None = None,
-                 views: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    return run_sql(spark, Path(path).read_text(encoding="utf-8"), params, views)
+                 frames: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    return run_sql(spark, Path(path).read_text(encoding="utf-8"), params, frames)

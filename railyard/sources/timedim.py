@@ -42,14 +42,15 @@ def time_dimension_between(spark: SparkSession, start: str = TIME_DIM_START, end
 
 
 def slot_join(fact: DataFrame, dim_time: DataFrame, ts_col: str = "slot_ts") -> DataFrame:
-    """Attach ``time_id`` by equality on the slot timestamp; rows without a slot drop out.
+    """Attach ``time_id`` by equality on the slot timestamp; rows without a slot drop out (see ``slot_misses``).
 
-    The dimension is bounded by its date range, so it is broadcast.
+    Whether the dimension is broadcast is left to the planner, by its measured bytes.
     """
-    dims = F.broadcast(dim_time.select(F.col("slot_ts").alias("_slot"), "time_id"))
+    dims = dim_time.select(F.col("slot_ts").alias("_slot"), "time_id")
     return fact.join(dims, F.col(ts_col) == F.col("_slot"), "inner").drop("_slot")
 
 
 def slot_misses(fact: DataFrame, dim_time: DataFrame, ts_col: str = "slot_ts") -> DataFrame:
-    dims = F.broadcast(dim_time.select(F.col("slot_ts").alias("_slot")))
+    """Rows whose slot the dimension does not hold."""
+    dims = dim_time.select(F.col("slot_ts").alias("_slot"))
     return fact.join(dims, F.col(ts_col) == F.col("_slot"), "left_anti")

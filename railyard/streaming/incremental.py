@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from railyard.constants import CHANGE_FILE_SUFFIX
 from railyard.functions.timefmt import parse_compact_ts
 from railyard.operators.merge import update_merge_coalesce
-from railyard.session import scratch_path
 from railyard.sources.xml import warehouse_change_rows
 
 LOG_COLUMNS = ["station_name", "file_path", "snapshot_ts", "pos", "stop_id", "is_arrival", "ct", "cp", "cs", "clt"]
@@ -32,16 +31,19 @@ def change_stream(spark: SparkSession, root: str, max_files_per_trigger: int | N
                       parse_compact_ts(F.element_at(F.split(path, "/"), -2)).alias("snapshot_ts"), "value")
 
 
-def ingest_changes(spark: SparkSession, root: str, log_path: str, checkpoint_location: str | None = None,
-                   available_now: bool = True):
-    """Start (and with ``available_now`` finish) the ingest; returns the StreamingQuery."""
-    checkpoint_location = checkpoint_location or scratch_path(spark, "change-stream")
+def ingest_changes(spark: SparkSession, root: str, log_path: str, checkpoint_location: str,
+                   available_now: bool = True, max_files_per_trigger: int | None = None):
+    """Start (and with ``available_now`` finish) the ingest; returns the StreamingQuery.
+
+    ``checkpoint_location`` is what makes a later call go on where the last
+    one ended, so there is no default.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         rows = warehouse_change_rows(batch).select(*LOG_COLUMNS)
         rows.write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}")
 
-    writer = (change_stream(spark, root).writeStream.foreachBatch(write_batch)
+    writer = (change_stream(spark, root, max_files_per_trigger).writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from railyard.plans import catalog
 from scripts.compare_oracle import canonical, duck
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(catalog.oracle_sql()) == set(catalog.queries())
+    assert set(catalog.queries()) <= set(entry.queries()) and set(catalog.oracle_sql()) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):

@@ -42,8 +42,10 @@ from railyard.llm.tables import materialise, python_tasks
 FIT_ROWS = 20_000
 LIST_ROWS = 256
 MAX_LISTS = 8192
-#: Neighbours of a centroid in the graph, and centroids that a walk keeps.
-DEGREE, BEAM = 16, 64
+#: Neighbours of a centroid in the graph: those it would find as a query, and those of its direction.
+FOUND, ALIKE = 16, 8
+#: Centroids that a walk keeps, and those of them whose neighbours it looks at.
+BEAM, EXPAND = 64, 16
 #: A vector goes into further lists, and a query reads further lists, within these ratios of the closest distance.
 BOUNDARY, PROBE = 1.10, 1.30
 REPLICAS = 4
@@ -78,14 +80,14 @@ class Lists(NamedTuple):
         at = np.broadcast_to(entry, (len(x), len(entry)))
         d = self.distance(x, at)
         while True:
-            near = self.graph[at[:, :8]].reshape(len(x), -1)
+            near = self.graph[at[:, :EXPAND]].reshape(len(x), -1)
             both, dist = np.concatenate([at, near], 1), np.concatenate([d, self.distance(x, near)], 1)
             order = np.lexsort((both, dist), axis=1)
             both, dist = np.take_along_axis(both, order, 1), np.take_along_axis(dist, order, 1)
             dist[:, 1:][both[:, 1:] == both[:, :-1]] = np.inf
             order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
             new, d = np.take_along_axis(both, order, 1), np.take_along_axis(dist, order, 1)
-            if new.shape == at.shape and (new[:, :8] == at[:, :8]).all():
+            if new.shape == at.shape and (new[:, :EXPAND] == at[:, :EXPAND]).all():
                 return new, d
             at = new
 
@@ -144,12 +146,15 @@ def fit(sample: np.ndarray, norm: float, n_rows: int) -> Lists:
         todo += [part[of == c] for c in np.unique(of)]
     c = np.array(done)
     sq = (c * c).sum(1)
-    graph = np.empty((len(c), DEGREE), np.int64)
+    short = np.maximum(np.linalg.norm(c[:, :-1], axis=1, keepdims=True), 1e-30)
+    turned = c[:, :-1] / short
+    graph = np.empty((len(c), FOUND + ALIKE + 1), np.int64)
     for k in range(0, len(c), 1024):
-        far = sq[None] - 2 * c[k:k + 1024] @ c.T
-        near = np.argsort(far, 1, kind="stable")[:, :DEGREE - 4]
-        graph[k:k + 1024] = np.resize(near, (len(near), DEGREE)) if near.shape[1] < DEGREE - 4 else \
-            np.column_stack([near, r.integers(0, len(c), (len(near), 4))])
+        part = slice(k, k + 1024)
+        found = np.argsort(sq[None] - 2 * c[part, :-1] @ c[:, :-1].T, 1, kind="stable")[:, :FOUND]
+        alike = np.argsort(-(turned[part] @ turned.T), 1, kind="stable")[:, :ALIKE]
+        graph[part, :FOUND] = found[:, np.arange(FOUND) % found.shape[1]]
+        graph[part, FOUND:-1] = alike[:, np.arange(ALIKE) % alike.shape[1]]
     graph[:, -1] = (np.arange(len(c)) + 1) % len(c)  # a ring, so that every centroid can be reached
     return Lists(c, graph, norm)
 

@@ -161,6 +161,7 @@ def repeats_in_block(length: int):
     """From a block's strings the ranges to remove, and the earliest windows of minimisers that lie in several blocks."""
 
     def search(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.drop_duplicates(["doc", "start"])  # a document that two rows repeat
         strings = [bytes(b) for b in block["string"]]
         string, start, common = sorted_suffixes(strings)
         sizes = np.array([len(s) for s in strings])

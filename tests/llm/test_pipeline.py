@@ -1,0 +1,91 @@
+"""The pipeline against plain versions of its stages."""
+
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+import corpus_pipeline as pipeline
+from railyard.llm import language_id, mixing
+from tests.conftest import SF_SMALL
+from tests.llm.test_near_dedup import shingles
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The rows after each stage over the smallest test table."""
+    from railyard.llm.tables import materialise, read
+    out = [read(spark, SF_SMALL, "documents")]
+    for name, stage in pipeline.STAGES:
+        out.append(materialise(stage(spark, out[-1], SF_SMALL), f"test-{name}"))
+    return out
+
+
+def ids(df):
+    return Counter(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_columns(stages):
+    assert all(s.columns == stages[0].columns for s in stages[:-1]) and len(pipeline.STAGES) == 5
+
+
+def test_languages(stages):
+    guess = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(stages[0]).collect()}
+    assert ids(stages[1]) == Counter(i for i, (lang, score) in guess.items() if lang != "und" and score >= pipeline.LEAST_CERTAIN)
+
+
+def test_exact_copies(stages):
+    low = {}
+    for r in stages[1].collect():
+        norm = re.sub(r"[\x20\x09-\x0D]+", " ", r.text)
+        low[norm] = min(low.get(norm, r.doc_id), r.doc_id)
+    assert ids(stages[2]) == Counter(low.values())
+
+
+def test_near_copies(stages):
+    rows = [(r.doc_id, shingles(r.text)) for r in stages[2].collect()]
+    low = {i: i for i, _ in rows}
+
+    def find(x):
+        while low[x] != x:
+            x = low[x]
+        return x
+
+    for k, (a, x) in enumerate(rows):
+        for b, y in rows[:k]:
+            if x and y and min(len(x), len(y)) * 100 >= 85 * max(len(x), len(y)) and 100 * len(x & y) >= 85 * len(x | y):
+                p, q = sorted((find(a), find(b)))
+                low[q] = p
+    assert ids(stages[3]) == Counter(i for i, _ in rows if find(i) == i)
+
+
+def test_mix(stages):
+    copies = {r.doc_id: r.copies for r in mixing.mix(stages[3]).collect() if r.copies}
+    assert ids(stages[4]) == Counter(copies)
+
+
+def test_tokens(stages):
+    assert ids(stages[5]) == ids(stages[4]) and stages[5].filter(~F.col("round_trip")).count() == 0
+
+
+def test_odd_rows(spark, make_docs, odd_rows):
+    docs = make_docs(odd_rows)
+    for _, stage in pipeline.STAGES[1:]:
+        docs = stage(spark, docs, SF_SMALL)
+    assert docs.count() > 0 and docs.filter(~F.col("round_trip")).count() == 0
+    kept = pipeline.drop_exact_copies(spark, make_docs(odd_rows), SF_SMALL)
+    assert kept.filter("doc_id = 13").count() == 1 and kept.columns == make_docs([]).columns
+
+
+def test_empty_documents(spark, make_docs):
+    docs = make_docs([])
+    for _, stage in pipeline.STAGES:
+        docs = stage(spark, docs, SF_SMALL)
+    assert docs.collect() == []
+
+
+def test_registered():
+    names = entry.queries()
+    assert "pipeline" in names and {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == set(map(str, range(1, 11)))

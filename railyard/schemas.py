@@ -2,11 +2,12 @@
 
 from pyspark.sql import types as T
 
+# FIXED VALUES: column names, types and keys of the published tables.
 DIM_STATION = T.StructType([
     T.StructField("station_id", T.LongType(), False),
     T.StructField("station_name", T.StringType(), False),
-    T.StructField("latitude", T.DoubleType(), True),
-    T.StructField("longitude", T.DoubleType(), True),
+    T.StructField("latitude", T.DecimalType(9, 6), True),
+    T.StructField("longitude", T.DecimalType(9, 6), True),
     T.StructField("ifopt_id", T.StringType(), True),
     T.StructField("category", T.IntegerType(), True),
     T.StructField("price_category", T.IntegerType(), True),

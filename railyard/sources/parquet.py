@@ -23,7 +23,8 @@ def write_movement_events(df: DataFrame, path: str | None = None, mode: str = "o
     spark = df.sparkSession
     path = path or scratch_path(spark, "movement_event")
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in MOVEMENT_EVENT.fields]
-    (df.select(*cols).filter(F.col("event_date").isNotNull())
+    # Rebalanced by date: small dates share a task and a file each, large ones are split.
+    (df.select(*cols).filter(F.col("event_date").isNotNull()).hint("rebalance", "event_date")
        .write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
        .partitionBy("event_date").parquet(path))
     return path
@@ -32,7 +33,7 @@ def write_movement_events(df: DataFrame, path: str | None = None, mode: str = "o
 def overwrite_dates(df: DataFrame, path: str) -> str:
     """Replace only the ``event_date`` partitions present in ``df`` (dynamic partition overwrite)."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in MOVEMENT_EVENT.fields]
-    (df.select(*cols).filter(F.col("event_date").isNotNull())
+    (df.select(*cols).filter(F.col("event_date").isNotNull()).hint("rebalance", "event_date")
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy("event_date").parquet(path))
     return path

@@ -11,6 +11,8 @@ irrelevant and malformed or empty text yields no rows and is reported.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,12 @@ def scan_snapshot_files(spark: SparkSession, root: str, suffix: str = PLAN_FILE_
     ``validate_folder`` files in folders with another name are skipped (plan
     scan); the change scan keeps them with a null snapshot time.
     """
-    df = (spark.read.format("text").option("wholetext", True).load(f"{root.rstrip('/')}/*/*{suffix}")
+    # Listed by Spark (in parallel where there are many folders), not expanded from a pattern on the driver.
+    df = (spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True)
+          .option("pathGlobFilter", f"*{suffix}").load(root)
           .select(F.col("_metadata.file_path").alias("file_path"), "value"))
+    one_below = re.escape(root.rstrip("/").rsplit("/", 1)[-1]) + "/[^/]+/[^/]+$"
+    df = df.filter(F.col("file_path").rlike(f"/{one_below}"))
     folder = F.element_at(F.split("file_path", "/"), -2)
     out = df.withColumn("snapshot_ts", parse_compact_ts(folder))
     if validate_folder:

@@ -141,3 +141,20 @@ def test_sql_frames_leave_the_callers_views_alone(spark):
     got = run_sql(spark, "SELECT count(*) AS n FROM mine WHERE id < :most;", {"most": 2}, {"mine": spark.range(100)})
     assert got.first().n == 2 and spark.table("mine").count() == 5
     spark.catalog.dropTempView("mine")
+
+
+def test_star_tables_are_typed_checked_and_replaced(spark, tmp_dir):
+    from railyard.sources import star
+    stations = spark.createDataFrame([(1, "A", 52.1234567, 13.0), (2, "B", None, None)], "station_id int, station_name string, latitude double, longitude double")
+    fact = spark.createDataFrame([(1, 5, "S-1", "x", True), (2, 5, "S-1", "x", True), (2, 6, "S-1", "y", False)],
+                                 "station_id long, time_id int, train_id string, stop_id string, is_arrival boolean")
+    got = star.write_star_table(stations, tmp_dir, "dim_station")
+    assert str(got.orderBy("station_id").first().latitude) == "52.123457"
+    star.write_star_table(fact, tmp_dir, star.FACT)
+    with pytest.raises(ValueError, match="repeated"):
+        star.write_star_table(fact.unionByName(fact), tmp_dir, star.FACT)
+    with pytest.raises(ValueError, match="station_name"):
+        star.write_star_table(stations.drop("station_name"), tmp_dir, "dim_station")
+    lost = star.replace_dimension(stations.filter("station_id = 2"), tmp_dir, "dim_station")
+    assert [r.station_id for r in lost.collect()] == [1]
+    assert star.read_star_table(spark, tmp_dir, star.FACT).count() == 2

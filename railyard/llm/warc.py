@@ -4,9 +4,9 @@ An archive is two tables. ``payloads`` holds the bytes of each distinct
 payload once, under their SHA-256 digest. ``heads`` holds, per record, the
 exact bytes in front of the payload (WARC header block, and for a response the
 HTTP head) and the digest. A record is rebuilt byte for byte by joining the
-two. Digests are verified twice: when the archive is written every row's bytes
-are compared with the stored ones, and when it is read every payload is hashed
-again; a difference ends the job with an error.
+two. Digests are verified twice: when the archive is written all payloads under
+a digest must agree in a second hash, and when it is read every payload is
+hashed again; a difference ends the job with an error.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes, the one with
 the largest ``page_id`` is the response and the others revisit it; smaller
@@ -22,6 +22,7 @@ in urls are percent-encoded, as they would end the header. Only ``page_id``,
 
 from __future__ import annotations
 
+import uuid
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,7 +39,7 @@ HTTP_HEAD = f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}C
 
 
 class Archive(NamedTuple):
-    """Folders of the two tables."""
+    """The folder of the heads, and the name of the payloads' table (its files lie in the session's warehouse)."""
 
     heads: str
     payloads: str
@@ -52,7 +53,8 @@ def plan_records(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """``page_id, url, payload, n, digest, keeper``: ``keeper`` is the id of the response to revisit, else null."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", F.coalesce("url", F.lit("")).alias("url"), payload.alias("payload"),
-                        F.octet_length(payload).cast("long").alias("n"), F.sha2(payload, 256).alias("digest"))
+                        F.octet_length(payload).cast("long").alias("n"), F.sha2(payload, 256).alias("digest"),
+                        F.sha1(payload).alias("sha1"))
     groups = rows.filter(F.col("n") >= min_revisit).groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count(F.lit(1)).alias("k")) \
         .filter("k > 1").drop("k")
     return rows.join(groups, "digest", "left")
@@ -72,7 +74,7 @@ def heads(rows: DataFrame, date: str) -> DataFrame:
         F.lit(f"WARC/1.1{CRLF}"),
         line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         line("WARC-Record-ID", record_urn(F.col("page_id"))), line("WARC-Date", date), line("WARC-Target-URI", url),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.sha1("payload"))),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         F.when(revisit, F.concat(line("WARC-Refers-To", record_urn(F.col("keeper"))), line("WARC-Profile", PROFILE)))
         .otherwise(F.lit("")),
         line("Content-Type", "application/http;msgtype=response"), line("Content-Length", length.cast("string")),
@@ -81,15 +83,20 @@ def heads(rows: DataFrame, date: str) -> DataFrame:
 
 
 def write_archive(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", archive: Archive | None = None) -> Archive:
-    """Write the two tables; by default into the shared checkpoint folder."""
+    """Write the two tables; by default into the shared checkpoint folder and a new table of the warehouse.
+
+    The payloads are bucketed by digest, so that reading records moves the narrow heads and not the payloads.
+    """
     spark = pages.sparkSession
-    archive = archive or Archive(scratch_path(spark, "llm-warc-heads"), scratch_path(spark, "llm-warc-payloads"))
+    archive = archive or Archive(scratch_path(spark, "llm-warc-heads"), f"warc_payloads_{uuid.uuid4().hex}")
     rows = plan_records(pages)
-    rows.groupBy("digest").agg(F.first("payload").alias("payload")).write.mode("overwrite").parquet(archive.payloads)
-    stored = spark.read.parquet(archive.payloads).withColumnRenamed("payload", "stored")
-    same = F.assert_true(F.col("payload") == F.col("stored"), "two payloads share a digest")
-    checked = rows.join(stored, "digest").filter(same.isNull()).drop("stored")
-    heads(checked, date).write.mode("overwrite").parquet(archive.heads)
+    other = F.xxhash64("payload")
+    same = F.assert_true(F.col("low") == F.col("high"), "two payloads share a digest")
+    (rows.groupBy("digest").agg(F.first("payload").alias("payload"), F.min(other).alias("low"), F.max(other).alias("high"))
+     .filter(same.isNull()).drop("low", "high")
+     .write.mode("overwrite").option("compression", "zstd")
+     .bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), "digest").saveAsTable(archive.payloads))
+    heads(rows, date).write.mode("overwrite").parquet(archive.heads)
     return archive
 
 
@@ -99,7 +106,7 @@ def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
     ``payload`` is the full payload also for a revisit (that is what the join
     is for); ``record`` is what a WARC file holds for it, a revisit without the payload.
     """
-    stored = spark.read.parquet(archive.payloads)
+    stored = spark.table(archive.payloads)
     true = F.assert_true(F.sha2("payload", 256) == F.col("digest"), "a stored payload differs from its digest")
     rows = spark.read.parquet(archive.heads).join(stored.filter(true.isNull()), "digest")
     is_revisit = field("WARC-Type") == "revisit"

@@ -4,13 +4,18 @@
    universal hashes over it, band keys of ``ROWS`` minima each, and a signature
    of one bit per minimum. Texts with equal sets are one node from here on
    (the smallest ``doc_id``), so groups of copies cost one row each.
-2. Nodes that share a band key are compared with the smallest node of the key.
-   A pair is confirmed on the full sets; the sizes and the signatures rule
-   out nearly all others before.
+2. Nodes that share a band key are compared with the key's leader, its node
+   with the most neighbours in all bands (of a group of altered copies that is
+   one near the original). A pair is confirmed on the full sets; the sizes and
+   the signatures rule out nearly all others before.
 3. Components of the confirmed links by alternating large-star and small-star.
-4. What a star may have missed: pairs that share a band key but lie in
-   different components are all compared too (sizes and signatures first), and
-   the components are taken again. No cap bounds these pairs.
+4. What a star may have missed lies in keys whose nodes are still in different
+   components. With up to ``FEW`` nodes, those pairs of a key are compared that
+   the sizes and signatures allow. In larger keys nodes are reduced to their
+   differences from the leader: two nodes are similar enough exactly if they
+   share enough differences, and as a node that is not linked to the leader
+   has many, a prefix-filtered join on the rarest of them finds every such
+   pair without pairing off the group. Then components are taken again.
 
 With 32 bands of 6, two texts at a similarity of exactly 0.85 share no band with
 a probability of 3 in ten million, and fail the signature test (5.5 standard
@@ -39,6 +44,8 @@ BANDS, ROWS = 32, 6
 WORDS = 3
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 85
+#: Nodes of a key up to which its open pairs are compared directly; beyond, by their differences from the leader.
+FEW = 32
 #: Standard deviations by which the signatures' agreement may fall short of what PERCENT lets expect.
 DEVIATIONS = 5.5
 
@@ -90,15 +97,23 @@ def near_enough(percent: int) -> Column:
     return size & (agree >= least_agreement(percent))
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of the pairs ``a, b`` those whose full shingle sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, s``: the whole shingle sets (sorted 64-bit hashes) of these documents; of rows repeating an id any one."""
 
     @F.pandas_udf("binary")
     def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([s.tobytes() for g in groups(texts) for s in shingle_sets(g, width)], dtype="object")
 
+    sets = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", full_set("text").alias("s"))
+    return materialise(sets, "near-sets").dropDuplicates(["doc_id"])
+
+
+def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Of the pairs ``a, b`` those whose full shingle sets are similar enough."""
+    sets = full_sets(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(),
+                     docs, width)
+
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
@@ -108,14 +123,57 @@ def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> Da
             out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype="bool")
 
-    # Rows repeating a doc_id: any one text of the node stands for it.
-    sets = materialise(docs.select("doc_id", "text").join(wanted, "doc_id").select("doc_id", full_set("text").alias("s")), "near-sets")
-    sets = sets.dropDuplicates(["doc_id"])
     left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("a_set"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("b_set"))
     return pairs.join(left, "a").join(right, "b").filter(similar("a_set", "b_set")).select("a", "b")
 
 
+def across_few(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of one key in different components that sizes and signatures allow."""
+    left, right = (rest.select("key", F.col("doc_id").alias(s), F.col("component").alias(f"{s}_component"),
+                               F.col("n").alias(f"{s}_n"), F.col("signature").alias(f"{s}_signature")) for s in "ab")
+    return left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
+                                          & near_enough(percent)).select("a", "b").distinct()
+
+
+def across_many(rest: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs ``a, b`` in different components that share enough differences from the leader of a key of theirs.
+
+    With ``D`` the differences of a node from the leader and ``slack`` the part
+    of two sizes by which similar sets may differ, nodes are similar exactly
+    if they share at least ``(|Da| + |Db| - slack * (|a| + |b|)) / 2`` differences.
+    """
+    slack = (100 - percent) / (100 + percent)
+    members = materialise(rest.select("leader", "doc_id", "component", "n").distinct(), "near-members")
+
+    @F.pandas_udf("array<long>")
+    def differences(left: pd.Series, right: pd.Series) -> pd.Series:
+        return pd.Series([np.setxor1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True)
+                          for x, y in zip(left, right, strict=True)], dtype="object")
+
+    sets = full_sets(members.select("doc_id").unionByName(members.select(F.col("leader").alias("doc_id"))).distinct(), docs, width)
+    apart = members.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("leader"), F.col("s").alias("leader_s")), "leader") \
+        .select("leader", "doc_id", "component", "n", differences("s", "leader_s").alias("d"))
+    apart = materialise(apart.withColumn("k", F.size("d")), "near-differences")
+    each = apart.select("leader", "doc_id", F.explode("d").alias("e"))
+    often = each.groupBy("leader", "e").agg(F.count(F.lit(1)).alias("often"))
+    # The rarest differences first; those beyond the prefix cannot be the first that two similar nodes share.
+    ordered = each.join(often, ["leader", "e"]).groupBy("leader", "doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("often", "e"))).alias("ordered"))
+    least_shared = F.greatest(F.lit(1), F.ceil(F.col("k") - slack * (F.col("n") + F.col("n") * 100 / percent) - 1e-6))
+    rows = apart.drop("d").join(ordered, ["leader", "doc_id"]).select(
+        "leader", "doc_id", "component", "n", "k",
+        F.posexplode(F.slice("ordered", F.lit(1), (F.col("k") - least_shared + 1).cast("int"))).alias("at", "p")) \
+        .filter("p.often > 1").withColumn("e", F.col("p.e")).drop("p")
+    rows = materialise(rows, "near-prefixes")
+    left, right = (rows.select("leader", "e", *[F.col(c).alias(f"{s}_{c}") for c in ("doc_id", "component", "n", "k", "at")]) for s in "ab")
+    share = (F.col("a_k") + F.col("b_k") - slack * (F.col("a_n") + F.col("b_n"))) / 2 - 1e-6
+    left_over = F.least(F.col("a_k") - F.col("a_at"), F.col("b_k") - F.col("b_at"))
+    return left.join(right, ["leader", "e"]).filter(
+        (F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_component") != F.col("b_component")) & (left_over >= share)) \
+        .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per document."""
     python_tasks(docs.sparkSession)
@@ -126,33 +184,30 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     copies = materialise(rows.join(nodes, same).select("node", "doc_id"), "near-copies")
     sketch = materialise(rows.join(nodes.withColumnRenamed("node", "doc_id"), [*same, "doc_id"]).dropDuplicates(["doc_id"])
                          .select("doc_id", F.col("n_shingles").alias("n"), "signature", "bands"), "near-nodes")
-    keys = sketch.select("doc_id", F.posexplode("bands").alias("band", "key")).select("doc_id", "key")
-    crowded = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    shared = materialise(keys.join(crowded, "key").select("key", "first", "doc_id"), "near-keys")
+    keys = sketch.select("doc_id", F.explode("bands").alias("key"))
+    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
+    shared = materialise(keys.join(crowded, "key"), "near-keys")
+    known = shared.groupBy("doc_id").agg(F.sum("nodes").alias("neighbours"))
+    leads = shared.join(known, "doc_id").groupBy("key").agg(F.max(F.struct("neighbours", (-F.col("doc_id")).alias("turned"))).alias("m")) \
+        .select("key", (-F.col("m.turned")).alias("leader"))
+    shared = materialise(shared.join(leads, "key"), "near-led")
     side = sketch.select("doc_id", "n", "signature")
-
-    def sides(pairs: DataFrame) -> DataFrame:
-        left, right = (side.select(*[F.col(c).alias(f"{s}_{c}") for c in ("n", "signature")], F.col("doc_id").alias(s)) for s in "ab")
-        return pairs.join(left, "a").join(right, "b").filter(near_enough(percent)).select("a", "b")
-
-    stars = shared.filter("first < doc_id").select(F.col("first").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = materialise(confirmed(materialise(sides(stars), "near-pairs"), docs, width, percent), "near-links")
+    stars = shared.filter("leader <> doc_id").select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct()
+    left, right = (side.select(*[F.col(c).alias(f"{s}_{c}") for c in ("n", "signature")], F.col("doc_id").alias(s)) for s in "ab")
+    likely = materialise(stars.join(left, "a").join(right, "b").filter(near_enough(percent)).select("a", "b"), "near-pairs")
+    links = materialise(confirmed(likely, docs, width, percent), "near-links")
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")) \
         .unionByName(copies.filter("node <> doc_id").select(F.col("node").alias("u"), F.col("doc_id").alias("v")))
     found = components(edges)
-    # Keys whose nodes are still in different components.
     placed = shared.join(found, F.col("doc_id") == F.col("node"), "left") \
-        .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+        .select("key", "leader", "nodes", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .filter("low < high").select("key")
-    rest = materialise(placed.join(open_keys, "key").join(side, "doc_id"), "near-open")
-    left, right = (rest.select("key", F.col("doc_id").alias(s), F.col("component").alias(f"{s}_component"),
-                               F.col("n").alias(f"{s}_n"), F.col("signature").alias(f"{s}_signature")) for s in "ab")
-    across = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b"))
-                       & (F.col("a_component") != F.col("b_component")) & near_enough(percent)) \
-        .select("a", "b").distinct()
-    untried = materialise(across.join(stars, ["a", "b"], "left_anti"), "near-pairs")
-    more = materialise(confirmed(untried, docs, width, percent), "near-links")
+    rest = materialise(placed.filter("nodes > 2").join(open_keys, "key").join(side, "doc_id"), "near-open")
+    untried = across_few(rest.filter(F.col("nodes") <= FEW), percent) \
+        .unionByName(across_many(rest.filter(F.col("nodes") > FEW), docs, width, percent)).distinct() \
+        .join(stars, ["a", "b"], "left_anti")
+    more = materialise(confirmed(materialise(untried, "near-pairs"), docs, width, percent), "near-links")
     if not more.isEmpty():
         found = components(edges.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     out = all_rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")

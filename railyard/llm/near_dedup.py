@@ -12,7 +12,7 @@
 4. What a star may have missed lies in keys whose nodes are still in different
    components. With up to ``FEW`` nodes, those pairs of a key are compared that
    the sizes and signatures allow. In larger keys nodes are reduced to their
-   differences from the leader: two nodes are similar enough exactly if they
+   differences from a leader: two nodes are similar enough exactly if they
    share enough differences, and as a node that is not linked to the leader
    has many, a prefix-filtered join on the rarest of them finds every such
    pair without pairing off the group. Then components are taken again.
@@ -105,14 +105,17 @@ def full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
         for texts in batches:
             yield pd.Series([s.tobytes() for g in groups(texts) for s in shingle_sets(g, width)], dtype="object")
 
-    sets = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", full_set("text").alias("s"))
+    # The list of ids grows with the corpus, so it is not broadcast, whatever its size here.
+    sets = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id").select("doc_id", full_set("text").alias("s"))
     return materialise(sets, "near-sets").dropDuplicates(["doc_id"])
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs ``a, b`` those whose full shingle sets are similar enough."""
-    sets = full_sets(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct(),
-                     docs, width)
 
     @F.pandas_udf("boolean")
     def similar(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -136,32 +139,37 @@ def across_few(rest: DataFrame, percent: int) -> DataFrame:
                                           & near_enough(percent)).select("a", "b").distinct()
 
 
-def across_many(rest: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs ``a, b`` in different components that share enough differences from the leader of a key of theirs.
+def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` in different components of which one is the leader of a key of theirs, or that share enough
+    differences from it.
 
     With ``D`` the differences of a node from the leader and ``slack`` the part
     of two sizes by which similar sets may differ, nodes are similar exactly
     if they share at least ``(|Da| + |Db| - slack * (|a| + |b|)) / 2`` differences.
+    That is above 0 unless both are similar to the leader.
     """
     slack = (100 - percent) / (100 + percent)
-    members = materialise(rest.select("leader", "doc_id", "component", "n").distinct(), "near-members")
+    members = rest.select("leader", "doc_id", "component", "n").distinct()
 
     @F.pandas_udf("array<long>")
     def differences(left: pd.Series, right: pd.Series) -> pd.Series:
         return pd.Series([np.setxor1d(np.frombuffer(x, np.int64), np.frombuffer(y, np.int64), assume_unique=True)
                           for x, y in zip(left, right, strict=True)], dtype="object")
 
-    sets = full_sets(members.select("doc_id").unionByName(members.select(F.col("leader").alias("doc_id"))).distinct(), docs, width)
     apart = members.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("leader"), F.col("s").alias("leader_s")), "leader") \
-        .select("leader", "doc_id", "component", "n", differences("s", "leader_s").alias("d"))
+        .select("leader", "doc_id", "component", "n", differences("s", "leader_s").alias("d"),
+                (F.octet_length("leader_s") / 8).cast("long").alias("leader_n"))
     apart = materialise(apart.withColumn("k", F.size("d")), "near-differences")
+    both = F.col("n") + F.col("leader_n")
+    led = apart.filter((F.col("doc_id") != F.col("leader")) & (100 * (both - F.col("k")) >= percent * (both + F.col("k")))) \
+        .select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b"))
     each = apart.select("leader", "doc_id", F.explode("d").alias("e"))
     often = each.groupBy("leader", "e").agg(F.count(F.lit(1)).alias("often"))
     # The rarest differences first; those beyond the prefix cannot be the first that two similar nodes share.
     ordered = each.join(often, ["leader", "e"]).groupBy("leader", "doc_id").agg(
         F.array_sort(F.collect_list(F.struct("often", "e"))).alias("ordered"))
     least_shared = F.greatest(F.lit(1), F.ceil(F.col("k") - slack * (F.col("n") + F.col("n") * 100 / percent) - 1e-6))
-    rows = apart.drop("d").join(ordered, ["leader", "doc_id"]).select(
+    rows = apart.drop("d", "leader_n").join(ordered, ["leader", "doc_id"]).select(
         "leader", "doc_id", "component", "n", "k",
         F.posexplode(F.slice("ordered", F.lit(1), (F.col("k") - least_shared + 1).cast("int"))).alias("at", "p")) \
         .filter("p.often > 1").withColumn("e", F.col("p.e")).drop("p")
@@ -171,7 +179,7 @@ def across_many(rest: DataFrame, docs: DataFrame, width: int, percent: int) -> D
     left_over = F.least(F.col("a_k") - F.col("a_at"), F.col("b_k") - F.col("b_at"))
     return left.join(right, ["leader", "e"]).filter(
         (F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_component") != F.col("b_component")) & (left_over >= share)) \
-        .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
+        .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).unionByName(led).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -195,19 +203,27 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     stars = shared.filter("leader <> doc_id").select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct()
     left, right = (side.select(*[F.col(c).alias(f"{s}_{c}") for c in ("n", "signature")], F.col("doc_id").alias(s)) for s in "ab")
     likely = materialise(stars.join(left, "a").join(right, "b").filter(near_enough(percent)).select("a", "b"), "near-pairs")
-    links = materialise(confirmed(likely, docs, width, percent), "near-links")
+    crowd = shared.filter(F.col("nodes") > FEW).select("doc_id")
+    sets = full_sets(nodes_of(likely).unionByName(crowd).distinct(), docs, width)
+    links = materialise(confirmed(likely, sets, percent), "near-links")
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")) \
         .unionByName(copies.filter("node <> doc_id").select(F.col("node").alias("u"), F.col("doc_id").alias("v")))
     found = components(edges)
-    placed = shared.join(found, F.col("doc_id") == F.col("node"), "left") \
-        .select("key", "leader", "nodes", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    node, place = F.col("node"), F.coalesce("component", "doc_id").alias("component")
+    placed = shared.join(found, F.col("doc_id") == node, "left").select("key", "leader", "nodes", "doc_id", place)
     open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .filter("low < high").select("key")
     rest = materialise(placed.filter("nodes > 2").join(open_keys, "key").join(side, "doc_id"), "near-open")
-    untried = across_few(rest.filter(F.col("nodes") <= FEW), percent) \
-        .unionByName(across_many(rest.filter(F.col("nodes") > FEW), docs, width, percent)).distinct() \
-        .join(stars, ["a", "b"], "left_anti")
-    more = materialise(confirmed(materialise(untried, "near-pairs"), docs, width, percent), "near-links")
+    # Leaders in one component stand for each other: the one with the most neighbours is the reference of all their keys.
+    large = rest.filter(F.col("nodes") > FEW)
+    led = large.select(F.col("leader").alias("doc_id")).distinct().join(found, F.col("doc_id") == node, "left") \
+        .select("doc_id", place).join(known, "doc_id")
+    chief = led.groupBy("component").agg(F.max_by("doc_id", F.struct("neighbours", -F.col("doc_id"))).alias("chief"))
+    chiefs = led.join(chief, "component").select(F.col("doc_id").alias("leader"), "chief")
+    large = large.join(chiefs, "leader").drop("leader").withColumnRenamed("chief", "leader")
+    untried = materialise(across_few(rest.filter(F.col("nodes") <= FEW), percent).unionByName(across_many(large, sets, percent))
+                          .distinct().join(stars, ["a", "b"], "left_anti"), "near-pairs")
+    more = materialise(confirmed(untried, full_sets(nodes_of(untried), docs, width), percent), "near-links")
     if not more.isEmpty():
         found = components(edges.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
     out = all_rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")

@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Sequence
-from pathlib import Path
 
 import numpy as np
 
@@ -22,23 +21,34 @@ MOST = 255
 
 
 class ColumnFiles:
-    """The two sequential files of a collection, in a temporary folder of the task that goes with the object."""
+    """The two sequential files of a collection, each in two turns, in temporary files that go with the object."""
 
     def __init__(self):
-        self.folder = tempfile.TemporaryDirectory(prefix="columns-")
-        self.turn = 0
+        self.turns = [[tempfile.TemporaryFile(buffering=0) for _ in range(2)] for _ in range(2)]
+        self.turn, self.size = 0, 0
 
-    def write(self, symbols: np.ndarray, common: np.ndarray) -> None:
+    def write(self, *columns: np.ndarray) -> None:
         self.turn ^= 1
-        for name, column in (("symbols", symbols), ("common", common)):
-            column.tofile(Path(self.folder.name, f"{name}-{self.turn}"))
-
-    def read(self) -> tuple[np.ndarray, np.ndarray]:
-        symbols, common = (np.fromfile(Path(self.folder.name, f"{name}-{self.turn}"), np.uint8) for name in ("symbols", "common"))
-        return symbols, common
+        self.size = len(columns[0])
+        for file, column in zip(self.turns[self.turn], columns, strict=True):
+            file.seek(0)
+            left = memoryview(column)
+            while left:
+                left = left[file.write(left):]
+
+    def read(self) -> list[np.ndarray]:
+        columns = []
+        for file in self.turns[self.turn]:
+            file.seek(0)
+            columns.append(np.empty(self.size, np.uint8))
+            left = memoryview(columns[-1])
+            while left:
+                left = left[file.readinto(left):]
+        return columns
 
     def close(self) -> None:
-        self.folder.cleanup()
+        for file in [f for turn in self.turns for f in turn]:
+            file.close()
 
 
 def least_between(common: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -73,17 +83,19 @@ def sorted_suffixes(strings: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, n
             on = np.flatnonzero(lengths >= j)
             symbols, common = files.read()
             by_symbol = tails(symbols)
-            rank = np.empty(len(symbols), np.int64)
-            rank[by_symbol] = np.arange(len(by_symbol))
+            rank = np.empty(len(symbols), np.int32)
+            rank[by_symbol] = np.arange(len(by_symbol), dtype=np.int32)
             new = np.sort(rank[at[on]])
             # The inserted suffixes and those that follow them have a new neighbour before them.
-            touched = np.union1d(new, new[new + 1 < len(by_symbol)] + 1)
+            mark = np.zeros(len(by_symbol) + 1, bool)
+            mark[new] = mark[new + 1] = True
+            touched = np.flatnonzero(mark[:-1])
             same = touched[(touched > 0) & (symbols[by_symbol[touched]] == symbols[by_symbol[touched - 1]])]
             at[on] = n + rank[at[on]]
-            inserted = np.zeros(len(symbols) + len(on), bool)
-            inserted[n + new] = True
-            next_symbols, next_common = np.empty(len(inserted), np.uint8), np.empty(len(inserted), np.uint8)
-            next_symbols[~inserted], next_common[~inserted] = symbols, common
+            old = np.ones(len(symbols) + len(on), bool)
+            old[n + new] = False
+            next_symbols, next_common = np.empty(len(old), np.uint8), np.empty(len(old), np.uint8)
+            next_symbols[old], next_common[old] = symbols, common
             next_symbols[at[on]] = columns[j, on]
             next_common[n + touched] = 0
             next_common[n + same] = 1 + least_between(common, by_symbol[same - 1] + 1, by_symbol[same] + 1)

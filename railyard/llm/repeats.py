@@ -48,7 +48,7 @@ from railyard.llm.shingles import BASE, mixed, powers
 from railyard.llm.tables import materialise, python_tasks
 
 LENGTH = 100
-GRAM = 16
+GRAM = 32
 #: Strings of a block; its transform holds some 150 bytes for each.
 BLOCK = 8192
 #: Windows that are hashed as one array; longer texts are taken piece by piece.

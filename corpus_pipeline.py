@@ -29,11 +29,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal up to white space the one with the smallest doc_id stays."""
-    stays = exact_dedup.exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("stays_id"), "text_sha256")
+    stays = exact_dedup.exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("stays_id"), F.col("text_sha256").alias("stays_digest"))
     one = stays.distinct()
     repeated = stays.count() > one.count()
     digest = F.sha2(exact_dedup.normalised(F.col("text")).cast("binary"), 256)
-    same = (F.col("digest_of_text") == F.col("text_sha256")) & F.col("doc_id").eqNullSafe(F.col("stays_id"))
+    same = (F.col("digest_of_text") == F.col("stays_digest")) & F.col("doc_id").eqNullSafe(F.col("stays_id"))
     kept = docs.withColumn("digest_of_text", digest).join(one, same, "left_semi")
     # Rows that repeat the identifier too: any one of them.
     kept = kept.dropDuplicates(["digest_of_text"]) if repeated else kept

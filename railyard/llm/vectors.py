@@ -10,8 +10,12 @@ gets one more component that brings it to the largest norm (a query's is 0).
 * Lists: every row walks the graph to its closest centroid. Vectors near a
   boundary are also put into the lists of other centroids that are almost as
   close, unless such a centroid is closer to one already chosen.
-* Searching: a query walks the graph and reads all lists whose centroid is
-  within a ratio of the closest one's distance. Lists and the queries
+* Searching: a query reads all lists whose centroid is within a ratio of the
+  closest one's distance. A walk of the graph can miss some and keeps a fixed
+  number, so a query's distances to all centroids are taken, in one matrix
+  product. As the closest distance may be near 0, the ratio applies to the last
+  of the ``LEAST_LISTS`` closest lists that have rows, or of as many as surely
+  hold the wanted number of candidates. Lists and the queries
   that read them meet by a join on the list; both sides of a list are dealt out
   in blocks, so neither a crowded list nor a list that many queries read is
   one task. Blocks return their nearest few, and the nearest of all are kept.
@@ -49,6 +53,10 @@ BEAM, EXPAND = 64, 16
 #: A vector goes into further lists, and a query reads further lists, within these ratios of the closest distance.
 BOUNDARY, PROBE = 1.10, 1.30
 REPLICAS = 4
+#: Lists that a query reads at least.
+LEAST_LISTS = 4
+#: Rows of a frame of dealt vectors.
+FRAME = 16_384
 #: Rows of a block of a list, and of the queries that read it.
 BLOCK = 4096
 RESULT = "query_id long, rank int, vec_id long, score double"
@@ -110,10 +118,18 @@ class Lists(NamedTuple):
             out.append(np.array(chosen))
         return out
 
-    def probes(self, x: np.ndarray) -> list[np.ndarray]:
-        """The lists that each query reads."""
-        at, d = self.walk(x)
-        return [row[dist <= PROBE * dist[0] + 1e-12] for row, dist in zip(at, d, strict=True)]
+    def probes(self, x: np.ndarray, sizes: np.ndarray, wanted: int) -> list[np.ndarray]:
+        """The lists that each query reads, closest first; ``sizes`` are the rows of all lists, at least one of which has some."""
+        used = np.flatnonzero(sizes)
+        c = self.centroids[used]
+        d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1) - 2 * x @ c.T, 0))
+        order = np.argsort(d, axis=1, kind="stable")
+        d = np.take_along_axis(d, order, 1)
+        # A row is in up to REPLICAS lists, and one candidate may be the query itself.
+        short = (sizes[used][order].cumsum(1) < REPLICAS * (wanted + 1)).sum(1)
+        floor = np.minimum(np.maximum(short, LEAST_LISTS - 1), len(used) - 1)
+        n = (d <= PROBE * d[np.arange(len(d)), floor][:, None] + 1e-12).sum(1)
+        return [used[row[:k]] for row, k in zip(order, n, strict=True)]
 
 
 def k_means(x: np.ndarray, k: int, r: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -159,16 +175,18 @@ def fit(sample: np.ndarray, norm: float, n_rows: int) -> Lists:
     return Lists(c, graph, norm)
 
 
-def dealt(table: DataFrame, lists, method: str, query: bool) -> DataFrame:
+def dealt(table: DataFrame, lists, method: str, query: bool, *args) -> DataFrame:
     """``vec_id, v, list``: a row for each list of a vector."""
 
     def assign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for k in range(0, len(frame), 256):
                 f = frame.iloc[k:k + 256]
-                of = getattr(lists.value, method)(lists.value.lifted(np.stack(f["v"].to_list()), query))
-                at = np.repeat(np.arange(len(f)), [len(x) for x in of])
-                yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy()[at], "v": f["v"].to_numpy()[at], "list": np.concatenate(of)})
+                of = getattr(lists.value, method)(lists.value.lifted(np.stack(f["v"].to_list()), query), *args)
+                every, into = np.repeat(np.arange(len(f)), [len(x) for x in of]), np.concatenate(of)
+                for j in range(0, len(every), FRAME):
+                    at = every[j:j + FRAME]
+                    yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy()[at], "v": f["v"].to_numpy()[at], "list": into[j:j + FRAME]})
 
     return table.mapInPandas(assign, "vec_id long, v array<double>, list long")
 
@@ -215,7 +233,10 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     fitted = fit(np.stack([np.array(r["v"]) for r in sample.orderBy("vec_id").collect()] or [np.ones(dims["dim"])]), norm, dims["n"])
     lists = spark.sparkContext.broadcast(fitted)
     posted = materialise(dealt(rows, lists, "homes", query=False), "vector-lists")
-    asked = materialise(dealt(rows.filter(is_query), lists, "probes", query=True), "vector-queries")
+    sizes = np.zeros(len(fitted.centroids), np.int64)
+    for r in posted.groupBy("list").count().collect():  # at most one row per centroid
+        sizes[r["list"]] = r["count"]
+    asked = materialise(dealt(rows.filter(is_query), lists, "probes", True, sizes, k), "vector-queries")
     sizes = materialise(blocks(posted, "rows").join(blocks(asked, "queries"), "list"), "vector-blocks")
     block = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20))
     every = {"rows": F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)), "queries": F.explode(F.sequence(F.lit(0), F.col("n_queries") - 1))}

@@ -70,3 +70,26 @@ def test_walk_finds_the_closest_centroid():
     far = np.square(x[:, None] - lists.centroids[None]).sum(2)
     at, _ = lists.walk(x)
     assert len(lists.centroids) > 500 and (at[:, 0] == far.argmin(1)).mean() > 0.97
+
+
+def test_queries_read_every_list_within_the_ratio(spark):
+    """Without cluster structure nearly all lists are within the ratio, many more than a walk keeps."""
+    r = np.random.default_rng(4)
+    v = r.normal(size=(30_000, 64)).astype(np.float32)
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    rows = [(k, x) for k, x in enumerate(v)]
+    got = found(vectors.nearest(table(spark, rows), F.col("vec_id") % 1000 == 0))
+    assert recall(got, brute(rows, 20, 1000)) >= 0.999
+
+
+def test_probes_against_all_distances():
+    r = np.random.default_rng(5)
+    lists = vectors.fit(r.normal(size=(8000, 12)), 8.0, 200_000)
+    x, sizes = lists.lifted(r.normal(size=(50, 12)), query=True), r.integers(0, 300, len(lists.centroids))
+    x[0] = lists.centroids[np.flatnonzero(sizes)[3]]  # a closest distance of 0
+    for q, got in zip(x, lists.probes(x, sizes, 20), strict=True):
+        used = np.flatnonzero(sizes)
+        far = np.sqrt(np.square(lists.centroids[used] - q).sum(1))
+        order = np.argsort(far)
+        last = next(k for k in range(len(used)) if k + 1 >= vectors.LEAST_LISTS and sizes[used[order[:k + 1]]].sum() >= 4 * 21)
+        assert set(got) == set(used[far <= vectors.PROBE * far[order[last]] + 1e-9])

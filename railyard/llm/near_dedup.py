@@ -19,7 +19,8 @@
 
 With 32 bands of 6, two texts at a similarity of exactly 0.85 share no band with
 a probability of 3 in ten million, and fail the signature test (5.5 standard
-deviations) with 2 in a hundred million.
+deviations) with 2 in a hundred million. At 0.80 that many bands of 6 would miss
+6 in 100,000; callers with a lower limit ask for more and shorter ones.
 
 Defined cases: texts without words, null ones too, have an empty set, are
 linked with nothing and stay; rows that repeat a ``doc_id`` are one node; a
@@ -50,22 +51,18 @@ FEW = 32
 DEVIATIONS = 5.5
 
 
-def signature_words() -> int:
-    return BANDS * ROWS // 64
-
-
-def least_agreement(percent: int) -> int:
-    """Bits of ``BANDS * ROWS`` in which two signatures must agree: equal minima, and half of the others by chance."""
-    n, p = BANDS * ROWS, (1 + percent / 100) / 2
+def least_agreement(percent: int, n: int = BANDS * ROWS) -> int:
+    """Bits of ``n`` in which two signatures must agree: equal minima, and half of the others by chance."""
+    p = (1 + percent / 100) / 2
     return int(np.floor(n * p - DEVIATIONS * np.sqrt(n * p * (1 - p))))
 
 
-def sketches(docs: DataFrame, width: int = WORDS) -> DataFrame:
+def sketches(docs: DataFrame, width: int = WORDS, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, set_a, set_b, bands, signature``; the two set numbers are a 128-bit digest of the set."""
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        family = Hashes.family(BANDS * ROWS)
-        salt = mixed(np.arange(1, BANDS + 1, dtype=np.uint64))
+        family = Hashes.family(n_bands * n_rows)
+        salt = mixed(np.arange(1, n_bands + 1, dtype=np.uint64))
         for frame in frames:
             rows = []
             for group in groups(frame["text"]):
@@ -75,7 +72,7 @@ def sketches(docs: DataFrame, width: int = WORDS) -> DataFrame:
                         continue
                     low = family.minima(s)
                     key = salt.copy()
-                    for column in low.reshape(BANDS, ROWS).T:
+                    for column in low.reshape(n_bands, n_rows).T:
                         key = mixed(key + column)
                     bits = np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)
                     digest = mixed(s).sum(dtype=np.uint64), mixed(s ^ np.uint64(0xD1B54A32D192ED03)).sum(dtype=np.uint64)
@@ -87,14 +84,14 @@ def sketches(docs: DataFrame, width: int = WORDS) -> DataFrame:
         sketch, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature array<long>")
 
 
-def near_enough(percent: int) -> Column:
+def near_enough(percent: int, n: int = BANDS * ROWS) -> Column:
     """Sizes and signatures of nodes ``a`` and ``b`` allow the similarity."""
     agree = F.lit(0)
-    for k in range(signature_words()):
+    for k in range(n // 64):
         differ = F.bit_count(F.col("a_signature")[k].bitwiseXOR(F.col("b_signature")[k]))
         agree = agree + (F.lit(64) - differ)
     size = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
-    return size & (agree >= least_agreement(percent))
+    return size & (agree >= least_agreement(percent, n))
 
 
 def full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
@@ -131,12 +128,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(similar("a_set", "b_set")).select("a", "b")
 
 
-def across_few(rest: DataFrame, percent: int) -> DataFrame:
+def across_few(rest: DataFrame, percent: int, n: int = BANDS * ROWS) -> DataFrame:
     """Pairs ``a, b`` of one key in different components that sizes and signatures allow."""
     left, right = (rest.select("key", F.col("doc_id").alias(s), F.col("component").alias(f"{s}_component"),
                                F.col("n").alias(f"{s}_n"), F.col("signature").alias(f"{s}_signature")) for s in "ab")
     return left.join(right, "key").filter((F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
-                                          & near_enough(percent)).select("a", "b").distinct()
+                                          & near_enough(percent, n)).select("a", "b").distinct()
 
 
 def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -182,10 +179,13 @@ def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).unionByName(led).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per document."""
+    n_hashes = n_bands * n_rows
+    if n_hashes % 64:
+        raise ValueError("signatures are whole 64-bit words")
     python_tasks(docs.sparkSession)
-    all_rows = materialise(sketches(docs, width), "near-sketches")
+    all_rows = materialise(sketches(docs, width, n_bands, n_rows), "near-sketches")
     rows = all_rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_a", "set_b", "n_shingles"]
     nodes = rows.groupBy(*same).agg(F.min("doc_id").alias("node"))
@@ -202,7 +202,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     side = sketch.select("doc_id", "n", "signature")
     stars = shared.filter("leader <> doc_id").select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct()
     left, right = (side.select(*[F.col(c).alias(f"{s}_{c}") for c in ("n", "signature")], F.col("doc_id").alias(s)) for s in "ab")
-    likely = materialise(stars.join(left, "a").join(right, "b").filter(near_enough(percent)).select("a", "b"), "near-pairs")
+    likely = materialise(stars.join(left, "a").join(right, "b").filter(near_enough(percent, n_hashes)).select("a", "b"), "near-pairs")
     crowd = shared.filter(F.col("nodes") > FEW).select("doc_id")
     sets = full_sets(nodes_of(likely).unionByName(crowd).distinct(), docs, width)
     links = materialise(confirmed(likely, sets, percent), "near-links")
@@ -221,7 +221,7 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT)
     chief = led.groupBy("component").agg(F.max_by("doc_id", F.struct("neighbours", -F.col("doc_id"))).alias("chief"))
     chiefs = led.join(chief, "component").select(F.col("doc_id").alias("leader"), "chief")
     large = large.join(chiefs, "leader").drop("leader").withColumnRenamed("chief", "leader")
-    untried = materialise(across_few(rest.filter(F.col("nodes") <= FEW), percent).unionByName(across_many(large, sets, percent))
+    untried = materialise(across_few(rest.filter(F.col("nodes") <= FEW), percent, n_hashes).unionByName(across_many(large, sets, percent))
                           .distinct().join(stars, ["a", "b"], "left_anti"), "near-pairs")
     more = materialise(confirmed(untried, full_sets(nodes_of(untried), docs, width), percent), "near-links")
     if not more.isEmpty():

@@ -1,5 +1,6 @@
 """The pipeline against plain versions of its stages."""
 
+import random
 import re
 from collections import Counter
 
@@ -10,7 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from railyard.llm import language_id, mixing
 from tests.conftest import SF_SMALL
-from tests.llm.test_near_dedup import shingles
+from tests.llm.test_near_dedup import brute, shingles
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +62,19 @@ def test_near_copies(stages):
     assert ids(stages[3]) == Counter(i for i, _ in rows if find(i) == i)
 
 
+def test_near_copies_by_five_words(spark, make_docs, words):
+    """Texts with a passage added are similar enough by five words and 0.8, but not by three and 0.85."""
+    r = random.Random(12)
+    text = [r.choice(words) + str(r.randrange(999)) for _ in range(1240)]
+    rows = [(1, " ".join(text[:1000]), "en", "a"), (2, " ".join(text), "en", "a"), (4, " ".join(text[::-1]), "en", "a")]
+    # Linked to 2 by three words only, and through it to 1.
+    text[::40] = ["changed"] * 31
+    rows.append((3, " ".join(text), "en", "a"))
+    by_five, by_three = brute(rows, 80, 5), brute(rows, 85, 3)
+    assert [x[2] for x in by_five] == [1, 1, 3, 4] and [x[2] for x in by_three] == [1, 2, 2, 4]
+    assert ids(pipeline.drop_near_copies(spark, make_docs(rows), SF_SMALL)) == Counter([1, 4])
+
+
 def test_mix(stages):
     copies = {r.doc_id: r.copies for r in mixing.mix(stages[3]).collect() if r.copies}
     assert ids(stages[4]) == Counter(copies)

@@ -17,6 +17,9 @@ from railyard.llm.tables import materialise, read, python_tasks
 
 #: A document whose most likely language is less certain than this is rejected, as is one without letters.
 LEAST_CERTAIN = 0.5
+#: So is one whose log probability is so many standard deviations under that of its language's learning texts. At sf0.01
+#: texts of the learned languages came to 6.4 at most, those of a language left out to 15 and more (very short ones less).
+MOST_DEVIATIONS = 12.0
 #: Near copies share 80 % of their shingles of five words, or what op1's contract asks for (85 % of those of three). With
 #: 48 bands of 4 a pair at just 0.80 shares no band with a probability of 1 in a hundred billion.
 NEAR = [dict(width=5, percent=80, n_bands=48, n_rows=4), dict(width=near_dedup.WORDS, percent=near_dedup.PERCENT)]
@@ -24,11 +27,11 @@ NEAR = [dict(width=5, percent=80, n_bands=48, n_rows=4), dict(width=near_dedup.W
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents with a recognised language; learned from the labelled documents that are not held out."""
-    model = language_id.learn(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    model = language_id.learn(docs.filter(~language_id.held_out(F.col("doc_id"))), with_fit=True)
     python_tasks(spark)
     guess = language_id.predictor(spark, model)(F.col("text"))
     sure = (guess["lang_pred"] != language_id.UNDETERMINED) & (guess["score"] >= LEAST_CERTAIN)
-    return docs.filter(sure)
+    return docs.filter(sure & (F.coalesce(guess["fit"], F.lit(0.0)) >= -MOST_DEVIATIONS))
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,11 @@ backward, in parallel over the texts, and only the sums per language and piece
 bounded sample: about ``train_rows`` rows, chosen by a digest of ``doc_id``;
 with fewer rows all are used.
 
+The score only compares the learned languages. How well the most likely one
+fits at all is said by ``fit``: by how many standard deviations the text's log
+probability is above (below 0: under) what its bytes let expect, against the
+spread over words and over whole texts of the language's learning texts.
+
 Defined cases: a null, empty or letterless text is ``und`` with score 0; rows
 with null ``lang`` or text teach nothing, and where no row teaches anything
 every text is ``und``; equal scores go to the language first in order;
@@ -45,12 +50,18 @@ ROUNDS = 2
 SMOOTHING = 0.1
 #: Distinct words held at once by a learning task, and words whose values a scoring worker keeps.
 HELD_WORDS = 300_000
-RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+#: Of the mean log probability of a byte, the part by which texts of a language are taken to differ at least.
+LEAST_SPREAD = 0.05
+RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
+#: Sums over a language's learning texts, from which its spread follows.
+SUMS = ("words", "bytes", "logs", "word_bb", "word_lb", "word_ll", "text_bb", "text_lb", "text_ll")
 
 
 class Model(NamedTuple):
     languages: list[str]
     logp: np.ndarray  # piece x language
+    #: Language x mean log probability per byte, variance of a word, variance per squared byte of a text.
+    fit: np.ndarray | None = None
 
 
 def words_of(text: str | None) -> list[str]:
@@ -106,8 +117,35 @@ def piece_counts(train: DataFrame, pieces, languages: list[str], logp: np.ndarra
     return out
 
 
-def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, vocabulary: str = VOCABULARY) -> Model:
-    """Learn from ``doc_id, text, lang``, of which about ``train_rows`` rows."""
+def learned_fit(train: DataFrame, pieces, model: Model) -> np.ndarray:
+    """The spread of the learning texts of each language; 0 for a language without any."""
+    index = {x: k for k, x in enumerate(model.languages)}
+    known = train.sparkSession.sparkContext.broadcast(model)
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer, total = Scorer(pieces.value, known.value), np.zeros((len(index), len(SUMS)))
+        for frame in batches:
+            split = [words_of(t) for t in frame["text"]]
+            scorer.hold(split)
+            for lang, words in zip(frame["lang"], split, strict=True):
+                if words:
+                    n, log = scorer.bytes_and_logs(words)
+                    log = log[:, index[lang]]
+                    b, v = n.sum(), log.sum()
+                    total[index[lang]] += (len(words), b, v, n @ n, n @ log, log @ log, b * b, b * v, v * v)
+        yield pd.DataFrame(total, columns=SUMS).assign(k=np.arange(len(index)))
+
+    sums = train.mapInPandas(add, ", ".join(f"{c} double" for c in SUMS) + ", k long").groupBy("k").agg(*[F.sum(c).alias(c) for c in SUMS])
+    out = np.zeros((len(index), 3))
+    for r in sums.filter("words > 0").collect():  # one row per language
+        mean = r["logs"] / r["bytes"]
+        word, text = (r[f"{x}_ll"] - 2 * mean * r[f"{x}_lb"] + mean * mean * r[f"{x}_bb"] for x in ("word", "text"))
+        out[r["k"]] = mean, max(word, 0) / r["words"], max((text - word) / r["text_bb"], (LEAST_SPREAD * mean) ** 2)
+    return out
+
+
+def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, vocabulary: str = VOCABULARY, with_fit: bool = False) -> Model:
+    """Learn from ``doc_id, text, lang``, of which about ``train_rows`` rows; ``with_fit`` the spread of the learning texts too."""
     spark = docs.sparkSession
     python_tasks(spark)
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
@@ -123,7 +161,8 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, v
     for _ in range(rounds if languages else 0):
         n = piece_counts(rows, pieces, languages, logp) + SMOOTHING
         logp = np.log(n / n.sum(0))
-    return Model(languages, logp)
+    model = Model(languages, logp)
+    return model._replace(fit=learned_fit(rows, pieces, model)) if with_fit and languages else model
 
 
 class Scorer:
@@ -140,25 +179,39 @@ class Scorer:
             self.known.update(zip(map(new.__getitem__, group), range(len(self.known), len(self.known) + len(group))))
         self.values = np.concatenate(parts)
 
-    def score(self, texts: Iterable[str | None]) -> pd.DataFrame:
-        split = [words_of(t) for t in texts]
+    def hold(self, split: list[list[str]]) -> None:
         if len(self.known) > HELD_WORDS:
             self.known, self.values = {}, self.values[:0]
         self.learn(set().union(*split).difference(self.known))
+
+    def bytes_and_logs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Per word its bytes, and its log probability in each language."""
+        return np.array([len(spelled(w)) for w in words], float), self.values[list(map(self.known.__getitem__, words))]
+
+    def fit(self, words: list[str], best: int) -> float:
+        mean, word, text = self.model.fit[best]
+        n, log = self.bytes_and_logs(words)
+        spread = np.sqrt(len(words) * word + text * n.sum() ** 2)
+        return float((log[:, best].sum() - mean * n.sum()) / spread) if spread > 0 else 0.0
+
+    def score(self, texts: Iterable[str | None]) -> pd.DataFrame:
+        split = [words_of(t) for t in texts]
+        self.hold(split)
         out = []
         for words in split:
             if not words or not self.model.languages:
-                out.append((UNDETERMINED, 0.0))
+                out.append((UNDETERMINED, 0.0, None))
                 continue
             total = self.values[list(map(self.known.__getitem__, words))].sum(0)
             odds = np.exp(total - total.max())
             best = int(np.argmax(total))
-            out.append((self.model.languages[best], float(odds[best] / odds.sum())))
-        return pd.DataFrame(out, columns=["lang_pred", "score"])
+            fit = None if self.model.fit is None else self.fit(words, best)
+            out.append((self.model.languages[best], float(odds[best] / odds.sum()), fit))
+        return pd.DataFrame(out, columns=["lang_pred", "score", "fit"]).astype({"fit": "float64"})
 
 
 def predictor(spark: SparkSession, model: Model, vocabulary: str = VOCABULARY):
-    """A function of a text column: a struct of ``lang_pred`` and ``score``. The model's size is bounded by the vocabulary."""
+    """A function of a text column: a struct of ``lang_pred``, ``score`` and, if the model has one, ``fit``. The model's size is bounded by the vocabulary."""
     pieces, shared = spark.sparkContext.broadcast(Pieces.load(vocabulary)), spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)

@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 import corpus_pipeline as pipeline
 from railyard.llm import language_id, mixing
 from tests.conftest import SF_SMALL
+from tests.llm.test_learned import text_of
 from tests.llm.test_near_dedup import brute, shingles
 
 
@@ -37,6 +38,15 @@ def test_languages(stages):
     assert ids(stages[1]) == Counter(i for i, (lang, score) in guess.items() if lang != "und" and score >= pipeline.LEAST_CERTAIN)
 
 
+def test_languages_that_were_not_learned(spark, make_docs):
+    r = random.Random(13)
+    rows = [(k, text_of("xx" if k % 2 else "yy", r), "xx" if k % 2 else "yy", "a") for k in range(200)]
+    strange = "".join(chr(c) for c in range(ord("α"), ord("ω")))
+    rows += [(1000 + k, " ".join("".join(r.choice(strange) for _ in range(6)) for _ in range(10 ** k)), None, "a") for k in range(1, 4)]
+    rows += [(2000, " ".join("".join(r.choice("qwxvjhf") for _ in range(6)) for _ in range(400)), None, "a"), (2001, text_of("yy", r, 3000), None, "a")]
+    assert ids(pipeline.identify_language(spark, make_docs(rows), SF_SMALL)) == Counter([*range(200), 2001])
+
+
 def test_exact_copies(stages):
     low = {}
     for r in stages[1].collect():

@@ -17,8 +17,8 @@ from railyard.llm.tables import materialise, read, python_tasks
 
 #: A document whose most likely language is less certain than this is rejected, as is one without letters.
 LEAST_CERTAIN = 0.5
-#: So is one whose log probability is so many standard deviations under that of its language's learning texts. At sf0.01
-#: texts of the learned languages came to 6.4 at most, those of a language left out to 15 and more (very short ones less).
+#: So is one whose log probability is so many standard deviations under that of its language's learning texts. Of check_s
+#: no text comes to more than 10; those of a language left out of the learning come to 20 to 25, short ones to less.
 MOST_DEVIATIONS = 12.0
 #: Near copies share 80 % of their shingles of five words, or what op1's contract asks for (85 % of those of three). With
 #: 48 bands of 4 a pair at just 0.80 shares no band with a probability of 1 in a hundred billion.

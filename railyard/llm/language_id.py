@@ -18,7 +18,9 @@ with fewer rows all are used.
 The score only compares the learned languages. How well the most likely one
 fits at all is said by ``fit``: by how many standard deviations the text's log
 probability is above (below 0: under) what its bytes let expect, against the
-spread over words and over whole texts of the language's learning texts.
+spread over words and over whole texts of the language's learning texts. A word
+counts with the learned language that fits it best, as texts may mix them, and
+the worst tenth of the words, one at least, is left out (keys, names).
 
 Defined cases: a null, empty or letterless text is ``und`` with score 0; rows
 with null ``lang`` or text teach nothing, and where no row teaches anything
@@ -191,8 +193,10 @@ class Scorer:
     def fit(self, words: list[str], best: int) -> float:
         mean, word, text = self.model.fit[best]
         n, log = self.bytes_and_logs(words)
-        spread = np.sqrt(len(words) * word + text * n.sum() ** 2)
-        return float((log[:, best].sum() - mean * n.sum()) / spread) if spread > 0 else 0.0
+        above = log.max(1) - mean * n
+        kept = np.argsort(above, kind="stable")[-(-len(words) // 10):]
+        spread = np.sqrt(len(kept) * word + text * n[kept].sum() ** 2)
+        return float(above[kept].sum() / spread) if spread > 0 else 0.0
 
     def score(self, texts: Iterable[str | None]) -> pd.DataFrame:
         split = [words_of(t) for t in texts]

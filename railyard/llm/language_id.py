@@ -12,8 +12,9 @@ Learning is expectation maximisation: ``ROUNDS`` times, each word of the
 learning texts spreads its count over its segmentations by forward and
 backward, in parallel over the texts, and only the sums per language and piece
 (at most the vocabulary's size per language) come to the driver. It may use a
-bounded sample: about ``train_rows`` rows, chosen by a digest of ``doc_id``;
-with fewer rows all are used.
+bounded sample: about ``train_rows`` rows, chosen by a digest of ``doc_id``: all
+of the rarer languages and as many of each common one as leaves that sum. With
+fewer rows all are used.
 
 The score only compares the learned languages. How well the most likely one
 fits at all is said by ``fit``: by how many standard deviations the text's log
@@ -146,16 +147,28 @@ def learned_fit(train: DataFrame, pieces, model: Model) -> np.ndarray:
     return out
 
 
+def most_rows(by_lang: dict[str, int], train_rows: int) -> float:
+    """The number of rows up to which a language gives all of its, and beyond which it gives that many."""
+    left = float(train_rows)
+    for k, n in enumerate(sorted(by_lang.values())):
+        if n * (len(by_lang) - k) > left:
+            return left / (len(by_lang) - k)
+        left -= n
+    return float("inf")
+
+
 def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, vocabulary: str = VOCABULARY, with_fit: bool = False) -> Model:
     """Learn from ``doc_id, text, lang``, of which about ``train_rows`` rows; ``with_fit`` the spread of the learning texts too."""
     spark = docs.sparkSession
     python_tasks(spark)
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    part = min(1.0, train_rows / max(1, sum(by_lang.values())))
-    if part < 1:
+    most = most_rows(by_lang, train_rows)
+    parts = {lang: int(most / n * (1 << 30)) for lang, n in by_lang.items() if n > most}
+    if parts:
         draw = F.pmod(F.xxhash64(F.lit("train"), "doc_id"), F.lit(1 << 30))
-        rows = rows.filter(draw < int(part * (1 << 30)))
+        least = F.create_map(*[F.lit(x) for pair in parts.items() for x in pair])
+        rows = rows.filter(draw < F.coalesce(least[F.col("lang")], F.lit(1 << 30)))
     rows = materialise(rows.select("lang", "text"), "lang-train")
     languages = sorted(by_lang)
     pieces = spark.sparkContext.broadcast(Pieces.load(vocabulary))

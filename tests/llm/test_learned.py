@@ -73,6 +73,16 @@ def test_bounded_sample_is_enough(make_docs):
     assert sum(truth[x.doc_id] == x.lang_pred for x in got) >= 190
 
 
+def test_every_language_is_learned_from_a_bounded_sample(make_docs):
+    r = random.Random(6)
+    rows = [(k, text_of("xx", r, 4), "xx", "a") for k in range(3000)] + [(5000 + k, text_of("zz", r), "zz", "a") for k in range(6)]
+    model = language_id.learn(make_docs(rows), train_rows=60)
+    assert model.languages == ["xx", "zz"] and np.ptp(model.logp[:, 1]) > 1
+    whole = language_id.learn(make_docs(rows[3000:]))
+    assert model.logp[:, 1] == pytest.approx(whole.logp[:, 0])
+    assert language_id.most_rows({"a": 5, "b": 100, "c": 1000}, 65) == 30 and language_id.most_rows({"a": 5}, 5) == float("inf")
+
+
 def quality_rows(words, n=400):
     r = random.Random(3)
     rows, labels = [], []

@@ -24,8 +24,14 @@ from railyard.session import checkpoint_dir, debug, write_table, write_table_met
 
 # Rows of a train's hour above which its minutes are ordered apart.
 HOUR_ROWS = 100_000
-# Rounds after which the tables that a search appends are made one again.
-COMPACT_ROUNDS = 8
+# Rounds after which the tables that a search appends are made one again, and joins after which a plan is cut.
+COMPACT_ROUNDS, PLAN_ROUNDS = 8, 4
+# Sources times edges up to which several departure dates are settled together, and hops of a round (one job).
+RELAXATIONS, HOPS_PER_ROUND = 5_000_000, 2
+SOURCE = ["origin_id", "depart_ts"]
+GOAL = [*SOURCE, "destination_id"]
+LABEL = [*SOURCE, "station_id"]
+STATE = [*LABEL, "bound", "arrival", "fresh"]
 
 
 # --- G1 / G2 / A12: graph construction ----------------------------------------------
@@ -115,7 +121,7 @@ def name_index(stations: DataFrame) -> DataFrame:
 
 
 def resolve_endpoints(requests: DataFrame, stations: DataFrame) -> DataFrame:
-    idx = name_index(stations)
+    idx = write_table(name_index(stations), "station-names")  # used for both ends
     o = idx.select(F.col("station_name").alias("origin_name"), F.col("station_id").alias("origin_id"))
     d = idx.select(F.col("station_name").alias("destination_name"), F.col("station_id").alias("destination_id"))
     return requests.join(o, "origin_name", "left").join(d, "destination_name", "left")
@@ -123,23 +129,23 @@ def resolve_endpoints(requests: DataFrame, stations: DataFrame) -> DataFrame:
 
 # --- G3: fewest hops -------------------------------------------------------------------
 
-def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, targets: DataFrame | None = None) -> DataFrame:
-    """Level-synchronous BFS from every origin: ``origin_id, station_id, hops, path``.
+def bfs_tree(adj: DataFrame, stations: DataFrame, origins: DataFrame, targets: DataFrame | None = None) -> DataFrame:
+    """Level-synchronous BFS from every origin: ``origin_id, station_id, hops, parent_id, place``.
 
-    ``path`` is the lexicographically smallest shortest path (array of names):
-    at each level the smallest extension of the previous level's chosen paths
-    wins, which equals the smallest among all shortest paths since they have
-    equal length. Only the new frontier is joined each round. With ``targets``
-    (``origin_id, destination_id``) an origin stops once its destinations are
-    reached. The search ends when a level finds nothing new.
+    The parent is the one on the lexicographically smallest shortest path. Of an
+    origin's stations on one level those paths are ordered by the parent's
+    place, then by the station's name, so a station needs no more than its
+    ``place`` in that order (a number that grows along one sort of the level) and
+    rows stay narrow however long the paths are. Only the new frontier is joined each round. With
+    ``targets`` (``origin_id, destination_id``) an origin stops once its
+    destinations are reached. The search ends when a level finds nothing new.
     """
     checkpoint_dir(adj.sparkSession)
     names = name_index(stations).select(F.col("station_id").alias("v"), F.col("station_name").alias("v_name"))
     adj_named = write_table(adj.join(names, "v").select(F.col("u"), F.col("v"), "v_name"), "bfs-adjacency")
-    start = (origins.select(F.col("origin_id")).distinct()
-             .join(names.select(F.col("v").alias("origin_id"), "v_name"), "origin_id")
+    start = (origins.select(F.col("origin_id")).distinct().join(names.select(F.col("v").alias("origin_id")), "origin_id")
              .select("origin_id", F.col("origin_id").alias("station_id"), F.lit(0).alias("hops"),
-                     F.array("v_name").alias("path")))
+                     F.col("origin_id").alias("parent_id"), F.lit(0).cast("long").alias("place")))
     visited = frontier = write_table(start, "bfs-level")
     level, n = 0, 1
     while n:
@@ -150,12 +156,13 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, targets:
             missing = targets.join(reached, ["origin_id", "destination_id"], "left_anti").select("origin_id").distinct()
             now = frontier.join(missing, "origin_id", "left_semi")
         cand = (now.join(adj_named, now["station_id"] == adj_named["u"])
-                .select("origin_id", F.col("v").alias("station_id"),
-                        F.array_append(F.col("path"), F.col("v_name")).alias("path")))
+                .groupBy("origin_id", F.col("v").alias("station_id"), "v_name")
+                .agg(F.min(F.struct("place", F.col("u").alias("parent_id"))).alias("by")))
         fresh = cand.join(visited.select("origin_id", "station_id"), ["origin_id", "station_id"], "left_anti")
         frontier, n = write_table_observed(
-            fresh.groupBy("origin_id", "station_id").agg(F.min("path").alias("path"))
-            .withColumn("hops", F.lit(level)).select("origin_id", "station_id", "hops", "path"), "bfs-level")
+            fresh.orderBy("origin_id", "by.place", "v_name")
+            .select("origin_id", "station_id", F.lit(level).alias("hops"), F.col("by.parent_id").alias("parent_id"),
+                    F.monotonically_increasing_id().alias("place")), "bfs-level")
         debug(f"bfs level {level}: {n} new")
         # Visited = union of the level tables, made one table again every few levels.
         visited = visited.unionByName(frontier)
@@ -164,13 +171,42 @@ def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame, targets:
     return visited
 
 
+def tree_paths(tree: DataFrame, stations: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``origin_id, destination_id, hops, path`` of the pairs that the tree reaches, ``path`` an array of names.
+
+    All pairs walk up together, one row per pair and step, and the names are put together once at the end.
+    """
+    ends = tree.select("origin_id", F.col("station_id").alias("destination_id"), "hops", "parent_id")
+    now, most = write_table_observed(pairs.distinct().join(ends, ["origin_id", "destination_id"]).select(
+        "origin_id", "destination_id", "hops", F.col("hops").alias("at"), F.col("destination_id").alias("station_id"), "parent_id"),
+        "bfs-path", F.max("hops"))
+    up = tree.select("origin_id", F.col("station_id").alias("parent_id"), F.col("parent_id").alias("above"))
+    steps = now
+    for k in range(1, most + 1):
+        now = now.filter(F.col("at") > 0).join(up, ["origin_id", "parent_id"]).select(
+            "origin_id", "destination_id", "hops", (F.col("at") - 1).alias("at"), F.col("parent_id").alias("station_id"),
+            F.col("above").alias("parent_id"))
+        now = write_table(now, "bfs-path") if k % PLAN_ROUNDS == 0 else now
+        steps = steps.unionByName(now)
+    named = steps.join(name_index(stations), "station_id")
+    by = F.array_sort(F.collect_list(F.struct("at", "station_name")))
+    return named.groupBy("origin_id", "destination_id", "hops").agg(F.transform(by, lambda x: x["station_name"]).alias("path"))
+
+
+def bfs_paths(adj: DataFrame, stations: DataFrame, origins: DataFrame) -> DataFrame:
+    """``origin_id, station_id, hops, path`` for every station that an origin reaches."""
+    tree = bfs_tree(adj, stations, origins)
+    pairs = tree.select("origin_id", F.col("station_id").alias("destination_id"))
+    return tree_paths(tree, stations, pairs).withColumnRenamed("destination_id", "station_id")
+
+
 def shortest_hops(requests: DataFrame, adj: DataFrame, stations: DataFrame) -> DataFrame:
     """Per request: ``hops``, ``path`` (names joined by ' -> ') and ``status``."""
     r = write_table(resolve_endpoints(requests, stations), "hop-requests")
     ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull())
-    paths = bfs_paths(adj, stations, ok.select("origin_id"), ok.select("origin_id", "destination_id").distinct())
-    j = r.join(paths.select("origin_id", F.col("station_id").alias("destination_id"), "hops", "path"),
-               ["origin_id", "destination_id"], "left")
+    pairs = ok.select("origin_id", "destination_id").distinct()
+    paths = tree_paths(bfs_tree(adj, stations, ok.select("origin_id"), pairs), stations, pairs)
+    j = r.join(paths, ["origin_id", "destination_id"], "left")
     status = (F.when(F.col("origin_id").isNull() | F.col("destination_id").isNull(), F.lit(STATUS_NOT_FOUND))
               .when(F.col("hops").isNull(), F.lit(STATUS_NO_CONNECTION)).otherwise(F.lit(STATUS_OK)))
     return j.select("request_id", "origin_name", "destination_name", "hops",
@@ -186,53 +222,87 @@ def dated_edges(edges: DataFrame) -> DataFrame:
     return write_table(e.hint("rebalance", "dep_date"), "dated-edges", partition_by="dep_date")
 
 
-def earliest_arrival_labels(starts: DataFrame, edges: DataFrame,
-                            buffer_minutes: int = TRANSFER_BUFFER_MINUTES) -> DataFrame:
-    """Label-correcting search for all requests at once.
+def _due(end) -> str:
+    """Labels from which departures before ``end`` can be caught."""
+    return "true" if end is None else f"arrival < TIMESTAMP_NTZ '{end} 00:00:00'"
 
-    ``starts``: request_id, origin_id, depart_ts and, if only the way to it is
-    wanted, destination_id. ``edges``: best from ``dated_edges``, else they are written so. Returns labels
-    ``request_id, origin_id, station_id, arrival``: the earliest arrival at each
-    reachable station, or with a destination at those that can lie on a way to
-    it. An edge (u, v, dep, arr) is usable when ``dep >= label(u)`` at the origin
-    and ``dep >= label(u) + buffer`` elsewhere.
-
-    Each round joins only the labels improved in the previous one, reads only
-    edges of the dates from the earliest of them on, and drops what does not
-    arrive before the destination's label so far. Improvements are appended and
-    reduced to the minimum where they are read.
+
+def _relaxed(state: DataFrame, usable: DataFrame, due: str, buffer_minutes: int) -> DataFrame:
+    """The state after its fresh labels have taken every usable edge; fresh are then the labels that got better."""
+    ready = f"CASE WHEN station_id = origin_id THEN arrival ELSE arrival + INTERVAL '{buffer_minutes}' MINUTE END"
+    found = state.filter("fresh").selectExpr(*SOURCE, "station_id AS u", "bound", f"{ready} AS ready").join(usable, "u") \
+        .filter("dep >= ready AND (bound IS NULL OR arr < bound)") \
+        .selectExpr(*SOURCE, "v AS station_id", "bound", "struct(arr AS arrival, true AS better) AS l")
+    known = state.selectExpr(*LABEL, "bound", "struct(arrival, false AS better) AS l")
+    best = known.unionByName(found).groupBy(*LABEL, "bound").agg(F.min("l").alias("l"))
+    return best.selectExpr(*LABEL, "bound", "l.arrival AS arrival", "l.better AS better") \
+        .selectExpr(*LABEL, "bound", "arrival", f"better AND {due} AS fresh")
+
+
+def source_labels(sources: DataFrame, edges: DataFrame, buffer_minutes: int = TRANSFER_BUFFER_MINUTES,
+                  goals: DataFrame | None = None, relaxations: int = RELAXATIONS) -> DataFrame:
+    """Earliest arrivals ``origin_id, depart_ts, station_id, arrival`` of all ``sources`` (``origin_id, depart_ts``) at once.
+
+    Departure dates are settled in order. A span of dates holds one date, or as
+    many as keep sources times edges within ``relaxations``; its edges are read
+    in the rounds of that span only: all labels before its end take them, then
+    the labels that got better, until nothing improves. As no edge departs
+    before the span, what arrives before its end is final.
+
+    With ``goals`` (sources and ``destination_id``) a source takes no part in later
+    spans once its goals are settled, and only labels before its latest goal's
+    are looked for; labels are then complete on the ways to the goals only.
     """
-    checkpoint_dir(starts.sparkSession)
+    checkpoint_dir(sources.sparkSession)
     edges = edges if "dep_date" in edges.columns else dated_edges(edges)
-    buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
-    keys = ["request_id", "origin_id", "station_id"]
-    goals = starts.select("request_id", F.col("destination_id").alias("goal")) if "destination_id" in starts.columns else None
-    measures = {"n": F.count(F.lit(1)), "first": F.min("arrival")}
-    fresh, seen = write_table_metrics(
-        starts.select("request_id", "origin_id", F.col("origin_id").alias("station_id"), F.col("depart_ts").alias("arrival")),
-        "ea-labels", **measures)
-    labels, rounds = fresh, 0
-    while seen["n"]:
-        rounds += 1
-        usable = edges.filter((F.col("dep_date") >= F.lit(seen["first"].date())) & (F.col("dep") >= F.lit(seen["first"])))
-        ready = F.when(F.col("station_id") == F.col("origin_id"), F.col("arrival")).otherwise(F.col("arrival") + buf)
-        cand = (fresh.join(usable, fresh["station_id"] == usable["u"])
-                .filter(F.col("dep") >= ready)
-                .groupBy("request_id", "origin_id", F.col("v").alias("station_id"))
-                .agg(F.min("arr").alias("arrival")))
-        best = labels.groupBy(*keys).agg(F.min("arrival").alias("best"))
-        better = cand.join(best, keys, "left").filter(F.col("best").isNull() | (F.col("arrival") < F.col("best"))).drop("best")
-        if goals is not None:
-            goal = best.join(goals, (best["station_id"] == goals["goal"]) & (best["request_id"] == goals["request_id"])) \
-                .select(best["request_id"], F.col("best").alias("goal_arrival"))
-            better = better.join(goal, "request_id", "left") \
-                .filter(F.col("goal_arrival").isNull() | (F.col("arrival") < F.col("goal_arrival"))).drop("goal_arrival")
-        fresh, seen = write_table_metrics(better.select(*keys, "arrival"), "ea-labels", **measures)
-        debug(f"earliest-arrival round {rounds}: {seen['n']} improved")
-        labels = labels.unionByName(fresh)
-        if rounds % COMPACT_ROUNDS == 0:
-            labels = write_table(labels.groupBy(*keys).agg(F.min("arrival").alias("arrival")), "ea-labels")
-    return write_table(labels.groupBy(*keys).agg(F.min("arrival").alias("arrival")), "ea-labels")
+    start = sources.select(*SOURCE).distinct().select(*SOURCE, F.col("origin_id").alias("station_id"), F.lit(None).cast("timestamp_ntz").alias("bound"),
+                                                      F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh"))
+    state, seen = write_table_metrics(start, "ea-labels", n=F.count(F.lit(1)), first=F.min("arrival"))
+    n_open = seen["n"]
+    # A row per date of the loaded window.
+    dates = sorted((r["dep_date"], r["n"]) for r in edges.groupBy("dep_date").agg(F.count(F.lit(1)).alias("n")).collect())
+    dates = [x for x in dates if n_open and x[0] >= seen["first"].date()]
+    at = 0
+    while at < len(dates) and n_open:
+        to, n_edges = at + 1, dates[at][1]
+        while to < len(dates) and n_open * (n_edges + dates[to][1]) <= relaxations:
+            n_edges, to = n_edges + dates[to][1], to + 1
+        end = dates[to][0] if to < len(dates) else None
+        usable = edges.filter(F.col("dep_date").between(F.lit(dates[at][0]), F.lit(dates[to - 1][0]))).select("u", "v", "dep", "arr")
+        if at == 0 or goals is None:
+            state = state.withColumn("fresh", F.expr(_due(end)))
+        else:  # sources without a row have their goals
+            state = state.drop("bound").join(still_open, SOURCE, "left").withColumn(
+                "fresh", F.expr(f"{_due(end)} AND open IS NOT NULL AND (bound IS NULL OR arrival < bound)")).select(*STATE)
+        better = 1
+        while better:
+            for _ in range(HOPS_PER_ROUND):
+                state = _relaxed(state, usable, _due(end), buffer_minutes)
+            state, seen = write_table_metrics(state, "ea-labels", n=F.count_if("fresh"))
+            better = seen["n"]
+            debug(f"earliest arrival, dates to {dates[to - 1][0]}: {better} to go on from")
+        at = to
+        if goals is not None and at < len(dates):
+            reached = goals.join(state.select(*SOURCE, F.col("station_id").alias("destination_id"), "arrival"), [*SOURCE, "destination_id"], "left")
+            open_now = reached.groupBy(*SOURCE).agg(
+                F.when(F.count("arrival") == F.count(F.lit(1)), F.max("arrival")).alias("bound"), F.lit(True).alias("open")) \
+                .filter(F.col("bound").isNull() | (F.col("bound") >= F.lit(end)))
+            still_open, n_open = write_table_observed(open_now, "ea-open")
+    return state.select(*LABEL, "arrival")
+
+
+def earliest_arrival_labels(starts: DataFrame, edges: DataFrame, buffer_minutes: int = TRANSFER_BUFFER_MINUTES) -> DataFrame:
+    """``request_id, origin_id, station_id, arrival`` of requests, of which equal (origin, departure) are searched once.
+
+    ``starts``: request_id, origin_id, depart_ts and, if only the way to it is
+    wanted, destination_id. ``edges``: best from ``dated_edges``, else they are
+    written so. The arrival is the earliest at each reachable station, or with a
+    destination at those on a way to it. An edge (u, v, dep, arr) is usable when
+    ``dep >= label(u)`` at the origin and ``dep >= label(u) + buffer`` elsewhere.
+    """
+    goals = starts.select(*SOURCE, "destination_id").distinct() if "destination_id" in starts.columns else None
+    labels = source_labels(starts, edges, buffer_minutes, goals)
+    return starts.select("request_id", *SOURCE).join(labels, SOURCE).select("request_id", "origin_id", "station_id", "arrival")
 
 
 def route_starts(requests: DataFrame, stations: DataFrame) -> DataFrame:
@@ -243,15 +313,18 @@ def route_starts(requests: DataFrame, stations: DataFrame) -> DataFrame:
     return write_table(r, "route-requests")
 
 
+def wanted(starts: DataFrame) -> DataFrame:
+    """Distinct ``origin_id, depart_ts, destination_id`` of the requests in which all three are known."""
+    return starts.select(*GOAL).filter(" AND ".join(f"{c} IS NOT NULL" for c in GOAL)).distinct()
+
+
 def earliest_arrival(requests: DataFrame, edges: DataFrame, stations: DataFrame,
                      buffer_minutes: int = TRANSFER_BUFFER_MINUTES) -> DataFrame:
     """Per request: earliest ``arrival`` at the destination and ``status``."""
     r = route_starts(requests, stations)
-    ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull() & F.col("depart_ts").isNotNull())
-    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "destination_id", "depart_ts"), dated_edges(edges),
-                                     buffer_minutes)
-    j = r.join(labels.select("request_id", F.col("station_id").alias("destination_id"), "arrival"),
-               ["request_id", "destination_id"], "left")
+    goals = wanted(r)
+    labels = source_labels(goals, dated_edges(edges), buffer_minutes, goals)
+    j = r.join(labels.withColumnRenamed("station_id", "destination_id"), [*SOURCE, "destination_id"], "left")
     status = (F.when(F.col("origin_id").isNull() | F.col("destination_id").isNull(), F.lit(STATUS_NOT_FOUND))
               .when(F.col("arrival").isNull(), F.lit(STATUS_NO_CONNECTION)).otherwise(F.lit(STATUS_OK)))
     return j.select("request_id", "origin_name", "destination_name", "depart_ts", "arrival", status.alias("status"))
@@ -259,70 +332,85 @@ def earliest_arrival(requests: DataFrame, edges: DataFrame, stations: DataFrame,
 
 # --- G5: itinerary --------------------------------------------------------------------
 
+def settled_hops(labels: DataFrame, edges: DataFrame, buf: Column) -> DataFrame:
+    """Labels with ``hops``: the fewest edges over which the label is reached along other stations' labels.
+
+    Edges that take no time may lead round in a circle of equal labels; with
+    the hops a way back always has a station to go to that is nearer its origin.
+    """
+    lab = labels.select(*LABEL, "arrival")
+    level = write_table(lab.filter(F.col("station_id") == F.col("origin_id")).withColumn("hops", F.lit(0)), "ea-hops")
+    known, n, k = level, 1, 0
+    while n:
+        k += 1
+        to = lab.select(*SOURCE, F.col("station_id").alias("v"), F.col("arrival").alias("arr"))
+        ready = F.when(F.col("station_id") == F.col("origin_id"), F.col("arrival")).otherwise(F.col("arrival") + buf)
+        next_level = level.withColumn("ready", ready).drop("arrival", "hops").join(
+            edges.select("u", "v", "dep", "arr"), F.col("station_id") == F.col("u")).filter("dep >= ready").drop("station_id") \
+            .join(to, [*SOURCE, "v", "arr"]).select(*SOURCE, F.col("v").alias("station_id"), F.col("arr").alias("arrival")).distinct() \
+            .join(known.select(*LABEL), LABEL, "left_anti").withColumn("hops", F.lit(k))
+        level, n = write_table_observed(next_level, "ea-hops")
+        known = known.unionByName(level)
+        known = write_table(known, "ea-hops") if k % COMPACT_ROUNDS == 0 else known
+    return known
+
+
 def itineraries(requests: DataFrame, edges: DataFrame, stations: DataFrame,
                 buffer_minutes: int = TRANSFER_BUFFER_MINUTES) -> DataFrame:
-    """Per reachable request: legs ``array<struct<station, dep, train_id>>`` and text.
+    """Per reachable request: its ``arrival`` and ``itinerary`` as text.
 
     Walk back from the destination over a canonical predecessor: an edge into
     the current station arriving exactly at its label and departing no earlier
     than the previous station's label (+ buffer away from the origin); among
     those the latest departure, then smallest station id, then smallest train.
-    As the buffer must be above 0, labels strictly decrease along the walk, so
-    it ends at the origin.
+    With a buffer labels strictly decrease along the walk; without one, edges
+    that take no time are only taken towards fewer ``settled_hops``. So it ends
+    at the origin. Equal requests walk once, a step is a row, and the steps are
+    put together at the end.
     """
-    if buffer_minutes <= 0:
-        raise ValueError("itineraries need a transfer buffer above 0 minutes")
     buf = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(buffer_minutes))
     r = route_starts(requests, stations)
-    ok = r.filter(F.col("origin_id").isNotNull() & F.col("destination_id").isNotNull() & F.col("depart_ts").isNotNull())
+    goals = wanted(r)
     e = dated_edges(edges)
-    labels = earliest_arrival_labels(ok.select("request_id", "origin_id", "destination_id", "depart_ts"), e, buffer_minutes)
-    names = name_index(stations)
-    lab_u = labels.select("request_id", F.col("station_id").alias("u"), F.col("arrival").alias("lab_u"), "origin_id")
-    cur = (ok.join(labels, (ok["request_id"] == labels["request_id"]) & (ok["destination_id"] == labels["station_id"]))
-           .select(ok["request_id"], ok["origin_id"], F.col("station_id").alias("node"), F.col("arrival").alias("label"),
-                   F.col("arrival").alias("final_arrival"), F.array().cast(
-                       "array<struct<station_id:bigint,dep:timestamp_ntz,train_id:bigint>>").alias("legs")))
-    cur, n_open = write_table_observed(cur, "itinerary-walk", F.count_if(F.col("node") != F.col("origin_id")))
-    done = cur.filter(F.col("node") == F.col("origin_id"))
-    cur = cur.filter(F.col("node") != F.col("origin_id"))
-    rounds = 0
-    while n_open:
-        rounds += 1
-        step = (cur.join(e, (cur["node"] == e["v"]) & (cur["label"] == e["arr"]))
-                .join(lab_u.drop("origin_id"), ["request_id", "u"])
-                .filter(F.col("dep") >= F.when(F.col("u") == F.col("origin_id"), F.col("lab_u"))
-                        .otherwise(F.col("lab_u") + buf)))
+    labels = source_labels(goals, e, buffer_minutes, goals)
+    labels = settled_hops(labels, e, buf) if buffer_minutes == 0 else labels.withColumn("hops", F.lit(0))
+    from_ = labels.select(*SOURCE, F.col("station_id").alias("u"), F.col("arrival").alias("lab_u"), F.col("hops").alias("hops_u"))
+    is_open = F.col("node") != F.col("origin_id")
+    reached = write_table(goals.join(labels.withColumnRenamed("station_id", "destination_id"), [*SOURCE, "destination_id"]), "itinerary-goals")
+    first = reached.select(*GOAL, F.col("destination_id").alias("node"), F.col("arrival").alias("label"), "hops")
+    measures = {"n": F.count_if(is_open), "first": F.min("depart_ts"), "last": F.max("label")}
+    now, seen = write_table_metrics(first, "itinerary-walk", **measures)
+    legs, k = None, 0
+    while seen["n"]:
+        k += 1
+        usable = e.filter(F.col("dep_date").between(F.lit(seen["first"].date()), F.lit(seen["last"].date())))
+        here = now.filter(is_open).select(*GOAL, "node", "label", "hops")
+        caught = F.col("dep") >= F.when(F.col("u") == F.col("origin_id"), F.col("lab_u")).otherwise(F.col("lab_u") + buf)
+        step = (here.join(usable, (here["node"] == usable["v"]) & (here["label"] == usable["arr"])).join(from_, [*SOURCE, "u"])
+                .filter(caught & ((F.col("hops_u") < F.col("hops")) | F.lit(buffer_minutes > 0))))
         rank = F.struct(F.col("dep"), (-F.col("u")).alias("nu"), (-F.col("train_id")).alias("nt"))
-        best = step.groupBy("request_id").agg(
-            F.max_by(F.struct("origin_id", "u", "lab_u", "dep", "train_id", "legs", "final_arrival"), rank).alias("b"))
-        nxt = best.select(
-            "request_id", F.col("b.origin_id").alias("origin_id"), F.col("b.u").alias("node"),
-            F.col("b.lab_u").alias("label"), F.col("b.final_arrival").alias("final_arrival"),
-            F.concat(F.array(F.struct(F.col("b.u").cast("bigint").alias("station_id"), F.col("b.dep").alias("dep"),
-                                      F.col("b.train_id").alias("train_id"))), F.col("b.legs")).alias("legs")
-        )
-        nxt, n_open = write_table_observed(nxt, "itinerary-walk", F.count_if(F.col("node") != F.col("origin_id")))
-        debug(f"itinerary walk round {rounds}: {n_open} open")
-        done = done.unionByName(nxt.filter(F.col("node") == F.col("origin_id")))
-        cur = nxt.filter(F.col("node") != F.col("origin_id"))
-    out = done.join(ok.select("request_id", "destination_id"), "request_id")
-    legs = F.transform("legs", lambda x: F.struct(x["station_id"].alias("station_id"), x["dep"].alias("dep"),
-                                                  x["train_id"].alias("train_id")))
-    nm = names.select(F.col("station_id").alias("sid"), F.col("station_name").alias("sname"))
-    exploded = out.select("request_id", "destination_id", "final_arrival", F.posexplode_outer(legs).alias("i", "leg"))
-    named = (exploded.join(nm, exploded["leg.station_id"] == nm["sid"], "left")
-             .select("request_id", "destination_id", "final_arrival", "i",
-                     F.concat(F.col("sname"), F.lit(" "), F.date_format("leg.dep", ITINERARY_TIME_FORMAT),
-                              F.lit(" ["), F.col("leg.train_id").cast("string"), F.lit("]")).alias("txt")))
-    text = (named.groupBy("request_id", "destination_id", "final_arrival")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "txt"))), lambda x: x["txt"]),
-                              " -> ").alias("legs_text")))
-    dest = text.join(nm, text["destination_id"] == nm["sid"], "left")
-    return dest.select("request_id", F.col("final_arrival").alias("arrival"),
+        best = step.groupBy(*GOAL).agg(F.max_by(F.struct("u", "lab_u", "hops_u", "dep", "train_id"), rank).alias("b"))
+        now, seen = write_table_metrics(best.select(
+            *GOAL, F.col("b.u").alias("node"), F.col("b.lab_u").alias("label"), F.col("b.hops_u").alias("hops"),
+            F.lit(-k).alias("at"), "b.dep", "b.train_id"), "itinerary-walk", **measures)
+        debug(f"itinerary step {k}: {seen['n']} open")
+        leg = now.select(*GOAL, "at", F.col("node").alias("station_id"), "dep", "train_id")
+        legs = leg if legs is None else legs.unionByName(leg)
+    names = name_index(stations)
+    out = r.join(reached.select(*GOAL, "arrival"), GOAL)
+    if legs is None:
+        out = out.withColumn("legs_text", F.lit(None).cast("string"))
+    else:
+        text = F.concat(F.col("station_name"), F.lit(" "), F.date_format("dep", ITINERARY_TIME_FORMAT),
+                        F.lit(" ["), F.col("train_id").cast("string"), F.lit("]"))
+        steps = legs.join(names, "station_id", "left").groupBy(*GOAL).agg(
+            F.array_sort(F.collect_list(F.struct("at", text.alias("txt")))).alias("steps"))
+        out = out.join(steps.select(*GOAL, F.array_join(F.transform("steps", lambda x: x["txt"]), " -> ").alias("legs_text")), GOAL, "left")
+    dest = out.join(names.select(F.col("station_id").alias("destination_id"), F.col("station_name").alias("sname")), "destination_id", "left")
+    return dest.select("request_id", "arrival",
                        F.concat_ws(" -> ", F.nullif(F.col("legs_text"), F.lit("")),
                                    F.concat(F.col("sname"), F.lit(" arr "),
-                                            F.date_format("final_arrival", ITINERARY_TIME_FORMAT))).alias("itinerary"))
+                                            F.date_format("arrival", ITINERARY_TIME_FORMAT))).alias("itinerary"))
 
 
 # --- G6: status -----------------------------------------------------------------------

@@ -56,7 +56,11 @@ def update_merge_coalesce(plan: DataFrame, updates: DataFrame, keys: Sequence[st
     follows a new time and is the old one without.
     """
     upd = relevant_updates(updates).withColumn("cancelled", cancelled_flag("cs", "clt"))
-    folded = fold_updates_coalesce(upd, keys, order, actual_time="ct", platform="cp")
+    return apply_fold(plan, fold_updates_coalesce(upd, keys, order, actual_time="ct", platform="cp"), keys)
+
+
+def apply_fold(plan: DataFrame, folded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Plan rows with the folded updates of their stop event (``upd_actual_time, upd_platform, upd_cancelled``)."""
     cols = set(plan.columns)
     base_cancel = F.coalesce(F.col("is_canceled"), F.lit(False)) if "is_canceled" in cols else F.lit(False)
     base_platform = F.col("actual_platform") if "actual_platform" in cols else F.lit(None).cast("string")
@@ -64,13 +68,12 @@ def update_merge_coalesce(plan: DataFrame, updates: DataFrame, keys: Sequence[st
     base_delay = F.col("delay_minutes") if "delay_minutes" in cols else F.lit(None).cast("int")
     merged = plan.join(folded, list(keys), "left")
     actual = F.col("upd_actual_time")
-    out = merged.select(
+    return merged.select(
         *[F.col(c) for c in plan.columns if c not in ("actual_time", "actual_platform", "is_canceled", "delay_minutes")],
         F.coalesce(actual, base_actual).alias("actual_time"),
         F.coalesce(F.col("upd_platform"), base_platform).alias("actual_platform"),
         F.when(actual.isNotNull(), warehouse_delay("planned_time", actual)).otherwise(base_delay).alias("delay_minutes"),
         (base_cancel | F.coalesce(F.col("upd_cancelled"), F.lit(False))).alias("is_canceled"))
-    return out
 
 
 def tag_events(plan: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

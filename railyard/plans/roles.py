@@ -214,6 +214,27 @@ def snapshot_fact(spark, sf_dir) -> DataFrame:
                      F.col("l_shipdate").alias("planned_time"), *[F.col(c) for c in SNAPSHOT_ORDER])
 
 
+def star_fact(spark, sf_dir) -> DataFrame:
+    """Rows of the star schema's fact: a stop event per snapshot with its planned time."""
+    li, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    return li.join(o, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        F.col("l_suppkey").alias("station_id"), F.col("l_linenumber").alias("time_id"),
+        F.concat(F.lit("T-"), F.col("l_partkey").cast("string")).alias("train_id"), F.col("l_orderkey").alias("stop_id"),
+        (F.col("l_linestatus") == F.lit("F")).alias("is_arrival"), F.col("o_orderdate").alias("planned_time"))
+
+
+def star_changes(spark, sf_dir) -> DataFrame:
+    """Changes to stop events of the star fact: the updates with station and direction."""
+    li = table(spark, sf_dir, "lineitem")
+    at = li.select(F.col("l_suppkey").alias("station_id"), F.col("l_orderkey").cast("string").alias("stop_id"),
+                   (F.col("l_linestatus") == F.lit("F")).alias("is_arrival"), F.col("l_returnflag"), *SNAPSHOT_ORDER)
+    kind = F.col("l_returnflag")
+    return at.select(
+        "station_id", "stop_id", "is_arrival", F.when(kind != F.lit("N"), F.col("l_shipdate")).alias("ct"),
+        F.when(kind != F.lit("A"), F.col("l_partkey").cast("string")).alias("cp"), F.when(kind == F.lit("R"), F.lit("c")).alias("cs"),
+        F.when(F.col("is_arrival"), F.col("l_shipdate")).alias("clt"), *SNAPSHOT_ORDER)
+
+
 # --- XML snapshot documents --------------------------------------------------------------
 
 # Stops per document are bounded: a document holds the events of one station

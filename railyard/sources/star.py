@@ -1,20 +1,22 @@
-"""The star schema as typed Parquet tables: write, read, replace a dimension.
+"""The star schema as typed Parquet tables: write, read, replace a dimension, update the fact.
 
 Every table is written with its declared types; rows that break a NOT NULL or
-the key of their table end the write with the checks' findings. A dimension
-is replaced as a whole, and the fact is rebuilt without the rows that then
-refer to nothing; those are returned.
+the key of their table end the write with the checks' findings. Tables live in
+versioned folders behind one manifest (``versions.py``); the fact is divided by
+planned date. So a dimension and the fact that depends on it change together
+or not at all, and a change writes only the dates that it touches.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard import schemas
-from railyard.operators.checks import fk_orphans, not_null_violations, unique_violations
-from railyard.session import drop_table, write_table
+from railyard.operators.merge import update_merge_coalesce
+from railyard.session import drop_table, write_table, write_table_metrics
+from railyard.sources.versions import PART, WHOLE, Versions
 
 TABLES = {
     "dim_station": (schemas.DIM_STATION, ("station_id",)),
@@ -25,6 +27,8 @@ TABLES = {
 #: The fact's foreign keys: dimension and column.
 REFERENCES = {"dim_station": "station_id", "dim_time": "time_id", "dim_train": "train_id"}
 FACT = "fact_train_movement"
+#: What a change names a stop event by; all its snapshot rows change.
+EVENT_KEY = ("station_id", "stop_id", "is_arrival")
 
 
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -33,30 +37,92 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_star_table(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Write one table of the schema under ``root`` in place of what is there, and read it back."""
+def planned_part(grain: str) -> Column:
+    """What divides the fact into parts: the planned day, or the first day of its week, month, quarter or year."""
+    day = F.to_date("planned_time")
+    return day if grain == "DAY" else F.trunc(day, grain)
+
+
+def grain_of(store: Versions) -> str:
+    return store.current()["notes"].get("grain", "DAY")
+
+
+def checked(df: DataFrame, name: str) -> DataFrame:
+    """The table's rows, typed and written aside, if they keep its rules.
+
+    Nulls are counted while the rows are written; the key is counted on its columns alone.
+    """
     schema, key = TABLES[name]
-    # Checked before anything is replaced; also cuts the tie to a table that is read and then replaced.
-    new = write_table(typed(df, schema), f"star-{name}")
     required = [f.name for f in schema.fields if not f.nullable]
-    missing = not_null_violations(new, required).filter("n_null > 0").collect()  # a row per column at most
-    repeated = unique_violations(new, list(key)).count()
+    new, nulls = write_table_metrics(typed(df, schema), f"star-{name}", **{c: F.count_if(F.col(c).isNull()) for c in required})
+    missing = [c for c in required if nulls[c]]
+    repeated = new.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").count()
     if missing or repeated:
-        raise ValueError(f"{name}: nulls in {[r.column_name for r in missing]}, {repeated} repeated keys")
-    new.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        drop_table(new)
+        raise ValueError(f"{name}: nulls in {missing}, {repeated} repeated keys")
+    return new
+
+
+def write_star_table(df: DataFrame, root: str, name: str, grain: str = "DAY") -> DataFrame:
+    """Write one table of the schema under ``root`` in place of what is there, and read it back.
+
+    The fact is divided by planned day, or by a longer ``grain`` where it spans very many days.
+    """
+    new, store = checked(df, name), Versions(df.sparkSession, root)
+    store.commit({name: store.write(name, new, planned_part(grain) if name == FACT else None)}, replace=[name], notes={"grain": grain} if name == FACT else None)
     drop_table(new)
     return read_star_table(df.sparkSession, root, name)
 
 
-def read_star_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.schema(TABLES[name][0]).parquet(f"{root.rstrip('/')}/{name}")
+def read_star_table(spark: SparkSession, root: str, name: str, dates: list[str] | None = None) -> DataFrame:
+    """A table; of the fact only the parts of some planned dates (``yyyy-MM-dd``), if wanted."""
+    return Versions(spark, root).read(name, TABLES[name][0], dates)
+
+
+def _parts_of(fact: DataFrame, store: Versions) -> list[str]:
+    """The parts that these rows of the fact are in: at most one value per part of the fact."""
+    part = F.coalesce(planned_part(grain_of(store)).cast("string"), F.lit(WHOLE)).alias(PART)
+    return sorted(r[PART] for r in fact.select(part).distinct().collect())
+
+
+def _rewrite(store: Versions, parts: list[str], rows: DataFrame) -> tuple[dict[str, str], list[str]]:
+    """New folders for some parts of the fact, and those of them that are left without rows."""
+    written = store.write(FACT, rows, planned_part(grain_of(store))) if parts else {}
+    return written, [p for p in parts if p not in written]
 
 
 def replace_dimension(df: DataFrame, root: str, name: str) -> DataFrame:
-    """Replace a dimension and rebuild the fact; returns the fact rows that lost what they referred to."""
-    column = REFERENCES[name]
-    fact = read_star_table(df.sparkSession, root, FACT)
-    dimension = write_star_table(df, root, name)
-    lost = write_table(fk_orphans(fact, dimension, column, column), "star-lost")
-    write_star_table(fact.join(dimension.select(column), column, "left_semi"), root, FACT)
+    """Replace a dimension, and with it the dates of the fact that have rows it no longer holds; returns those rows."""
+    spark, column = df.sparkSession, REFERENCES[name]
+    store = Versions(spark, root)
+    before = store.current()["number"]
+    new = checked(df, name)
+    fact = read_star_table(spark, root, FACT)
+    lost = write_table(fact.join(new.select(column), column, "left_anti").select(fact.columns), "star-lost")
+    parts = _parts_of(lost, store)
+    kept = store.read(FACT, TABLES[FACT][0], parts).join(new.select(column), column, "left_semi").select(fact.columns)
+    written, gone = _rewrite(store, parts, kept)
+    store.commit({name: store.write(name, new), FACT: written}, replace=[name], gone={FACT: gone}, on=before)
+    drop_table(new)
     return lost
+
+
+def update_fact(spark: SparkSession, root: str, updates: DataFrame, order: list[str]) -> list[str]:
+    """Apply changes to the stored fact; returns the parts (dates) that were written.
+
+    ``updates``: ``station_id, stop_id, is_arrival, ct, cp, cs, clt`` and the order
+    columns. The dates that hold rows of changed stop events are found from the
+    key columns; only those are read whole, merged and written.
+    """
+    store, keys = Versions(spark, root), list(EVENT_KEY)
+    before = store.current()["number"]
+    updates = write_table(updates.select(*keys, "ct", "cp", "cs", "clt", *[c for c in order if c not in keys]), "star-updates")
+    fact = read_star_table(spark, root, FACT)
+    parts = _parts_of(fact.select(*keys, "planned_time").join(updates.select(*keys).distinct(), keys, "left_semi"), store)
+    if parts:
+        now = store.read(FACT, TABLES[FACT][0], parts)
+        merged = update_merge_coalesce(now, updates, keys, order)
+        written, gone = _rewrite(store, parts, typed(merged, TABLES[FACT][0]))
+        store.commit({FACT: written}, gone={FACT: gone}, on=before)
+    drop_table(updates)
+    return parts

@@ -72,11 +72,6 @@ def test_chain_deeper_than_any_limit(spark):
     assert got[1] == (39, "ok") and got[2] == (2, "ok") and got[3][0] is None
 
 
-def test_itinerary_needs_a_buffer(spark):
-    with pytest.raises(ValueError, match="buffer"):
-        G.itineraries(None, None, None, buffer_minutes=0)
-
-
 def test_minutes_of_a_crowded_hour_are_ordered_apart(spark):
     rows = [(1, i % 7, i % 2 == 1, T(2024, 1, 1, 8, i // 10), i) for i in range(300)]
     m = spark.createDataFrame(rows, "train_id int, station_id int, is_arrival boolean, planned_time timestamp_ntz, tie int")

@@ -23,7 +23,9 @@ deviations) with 2 in a hundred million. At 0.80 that many bands of 6 would miss
 6 in 100,000; callers with a lower limit ask for more and shorter ones.
 
 Defined cases: texts without words, null ones too, have an empty set, are
-linked with nothing and stay; rows that repeat a ``doc_id`` are one node; a
+linked with nothing and stay; rows that repeat a ``doc_id`` are one node, whose
+links are those of the row with the smallest set (by size, then by a digest of
+the set) that is not empty, and each has the size of its own set; a
 null ``doc_id`` is linked with nothing (component null) and stays; an empty
 table gives an empty result. Only ``doc_id`` and ``text`` are read.
 """
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.llm.components import components
-from railyard.llm.shingles import Hashes, groups, mixed, shingle_sets
+from railyard.llm.shingles import Hashes, double_sets, groups, mixed, shingle_sets
 from railyard.llm.tables import materialise, python_tasks
 
 BANDS, ROWS = 32, 6
@@ -47,6 +49,7 @@ WORDS = 3
 PERCENT = 85
 #: Nodes of a key up to which its open pairs are compared directly; beyond, by their differences from the leader.
 FEW = 32
+SALTS = [np.uint64(0), np.uint64(0xD1B54A32D192ED03)]
 #: Standard deviations by which the signatures' agreement may fall short of what PERCENT lets expect.
 DEVIATIONS = 5.5
 
@@ -75,8 +78,7 @@ def sketches(docs: DataFrame, width: int = WORDS, n_bands: int = BANDS, n_rows:
                     for column in low.reshape(n_bands, n_rows).T:
                         key = mixed(key + column)
                     bits = np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)
-                    digest = mixed(s).sum(dtype=np.uint64), mixed(s ^ np.uint64(0xD1B54A32D192ED03)).sum(dtype=np.uint64)
-                    rows.append((len(s), *(int(x.astype(np.int64)) for x in digest), key.view(np.int64), bits))
+                    rows.append((len(s), *digest(s), key.view(np.int64), bits))
             yield pd.DataFrame({"doc_id": frame["doc_id"]} | {
                 c: [r[k] for r in rows] for k, c in enumerate(("n_shingles", "set_a", "set_b", "bands", "signature"))})
 
@@ -94,17 +96,36 @@ def near_enough(percent: int, n: int = BANDS * ROWS) -> Column:
     return size & (agree >= least_agreement(percent, n))
 
 
+def digest(s: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit numbers of a set of hashes."""
+    return tuple(int(mixed(s ^ salt).sum(dtype=np.uint64).astype(np.int64)) for salt in SALTS)
+
+
 def full_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, s``: the whole shingle sets (sorted 64-bit hashes) of these documents; of rows repeating an id any one."""
+    """``doc_id, s, s2``: the whole shingle sets of these documents, as sorted 64-bit hashes and a second hash for each."""
 
-    @F.pandas_udf("binary")
-    def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("struct<s: binary, s2: binary, set_a: bigint, set_b: bigint>")
+    def full_set(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            yield pd.Series([s.tobytes() for g in groups(texts) for s in shingle_sets(g, width)], dtype="object")
+            rows = [(s[0].tobytes(), s[1].tobytes(), *digest(s[0])) for g in groups(texts) for s in double_sets(g, width)]
+            yield pd.DataFrame(rows, columns=["s", "s2", "set_a", "set_b"])
 
     # The list of ids grows with the corpus, so it is not broadcast, whatever its size here.
-    sets = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id").select("doc_id", full_set("text").alias("s"))
-    return materialise(sets, "near-sets").dropDuplicates(["doc_id"])
+    sets = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id").select("doc_id", full_set("text").alias("f"))
+    sets = materialise(sets.select("doc_id", "f.*"), "near-sets")
+    # Of rows that repeat an id the one that also gave the sketch.
+    odd = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), chosen(F.octet_length("s"))).filter("rows > 1").drop("rows")
+    if odd.isEmpty():
+        return sets.select("doc_id", "s", "s2")
+    odd = materialise(odd.select("doc_id", "chosen.*"), "near-odd")
+    plain = sets.join(odd.select("doc_id"), "doc_id", "left_anti").select("doc_id", "s", "s2")
+    same = sets.withColumn("size", F.octet_length("s")).join(odd, ["doc_id", "size", "set_a", "set_b"]).select("doc_id", "s", "s2")
+    return plain.unionByName(same.dropDuplicates(["doc_id"]))
+
+
+def chosen(size: Column) -> Column:
+    """Of the rows of an id the one that counts: the smallest set by its size and digest that is not empty."""
+    return F.min(F.when(size > 0, F.struct(size.alias("size"), "set_a", "set_b"))).alias("chosen")
 
 
 def nodes_of(pairs: DataFrame) -> DataFrame:
@@ -115,17 +136,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs ``a, b`` those whose full shingle sets are similar enough."""
 
     @F.pandas_udf("boolean")
-    def similar(left: pd.Series, right: pd.Series) -> pd.Series:
+    def similar(left: pd.Series, right: pd.Series, left2: pd.Series, right2: pd.Series) -> pd.Series:
         out = []
-        for x, y in zip(left, right, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
+        for row in zip(left, right, left2, right2, strict=True):
+            x, y, x2, y2 = (np.frombuffer(c, np.uint64) for c in row)
+            _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+            both = np.count_nonzero(x2[i] == y2[j])  # equal in 128 bits
             out.append(100 * both >= percent * (len(x) + len(y) - both))
         return pd.Series(out, dtype="bool")
 
-    left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("a_set"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("b_set"))
-    return pairs.join(left, "a").join(right, "b").filter(similar("a_set", "b_set")).select("a", "b")
+    left, right = (sets.select(F.col("doc_id").alias(k), F.col("s").alias(f"{k}_set"), F.col("s2").alias(f"{k}_set2")) for k in "ab")
+    return pairs.join(left, "a").join(right, "b").filter(similar("a_set", "b_set", "a_set2", "b_set2")).select("a", "b")
 
 
 def across_few(rest: DataFrame, percent: int, n: int = BANDS * ROWS) -> DataFrame:
@@ -188,6 +209,11 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
     all_rows = materialise(sketches(docs, width, n_bands, n_rows), "near-sketches")
     rows = all_rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_a", "set_b", "n_shingles"]
+    odd = rows.groupBy("doc_id").agg(F.countDistinct(*same).alias("texts"), chosen(F.col("n_shingles"))).filter("texts > 1")
+    odd = materialise(odd.select("doc_id", "chosen"), "near-odd")
+    if not odd.isEmpty():
+        rows = rows.join(odd, "doc_id", "left").filter(
+            "chosen IS NULL OR (n_shingles = chosen.size AND set_a = chosen.set_a AND set_b = chosen.set_b)").drop("chosen")
     nodes = rows.groupBy(*same).agg(F.min("doc_id").alias("node"))
     copies = materialise(rows.join(nodes, same).select("node", "doc_id"), "near-copies")
     sketch = materialise(rows.join(nodes.withColumnRenamed("node", "doc_id"), [*same, "doc_id"]).dropDuplicates(["doc_id"])

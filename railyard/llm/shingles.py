@@ -15,7 +15,8 @@ import numpy as np
 #: Bytes of the texts that are hashed as one array; a longer text is a group of its own.
 GROUP_BYTES = 2 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
-BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Positions in a word whose bytes' hashes are looked up.
+NEAR = 48
 _ODD = [np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -36,8 +37,21 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, one after another, and where each text's words begin (and the last end)."""
+def byte_hashes(code: np.ndarray, seed: int) -> np.ndarray:
+    """Scrambled numbers of ``256 * position + byte``."""
+    return mixed(mixed(code + np.uint64((seed + 1) * int(_ODD[0]) % (1 << 64))) * _ODD[1] + BASE)
+
+
+_TABLES = [byte_hashes(np.arange(NEAR << 8, dtype=np.uint64), seed) for seed in range(2)]
+
+
+def word_hashes(texts: Sequence[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, one after another, and where each text's words begin (and the last end).
+
+    A word's is the sum of scrambled numbers, one for each byte at its position
+    in the word, so no two words have equal hashes by their structure. ``seed`` 0 and 1
+    give hashes that are independent.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     edges = np.concatenate([[0], np.cumsum(sizes)])
     data = _LOWER[np.frombuffer(b"".join(texts), np.uint8)]
@@ -50,29 +64,53 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     last = word.copy()
     last[:-1] &= ~word[1:] | first[1:]
     ends = np.flatnonzero(last) + 1
-    up = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)))])
-    hashes = (up[ends] - up[starts]) * powers(BASE_INVERSE, len(data) + 1)[starts]
-    return mixed(hashes + (ends - starts).astype(np.uint64) * _ODD[0]), np.searchsorted(starts, edges)
+    place = np.zeros(len(data), np.int64)
+    place[starts] = starts
+    place = np.arange(len(data)) - np.maximum.accumulate(place)
+    code = (place << 8) + data
+    value = _TABLES[seed][np.minimum(code, (NEAR << 8) - 1)]
+    far = np.flatnonzero(place >= NEAR)
+    value[far] = byte_hashes(code[far].astype(np.uint64), seed)
+    up = np.concatenate([np.zeros(1, np.uint64), np.cumsum(value, dtype=np.uint64)])
+    return mixed(up[ends] - up[starts] + (ends - starts).astype(np.uint64) * _ODD[0]), np.searchsorted(starts, edges)
+
+
+def rolled(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all sequences of ``width`` words, across texts too."""
+    out = np.zeros(max(0, len(words) - width + 1), np.uint64)
+    for k in range(width):
+        out = mixed(out * _ODD[1] + words[k:len(words) - width + 1 + k])
+    return out
+
+
+def whole(words: np.ndarray) -> np.ndarray:
+    """Hash of a sequence of words that is shorter than a shingle."""
+    out = np.array([len(words)], np.uint64) * _ODD[2]
+    for w in words:
+        out = mixed(out * _ODD[1] + w)
+    return out
 
 
 def shingle_sets(texts: Sequence[bytes], width: int = 3) -> list[np.ndarray]:
     """Per text the sorted distinct hashes of its shingles; with fewer words the whole sequence is one."""
     words, at = word_hashes(texts)
-    n = np.diff(at)
-    rolled = np.zeros(max(0, len(words) - width + 1), np.uint64)
-    for k in range(width):
-        rolled = mixed(rolled * _ODD[1] + words[k:len(words) - width + 1 + k])
+    every = rolled(words, width)
+    return [np.unique(every[a:b - width + 1]) if b - a >= width else whole(words[a:b]) if b > a else np.zeros(0, np.uint64)
+            for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+
+
+def double_sets(texts: Sequence[bytes], width: int = 3) -> list[np.ndarray]:
+    """``shingle_sets`` with a second, independent hash for each shingle in a second row: 128 bits in all."""
+    words, at = word_hashes(texts)
+    others = word_hashes(texts, 1)[0]
+    first, second = rolled(words, width), rolled(others, width)
     out = []
-    for k, count in zip(at[:-1].tolist(), n.tolist(), strict=True):
-        if count >= width:
-            out.append(np.unique(rolled[k:k + count - width + 1]))
-        elif count:
-            whole = np.array([count], np.uint64) * _ODD[2]
-            for w in words[k:k + count]:
-                whole = mixed(whole * _ODD[1] + w)
-            out.append(whole)
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        if b - a >= width:
+            s, k = np.unique(first[a:b - width + 1], return_index=True)
+            out.append(np.stack([s, second[a:b - width + 1][k]]))
         else:
-            out.append(np.zeros(0, np.uint64))
+            out.append(np.stack([whole(words[a:b]), whole(others[a:b])]) if b > a else np.zeros((2, 0), np.uint64))
     return out
 
 

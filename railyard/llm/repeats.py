@@ -39,7 +39,6 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +52,7 @@ GRAM = 32
 BLOCK = 8192
 #: Windows that are hashed as one array; longer texts are taken piece by piece.
 PIECE = 1 << 19
+#: The strings digested are shorter than texts whose polynomials modulo 2^64 are known to be equal (1,024 bytes).
 DIGEST_BASE = np.uint64(0x9FB21C651E98DF25)
 OCCURRENCE = "hash long, digest long, doc long, start long, n int, own boolean"
 RESULT = T.StructType([T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()),
@@ -148,12 +148,9 @@ def numbered(docs: DataFrame) -> DataFrame:
     if odd.isEmpty():
         return rows.select(F.col("doc_id").alias("doc"), "doc_id", "bytes")
     tagged = rows.withColumn("tag", F.sha2("bytes", 256))
-    distinct = tagged.select("doc_id", "tag").distinct()
-    ranked = distinct.withColumn("k", F.row_number().over(W.partitionBy("doc_id").orderBy("tag")) - 1)
-    most = ranked.agg((F.max("k") + 1).alias("most"), (F.coalesce(F.max("doc_id"), F.lit(0)) + 1).alias("past")).first()
-    order = ranked.select(F.col("doc_id").alias("d"), F.col("tag").alias("t"),
-                          (F.coalesce("doc_id", F.lit(most["past"])) * most["most"] + F.col("k")).cast("long").alias("doc"))
-    order = materialise(order, "repeat-order")
+    # A number that grows along one distributed sort, whatever the ids are and however many rows have none.
+    order = tagged.select(F.col("doc_id").alias("d"), F.col("tag").alias("t")).distinct().orderBy(F.asc_nulls_last("d"), "t")
+    order = materialise(order.withColumn("doc", F.monotonically_increasing_id()), "repeat-order")
     return tagged.join(order, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t"))).select("doc", "doc_id", "bytes")
 
 

@@ -71,6 +71,15 @@ def test_pieces_of_long_texts(make_docs, words, monkeypatch):
     assert rows_of(repeats.remove_repeats(make_docs(rows))) == brute(rows)
 
 
+def test_large_and_missing_ids_repeat(make_docs, words):
+    r = random.Random(9)
+    text = lambda n: " ".join(r.choice(words) for _ in range(n))
+    shared = text(40)
+    rows = [(i, text(5) + shared + text(k), "en", "a") for i in (1 << 62, -(1 << 62), (1 << 63) - 1, None) for k in (3, 4)]
+    rows += [rows[0], rows[-1], (5, shared, "en", "a")]
+    assert rows_of(repeats.remove_repeats(make_docs(rows))) == brute(rows)
+
+
 def test_empty_table_and_short_texts(make_docs):
     assert repeats.remove_repeats(make_docs([])).collect() == []
     rows = [(1, "a" * 99, "en", "a"), (2, "a" * 99, "en", "a"), (3, "b" * 100, "en", "a"), (4, "b" * 100, "en", "a"), (5, "c" * 101, "en", "a")]

@@ -16,8 +16,8 @@ import numpy as np
 VOCABULARY = "piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0  # FIXED VALUE: an unknown character scores this much below the lowest piece
-#: Words of one matrix; bounds the memory of a programme.
-GROUP_WORDS = 20_000
+#: Bytes of one matrix of words (a longer word alone); a programme holds some 24 to 40 bytes for each.
+GROUP_CELLS = 1 << 19
 
 
 class Matches(NamedTuple):
@@ -49,6 +49,15 @@ class Pieces(NamedTuple):
         return from_model(model)
 
 
+def shared_pieces(spark, vocabulary: str = VOCABULARY):
+    """The vocabulary as a broadcast, one for all stages of a session."""
+    context = spark.sparkContext
+    held = context.__dict__.setdefault("railyard_pieces", {})
+    if vocabulary not in held:
+        held[vocabulary] = context.broadcast(Pieces.load(vocabulary))
+    return held[vocabulary]
+
+
 def from_model(model) -> Pieces:
     n = model.get_piece_size()
     byte_ids, spelling, keys = np.zeros(256, np.int32), [b""] * n, {}
@@ -129,8 +138,9 @@ def by_length(words: Iterable[bytes]) -> Iterator[tuple[list[bytes], np.ndarray]
     for w in words:
         lengths[len(w)].append(w)
     for n, group in lengths.items():
-        for i in range(0, len(group) if n else 0, GROUP_WORDS):
-            part = group[i:i + GROUP_WORDS]
+        step = max(1, GROUP_CELLS // max(n, 1))
+        for i in range(0, len(group) if n else 0, step):
+            part = group[i:i + step]
             yield part, np.frombuffer(b"".join(part), np.uint8).reshape(len(part), n)
 
 

@@ -29,12 +29,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railyard.llm.pieces import MARKER, VOCABULARY, Pieces, best_path, by_length
+from railyard.llm.pieces import MARKER, VOCABULARY, Pieces, best_path, by_length, shared_pieces
 from railyard.llm.tables import python_tasks
 
 PART = re.compile(rb" *[^ \n]+|\n| +")
-#: Parts whose ids a worker keeps; some 150 bytes each.
-CACHE_PARTS = 400_000
+#: Bytes that a worker keeps of parts and their ids, with what Python needs for each.
+CACHE_BYTES, ENTRY_BYTES = 48 << 20, 200
+RESULT = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
 
 
 class Encoder:
@@ -42,7 +43,8 @@ class Encoder:
         if any(b"\n" in s and s != b"\n" for s in pieces.spelling):
             raise ValueError("a piece spans a line break, so texts cannot be cut at it")
         self.pieces = pieces
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}  # ids as 32-bit numbers
+        self.held = 0
 
     def learn(self, parts: Iterable[bytes]) -> None:
         p = self.pieces
@@ -50,8 +52,9 @@ class Encoder:
             paths = best_path(p, m).astype(np.int32)
             counts, plain = (paths >= 0).sum(1), ~(paths == p.unknown).any(1)
             for k, part in enumerate(group):
-                ids = paths[k, :counts[k]].copy()
-                self.known[part] = ids if plain[k] else self.with_bytes(part, ids)
+                ids = paths[k, :counts[k]]
+                self.known[part] = found = (ids if plain[k] else self.with_bytes(part, ids)).tobytes()
+                self.held += len(part) + len(found) + ENTRY_BYTES
 
     def with_bytes(self, part: bytes, ids: np.ndarray) -> np.ndarray:
         """Spell each unknown character by its bytes."""
@@ -68,11 +71,12 @@ class Encoder:
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         split = [PART.findall((" " + t.replace(MARKER, " ")).encode()) if t else [] for t in texts]
-        if len(self.known) > CACHE_PARTS:
-            self.known.clear()
-        self.learn(set().union(*split).difference(self.known))
-        none = np.zeros(0, np.int32)
-        return [np.concatenate([none, *map(self.known.__getitem__, parts)]) for parts in split]
+        every = set().union(*split)
+        new = every.difference(self.known)
+        if self.held + sum(map(len, new)) + len(new) * ENTRY_BYTES > CACHE_BYTES:
+            self.known, self.held, new = {}, 0, every
+        self.learn(new)
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, parts)), np.int32) for parts in split]
 
 
 def decode(pieces: Pieces, ids: Iterable[int]) -> str:
@@ -83,7 +87,7 @@ def decode(pieces: Pieces, ids: Iterable[int]) -> str:
 
 def encoder(spark: SparkSession, vocabulary: str = VOCABULARY):
     """A function of columns, text to piece ids. The trie is built once and broadcast (its size is the vocabulary's)."""
-    shared = spark.sparkContext.broadcast(Pieces.load(vocabulary))
+    shared = shared_pieces(spark, vocabulary)
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -96,7 +100,7 @@ def encoder(spark: SparkSession, vocabulary: str = VOCABULARY):
 
 def decoder(spark: SparkSession, vocabulary: str = VOCABULARY):
     """A function of columns, piece ids to text."""
-    shared = spark.sparkContext.broadcast(Pieces.load(vocabulary))
+    shared = shared_pieces(spark, vocabulary)
 
     @F.pandas_udf(T.StringType())
     def decode_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -112,7 +116,15 @@ def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame
     spark = docs.sparkSession
     python_tasks(spark)
     text: Column = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text"), encoder(spark, vocabulary)(text).alias("ids"))
-    back = decoder(spark, vocabulary)(F.col("ids"))
-    return rows.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
-                       (back == F.replace("text", F.lit(MARKER), F.lit(" "))).alias("round_trip"))
+    shared = shared_pieces(spark, vocabulary)
+
+    @F.pandas_udf(RESULT)
+    def there_and_back(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        worker = Encoder(shared.value)  # one function, so that a task has one Python worker
+        for texts in batches:
+            ids = worker.encode(texts)
+            same = [decode(shared.value, x.tolist()) == t.replace(MARKER, " ") for x, t in zip(ids, texts, strict=True)]
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype="object"), "round_trip": same})
+
+    return docs.select("doc_id", there_and_back(text).alias("r")) \
+        .select("doc_id", "r.ids", F.size("r.ids").cast("long").alias("n_tokens"), "r.round_trip")

@@ -67,6 +67,15 @@ def test_odd_rows(make_docs, odd_rows):
     assert all(r.n_tokens == len(r.ids) and (r.n_tokens > 0) == (r.doc_id not in (5, 6)) for r in rows)
 
 
+def test_bounded_cache_changes_nothing(loaded, words, monkeypatch):
+    from railyard.llm import sentence_pieces
+    texts = [" ".join(words[k:k + 30]) + " é🙂" for k in range(0, 360, 10)]
+    free = [x.tolist() for x in sentence_pieces.Encoder(loaded).encode(texts)]
+    monkeypatch.setattr(sentence_pieces, "CACHE_BYTES", 3000)
+    tight = sentence_pieces.Encoder(loaded)
+    assert [tight.encode([t])[0].tolist() for t in texts] == free and tight.held <= 30 * 230
+
+
 def test_decoding_odd_ids(loaded):
     assert sentence_pieces.decode(loaded, []) == "" and sentence_pieces.decode(loaded, [None, -1, 10**9]) == ""
     assert sentence_pieces.decode(loaded, [int(loaded.byte_ids[0xC3]), int(loaded.byte_ids[0xA9])]) == "é"

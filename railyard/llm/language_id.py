@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railyard.llm.pieces import VOCABULARY, Pieces, by_length, expected_pieces, log_marginal
+from railyard.llm.pieces import VOCABULARY, Pieces, by_length, expected_pieces, log_marginal, shared_pieces
 from railyard.llm.tables import crc_mod, materialise, python_tasks
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -51,8 +51,10 @@ TRAIN_ROWS = 20_000
 ROUNDS = 2
 #: Added to every piece's expected count, so that no piece is impossible.
 SMOOTHING = 0.1
-#: Distinct words held at once by a learning task, and words whose values a scoring worker keeps.
-HELD_WORDS = 300_000
+#: Distinct words held at once by a learning task.
+HELD_WORDS = 200_000
+#: Bytes that a scoring worker keeps of words and their values, with what Python needs for each.
+HELD_BYTES, ENTRY_BYTES = 40 << 20, 160
 #: Of the mean log probability of a byte, the part by which texts of a language are taken to differ at least.
 LEAST_SPREAD = 0.05
 RESULT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("fit", T.DoubleType())])
@@ -68,7 +70,11 @@ class Model(NamedTuple):
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    found = WORD.findall(text.lower()) if text else []
+    if not found or text.isascii():
+        return found
+    # The pattern takes numbers that are no decimal digits for letters.
+    return [x for w in found for x in ([w] if w.isalpha() else "".join(c if c.isalpha() else " " for c in w).split())]
 
 
 def spelled(word: str) -> bytes:
@@ -115,6 +121,7 @@ def piece_counts(train: DataFrame, pieces, languages: list[str], logp: np.ndarra
 
     sums = train.mapInPandas(count, "k long, piece long, n double").groupBy("k", "piece").agg(F.sum("n").alias("n"))
     found = sums.toPandas()  # at most languages x vocabulary
+    known.unpersist()
     out = np.zeros((len(logp), len(languages)))
     out[found["piece"], found["k"]] = found["n"]
     return out
@@ -140,7 +147,9 @@ def learned_fit(train: DataFrame, pieces, model: Model) -> np.ndarray:
 
     sums = train.mapInPandas(add, ", ".join(f"{c} double" for c in SUMS) + ", k long").groupBy("k").agg(*[F.sum(c).alias(c) for c in SUMS])
     out = np.zeros((len(index), 3))
-    for r in sums.filter("words > 0").collect():  # one row per language
+    rows = sums.filter("words > 0").collect()  # one row per language
+    known.unpersist()
+    for r in rows:
         mean = r["logs"] / r["bytes"]
         word, text = (r[f"{x}_ll"] - 2 * mean * r[f"{x}_lb"] + mean * mean * r[f"{x}_bb"] for x in ("word", "text"))
         out[r["k"]] = mean, max(word, 0) / r["words"], max((text - word) / r["text_bb"], (LEAST_SPREAD * mean) ** 2)
@@ -171,7 +180,7 @@ def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, v
         rows = rows.filter(draw < F.coalesce(least[F.col("lang")], F.lit(1 << 30)))
     rows = materialise(rows.select("lang", "text"), "lang-train")
     languages = sorted(by_lang)
-    pieces = spark.sparkContext.broadcast(Pieces.load(vocabulary))
+    pieces = shared_pieces(spark, vocabulary)
     logp = first_guess(pieces.value, len(languages))
     for _ in range(rounds if languages else 0):
         n = piece_counts(rows, pieces, languages, logp) + SMOOTHING
@@ -184,20 +193,30 @@ class Scorer:
     def __init__(self, pieces: Pieces, model: Model):
         self.pieces, self.model = pieces, model
         self.known: dict[str, int] = {}
-        self.values = np.zeros((0, len(model.languages)))
+        self.values = np.zeros((1024, len(model.languages)))  # of which the first len(known) are used
+        self.held = 0
 
     def learn(self, words: Iterable[str]) -> None:
         new = {spelled(w): w for w in words}
-        parts = [self.values]
+        need = len(self.known) + len(new)
+        if need > len(self.values):
+            self.values = np.concatenate([self.values[:len(self.known)], np.zeros((need + need // 4 - len(self.known), self.values.shape[1]))])
         for group, m in by_length(new):
-            parts.append(log_marginal(self.pieces, m, self.model.logp))
-            self.known.update(zip(map(new.__getitem__, group), range(len(self.known), len(self.known) + len(group))))
-        self.values = np.concatenate(parts)
+            at = len(self.known)
+            self.values[at:at + len(group)] = log_marginal(self.pieces, m, self.model.logp)
+            self.known.update(zip(map(new.__getitem__, group), range(at, at + len(group))))
+        self.held += self.bytes_of(new)
+
+    def bytes_of(self, words: Iterable[str]) -> int:
+        n = [len(w) for w in words]
+        return sum(n) + len(n) * (ENTRY_BYTES + 10 * self.values.shape[1])
 
     def hold(self, split: list[list[str]]) -> None:
-        if len(self.known) > HELD_WORDS:
-            self.known, self.values = {}, self.values[:0]
-        self.learn(set().union(*split).difference(self.known))
+        every = set().union(*split)
+        new = every.difference(self.known)
+        if self.held + self.bytes_of(new) > HELD_BYTES:
+            self.known, self.held, new = {}, 0, every
+        self.learn(new)
 
     def bytes_and_logs(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Per word its bytes, and its log probability in each language."""
@@ -229,7 +248,7 @@ class Scorer:
 
 def predictor(spark: SparkSession, model: Model, vocabulary: str = VOCABULARY):
     """A function of a text column: a struct of ``lang_pred``, ``score`` and, if the model has one, ``fit``. The model's size is bounded by the vocabulary."""
-    pieces, shared = spark.sparkContext.broadcast(Pieces.load(vocabulary)), spark.sparkContext.broadcast(model)
+    pieces, shared = shared_pieces(spark, vocabulary), spark.sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

@@ -65,6 +65,11 @@ def test_languages_without_anything_to_learn(make_docs):
     assert {(x.lang_pred, x.score) for x in got} == {("und", 0.0)}
 
 
+def test_numbers_are_no_letters():
+    from railyard.llm.language_id import words_of
+    assert words_of("½ ² Ⅷ ① 7 _ ٣") == [] and words_of("aⅧb é½ über x² ñandú Straße") == ["a", "b", "é", "über", "x", "ñandú", "straße"]
+
+
 def test_bounded_sample_is_enough(make_docs):
     r = random.Random(2)
     rows = [(k, text_of(lang, r), lang, "a") for k in range(200) for lang in [r.choice(list(ALPHABETS))]]

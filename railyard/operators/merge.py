@@ -9,14 +9,19 @@ not depend on input order (order is the explicit ``order`` columns).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from railyard.functions.movement import (cancelled_flag, event_delay, nonempty, reference_date,
                                          warehouse_delay)
 from railyard.operators.latest import first_per_key
+from railyard.session import write_table
+
+# What a counted load says of itself.
+LOAD_COUNTS = ("n_rows", "n_updated", "n_updates", "n_without_row")
 
 
 def _order(order: Sequence[str]) -> Column:
@@ -61,15 +66,19 @@ def update_merge_coalesce(plan: DataFrame, updates: DataFrame, keys: Sequence[st
 
 def apply_fold(plan: DataFrame, folded: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Plan rows with the folded updates of their stop event (``upd_actual_time, upd_platform, upd_cancelled``)."""
-    cols = set(plan.columns)
+    return folded_columns(plan.join(folded, list(keys), "left"), plan.columns)
+
+
+def folded_columns(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The plan's ``columns`` with what the joined fold changes in them."""
+    cols = set(columns)
     base_cancel = F.coalesce(F.col("is_canceled"), F.lit(False)) if "is_canceled" in cols else F.lit(False)
     base_platform = F.col("actual_platform") if "actual_platform" in cols else F.lit(None).cast("string")
     base_actual = F.col("actual_time") if "actual_time" in cols else F.lit(None).cast("timestamp_ntz")
     base_delay = F.col("delay_minutes") if "delay_minutes" in cols else F.lit(None).cast("int")
-    merged = plan.join(folded, list(keys), "left")
     actual = F.col("upd_actual_time")
-    return merged.select(
-        *[F.col(c) for c in plan.columns if c not in ("actual_time", "actual_platform", "is_canceled", "delay_minutes")],
+    return joined.select(
+        *[F.col(c) for c in columns if c not in ("actual_time", "actual_platform", "is_canceled", "delay_minutes")],
         F.coalesce(actual, base_actual).alias("actual_time"),
         F.coalesce(F.col("upd_platform"), base_platform).alias("actual_platform"),
         F.when(actual.isNotNull(), warehouse_delay("planned_time", actual)).otherwise(base_delay).alias("delay_minutes"),
@@ -118,15 +127,25 @@ def fact_insert_new(existing: DataFrame, batch: DataFrame, keys: Sequence[str],
     return existing.unionByName(fresh.select(*existing.columns))
 
 
-def load_metrics(plan_rows: DataFrame, folded: DataFrame, keys: Sequence[str], unresolved: DataFrame) -> DataFrame:
-    """One row per load: rows loaded, updates seen, rows they changed, updates without a row, names not resolved."""
-    hit = plan_rows.join(folded.select(*keys, "n_updates"), list(keys), "left").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count("n_updates").alias("n_updated"))
-    seen = folded.join(plan_rows.select(*keys).distinct().withColumn("has_row", F.lit(True)), list(keys), "left").agg(
-        F.coalesce(F.sum("n_updates"), F.lit(0)).alias("n_updates"),
-        F.coalesce(F.sum(F.when(F.col("has_row").isNull(), F.col("n_updates"))), F.lit(0)).alias("n_without_row"))
-    names = unresolved.agg(F.count(F.lit(1)).alias("n_unresolved"))
-    return hit.crossJoin(seen).crossJoin(names)  # three aggregates of one row each
+def counted_load(plan: DataFrame, updates: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+    """``update_merge_coalesce`` written as a table, with counts taken by the same job.
+
+    ``n_rows`` of the plan, ``n_updated`` rows that got updates, ``n_updates`` seen
+    and ``n_without_row`` of them that no row of the plan takes.
+    """
+    upd = relevant_updates(updates).withColumn("cancelled", cancelled_flag("cs", "clt"))
+    of_fold, of_rows = (Observation(f"railyard_load_{uuid.uuid4().hex[:8]}") for _ in range(2))
+    folded = fold_updates_coalesce(upd, keys, order, actual_time="ct", platform="cp").observe(
+        of_fold, F.coalesce(F.sum("n_updates"), F.lit(0)).alias("n_updates"))
+    has_row = F.col("_row").isNotNull()
+    n = F.coalesce(F.col("n_updates"), F.lit(0))
+    # A full join, so that updates without a row are met in the one pass over both.
+    both = plan.withColumn("_row", F.lit(True)).join(folded, list(keys), "full_outer").observe(
+        of_rows, F.count_if(has_row).alias("n_rows"), F.count_if(has_row & (n > 0)).alias("n_updated"),
+        F.coalesce(F.sum(F.when(~has_row, n)), F.lit(0)).alias("n_without_row"))
+    merged = write_table(folded_columns(both.filter(has_row), plan.columns), "load")
+    seen = of_fold.get | of_rows.get
+    return merged, {c: int(seen[c]) for c in LOAD_COUNTS}
 
 
 def snapshot_counts(fact: DataFrame, slot_cols: Sequence[str]) -> DataFrame:

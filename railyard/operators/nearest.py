@@ -1,28 +1,30 @@
-"""Nearest station for a table of points (J10 at scale) by an exact search down a pyramid of cells.
-
-Stations with one coordinate are one place (smallest id). Places are counted in
-square cells of several levels, each ``FAN x FAN`` times finer than the one
-above; a cell with few places is a leaf and is not split further, so depth
-follows the density. All points go down together: a point keeps, per level,
-the cells that can still hold its nearest place, that is those whose bounding
-box begins no farther than some kept box ends. The leaves it keeps are joined
-with their places. There is one round per level, however far a point lies from
-all stations; nothing is ever paired off as a whole.
+"""Nearest station for a table of points (J10 at scale) by an exact search down a tree of cells.
+
+Stations with one coordinate are one place (smallest id). A cell that holds more
+than ``LEAF_PLACES`` places is split into ``FAN x FAN`` parts of its own bounding
+box, and so on, so depth follows the occupancy wherever the places lie: a part
+always has places at both ends of the longer side, so every split tells some
+apart, and no leaf holds more. The tree is a table of cells with their parents. All
+points go down together: a point keeps, per level, the cells that can still
+hold its nearest place, that is those whose bounding box begins no farther than
+some kept box ends. The leaves it keeps are joined with their places. There is
+one round per level; nothing is ever paired off as a whole.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from railyard.session import checkpoint_dir, write_table
+from railyard.session import checkpoint_dir, write_table, write_table_metrics
 
 _OUT = "{k} long, station_id long, station_name string, distance_score double"
-# Children of a cell per axis, places below which a cell is not split, and levels at most.
-FAN, LEAF_PLACES, MOST_LEVELS = 4, 8, 12
+# Parts of a split cell per axis, and places up to which a cell is not split.
+FAN, LEAF_PLACES = 4, 8
+ROOT = "0"
+# Levels after which the points' kept cells are written, so that plans stay short.
+PLAN_LEVELS = 2
 
 
 def _square(x: Column) -> Column:
@@ -39,6 +41,32 @@ def _farthest_of_box() -> Column:
     return _square(reach("latitude", "lat_lo", "lat_hi")) + _square(reach("longitude", "lon_lo", "lon_hi"))
 
 
+def cell_tree(places: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """The cells of each level (``cell, parent, n, leaf`` and box) and the places with their leaf's ``cell``.
+
+    ``places``: distinct ``latitude, longitude`` with what belongs to them. Only the places of cells that are split go on
+    to the next level.
+    """
+    box = [F.count(F.lit(1)).alias("n"), F.min("latitude").alias("lat_lo"), F.max("latitude").alias("lat_hi"),
+           F.min("longitude").alias("lon_lo"), F.max("longitude").alias("lon_hi")]
+    now = write_table(places.withColumn("cell", F.lit(ROOT)).withColumn("parent", F.lit(None).cast("string")), "nearest-places")
+    levels, leaves, splits = [], None, 1
+    while splits:
+        cells, seen = write_table_metrics(now.groupBy("cell", "parent").agg(*box).withColumn("leaf", F.col("n") <= LEAF_PLACES),
+                                          "nearest-cells", splits=F.count_if(~F.col("leaf")))
+        splits = seen["splits"]
+        levels.append(cells)
+        settled = now.join(cells.filter("leaf").select("cell"), "cell", "left_semi").drop("parent")
+        leaves = settled if leaves is None else leaves.unionByName(settled)
+        if splits:
+            side = F.greatest(F.col("lat_hi") - F.col("lat_lo"), F.col("lon_hi") - F.col("lon_lo"))
+            part = lambda axis, low: F.least(F.floor((F.col(axis) - F.col(low)) / side * FAN), F.lit(FAN - 1))
+            of = (part("latitude", "lat_lo") * FAN + part("longitude", "lon_lo")).cast("string")
+            now = write_table(now.drop("parent").join(cells.filter("NOT leaf").drop("parent", "n", "leaf"), "cell").select(
+                *places.columns, F.concat_ws(".", "cell", of).alias("cell"), F.col("cell").alias("parent")), "nearest-places")
+    return levels, leaves
+
+
 def nearest_station_per_point(points: DataFrame, stations: DataFrame, point_key: str = "point_id") -> DataFrame:
     """``(point_key, station_id, station_name, distance_score)`` for every point with coordinates.
 
@@ -50,49 +78,24 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, point_key:
     located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
     places = stations.filter(located).groupBy("latitude", "longitude").agg(
         F.min(F.struct(F.col("station_id").cast("bigint").alias("id"), F.col("station_name").alias("name"))).alias("s"))
-    box = places.agg(F.count(F.lit(1)).alias("n"), F.min("latitude").alias("lat"), F.min("longitude").alias("lon"),
-                     F.max("latitude").alias("lat_hi"), F.max("longitude").alias("lon_hi")).first()
-    if not box["n"]:
+    levels, leaves = cell_tree(places)
+    if levels[0].isEmpty():
         return spark.createDataFrame([], _OUT.format(k=point_key))
-    side = max(box["lat_hi"] - box["lat"], box["lon_hi"] - box["lon"], 1e-9) * (1 + 1e-9)
-    levels = min(MOST_LEVELS, 2 + math.ceil(math.log(max(box["n"], 2), FAN * FAN)))
-    finest = FAN ** (levels - 1)
-
-    def cell(axis: str, low: float) -> Column:
-        return F.least(F.floor((F.col(axis) - F.lit(low)) / F.lit(side) * F.lit(finest)), F.lit(finest - 1)).cast("long")
-
-    placed = places.withColumn("x", cell("latitude", box["lat"])).withColumn("y", cell("longitude", box["lon"]))
-    at_level = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.lit(FAN ** (levels - 1 - k)).alias("step"))
-                                   for k in range(levels)])).alias("at")
-    every = placed.select("latitude", "longitude", "s", at_level, "x", "y").select(
-        "latitude", "longitude", "s", "at.level", F.floor(F.col("x") / F.col("at.step")).alias("cx"),
-        F.floor(F.col("y") / F.col("at.step")).alias("cy"))
-    key = ["level", "cx", "cy"]
-    cells = write_table(every.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("n"), F.min("latitude").alias("lat_lo"), F.max("latitude").alias("lat_hi"),
-        F.min("longitude").alias("lon_lo"), F.max("longitude").alias("lon_hi"))
-        .withColumn("leaf", (F.col("n") <= LEAF_PLACES) | (F.col("level") == levels - 1)), "nearest-cells")
-    # A place belongs to the first leaf on its way down.
-    leaves = every.join(cells.filter("leaf").select(*key), key).groupBy("latitude", "longitude", "s").agg(
-        F.min(F.struct(*key)).alias("c"))
-    leaves = write_table(leaves.select("c.*", F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"), "s"), "nearest-leaves")
-
     point = [point_key, "latitude", "longitude"]
-    bounds = ["near", "far"]
-    top = cells.filter("level = 0").drop("n")  # one row
+    top = levels[0].drop("parent", "n")  # one row
     state = points.filter(located).select(*point).crossJoin(F.broadcast(top)) \
-        .select(*point, *key, "leaf", _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
+        .select(*point, "cell", "leaf", _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
     mine = Window.partitionBy(*point)
-    for level in range(1, levels):
-        below = cells.filter(F.col("level") == level).select(
-            F.col("level").alias("b_level"), F.col("cx").alias("b_cx"), F.col("cy").alias("b_cy"), F.col("leaf").alias("b_leaf"),
-            F.floor(F.col("cx") / FAN).alias("cx"), F.floor(F.col("cy") / FAN).alias("cy"), "lat_lo", "lat_hi", "lon_lo", "lon_hi")
-        finer = state.filter("NOT leaf").join(below, ["cx", "cy"]).select(
-            *point, F.col("b_level").alias("level"), F.col("b_cx").alias("cx"), F.col("b_cy").alias("cy"),
-            F.col("b_leaf").alias("leaf"), _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
-        both = state.filter("leaf").select(*point, *key, "leaf", *bounds).unionByName(finer)
-        state = write_table(both.withColumn("least", F.min("far").over(mine)).filter("near <= least").drop("least"), "nearest-state")
+    for k, level in enumerate(levels[1:], 1):
+        below = level.select(F.col("cell").alias("b_cell"), F.col("leaf").alias("b_leaf"), F.col("parent").alias("cell"),
+                             "lat_lo", "lat_hi", "lon_lo", "lon_hi")
+        finer = state.filter("NOT leaf").join(below, "cell").select(
+            *point, F.col("b_cell").alias("cell"), F.col("b_leaf").alias("leaf"), _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
+        both = state.filter("leaf").unionByName(finer)
+        state = both.withColumn("least", F.min("far").over(mine)).filter("near <= least").drop("least")
+        state = write_table(state, "nearest-state") if k % PLAN_LEVELS == 0 else state
+    leaves = leaves.select("cell", F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"), "s")
     dist = _square(F.col("s_lat") - F.col("latitude")) + _square(F.col("s_lon") - F.col("longitude"))
-    best = state.join(leaves, key).groupBy(*point).agg(F.min(F.struct(dist.alias("d"), "s.id", "s.name")).alias("b"))
+    best = state.join(leaves, "cell").groupBy(*point).agg(F.min(F.struct(dist.alias("d"), "s.id", "s.name")).alias("b"))
     return best.select(point_key, F.col("b.id").alias("station_id"), F.col("b.name").alias("station_name"),
                        F.col("b.d").alias("distance_score"))

@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from railyard.constants import NAME_PREFIX
 from railyard.functions.names import strip_prefix
 from railyard.functions.trigram import similarity_from_sets, trigrams
-from railyard.session import write_table
+from railyard.session import write_table, write_table_observed
 
+# Prefix rows of a gram on one side above which they are dealt out to several tasks.
+HEAVY_ROWS = 10_000
 # Threshold 0.4 as the integer ratio 2/5 (strict: similarity > 2/5).
 T_NUM, T_DEN = 2, 5
 
@@ -32,6 +34,27 @@ def _prefixes(g: DataFrame, freq: DataFrame) -> DataFrame:
         .select("key", "n", "at", F.col("p.gram").alias("gram"))
 
 
+def dealt_by_gram(probes: DataFrame, stations: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides ready to be joined, and the columns to join them on.
+
+    The rows of a measured heavy gram are dealt into parts of about ``HEAVY_ROWS``
+    on the side where they are many, and repeated for each of these parts on
+    the other side, so that no task gets all of a gram that half of the names share.
+    """
+    count = lambda rows, name: rows.groupBy("gram").agg(F.ceil(F.count(F.lit(1)) / HEAVY_ROWS).cast("int").alias(name))
+    heavy = count(probes, "p_parts").join(count(stations, "s_parts"), "gram").filter("p_parts > 1 OR s_parts > 1")
+    heavy, n = write_table_observed(heavy, "fuzzy-heavy")
+    if not n:
+        return probes, stations, ["gram"]
+
+    def dealt(rows: DataFrame, key: str, own: str, other: str) -> DataFrame:
+        parts = lambda side: F.coalesce(F.col(f"{side}_parts"), F.lit(1))
+        return rows.join(heavy, "gram", "left").withColumn(f"{own}_part", F.pmod(F.xxhash64(key), parts(own)).cast("int")) \
+            .withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), parts(other) - 1))).drop("p_parts", "s_parts")
+
+    return dealt(probes, "p_key", "p", "s"), dealt(stations, "s_key", "s", "p"), ["gram", "p_part", "s_part"]
+
+
 def fuzzy_candidates(probes: DataFrame, probe_col: str, stations: DataFrame) -> DataFrame:
     """All (probe, station) pairs with similarity strictly above 0.4, with the similarity.
 
@@ -56,7 +79,8 @@ def fuzzy_candidates(probes: DataFrame, probe_col: str, stations: DataFrame) ->
     # The pair's first shared gram is at these places; at most the rest of the shorter tail can be shared too.
     left = F.least(F.col("p_n") - F.col("p_at"), F.col("s_n") - F.col("s_at"))
     place_ok = left * T_DEN >= (F.col("p_n") + F.col("s_n") - left) * T_NUM
-    pairs = pp.join(sp, "gram").filter(size_ok).groupBy("p_key", "s_key").agg(
+    pp, sp, on = dealt_by_gram(pp, sp)
+    pairs = pp.join(sp, on).filter(size_ok).groupBy("p_key", "s_key").agg(
         F.min(F.struct("p_at", "s_at", "p_n", "s_n")).alias("m")).select("p_key", "s_key", "m.*").filter(place_ok) \
         .select("p_key", "s_key")
     full = (pairs.join(pg.select(F.col("key").alias("p_key"), "grams", "n"), "p_key")

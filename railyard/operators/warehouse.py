@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from railyard.constants import NAME_PREFIX
 from railyard.operators.dims import has_train, train_dimension, with_surrogate_key
-from railyard.operators.merge import fact_dedup, update_merge_coalesce
+from railyard.operators.merge import counted_load, fact_dedup
 from railyard.operators.resolve import resolve_names
 from railyard.schemas import FACT_UNIQUE_KEY
+from railyard.session import write_table
 from railyard.sources.xml import warehouse_change_rows, warehouse_plan_rows
 
 DOC_ORDER = ["file_path", "pos"]
@@ -51,11 +52,17 @@ def load_fact(plan_docs: DataFrame, stations: DataFrame, dim_time: DataFrame, ov
 
 
 def apply_changes(fact: DataFrame, change_docs: DataFrame, stations: DataFrame, overrides: DataFrame,
-                  prefix: str = NAME_PREFIX) -> DataFrame:
-    """Coalesce-merge every relevant change into the fact rows of its (station, stop, is_arrival)."""
-    ch = _resolved(warehouse_change_rows(change_docs), stations, overrides, prefix).filter(
-        F.col("station_id").isNotNull())
-    return update_merge_coalesce(fact, ch, ["station_id", "stop_id", "is_arrival"], ["snapshot_ts", "file_path", "pos"])
+                  prefix: str = NAME_PREFIX) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Coalesce-merge every relevant change into the fact rows of its (station, stop, is_arrival).
+
+    Returns the fact (written once), the changes whose station is not known
+    with the reason, and the counts of the load with ``n_unresolved`` of them.
+    """
+    rows = write_table(_resolved(warehouse_change_rows(change_docs), stations, overrides, prefix), "changes")
+    known = F.col("station_id").isNotNull()
+    rejects = rows.filter(~known).select("file_path", "station_name", "stop_id", "reason")
+    merged, counts = counted_load(fact, rows.filter(known), ["station_id", "stop_id", "is_arrival"], ["snapshot_ts", "file_path", "pos"])
+    return merged, rejects, counts | {"n_unresolved": rejects.count()}
 
 
 def movement_events(docs: DataFrame, overrides: DataFrame, prefix: str = NAME_PREFIX) -> DataFrame:

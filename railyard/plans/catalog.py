@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from railyard.constants import CHANGE_FILE_SUFFIX, PLAN_FILE_SUFFIX
 from railyard.functions.movement import cancelled_flag, event_delay, warehouse_delay
 from railyard.functions.names import normalize_names, overrides_frame
 from railyard.functions.timefmt import format_compact_ts, parse_compact_ts
@@ -334,25 +335,23 @@ def q_update_merge_incremental(spark, sf_dir):
     return M.update_merge_coalesce(first, updates.filter(late), ["stop_id"], roles.SNAPSHOT_ORDER)
 
 
-@register("load_metrics", V.with_(V.UPDATES, V.PLANS, "late_plans AS (SELECT * FROM plans WHERE stop_id % 4 <> 0)",
-                                  """seen AS (SELECT stop_id, count(*) AS n FROM updates
-  WHERE ct IS NOT NULL OR nullif(cp, '') IS NOT NULL OR nullif(cs, '') IS NOT NULL GROUP BY stop_id)""",
-                                  """unresolved AS (SELECT count(*) AS n FROM supplier s
-  WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey = s_nationkey AND n_regionkey <> 3))""") + """
-SELECT (SELECT count(*) FROM late_plans) AS n_rows,
-       (SELECT count(*) FROM late_plans p JOIN seen USING (stop_id)) AS n_updated,
-       (SELECT coalesce(sum(n), 0)::BIGINT FROM seen) AS n_updates,
-       (SELECT coalesce(sum(n), 0)::BIGINT FROM seen WHERE stop_id NOT IN (SELECT stop_id FROM late_plans)) AS n_without_row,
-       (SELECT n FROM unresolved) AS n_unresolved""")
+def _load_counts(k: int, cond: str) -> str:
+    return f"""SELECT {k} AS load, (SELECT count(*) FROM plans) AS n_rows, count(p.stop_id) AS n_updated, coalesce(sum(n), 0)::BIGINT AS n_updates,
+       coalesce(sum(n) FILTER (WHERE p.stop_id IS NULL), 0)::BIGINT AS n_without_row
+FROM (SELECT stop_id, count(*) AS n FROM updates
+      WHERE (ct IS NOT NULL OR nullif(cp, '') IS NOT NULL OR nullif(cs, '') IS NOT NULL) AND {cond} GROUP BY stop_id)
+LEFT JOIN plans p USING (stop_id)"""
+
+
+@register("load_metrics", V.with_(V.UPDATES, V.PLANS) + _load_counts(1, "l_linenumber <= 2") + "\nUNION ALL\n" + _load_counts(2, "l_linenumber > 2"))
 def q_load_metrics(spark, sf_dir):
-    """A load whose plan lacks every fourth stop, and whose stations of one region have no entry."""
-    plan = roles.plans(spark, sf_dir).filter(F.col("stop_id") % 4 != 0)
-    folded = M.fold_updates_coalesce(
-        M.relevant_updates(roles.updates(spark, sf_dir)).withColumn("cancelled", cancelled_flag("cs", "clt")),
-        ["stop_id"], roles.SNAPSHOT_ORDER, actual_time="ct")
-    known = roles.table(spark, sf_dir, "nation").filter("n_regionkey <> 3")
-    unresolved = C.fk_orphans(roles.table(spark, sf_dir, "supplier"), known, "s_nationkey", "n_nationkey")
-    return M.load_metrics(plan, folded, ["stop_id"], unresolved)
+    """Two loads of all updates into the whole plan, counted while they run."""
+    view, updates, late = roles.plans(spark, sf_dir), roles.updates(spark, sf_dir), F.col("l_linenumber") > 2
+    counts = []
+    for k, load in enumerate((updates.filter(~late), updates.filter(late)), 1):
+        view, seen = M.counted_load(view, load, ["stop_id"], roles.SNAPSHOT_ORDER)
+        counts.append((k, *[seen[c] for c in M.LOAD_COUNTS]))
+    return spark.createDataFrame(counts, "load int, " + ", ".join(f"{c} long" for c in M.LOAD_COUNTS))
 
 
 def _tagged(spark, sf_dir):
@@ -391,12 +390,14 @@ def q_event_merge_overwrite(spark, sf_dir):
 
 
 @register("fact_dedup", V.with_(V.SNAPSHOT_MOVEMENTS) + """
-SELECT stop_id, is_arrival, station_id, delay_minutes, l_linenumber, l_shipdate, l_partkey, l_suppkey
+SELECT stop_id, is_arrival, station_id, delay_minutes, l_linenumber, l_shipdate, l_partkey, l_suppkey, coalesce(delay_minutes > 10, false) AS is_canceled
 FROM (SELECT *, row_number() OVER (PARTITION BY stop_id, is_arrival
                  ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey) AS rn FROM snap)
 WHERE rn = 1""")
 def q_fact_dedup(spark, sf_dir):
-    return M.fact_dedup(roles.snapshot_movements(spark, sf_dir), ["stop_id", "is_arrival"], roles.SNAPSHOT_ORDER)
+    """Rows whose delay is not known do not know whether they are cancelled; the default says they are not."""
+    snap = roles.snapshot_movements(spark, sf_dir).withColumn("is_canceled", F.col("delay_minutes") > 10)
+    return M.fact_dedup(snap, ["stop_id", "is_arrival"], roles.SNAPSHOT_ORDER)
 
 
 SPLIT_DATE = "1998-01-01"
@@ -449,22 +450,22 @@ def q_fk_orphans(spark, sf_dir):
 
 @register("fact_fk_orphans", """
 WITH fact AS (SELECT l_suppkey AS station_id, l_shipdate AS slot_ts, l_partkey AS part_id FROM lineitem),
-trains AS (SELECT DISTINCT p_type || '-' || CAST(p_size AS VARCHAR) AS train_id FROM part WHERE p_size > 10),
+trains AS (SELECT DISTINCT p_type || '-' || CAST(p_size AS VARCHAR) AS train_id FROM part),
 times AS (SELECT DISTINCT o_orderdate AS slot_ts FROM orders),
 named AS (SELECT f.*, p_type || '-' || CAST(p_size AS VARCHAR) AS train_id FROM fact f JOIN part ON p_partkey = part_id)
 SELECT 'station_id' AS column_name, count(*) AS n_orphans FROM named
-WHERE station_id NOT IN (SELECT s_suppkey FROM supplier WHERE s_nationkey <> 5)
+WHERE station_id NOT IN (SELECT s_suppkey FROM supplier)
 UNION ALL SELECT 'slot_ts', count(*) FROM named WHERE slot_ts NOT IN (SELECT slot_ts FROM times)
 UNION ALL SELECT 'train_id', count(*) FROM named WHERE train_id NOT IN (SELECT train_id FROM trains)""")
 def q_fact_fk_orphans(spark, sf_dir):
-    """A fact against three dimensions that each lack some rows, so that every check finds orphans."""
+    """A fact against its three dimensions; the times of orders lack some of those of lines."""
     fact = roles.table(spark, sf_dir, "lineitem").join(
         roles.table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey")).select(
         F.col("l_suppkey").alias("station_id"), F.col("l_shipdate").alias("slot_ts"),
         F.concat("p_type", F.lit("-"), F.col("p_size").cast("string")).alias("train_id"))
-    trains = train_dimension(roles.train_stops(spark, sf_dir)).filter("train_number > 10")
+    trains = train_dimension(roles.train_stops(spark, sf_dir))
     times = roles.table(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("slot_ts")).distinct()
-    stations = roles.table(spark, sf_dir, "supplier").filter("s_nationkey <> 5").select(F.col("s_suppkey").alias("station_id"))
+    stations = roles.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("station_id"))
     return C.fact_fk_orphans(fact, {"station_id": stations, "slot_ts": times, "train_id": trains})
 
 
@@ -652,6 +653,37 @@ def q_xml_change_rows(spark, sf_dir):
     return rows.select("station_name", "stop_id", "is_arrival", "ct", "cp", "cancelled")
 
 
+_SCAN_SPLIT = "2401150000"  # folders before it are there in a first scan, the rest in a second
+
+
+def _scanned(spark, root, suffix, validate):
+    first = X.scan_snapshot_files(spark, root, suffix, validate, until=_SCAN_SPLIT)
+    return first.unionByName(X.scan_snapshot_files(spark, root, suffix, validate, since=_SCAN_SPLIT))
+
+
+@register("xml_scan_plan", V.with_(_XML_EV) + f"""
+SELECT 'g' || CAST(user_id % {roles.FILE_STATIONS} AS VARCHAR) AS station_name, CAST(event_id AS VARCHAR) AS stop_id,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) AS snapshot_ts, cat || '-' || CAST(user_id AS VARCHAR) AS train_id, is_arrival,
+       platform AS planned_platform, pt AS planned_time, (event_type = 'error' AND NOT is_arrival) AS is_canceled
+FROM xm WHERE event_type <> 'signup' AND cat <> 'Bus'""")
+def q_xml_scan_plan(spark, sf_dir):
+    """Documents written as files, then read from their folders in two scans."""
+    docs = _scanned(spark, roles.snapshot_file_root(spark, sf_dir), PLAN_FILE_SUFFIX, True)
+    return X.warehouse_plan_rows(docs).select("station_name", "stop_id", "snapshot_ts", "train_id", "is_arrival", "planned_platform",
+                                              "planned_time", "is_canceled")
+
+
+@register("xml_scan_change", V.with_(_XML_EV) + f"""
+SELECT 'g' || CAST(user_id % {roles.FILE_STATIONS} AS VARCHAR) AS station_name, CAST(event_id AS VARCHAR) AS stop_id,
+       CAST(date_trunc('day', ts) AS TIMESTAMP) AS snapshot_ts, is_arrival, ct, CASE WHEN event_type = 'click' THEN platform END AS cp,
+       coalesce(event_type = 'error' AND value > 50, false) AS cancelled
+FROM xm WHERE ct IS NOT NULL OR event_type IN ('click', 'error')""")
+def q_xml_scan_change(spark, sf_dir):
+    """The same of change documents."""
+    docs = _scanned(spark, roles.snapshot_file_root(spark, sf_dir, change=True), CHANGE_FILE_SUFFIX, False)
+    return X.warehouse_change_rows(docs).select("station_name", "stop_id", "snapshot_ts", "is_arrival", "ct", "cp", "cancelled")
+
+
 @register("xml_malformed_skipped", f"""
 WITH d AS (SELECT user_id, floor(event_id / {roles.DOC_GROUP}) AS grp, count(*) AS n,
                   arg_min(event_type, event_id) AS first_type FROM events GROUP BY ALL)

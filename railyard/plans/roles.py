@@ -299,6 +299,40 @@ def event_documents(spark, sf_dir, change: bool = False, corrupt: bool = False)
     return docs.select(path.alias("file_path"), "snapshot_ts", text.alias("value"))
 
 
+# Stations of the documents that are written as files, and ids that share a file at most.
+FILE_STATIONS, FILE_IDS = 16, 65_536
+
+
+def snapshot_file_root(spark, sf_dir, change: bool = False) -> str:
+    """Write documents of stop events as files, ``<root>/<day>/<station>_<n>_<kind>.xml``, and return the root.
+
+    Spark writes one text per file; the files then get the names that a scan looks for.
+    """
+    from railyard.functions.timefmt import format_compact_ts, start_of_day
+    from railyard.session import scratch_path
+    parts = _event_xml_parts(table(spark, sf_dir, "events"), change)
+    station = F.concat(F.lit("g"), (F.col("user_id") % FILE_STATIONS).cast("string"))
+    docs = parts.groupBy(start_of_day(F.col("ts")).alias("day"), station.alias("station"), F.floor(F.col("event_id") / FILE_IDS).alias("n")).agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "s"))).alias("stops"))
+    text = F.concat(F.lit('<timetable station="'), F.col("station"), F.lit('">'),
+                    F.array_join(F.transform("stops", lambda x: x["s"]), ""), F.lit("</timetable>"))
+    suffix = "_change.xml" if change else "_timetable.xml"
+    name = F.concat("station", F.lit("_"), F.col("n").cast("string"), F.lit(suffix))
+    root = scratch_path(spark, "snapshots")
+    docs.select(format_compact_ts("day").alias("folder"), name.alias("file"), text.alias("value")).repartition("folder", "file") \
+        .write.partitionBy("folder", "file").text(f"{root}/_written")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in files.listStatus(path(f"{root}/_written")):
+        day = folder.getPath().getName().removeprefix("folder=")
+        if folder.isDirectory():
+            files.mkdirs(path(f"{root}/files/{day}"))
+            for file in files.listStatus(folder.getPath()):
+                one = files.listStatus(file.getPath())[0].getPath()
+                files.rename(one, path(f"{root}/files/{day}/{file.getPath().getName().removeprefix('file=')}"))
+    return f"{root}/files"
+
+
 # --- station JSON documents --------------------------------------------------------------
 
 JSON_GROUP = 16

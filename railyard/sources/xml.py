@@ -23,27 +23,46 @@ from railyard.functions.names import normalize_names
 from railyard.functions.timefmt import parse_compact_ts
 from railyard.schemas import TIMETABLE_XML
 
+# A scan's partitions that one task reads: Spark counts 4 MB for opening a file, which is far more than such a file holds.
+PACKED = 16
 XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
 # --- scans -------------------------------------------------------------------------
 
-def scan_snapshot_files(spark: SparkSession, root: str, suffix: str = PLAN_FILE_SUFFIX,
-                        validate_folder: bool = True) -> DataFrame:
+def snapshot_folders(spark: SparkSession, root: str, since: str | None = None, until: str | None = None) -> list[str]:
+    """Folders right below ``root``; with bounds (``yyMMddHHmm``, half-open) only snapshot folders within them.
+
+    One listing of one level, whatever the number of files; names sort as their times do.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in files.listStatus(path) if f.isDirectory())
+    if since is not None or until is not None:
+        names = [n for n in names if re.fullmatch(r"\d{10}", n)]
+    return [n for n in names if (since is None or n >= since) and (until is None or n < until)]
+
+
+def scan_snapshot_files(spark: SparkSession, root: str, suffix: str = PLAN_FILE_SUFFIX, validate_folder: bool = True,
+                        since: str | None = None, until: str | None = None) -> DataFrame:
     """``file_path, snapshot_ts, value`` for every ``<root>/<folder>/*<suffix>`` file.
 
     The folder name is the snapshot time (``yyMMddHHmm``); with
     ``validate_folder`` files in folders with another name are skipped (plan
-    scan); the change scan keeps them with a null snapshot time.
+    scan); the change scan keeps them with a null snapshot time. ``since`` and
+    ``until`` bound the folders that are listed at all, so that a later scan
+    looks at new ones only. Small files are packed many to a task.
     """
-    # Listed by Spark (in parallel where there are many folders), not expanded from a pattern on the driver.
-    df = (spark.read.format("text").option("wholetext", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", f"*{suffix}").load(root)
+    folders = snapshot_folders(spark, root, since, until)
+    if not folders:
+        return spark.createDataFrame([], "file_path string, snapshot_ts timestamp_ntz, value string")
+    # Files are listed by Spark (in parallel where there are many folders), not expanded from a pattern on the driver.
+    df = (spark.read.format("text").option("wholetext", True).option("pathGlobFilter", f"*{suffix}")
+          .load([f"{root.rstrip('/')}/{f}" for f in folders])
           .select(F.col("_metadata.file_path").alias("file_path"), "value"))
-    one_below = re.escape(root.rstrip("/").rsplit("/", 1)[-1]) + "/[^/]+/[^/]+$"
-    df = df.filter(F.col("file_path").rlike(f"/{one_below}"))
-    folder = F.element_at(F.split("file_path", "/"), -2)
-    out = df.withColumn("snapshot_ts", parse_compact_ts(folder))
+    tasks = df.rdd.getNumPartitions()
+    df = df.coalesce(max(1, min(tasks, spark.sparkContext.defaultParallelism), tasks // PACKED))
+    out = df.withColumn("snapshot_ts", parse_compact_ts(F.element_at(F.split("file_path", "/"), -2)))
     if validate_folder:
         out = out.filter(F.col("snapshot_ts").isNotNull())
     return out.select("file_path", "snapshot_ts", "value")

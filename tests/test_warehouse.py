@@ -39,7 +39,10 @@ def test_load_and_update(spark):
     assert [r.reason for r in rejects.collect()] == ["no match"]
     changes = _docs(spark, [("/c/2509031220/a_change.xml", 20,
                              '<timetable station="Berlin Alexanderplatz"><s id="1"><ar ct="2509031236"/></s></timetable>')])
-    merged = apply_changes(fact, changes, st, overrides_frame(spark))
+    lost = _docs(spark, [("/c/2509031220/b_change.xml", 20, '<timetable station="Nowhere"><s id="3"><ar ct="2509031240"/></s></timetable>')])
+    merged, unknown, counts = apply_changes(fact, changes.unionByName(lost), st, overrides_frame(spark))
+    assert [(r.station_name, r.stop_id, r.reason) for r in unknown.collect()] == [("Nowhere", "3", "no match")]
+    assert counts == {"n_rows": 3, "n_updated": 2, "n_updates": 1, "n_without_row": 0, "n_unresolved": 1}
     got = sorted((r.stop_id, r.time_id, r.delay_minutes) for r in merged.collect())
     t0 = dim_time.filter(F.col("slot_ts") == F.lit("2025-09-03 12:00:00").cast("timestamp_ntz")).first().time_id
     assert got == [("1", t0, 6), ("1", t0 + 1, 6), ("2", t0 + 1, None)]

@@ -120,3 +120,21 @@ def test_station_json_flatten(spark, tmp_dir):
     assert (c.latitude, c.longitude, c.has_wifi) == (None, 13.1, True)
     text = spark.createDataFrame([(STATION_DOC,), ("{broken",)], "value string")
     assert J.flatten_stations(J.parse_station_documents(text)).count() == 2
+
+
+def test_many_small_files_are_read_by_few_tasks(spark, tmp_dir):
+    """10,000 files; and a later scan that looks at new folders only."""
+    from railyard.sources.xml import scan_snapshot_files, snapshot_folders
+    names = [f"25090{1 + k // 24}{k % 24:02d}00" for k in range(100)]
+    for k, name in enumerate([*names, "notes"]):
+        os.makedirs(f"{tmp_dir}/in/{name}")
+        for n in range(100):
+            with open(f"{tmp_dir}/in/{name}/{n}_timetable.xml", "w") as out:
+                out.write(f'<timetable station="S{k}"/>')
+    every = scan_snapshot_files(spark, f"{tmp_dir}/in")
+    assert every.count() == 10_000 and every.rdd.getNumPartitions() <= 32
+    assert scan_snapshot_files(spark, f"{tmp_dir}/in", validate_folder=False).count() == 10_100
+    assert snapshot_folders(spark, f"{tmp_dir}/in", since=names[97]) == sorted(names)[97:]
+    late = scan_snapshot_files(spark, f"{tmp_dir}/in", since=names[97])
+    assert late.count() == 300 and {f.rsplit("/", 2)[1] for f in late.inputFiles()} == set(names[97:])
+    assert scan_snapshot_files(spark, f"{tmp_dir}/in", since="2601010000").collect() == []

@@ -13,8 +13,6 @@ NAME_OVERRIDES = {
 }
 # Prefix removed from raw names before the exact and fuzzy lookups.
 NAME_PREFIX = "Berlin "
-# Fuzzy match keeps a candidate only when similarity is strictly above this.
-SIMILARITY_THRESHOLD = 0.4
 
 # --- FIXED VALUES: snapshot parsing ----------------------------------------
 # Compact timestamp text used in folder names and XML attributes.

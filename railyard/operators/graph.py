@@ -20,7 +20,7 @@ from railyard.constants import (ITINERARY_TIME_FORMAT, STATUS_NO_CONNECTION, STA
                                 TRANSFER_BUFFER_MINUTES)
 from railyard.functions.timefmt import parse_route_time
 from railyard.operators.latest import latest_per_key
-from railyard.session import checkpoint_dir, debug, write_table, write_table_metrics, write_table_observed
+from railyard.session import checkpoint_dir, debug, drop_table, write_table, write_table_metrics, write_table_observed
 
 # Rows of a train's hour above which its minutes are ordered apart.
 HOUR_ROWS = 100_000
@@ -257,8 +257,8 @@ def source_labels(sources: DataFrame, edges: DataFrame, buffer_minutes: int = TR
     edges = edges if "dep_date" in edges.columns else dated_edges(edges)
     start = sources.select(*SOURCE).distinct().select(*SOURCE, F.col("origin_id").alias("station_id"), F.lit(None).cast("timestamp_ntz").alias("bound"),
                                                       F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh"))
-    state, seen = write_table_metrics(start, "ea-labels", n=F.count(F.lit(1)), first=F.min("arrival"))
-    n_open = seen["n"]
+    written, seen = write_table_metrics(start, "ea-labels", n=F.count(F.lit(1)), first=F.min("arrival"))
+    state, n_open = written, seen["n"]
     # A row per date of the loaded window.
     dates = sorted((r["dep_date"], r["n"]) for r in edges.groupBy("dep_date").agg(F.count(F.lit(1)).alias("n")).collect())
     dates = [x for x in dates if n_open and x[0] >= seen["first"].date()]
@@ -279,7 +279,8 @@ def source_labels(sources: DataFrame, edges: DataFrame, buffer_minutes: int = TR
             for _ in range(HOPS_PER_ROUND):
                 state = _relaxed(state, usable, _due(end), buffer_minutes)
             state, seen = write_table_metrics(state, "ea-labels", n=F.count_if("fresh"))
-            better = seen["n"]
+            drop_table(written)  # the round before; its labels are all in the new state
+            written, better = state, seen["n"]
             debug(f"earliest arrival, dates to {dates[to - 1][0]}: {better} to go on from")
         at = to
         if goals is not None and at < len(dates):

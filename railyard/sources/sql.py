@@ -6,6 +6,7 @@ splicing), comments and a trailing ``;`` are accepted by the parser.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from pathlib import Path
 
@@ -16,20 +17,21 @@ def run_sql(spark: SparkSession, sql_text: str, params: Mapping[str, object] | N
             frames: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Run ``sql_text`` with named parameters; the ``frames`` are tables of that name for this statement only.
 
-    A statement's names are resolved when it is submitted, so the frames are
-    views just that long; a view of the caller's with such a name is put back.
+    Frames are registered under names that nobody else uses and given theirs
+    by common table expressions around the statement, so neither the caller's
+    views nor statements of other threads see them.
     """
-    mine = dict(frames or {})
-    before = {t.name: spark.table(t.name) for t in spark.catalog.listTables() if t.isTemporary and t.name in mine} if mine else {}
+    text, own = sql_text.strip().rstrip(";"), {name: f"frame_{uuid.uuid4().hex}" for name in frames or {}}
+    if own:
+        tables = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in own.items())
+        text = f"WITH {tables} SELECT * FROM (\n{text}\n)"
     try:
-        for name, df in mine.items():
-            df.createOrReplaceTempView(name)
-        return spark.sql(sql_text.strip().rstrip(";"), args=dict(params or {}))
+        for name, view in own.items():
+            frames[name].createOrReplaceTempView(view)
+        return spark.sql(text, args=dict(params or {}))  # names are resolved here, so the views may go
     finally:
-        for name in mine:
-            spark.catalog.dropTempView(name)
-        for name, df in before.items():
-            df.createOrReplaceTempView(name)
+        for view in own.values():
+            spark.catalog.dropTempView(view)
 
 
 def run_sql_file(spark: SparkSession, path: str, params: Mapping[str, object] | None = None,

@@ -7,18 +7,20 @@ gets one more component that brings it to the largest norm (a query's is 0).
   into clusters by k-means, the large ones again, until none is much larger
   than the rest. Their number follows the table up to ``MAX_LISTS``, so the
   centroids and their neighbour graph fit in memory and are broadcast.
-* Lists: every row walks the graph to its closest centroid. Vectors near a
+* Lists: every row goes into the list of its closest centroid (its distances to
+  all of them are one matrix product). Vectors near a
   boundary are also put into the lists of other centroids that are almost as
   close, unless such a centroid is closer to one already chosen.
-* Searching: a query reads all lists whose centroid is within a ratio of the
-  closest one's distance. A walk of the graph can miss some and keeps a fixed
-  number, so a query's distances to all centroids are taken, in one matrix
-  product. As the closest distance may be near 0, the ratio applies to the last
-  of the ``LEAST_LISTS`` closest lists that have rows, or of as many as surely
-  hold the wanted number of candidates. Lists and the queries
-  that read them meet by a join on the list; both sides of a list are dealt out
-  in blocks, so neither a crowded list nor a list that many queries read is
-  one task. Blocks return their nearest few, and the nearest of all are kept.
+* Searching: a query walks the graph to the closest centroids and from there on
+  over neighbours, as long as they are within a ratio of the closest one's
+  distance; it reads the lists of all that it finds so. As the closest distance
+  may be near 0, the ratio applies to the last of the ``LEAST_LISTS`` closest lists
+  that have rows, or of as many as surely hold the wanted number of candidates.
+* Lists are searched in groups: rows and queries of a group are dealt out in
+  blocks, so neither a crowded list nor a list that many queries read is one
+  task. A block scores its queries against its rows in matrix products, keeps
+  what the queries' own lists hold, and returns each query's nearest few, once
+  for all its lists; the nearest of all blocks are kept.
 
 Scores are inner products of the original vectors in double precision, added
 up in the same order for every row, so equal vectors tie exactly.
@@ -51,14 +53,15 @@ FOUND, ALIKE = 16, 8
 #: Centroids that a walk keeps, and those of them whose neighbours it looks at.
 BEAM, EXPAND = 64, 16
 #: A vector goes into further lists, and a query reads further lists, within these ratios of the closest distance.
-BOUNDARY, PROBE = 1.10, 1.30
+BOUNDARY, PROBE = 1.10, 1.15
 REPLICAS = 4
 #: Lists that a query reads at least.
 LEAST_LISTS = 4
 #: Rows of a frame of dealt vectors.
 FRAME = 16_384
-#: Rows of a block of a list, and of the queries that read it.
-BLOCK = 4096
+#: Lists of a group; rows and queries of a block of it, and queries scored at once.
+GROUP_LISTS = 256
+ROW_BLOCK, QUERY_BLOCK, AT_ONCE = 32_768, 1024, 64
 RESULT = "query_id long, rank int, vec_id long, score double"
 
 
@@ -104,32 +107,55 @@ class Lists(NamedTuple):
         sq = (x * x).sum(1)[:, None] + (c * c).sum(1)[at] - 2 * np.einsum("nd,nkd->nk", x, c[at])
         return np.sqrt(np.maximum(sq, 0))
 
+    def closest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Per row its closest centroids and their distances, closest first, from the distances to all."""
+        c, beam = self.centroids, min(BEAM, len(self.centroids))
+        d = (c * c).sum(1) - 2 * x @ c.T
+        at = np.argpartition(d, beam - 1, axis=1)[:, :beam]
+        at = np.take_along_axis(at, np.lexsort((at, np.take_along_axis(d, at, 1)), axis=1), 1)
+        return at, np.sqrt(np.maximum((x * x).sum(1)[:, None] + np.take_along_axis(d, at, 1), 0))
+
     def homes(self, x: np.ndarray) -> list[np.ndarray]:
         """The lists that each vector goes into."""
-        at, d = self.walk(x)
-        out = []
-        for row, dist in zip(at, d, strict=True):
-            chosen = [row[0]]
-            for c, far in zip(row[1:], dist[1:], strict=True):
-                if far > BOUNDARY * dist[0] or len(chosen) == REPLICAS:
-                    break
-                if np.sqrt(np.square(self.centroids[chosen] - self.centroids[c]).sum(1)).min() >= far:
-                    chosen.append(c)
-            out.append(np.array(chosen))
-        return out
+        at, d = self.closest(x)
+        every, place = np.arange(len(x)), np.zeros(len(x), np.int64)
+        chosen, apart, open_rows = [at[:, 0]], np.full(at.shape, np.inf), np.ones(len(x), bool)
+        for _ in range(REPLICAS - 1):
+            last = self.centroids[chosen[-1]]
+            apart = np.minimum(apart, np.sqrt(np.square(self.centroids[at] - last[:, None]).sum(2)))
+            may = (d <= BOUNDARY * d[:, :1]) & (apart >= d) & (np.arange(at.shape[1]) > place[:, None]) & open_rows[:, None]
+            open_rows = may.any(1)
+            if not open_rows.any():
+                break
+            place = np.where(open_rows, may.argmax(1), place)
+            chosen.append(at[every, place])
+        # Rows that were full before repeat their last list.
+        return [np.array(list(dict.fromkeys(row))) for row in zip(*chosen, strict=True)]
 
     def probes(self, x: np.ndarray, sizes: np.ndarray, wanted: int) -> list[np.ndarray]:
-        """The lists that each query reads, closest first; ``sizes`` are the rows of all lists, at least one of which has some."""
-        used = np.flatnonzero(sizes)
-        c = self.centroids[used]
-        d = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1) - 2 * x @ c.T, 0))
-        order = np.argsort(d, axis=1, kind="stable")
-        d = np.take_along_axis(d, order, 1)
+        """The lists that each query reads; ``sizes`` are the rows of all lists, at least one of which has some."""
+        n, used = len(self.centroids), np.flatnonzero(sizes)
+        dist = np.full((len(x), n), np.inf)
+        at, d = self.walk(x)
+        np.put_along_axis(dist, at, d, 1)
         # A row is in up to REPLICAS lists, and one candidate may be the query itself.
-        short = (sizes[used][order].cumsum(1) < REPLICAS * (wanted + 1)).sum(1)
-        floor = np.minimum(np.maximum(short, LEAST_LISTS - 1), len(used) - 1)
-        n = (d <= PROBE * d[np.arange(len(d)), floor][:, None] + 1e-12).sum(1)
-        return [used[row[:k]] for row, k in zip(order, n, strict=True)]
+        enough = REPLICAS * (wanted + 1)
+        done = np.zeros((len(x), n), bool)
+        while True:
+            order = np.argsort(dist[:, used], axis=1, kind="stable")
+            short = (sizes[used][order].cumsum(1) < enough).sum(1)
+            floor = np.minimum(np.maximum(short, LEAST_LISTS - 1), len(used) - 1)
+            last = np.take_along_axis(dist[:, used], order[np.arange(len(x)), floor][:, None], 1)  # infinite as long as too few are found
+            within = dist <= PROBE * last + 1e-12
+            q, c = np.nonzero(within & ~done & np.isfinite(dist))
+            if not len(q):
+                return [used[(row <= PROBE * most + 1e-12)[used]] for row, most in zip(dist, last[:, 0], strict=True)]
+            done[q, c] = True
+            key = np.unique((q[:, None] * n + self.graph[c]).ravel())
+            q, c = key // n, key % n
+            new = np.isinf(dist[q, c])
+            q, c = q[new], c[new]
+            dist[q, c] = np.sqrt(np.maximum((x[q] * x[q]).sum(1) + (self.centroids[c] ** 2).sum(1) - 2 * (x[q] * self.centroids[c]).sum(1), 0))
 
 
 def k_means(x: np.ndarray, k: int, r: np.random.Generator, rounds: int = 8) -> np.ndarray:
@@ -191,9 +217,23 @@ def dealt(table: DataFrame, lists, method: str, query: bool, *args) -> DataFrame
     return table.mapInPandas(assign, "vec_id long, v array<double>, list long")
 
 
-def blocks(rows: DataFrame, name: str) -> DataFrame:
-    """``list, n_<name>``: into how many blocks the rows of a list are dealt."""
-    return rows.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(BLOCK))).cast("int").alias(f"n_{name}"))
+def grouped(rows: DataFrame) -> DataFrame:
+    """``group, vec_id, v, lists``: a row for each group of lists of a vector, with its lists there (at most ``GROUP_LISTS``)."""
+    group = F.floor(F.col("list") / GROUP_LISTS).alias("group")
+    return rows.groupBy(group, "vec_id").agg(F.first("v").alias("v"), F.collect_set(F.col("list") % GROUP_LISTS).alias("lists"))
+
+
+def blocks(rows: DataFrame, name: str, size: int) -> DataFrame:
+    """``group, n_<name>``: into how many blocks the rows of a group are dealt."""
+    return rows.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / F.lit(float(size))).cast("int").alias(f"n_{name}"))
+
+
+def members(frame: pd.DataFrame) -> np.ndarray:
+    """Row x list of the group: 1 where the row has the list."""
+    out = np.zeros((len(frame), GROUP_LISTS), np.float32)
+    n = frame["lists"].map(len).to_numpy()
+    out[np.repeat(np.arange(len(frame)), n), np.concatenate(frame["lists"].to_list())] = 1
+    return out
 
 
 def nearest_of_block(k: int):
@@ -201,10 +241,12 @@ def nearest_of_block(k: int):
         if not len(queries) or not len(found):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         q, v = np.stack(queries["v"].to_list()), np.stack(found["v"].to_list())
+        reads, holds = members(queries), members(found).T
         ids, own = found["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
         out = []
-        for at in range(0, len(q), 256):
-            rough = q[at:at + 256] @ v.T
+        for at in range(0, len(q), AT_ONCE):
+            rough = q[at:at + AT_ONCE] @ v.T
+            rough[reads[at:at + AT_ONCE] @ holds == 0] = -np.inf
             for j, row in enumerate(rough):
                 row[ids == own[at + j]] = -np.inf
                 least = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
@@ -237,13 +279,14 @@ def nearest(table: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     for r in posted.groupBy("list").count().collect():  # at most one row per centroid
         sizes[r["list"]] = r["count"]
     asked = materialise(dealt(rows.filter(is_query), lists, "probes", True, sizes, k), "vector-queries")
-    sizes = materialise(blocks(posted, "rows").join(blocks(asked, "queries"), "list"), "vector-blocks")
+    posted, asked = materialise(grouped(posted), "vector-rows"), materialise(grouped(asked), "vector-asked")
+    sizes = materialise(blocks(posted, "rows", ROW_BLOCK).join(blocks(asked, "queries", QUERY_BLOCK), "group"), "vector-blocks")
     block = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20))
     every = {"rows": F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)), "queries": F.explode(F.sequence(F.lit(0), F.col("n_queries") - 1))}
-    left = asked.join(sizes, "list").withColumn("q_block", block % F.col("n_queries")).withColumn("r_block", every["rows"])
-    right = posted.join(sizes, "list").withColumn("r_block", block % F.col("n_rows")).withColumn("q_block", every["queries"])
-    keys = ["list", "r_block", "q_block"]
-    left, right = (x.select(*(F.col(c).cast("long").alias(c) for c in keys), "vec_id", "v") for x in (left, right))
+    left = asked.join(sizes, "group").withColumn("q_block", block % F.col("n_queries")).withColumn("r_block", every["rows"])
+    right = posted.join(sizes, "group").withColumn("r_block", block % F.col("n_rows")).withColumn("q_block", every["queries"])
+    keys = ["group", "r_block", "q_block"]
+    left, right = (x.select(*(F.col(c).cast("long").alias(c) for c in keys), "vec_id", "v", "lists") for x in (left, right))
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(
         nearest_of_block(k), "query_id long, vec_id long, score double")
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from railyard.llm.tables import materialise, python_tasks
 
 #: Codes of a vector, and bits to which an anchor's components are rounded.
-CODES, PLANES = 3, 8
+CODES, PLANES = 6, 8
 #: Rows and anchors of a block.
 ROWS, ANCHORS = 4096, 512
 #: Part of the product of lengths by which bounds are widened against rounding errors.

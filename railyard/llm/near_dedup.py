@@ -32,7 +32,8 @@ table gives an empty result. Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -40,8 +41,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railyard.llm.components import components
-from railyard.llm.shingles import Hashes, double_sets, groups, mixed, shingle_sets
+from railyard.llm.shingles import Hashes, double_sets, groups, mixed, shingle_sets, word_hashes
 from railyard.llm.tables import materialise, python_tasks
+from railyard.session import drop_table
 
 BANDS, ROWS = 32, 6
 WORDS = 3
@@ -52,6 +54,20 @@ FEW = 32
 SALTS = [np.uint64(0), np.uint64(0xD1B54A32D192ED03)]
 #: Standard deviations by which the signatures' agreement may fall short of what PERCENT lets expect.
 DEVIATIONS = 5.5
+SKETCH = {"n_shingles": "long", "set_a": "long", "set_b": "long", "bands": "array<long>", "signature": "array<long>"}
+
+
+class Rule(NamedTuple):
+    """Texts are linked that share ``percent`` of their shingles of ``width`` words; found by ``n_bands`` of ``n_rows`` minima."""
+
+    width: int = WORDS
+    percent: int = PERCENT
+    n_bands: int = BANDS
+    n_rows: int = ROWS
+
+    @property
+    def n_hashes(self) -> int:
+        return self.n_bands * self.n_rows
 
 
 def least_agreement(percent: int, n: int = BANDS * ROWS) -> int:
@@ -60,30 +76,35 @@ def least_agreement(percent: int, n: int = BANDS * ROWS) -> int:
     return int(np.floor(n * p - DEVIATIONS * np.sqrt(n * p * (1 - p))))
 
 
-def sketches(docs: DataFrame, width: int = WORDS, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, set_a, set_b, bands, signature``; the two set numbers are a 128-bit digest of the set."""
+def sketches(docs: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """``doc_id`` and, for the rule at ``k``, the columns of ``SKETCH`` with ``_k`` behind their names, from one reading of the texts.
+
+    The two set numbers are a 128-bit digest of the set.
+    """
 
     def sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        family = Hashes.family(n_bands * n_rows)
-        salt = mixed(np.arange(1, n_bands + 1, dtype=np.uint64))
+        families = [Hashes.family(rule.n_hashes) for rule in rules]
+        salts = [mixed(np.arange(1, rule.n_bands + 1, dtype=np.uint64)) for rule in rules]
         for frame in frames:
-            rows = []
+            rows: list[list[tuple]] = [[] for _ in rules]
             for group in groups(frame["text"]):
-                for s in shingle_sets(group, width):
-                    if not len(s):
-                        rows.append((0, 0, 0, None, None))
-                        continue
-                    low = family.minima(s)
-                    key = salt.copy()
-                    for column in low.reshape(n_bands, n_rows).T:
-                        key = mixed(key + column)
-                    bits = np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)
-                    rows.append((len(s), *digest(s), key.view(np.int64), bits))
+                hashed = word_hashes(group)
+                for out, rule, family, salt in zip(rows, rules, families, salts, strict=True):
+                    for s in shingle_sets(group, rule.width, hashed):
+                        if not len(s):
+                            out.append((0, 0, 0, None, None))
+                            continue
+                        low = family.minima(s)
+                        key = salt.copy()
+                        for column in low.reshape(rule.n_bands, rule.n_rows).T:
+                            key = mixed(key + column)
+                        bits = np.packbits((low & np.uint64(1)).astype(np.uint8)).view(np.int64)
+                        out.append((len(s), *digest(s), key.view(np.int64), bits))
             yield pd.DataFrame({"doc_id": frame["doc_id"]} | {
-                c: [r[k] for r in rows] for k, c in enumerate(("n_shingles", "set_a", "set_b", "bands", "signature"))})
+                f"{c}_{k}": [r[i] for r in out] for k, out in enumerate(rows) for i, c in enumerate(SKETCH)})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        sketch, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, signature array<long>")
+    columns = [f"{c}_{k} {kind}" for k in range(len(rules)) for c, kind in SKETCH.items()]
+    return docs.select("doc_id", "text").mapInPandas(sketch, ", ".join(["doc_id long", *columns]))
 
 
 def near_enough(percent: int, n: int = BANDS * ROWS) -> Column:
@@ -167,7 +188,7 @@ def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     That is above 0 unless both are similar to the leader.
     """
     slack = (100 - percent) / (100 + percent)
-    members = rest.select("leader", "doc_id", "component", "n").distinct()
+    members = rest.select("leader", "leader_component", "doc_id", "component", "n").distinct()
 
     @F.pandas_udf("array<long>")
     def differences(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -175,11 +196,11 @@ def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                           for x, y in zip(left, right, strict=True)], dtype="object")
 
     apart = members.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("leader"), F.col("s").alias("leader_s")), "leader") \
-        .select("leader", "doc_id", "component", "n", differences("s", "leader_s").alias("d"),
+        .select("leader", "leader_component", "doc_id", "component", "n", differences("s", "leader_s").alias("d"),
                 (F.octet_length("leader_s") / 8).cast("long").alias("leader_n"))
     apart = materialise(apart.withColumn("k", F.size("d")), "near-differences")
     both = F.col("n") + F.col("leader_n")
-    led = apart.filter((F.col("doc_id") != F.col("leader")) & (100 * (both - F.col("k")) >= percent * (both + F.col("k")))) \
+    led = apart.filter((F.col("component") != F.col("leader_component")) & (100 * (both - F.col("k")) >= percent * (both + F.col("k")))) \
         .select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b"))
     each = apart.select("leader", "doc_id", F.explode("d").alias("e"))
     often = each.groupBy("leader", "e").agg(F.count(F.lit(1)).alias("often"))
@@ -187,7 +208,7 @@ def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ordered = each.join(often, ["leader", "e"]).groupBy("leader", "doc_id").agg(
         F.array_sort(F.collect_list(F.struct("often", "e"))).alias("ordered"))
     least_shared = F.greatest(F.lit(1), F.ceil(F.col("k") - slack * (F.col("n") + F.col("n") * 100 / percent) - 1e-6))
-    rows = apart.drop("d", "leader_n").join(ordered, ["leader", "doc_id"]).select(
+    rows = apart.drop("d", "leader_n", "leader_component").join(ordered, ["leader", "doc_id"]).select(
         "leader", "doc_id", "component", "n", "k",
         F.posexplode(F.slice("ordered", F.lit(1), (F.col("k") - least_shared + 1).cast("int"))).alias("at", "p")) \
         .filter("p.often > 1").withColumn("e", F.col("p.e")).drop("p")
@@ -200,14 +221,20 @@ def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).unionByName(led).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT, n_bands: int = BANDS, n_rows: int = ROWS) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``: one row per document."""
-    n_hashes = n_bands * n_rows
-    if n_hashes % 64:
-        raise ValueError("signatures are whole 64-bit words")
-    python_tasks(docs.sparkSession)
-    all_rows = materialise(sketches(docs, width, n_bands, n_rows), "near-sketches")
-    rows = all_rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+def placed(nodes: DataFrame, found: DataFrame | None) -> DataFrame:
+    """``nodes`` with the ``component`` of each by the links ``found``: itself, if it has none."""
+    if found is None:
+        return nodes.withColumn("component", F.col("doc_id"))
+    return nodes.join(found, F.col("doc_id") == F.col("node"), "left") \
+        .withColumn("component", F.coalesce("component", "doc_id")).drop("node")
+
+
+def linked(rows: DataFrame, docs: DataFrame, rule: Rule, known: DataFrame | None = None) -> DataFrame:
+    """``node, component`` by a rule's links and those ``known`` before, from the rule's sketches.
+
+    Keys whose nodes are all in one component already have nothing to add.
+    """
+    rows = rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     same = ["set_a", "set_b", "n_shingles"]
     odd = rows.groupBy("doc_id").agg(F.countDistinct(*same).alias("texts"), chosen(F.col("n_shingles"))).filter("texts > 1")
     odd = materialise(odd.select("doc_id", "chosen"), "near-odd")
@@ -216,43 +243,63 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, percent: int = PERCENT,
             "chosen IS NULL OR (n_shingles = chosen.size AND set_a = chosen.set_a AND set_b = chosen.set_b)").drop("chosen")
     nodes = rows.groupBy(*same).agg(F.min("doc_id").alias("node"))
     copies = materialise(rows.join(nodes, same).select("node", "doc_id"), "near-copies")
-    sketch = materialise(rows.join(nodes.withColumnRenamed("node", "doc_id"), [*same, "doc_id"]).dropDuplicates(["doc_id"])
-                         .select("doc_id", F.col("n_shingles").alias("n"), "signature", "bands"), "near-nodes")
-    keys = sketch.select("doc_id", F.explode("bands").alias("key"))
-    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("nodes")).filter("nodes > 1")
-    shared = materialise(keys.join(crowded, "key"), "near-keys")
-    known = shared.groupBy("doc_id").agg(F.sum("nodes").alias("neighbours"))
-    leads = shared.join(known, "doc_id").groupBy("key").agg(F.max(F.struct("neighbours", (-F.col("doc_id")).alias("turned"))).alias("m")) \
+    sketch = rows.join(nodes.withColumnRenamed("node", "doc_id"), [*same, "doc_id"]).dropDuplicates(["doc_id"]) \
+        .select("doc_id", F.col("n_shingles").alias("n"), "signature", "bands")
+    sketch = materialise(placed(sketch, known), "near-nodes")
+    keys = sketch.select("doc_id", "component", F.explode("bands").alias("key"))
+    crowded = keys.groupBy("key").agg(F.count(F.lit(1)).alias("nodes"), F.min("component").alias("low"), F.max("component").alias("high")) \
+        .filter("low < high").select("key", "nodes")
+    shared = materialise(keys.drop("component").join(crowded, "key"), "near-keys")
+    known_by = shared.groupBy("doc_id").agg(F.sum("nodes").alias("neighbours"))
+    leads = shared.join(known_by, "doc_id").groupBy("key").agg(F.max(F.struct("neighbours", (-F.col("doc_id")).alias("turned"))).alias("m")) \
         .select("key", (-F.col("m.turned")).alias("leader"))
     shared = materialise(shared.join(leads, "key"), "near-led")
     side = sketch.select("doc_id", "n", "signature")
     stars = shared.filter("leader <> doc_id").select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct()
-    left, right = (side.select(*[F.col(c).alias(f"{s}_{c}") for c in ("n", "signature")], F.col("doc_id").alias(s)) for s in "ab")
-    likely = materialise(stars.join(left, "a").join(right, "b").filter(near_enough(percent, n_hashes)).select("a", "b"), "near-pairs")
+    left, right = (sketch.select(*[F.col(c).alias(f"{s}_{c}") for c in ("n", "signature", "component")], F.col("doc_id").alias(s)) for s in "ab")
+    likely = materialise(stars.join(left, "a").join(right, "b").filter((F.col("a_component") != F.col("b_component"))
+                                                                        & near_enough(rule.percent, rule.n_hashes)).select("a", "b"), "near-pairs")
     crowd = shared.filter(F.col("nodes") > FEW).select("doc_id")
-    sets = full_sets(nodes_of(likely).unionByName(crowd).distinct(), docs, width)
-    links = materialise(confirmed(likely, sets, percent), "near-links")
+    sets = full_sets(nodes_of(likely).unionByName(crowd).distinct(), docs, rule.width)
+    links = materialise(confirmed(likely, sets, rule.percent), "near-links")
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v")) \
         .unionByName(copies.filter("node <> doc_id").select(F.col("node").alias("u"), F.col("doc_id").alias("v")))
+    if known is not None:
+        edges = edges.unionByName(known.select(F.col("node").alias("u"), F.col("component").alias("v")))
     found = components(edges)
-    node, place = F.col("node"), F.coalesce("component", "doc_id").alias("component")
-    placed = shared.join(found, F.col("doc_id") == node, "left").select("key", "leader", "nodes", "doc_id", place)
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
+    now = placed(shared.select("key", "leader", "nodes", "doc_id"), found)
+    open_keys = now.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
         .filter("low < high").select("key")
-    rest = materialise(placed.filter("nodes > 2").join(open_keys, "key").join(side, "doc_id"), "near-open")
+    rest = materialise(now.filter("nodes > 2").join(open_keys, "key").join(side, "doc_id"), "near-open")
     # Leaders in one component stand for each other: the one with the most neighbours is the reference of all their keys.
     large = rest.filter(F.col("nodes") > FEW)
-    led = large.select(F.col("leader").alias("doc_id")).distinct().join(found, F.col("doc_id") == node, "left") \
-        .select("doc_id", place).join(known, "doc_id")
+    led = placed(large.select(F.col("leader").alias("doc_id")).distinct(), found).join(known_by, "doc_id")
     chief = led.groupBy("component").agg(F.max_by("doc_id", F.struct("neighbours", -F.col("doc_id"))).alias("chief"))
-    chiefs = led.join(chief, "component").select(F.col("doc_id").alias("leader"), "chief")
+    chiefs = led.join(chief, "component").select(F.col("doc_id").alias("leader"), "chief", F.col("component").alias("leader_component"))
     large = large.join(chiefs, "leader").drop("leader").withColumnRenamed("chief", "leader")
-    untried = materialise(across_few(rest.filter(F.col("nodes") <= FEW), percent, n_hashes).unionByName(across_many(large, sets, percent))
+    untried = materialise(across_few(rest.filter(F.col("nodes") <= FEW), rule.percent, rule.n_hashes)
+                          .unionByName(across_many(large, sets, rule.percent))
                           .distinct().join(stars, ["a", "b"], "left_anti"), "near-pairs")
-    more = materialise(confirmed(untried, full_sets(nodes_of(untried), docs, width), percent), "near-links")
-    if not more.isEmpty():
-        found = components(edges.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
-    out = all_rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
+    drop_table(sets)
+    if untried.isEmpty():
+        return found
+    sets = full_sets(nodes_of(untried), docs, rule.width)
+    more = materialise(confirmed(untried, sets, rule.percent), "near-links")
+    drop_table(sets)
+    return found if more.isEmpty() else components(edges.unionByName(more.select(F.col("a").alias("u"), F.col("b").alias("v"))))
+
+
+def near_duplicates(docs: DataFrame, *rules: Rule) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``: one row per document, linked by any of the rules; sizes are of the first."""
+    rules = rules or (Rule(),)
+    if any(rule.n_hashes % 64 for rule in rules):
+        raise ValueError("signatures are whole 64-bit words")
+    python_tasks(docs.sparkSession)
+    all_rows = materialise(sketches(docs, rules), "near-sketches")
+    found = None
+    for k, rule in enumerate(rules):
+        found = linked(all_rows.select("doc_id", *[F.col(f"{c}_{k}").alias(c) for c in SKETCH]), docs, rule, found)
+    out = all_rows.select("doc_id", F.col("n_shingles_0").alias("n_shingles")).join(found, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))

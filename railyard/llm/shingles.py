@@ -91,9 +91,12 @@ def whole(words: np.ndarray) -> np.ndarray:
     return out
 
 
-def shingle_sets(texts: Sequence[bytes], width: int = 3) -> list[np.ndarray]:
-    """Per text the sorted distinct hashes of its shingles; with fewer words the whole sequence is one."""
-    words, at = word_hashes(texts)
+def shingle_sets(texts: Sequence[bytes], width: int = 3, hashed: tuple[np.ndarray, np.ndarray] | None = None) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of its shingles; with fewer words the whole sequence is one.
+
+    ``hashed`` are the ``word_hashes`` of the texts, where several widths share them.
+    """
+    words, at = hashed or word_hashes(texts)
     every = rolled(words, width)
     return [np.unique(every[a:b - width + 1]) if b - a >= width else whole(words[a:b]) if b > a else np.zeros(0, np.uint64)
             for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]

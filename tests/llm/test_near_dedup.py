@@ -116,7 +116,7 @@ def test_altered_copies_around_the_limit(make_docs, words, monkeypatch, few):
 
 def test_five_words_and_another_limit(make_docs, words):
     rows = altered(words, random.Random(9), 25, 200)
-    assert rows_of(near_dedup.near_duplicates(make_docs(rows), width=5, percent=80)) == brute(rows, 80, 5)
+    assert rows_of(near_dedup.near_duplicates(make_docs(rows), near_dedup.Rule(width=5, percent=80))) == brute(rows, 80, 5)
 
 
 def test_empty_table_and_repeated_ids(make_docs):

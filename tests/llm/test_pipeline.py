@@ -58,7 +58,10 @@ def test_exact_copies(stages):
 
 
 def test_near_copies(stages):
-    rows = [(r.doc_id, shingles(r.text)) for r in stages[2].collect()]
+    """Against all pairs by both rules."""
+    rules = [(rule.width, rule.percent) for rule in pipeline.NEAR]
+    assert sorted(rules) == [(3, 85), (5, 80)]
+    rows = [(r.doc_id, [shingles(r.text, width) for width, _ in rules]) for r in stages[2].collect()]
     low = {i: i for i, _ in rows}
 
     def find(x):
@@ -66,9 +69,12 @@ def test_near_copies(stages):
             x = low[x]
         return x
 
+    def similar(x, y, percent):
+        return x and y and min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) and 100 * len(x & y) >= percent * len(x | y)
+
     for k, (a, x) in enumerate(rows):
         for b, y in rows[:k]:
-            if x and y and min(len(x), len(y)) * 100 >= 85 * max(len(x), len(y)) and 100 * len(x & y) >= 85 * len(x | y):
+            if any(similar(p, q, percent) for p, q, (_, percent) in zip(x, y, rules, strict=True)):
                 p, q = sorted((find(a), find(b)))
                 low[q] = p
     assert ids(stages[3]) == Counter(i for i, _ in rows if find(i) == i)
@@ -114,4 +120,4 @@ def test_empty_documents(spark, make_docs):
 
 def test_registered():
     names = entry.queries()
-    assert "pipeline" in names and {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == set(map(str, range(1, 11)))
+    assert "pipeline" in names and {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == set(map(str, range(1, 14)))

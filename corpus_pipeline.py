@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from railyard.llm import exact_dedup, language_id, mixing, near_dedup, sentence_pieces
-from railyard.llm.components import components
 from railyard.llm.tables import materialise, read, python_tasks
 
 #: A document whose most likely language is less certain than this is rejected, as is one without letters.
@@ -22,7 +21,7 @@ LEAST_CERTAIN = 0.5
 MOST_DEVIATIONS = 12.0
 #: Near copies share 80 % of their shingles of five words, or what op1's contract asks for (85 % of those of three). With
 #: 48 bands of 4 a pair at just 0.80 shares no band with a probability of 1 in a hundred billion.
-NEAR = [dict(width=5, percent=80, n_bands=48, n_rows=4), dict(width=near_dedup.WORDS, percent=near_dedup.PERCENT)]
+NEAR = [near_dedup.Rule(), near_dedup.Rule(width=5, percent=80, n_bands=48, n_rows=4)]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,12 +48,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by either of ``NEAR``, stays."""
-    links = None
-    for how in NEAR:
-        near = near_dedup.near_duplicates(docs, **how).filter("NOT kept AND doc_id IS NOT NULL")
-        found = materialise(near.select(F.col("component_id").alias("u"), F.col("doc_id").alias("v")), "near-gone")
-        links = found if links is None else links.unionByName(found)
-    gone = components(links).filter("node <> component").select(F.col("node").alias("doc_id"))
+    gone = near_dedup.near_duplicates(docs, *NEAR).filter("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 

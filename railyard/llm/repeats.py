@@ -48,8 +48,8 @@ from railyard.llm.tables import materialise, python_tasks
 
 LENGTH = 100
 GRAM = 32
-#: Strings of a block; its transform holds some 150 bytes for each.
-BLOCK = 8192
+#: Strings of a block; its transform holds some 150 bytes for each. Rounds go fastest while it stays in a core's cache.
+BLOCK = 2048
 #: Windows that are hashed as one array; longer texts are taken piece by piece.
 PIECE = 1 << 19
 #: The strings digested are shorter than texts whose polynomials modulo 2^64 are known to be equal (1,024 bytes).

@@ -227,15 +227,34 @@ def _due(end) -> str:
     return "true" if end is None else f"arrival < TIMESTAMP_NTZ '{end} 00:00:00'"
 
 
+def quickest_edges(edges: DataFrame) -> DataFrame:
+    """Of the edges of a pair of stations on a date those that a search can need: none that departs later arrives as early.
+
+    A label takes one of them: that with ``dep`` at or after the time it is ready, and ``prev`` (the departure of
+    the one before, null for the date's first) before it. Written once, a folder per date.
+    """
+    e = edges if "dep_date" in edges.columns else edges.withColumn("dep_date", F.to_date("dep"))
+    pair = ["dep_date", "u", "v"]
+    first = e.filter("dep IS NOT NULL AND arr IS NOT NULL").groupBy(*pair, "dep").agg(F.min("arr").alias("arr"))
+    later = F.min("arr").over(Window.partitionBy(*pair).orderBy(F.desc("dep")).rowsBetween(Window.unboundedPreceding, -1))
+    front = first.withColumn("later", later).filter("later IS NULL OR arr < later")
+    prev = F.lag("dep").over(Window.partitionBy(*pair).orderBy("dep"))
+    return write_table(front.select("u", "v", "dep", "arr", prev.alias("prev"), "dep_date").hint("rebalance", "dep_date"),
+                       "quickest-edges", partition_by="dep_date")
+
+
 def _relaxed(state: DataFrame, usable: DataFrame, due: str, buffer_minutes: int) -> DataFrame:
-    """The state after its fresh labels have taken every usable edge; fresh are then the labels that got better."""
+    """The state after its fresh labels have taken every usable edge; fresh are then the labels that got better.
+
+    Arrivals are compared as plain times, which an aggregate keeps in a hash map without sorting what the join finds.
+    """
     ready = f"CASE WHEN station_id = origin_id THEN arrival ELSE arrival + INTERVAL '{buffer_minutes}' MINUTE END"
     found = state.filter("fresh").selectExpr(*SOURCE, "station_id AS u", "bound", f"{ready} AS ready").join(usable, "u") \
-        .filter("dep >= ready AND (bound IS NULL OR arr < bound)") \
-        .selectExpr(*SOURCE, "v AS station_id", "bound", "struct(arr AS arrival, true AS better) AS l")
-    known = state.selectExpr(*LABEL, "bound", "struct(arrival, false AS better) AS l")
-    best = known.unionByName(found).groupBy(*LABEL, "bound").agg(F.min("l").alias("l"))
-    return best.selectExpr(*LABEL, "bound", "l.arrival AS arrival", "l.better AS better") \
+        .filter("dep >= ready AND (prev IS NULL OR prev < ready) AND (bound IS NULL OR arr < bound)") \
+        .selectExpr(*SOURCE, "v AS station_id", "bound", "CAST(NULL AS TIMESTAMP_NTZ) AS known", "arr AS found")
+    known = state.selectExpr(*LABEL, "bound", "arrival AS known", "CAST(NULL AS TIMESTAMP_NTZ) AS found")
+    best = known.unionByName(found).groupBy(*LABEL, "bound").agg(F.min("known").alias("known"), F.min("found").alias("found"))
+    return best.selectExpr(*LABEL, "bound", "least(known, found) AS arrival", "found IS NOT NULL AND (known IS NULL OR found < known) AS better") \
         .selectExpr(*LABEL, "bound", "arrival", f"better AND {due} AS fresh")
 
 
@@ -245,7 +264,7 @@ def source_labels(sources: DataFrame, edges: DataFrame, buffer_minutes: int = TR
 
     Departure dates are settled in order. A span of dates holds one date, or as
     many as keep sources times edges within ``relaxations``; its edges are read
-    in the rounds of that span only: all labels before its end take them, then
+    in the rounds of that span only, without those that ``quickest_edges`` leaves out: all labels before its end take them, then
     the labels that got better, until nothing improves. As no edge departs
     before the span, what arrives before its end is final.
 
@@ -254,7 +273,7 @@ def source_labels(sources: DataFrame, edges: DataFrame, buffer_minutes: int = TR
     are looked for; labels are then complete on the ways to the goals only.
     """
     checkpoint_dir(sources.sparkSession)
-    edges = edges if "dep_date" in edges.columns else dated_edges(edges)
+    edges = quickest_edges(edges)
     start = sources.select(*SOURCE).distinct().select(*SOURCE, F.col("origin_id").alias("station_id"), F.lit(None).cast("timestamp_ntz").alias("bound"),
                                                       F.col("depart_ts").alias("arrival"), F.lit(True).alias("fresh"))
     written, seen = write_table_metrics(start, "ea-labels", n=F.count(F.lit(1)), first=F.min("arrival"))
@@ -268,7 +287,7 @@ def source_labels(sources: DataFrame, edges: DataFrame, buffer_minutes: int = TR
         while to < len(dates) and n_open * (n_edges + dates[to][1]) <= relaxations:
             n_edges, to = n_edges + dates[to][1], to + 1
         end = dates[to][0] if to < len(dates) else None
-        usable = edges.filter(F.col("dep_date").between(F.lit(dates[at][0]), F.lit(dates[to - 1][0]))).select("u", "v", "dep", "arr")
+        usable = edges.filter(F.col("dep_date").between(F.lit(dates[at][0]), F.lit(dates[to - 1][0]))).select("u", "v", "dep", "arr", "prev")
         if at == 0 or goals is None:
             state = state.withColumn("fresh", F.expr(_due(end)))
         else:  # sources without a row have their goals
@@ -296,8 +315,7 @@ def earliest_arrival_labels(starts: DataFrame, edges: DataFrame, buffer_minutes:
     """``request_id, origin_id, station_id, arrival`` of requests, of which equal (origin, departure) are searched once.
 
     ``starts``: request_id, origin_id, depart_ts and, if only the way to it is
-    wanted, destination_id. ``edges``: best from ``dated_edges``, else they are
-    written so. The arrival is the earliest at each reachable station, or with a
+    wanted, destination_id. The arrival is the earliest at each reachable station, or with a
     destination at those on a way to it. An edge (u, v, dep, arr) is usable when
     ``dep >= label(u)`` at the origin and ``dep >= label(u) + buffer`` elsewhere.
     """
@@ -324,7 +342,7 @@ def earliest_arrival(requests: DataFrame, edges: DataFrame, stations: DataFrame,
     """Per request: earliest ``arrival`` at the destination and ``status``."""
     r = route_starts(requests, stations)
     goals = wanted(r)
-    labels = source_labels(goals, dated_edges(edges), buffer_minutes, goals)
+    labels = source_labels(goals, edges, buffer_minutes, goals)
     j = r.join(labels.withColumnRenamed("station_id", "destination_id"), [*SOURCE, "destination_id"], "left")
     status = (F.when(F.col("origin_id").isNull() | F.col("destination_id").isNull(), F.lit(STATUS_NOT_FOUND))
               .when(F.col("arrival").isNull(), F.lit(STATUS_NO_CONNECTION)).otherwise(F.lit(STATUS_OK)))

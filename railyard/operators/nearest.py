@@ -7,8 +7,10 @@ always has places at both ends of the longer side, so every split tells some
 apart, and no leaf holds more. The tree is a table of cells with their parents. All
 points go down together: a point keeps, per level, the cells that can still
 hold its nearest place, that is those whose bounding box begins no farther than
-some kept box ends. The leaves it keeps are joined with their places. There is
-one round per level; nothing is ever paired off as a whole.
+some kept box ends. A split cell's parts, and a leaf's places, are one row of
+bounded width (``FAN * FAN``, ``LEAF_PLACES``), so a point meets them all in one row and only the
+parts that it keeps are sorted by point. There is one round per level; nothing is
+ever paired off as a whole.
 """
 
 from __future__ import annotations
@@ -31,13 +33,13 @@ def _square(x: Column) -> Column:
     return F.pow(x, F.lit(2))
 
 
-def _nearest_of_box() -> Column:
-    gap = lambda p, lo, hi: F.greatest(F.col(lo) - F.col(p), F.col(p) - F.col(hi), F.lit(0.0))
+def _nearest_of_box(box: Column) -> Column:
+    gap = lambda p, lo, hi: F.greatest(box[lo] - F.col(p), F.col(p) - box[hi], F.lit(0.0))
     return _square(gap("latitude", "lat_lo", "lat_hi")) + _square(gap("longitude", "lon_lo", "lon_hi"))
 
 
-def _farthest_of_box() -> Column:
-    reach = lambda p, lo, hi: F.greatest(F.abs(F.col(p) - F.col(lo)), F.abs(F.col(p) - F.col(hi)))
+def _farthest_of_box(box: Column) -> Column:
+    reach = lambda p, lo, hi: F.greatest(F.abs(F.col(p) - box[lo]), F.abs(F.col(p) - box[hi]))
     return _square(reach("latitude", "lat_lo", "lat_hi")) + _square(reach("longitude", "lon_lo", "lon_hi"))
 
 
@@ -82,20 +84,24 @@ def nearest_station_per_point(points: DataFrame, stations: DataFrame, point_key:
     if levels[0].isEmpty():
         return spark.createDataFrame([], _OUT.format(k=point_key))
     point = [point_key, "latitude", "longitude"]
-    top = levels[0].drop("parent", "n")  # one row
+    box = F.struct("cell", "leaf", "lat_lo", "lat_hi", "lon_lo", "lon_hi")
+    seen = lambda k: F.struct(k["cell"].alias("cell"), k["leaf"].alias("leaf"), _nearest_of_box(k).alias("near"), _farthest_of_box(k).alias("far"))
+    top = levels[0].select(box.alias("box"))  # one row
     state = points.filter(located).select(*point).crossJoin(F.broadcast(top)) \
-        .select(*point, "cell", "leaf", _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
+        .select(*point, seen(F.col("box")).alias("c")).select(*point, "c.*").withColumn("least", F.col("far"))
     mine = Window.partitionBy(*point)
     for k, level in enumerate(levels[1:], 1):
-        below = level.select(F.col("cell").alias("b_cell"), F.col("leaf").alias("b_leaf"), F.col("parent").alias("cell"),
-                             "lat_lo", "lat_hi", "lon_lo", "lon_hi")
-        finer = state.filter("NOT leaf").join(below, "cell").select(
-            *point, F.col("b_cell").alias("cell"), F.col("b_leaf").alias("leaf"), _nearest_of_box().alias("near"), _farthest_of_box().alias("far"))
-        both = state.filter("leaf").unionByName(finer)
-        state = both.withColumn("least", F.min("far").over(mine)).filter("near <= least").drop("least")
+        # The parts of a cell meet a point as one row, and only those that it keeps become rows.
+        parts = level.groupBy(F.col("parent").alias("cell")).agg(F.collect_list(box).alias("parts"))
+        met = state.filter("NOT leaf").join(parts, "cell").select(*point, "least", F.transform("parts", seen).alias("parts"))
+        met = met.withColumn("least", F.least("least", F.array_min("parts.far")))
+        finer = met.select(*point, "least", F.explode(F.filter("parts", lambda c: c["near"] <= F.col("least"))).alias("c")).select(*point, "c.*", "least")
+        both = state.filter("leaf").select(finer.columns).unionByName(finer)
+        state = both.withColumn("least", F.min("least").over(mine)).filter("near <= least")
         state = write_table(state, "nearest-state") if k % PLAN_LEVELS == 0 else state
-    leaves = leaves.select("cell", F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"), "s")
-    dist = _square(F.col("s_lat") - F.col("latitude")) + _square(F.col("s_lon") - F.col("longitude"))
-    best = state.join(leaves, "cell").groupBy(*point).agg(F.min(F.struct(dist.alias("d"), "s.id", "s.name")).alias("b"))
+    dist = lambda x: _square(x["latitude"] - F.col("latitude")) + _square(x["longitude"] - F.col("longitude"))
+    places = leaves.groupBy("cell").agg(F.collect_list(F.struct("latitude", "longitude", "s")).alias("places"))
+    in_leaf = F.array_min(F.transform("places", lambda x: F.struct(dist(x).alias("d"), x["s"]["id"].alias("id"), x["s"]["name"].alias("name"))))
+    best = state.select(*point, "cell").join(places, "cell").select(*point, in_leaf.alias("b")).groupBy(*point).agg(F.min("b").alias("b"))
     return best.select(point_key, F.col("b.id").alias("station_id"), F.col("b.name").alias("station_name"),
                        F.col("b.d").alias("distance_score"))

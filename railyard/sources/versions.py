@@ -61,18 +61,31 @@ class Versions:
         if not parts and not missing_ok:
             raise FileNotFoundError(f"no table {name} under {self.root}")
         wanted = sorted(parts) if only is None else sorted(set(only) & set(parts))
-        folders = [f"{self.root}/{parts[p]}" for p in wanted]
-        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+        return self.read_folders([parts[p] for p in wanted], schema)
 
-    def write(self, name: str, rows: DataFrame, part: Column | None = None) -> dict[str, str]:
-        """Write rows into new folders, one per value of ``part``; nothing refers to them until ``commit``."""
+    def read_folders(self, folders: Iterable[str], schema: T.StructType) -> DataFrame:
+        """The rows of written parts, referred to or not."""
+        paths = [f"{self.root}/{f}" for f in folders]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def drop_written(self, folders: Iterable[str]) -> None:
+        """Delete parts that were written and will not be committed."""
+        for folder in folders:
+            self.files.delete(self._path(f"{self.root}/{folder}"), True)
+
+    def write(self, name: str, rows: DataFrame, part: Column | None = None, gather: bool = True) -> dict[str, str]:
+        """Write rows into new folders, one per value of ``part``; nothing refers to them until ``commit``.
+
+        Without ``gather`` every task writes a file for each part that it has rows of, which saves a shuffle of all rows.
+        """
         folder = f"{name}/{uuid.uuid4().hex[:12]}"
         if part is None:
-            rows.write.parquet(f"{self.root}/{folder}/{PART}={WHOLE}")
+            rows.write.option("compression", "zstd").parquet(f"{self.root}/{folder}/{PART}={WHOLE}")
             return {WHOLE: f"{folder}/{PART}={WHOLE}"}
         divided = rows.withColumn(PART, F.coalesce(part.cast("string"), F.lit(WHOLE)))
         # Rebalanced by part: small parts share a task and have a file each, large ones are split.
-        divided.hint("rebalance", PART).write.partitionBy(PART).parquet(f"{self.root}/{folder}")
+        divided = divided.hint("rebalance", PART) if gather else divided
+        divided.write.option("compression", "zstd").partitionBy(PART).parquet(f"{self.root}/{folder}")
         names = [f.getPath().getName() for f in self.files.listStatus(self._path(f"{self.root}/{folder}")) if f.isDirectory()]
         return {n.removeprefix(f"{PART}="): f"{folder}/{n}" for n in names if n.startswith(f"{PART}=")}
 

@@ -7,7 +7,8 @@ spells becomes its UTF-8 bytes' pieces. Texts are cut before each run of
 spaces and around line breaks, where no piece spans the cut (checked when the
 vocabulary is loaded, line breaks below), so the best segmentation of the
 whole text is that of its parts, however long it is. Each worker keeps the
-parts it has met, within a bound.
+parts it has met, within a bound, and splits an Arrow batch a slice of its
+texts at a time, as the parts of a slice need some ten times its bytes.
 
 Decoding joins the spellings, turns markers into spaces and drops the leading
 one. The round trip is exact except that a literal marker character in a text
@@ -35,6 +36,8 @@ from railyard.llm.tables import python_tasks
 PART = re.compile(rb" *[^ \n]+|\n| +")
 #: Bytes that a worker keeps of parts and their ids, with what Python needs for each.
 CACHE_BYTES, ENTRY_BYTES = 48 << 20, 200
+#: Characters of the texts that are split at a time (a longer text alone).
+SLICE_CHARS = 1 << 20
 RESULT = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("round_trip", T.BooleanType())])
 
 
@@ -70,6 +73,16 @@ class Encoder:
         return np.array(out, np.int32)
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+        out, batch, chars = [], [], 0
+        for t in texts:
+            if batch and chars + len(t or "") > SLICE_CHARS:
+                out += self.encode_slice(batch)
+                batch, chars = [], 0
+            batch.append(t)
+            chars += len(t or "")
+        return out + self.encode_slice(batch)
+
+    def encode_slice(self, texts: list[str | None]) -> list[np.ndarray]:
         split = [PART.findall((" " + t.replace(MARKER, " ")).encode()) if t else [] for t in texts]
         every = set().union(*split)
         new = every.difference(self.known)

@@ -16,7 +16,7 @@ from railyard.session import write_table
 SPACE = r"\x20\x09-\x0D"
 
 #: Bounds of one Arrow batch handed to Python. Texts are long, so the defaults would hold too many bytes at once.
-ARROW_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2_000, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
+ARROW_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2_000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -202,20 +202,22 @@ def across_many(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = F.col("n") + F.col("leader_n")
     led = apart.filter((F.col("component") != F.col("leader_component")) & (100 * (both - F.col("k")) >= percent * (both + F.col("k")))) \
         .select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b"))
-    each = apart.select("leader", "doc_id", F.explode("d").alias("e"))
-    often = each.groupBy("leader", "e").agg(F.count(F.lit(1)).alias("often"))
+    each = apart.select("leader", "doc_id", "component", F.explode("d").alias("e"))
+    # Nodes of different components share no other differences: those of one component alone count as the rarest.
+    often = each.groupBy("leader", "e").agg(F.count(F.lit(1)).alias("often"), F.min("component").alias("low"), F.max("component").alias("high")) \
+        .filter("low < high").select("leader", "e", "often")
     # The rarest differences first; those beyond the prefix cannot be the first that two similar nodes share.
-    ordered = each.join(often, ["leader", "e"]).groupBy("leader", "doc_id").agg(
-        F.array_sort(F.collect_list(F.struct("often", "e"))).alias("ordered"))
+    ordered = each.drop("component").join(often, ["leader", "e"]).groupBy("leader", "doc_id").agg(
+        F.array_sort(F.collect_list(F.struct("often", "e"))).alias("ordered")).withColumn("m", F.size("ordered"))
     least_shared = F.greatest(F.lit(1), F.ceil(F.col("k") - slack * (F.col("n") + F.col("n") * 100 / percent) - 1e-6))
     rows = apart.drop("d", "leader_n", "leader_component").join(ordered, ["leader", "doc_id"]).select(
-        "leader", "doc_id", "component", "n", "k",
-        F.posexplode(F.slice("ordered", F.lit(1), (F.col("k") - least_shared + 1).cast("int"))).alias("at", "p")) \
-        .filter("p.often > 1").withColumn("e", F.col("p.e")).drop("p")
+        "leader", "doc_id", "component", "n", "k", "m",
+        F.posexplode(F.slice("ordered", F.lit(1), F.greatest(F.lit(0), F.col("m") - least_shared + 1).cast("int"))).alias("at", "p")) \
+        .withColumn("e", F.col("p.e")).drop("p")
     rows = materialise(rows, "near-prefixes")
-    left, right = (rows.select("leader", "e", *[F.col(c).alias(f"{s}_{c}") for c in ("doc_id", "component", "n", "k", "at")]) for s in "ab")
+    left, right = (rows.select("leader", "e", *[F.col(c).alias(f"{s}_{c}") for c in ("doc_id", "component", "n", "k", "m", "at")]) for s in "ab")
     share = (F.col("a_k") + F.col("b_k") - slack * (F.col("a_n") + F.col("b_n"))) / 2 - 1e-6
-    left_over = F.least(F.col("a_k") - F.col("a_at"), F.col("b_k") - F.col("b_at"))
+    left_over = F.least(F.col("a_m") - F.col("a_at"), F.col("b_m") - F.col("b_at"))
     return left.join(right, ["leader", "e"]).filter(
         (F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_component") != F.col("b_component")) & (left_over >= share)) \
         .select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).unionByName(led).distinct()

@@ -140,3 +140,18 @@ def test_minima_estimate_similarity():
     family = Hashes.family(512)
     same = (family.minima(x[:1500]) == family.minima(x[500:])).mean()
     assert abs(same - 0.5) < 0.1
+
+
+def test_differences_of_one_component_are_not_paired(spark, monkeypatch):
+    """Copies of a group that are linked already cost no rows, whatever they share; nodes still apart are found."""
+    put = {}
+    write = near_dedup.materialise
+    monkeypatch.setattr(near_dedup, "materialise", lambda df, name: put.setdefault(name, write(df, name)))
+    numbers = {1: range(100), 50: [*range(50), *range(2000, 2050)], 51: [*range(50), *range(2000, 2049), 2060]}
+    numbers |= {k: [*range(100), 1000] for k in range(2, 42)}
+    sets = [(k, bytearray(np.array(v, np.uint64).tobytes())) for k, v in numbers.items()]
+    rest = [(1, 1, k, k if k >= 50 else 1, len(v)) for k, v in numbers.items()]
+    found = near_dedup.across_many(spark.createDataFrame(rest, "leader long, leader_component long, doc_id long, component long, n long"),
+                                   spark.createDataFrame([(*s, s[1]) for s in sets], "doc_id long, s binary, s2 binary"), 85).collect()
+    assert [(r.a, r.b) for r in found] == [(50, 51)]
+    assert 0 < put["near-prefixes"].count() and put["near-prefixes"].filter("e = 1000 OR doc_id < 50").isEmpty()

@@ -15,7 +15,8 @@ first, in a way that no string is missed:
 3. Minimisers with several different strings, or one that repeats itself, are dealt into blocks of about
    ``BLOCK`` strings, a very frequent minimiser into several. A block builds the
    Burrows-Wheeler transform and common prefixes of its strings column by
-   column (see ``columnwise``); runs of suffixes that share ``LENGTH`` bytes are
+   column (see ``columnwise``), each cut to the bytes around the minimiser that
+   another string also has there, as no other window can be shared; runs of suffixes that share ``LENGTH`` bytes are
    equal windows, of which the earliest stays. For minimisers in several
    blocks, the blocks' earliest windows are compared by a digest.
 4. The removed ranges of a document are joined into spans and cut out.
@@ -45,6 +46,7 @@ from pyspark.sql import types as T
 from railyard.llm.columnwise import MOST, sorted_suffixes
 from railyard.llm.shingles import BASE, mixed, powers
 from railyard.llm.tables import materialise, python_tasks
+from railyard.session import drop_table
 
 LENGTH = 100
 GRAM = 32
@@ -154,14 +156,59 @@ def numbered(docs: DataFrame) -> DataFrame:
     return tagged.join(order, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("tag") == F.col("t"))).select("doc", "doc_id", "bytes")
 
 
-def repeats_in_block(length: int):
+def longest_shared(group: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """For each row of bytes how many it has in front in common with another row of its group; 0 without another."""
+    key = np.column_stack([group.astype(">u8")[:, None].view(np.uint8), context, np.zeros((len(group), -context.shape[1] % 8), np.uint8)])
+    order = np.lexsort(np.ascontiguousarray(key).view(">u8").T[::-1])
+    differ = key[order[1:], :8 + context.shape[1]] != key[order[:-1], :8 + context.shape[1]]
+    common = np.maximum(np.where(differ.any(1), differ.argmax(1), differ.shape[1]) - 8, 0)
+    out = np.zeros(len(group), np.int64)
+    out[order[1:]] = common
+    out[order[:-1]] = np.maximum(out[order[:-1]], common)
+    return out
+
+
+def shared_parts(strings: list[bytes], whole: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The part of each string, from and to, in which all its windows lie that another string can have too.
+
+    Equal windows have their minimiser at the same place. So a string shares no
+    more than the bytes before and behind its minimiser that the other strings
+    of this minimiser have there. Where a minimiser stands twice in a string, and for those of ``whole``,
+    strings keep their full length.
+    """
+    sizes = np.array([len(s) for s in strings], np.int64)
+    edges = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(strings), np.uint8)
+    of = np.repeat(np.arange(len(strings)), sizes)
+    hashes = np.append(gram_hashes(data, gram), np.zeros(gram - 1, np.uint64))
+    hashes[np.arange(len(data)) > (edges + sizes - gram)[of]] = np.iinfo(np.uint64).max
+    least = np.minimum.reduceat(hashes, edges)
+    stands = np.flatnonzero(hashes == least[of])
+    first = np.unique(of[stands], return_index=True)[1]
+    at = stands[first] - edges
+    twice = np.diff(np.append(first, len(stands))) > 1
+    whole = whole | np.isin(least, least[twice])
+    reach = np.arange(length - gram)
+    before, behind = at[:, None] - 1 - reach, at[:, None] + gram + reach
+    left = np.where(before >= 0, data[edges[:, None] + np.maximum(before, 0)], 255)
+    right = np.where(behind < sizes[:, None], data[edges[:, None] + np.minimum(behind, sizes[:, None] - 1)], 255)
+    begin = np.maximum(0, at - longest_shared(least, left.astype(np.uint8)))
+    end = np.minimum(sizes, at + gram + longest_shared(least, right.astype(np.uint8)))
+    return np.where(whole, 0, begin), np.where(whole, sizes, end)
+
+
+def repeats_in_block(length: int, gram: int):
     """From a block's strings the ranges to remove, and the earliest windows of minimisers that lie in several blocks."""
 
     def search(block: pd.DataFrame) -> pd.DataFrame:
         block = block.drop_duplicates(["doc", "start"])  # a document that two rows repeat
         strings = [bytes(b) for b in block["string"]]
+        begin, end = shared_parts(strings, block["split"].to_numpy(bool), length, gram)
+        left = np.flatnonzero(end - begin >= length)
+        strings = [strings[i][begin[i]:end[i]] for i in left]
+        block = block.iloc[left].assign(start=block["start"].to_numpy()[left] + begin[left])
         string, start, common = sorted_suffixes(strings)
-        sizes = np.array([len(s) for s in strings])
+        sizes = np.array([len(s) for s in strings], np.int64)
         run = np.cumsum(common < length)
         window = sizes[string] - start >= length
         string, start, run = string[window], start[window], run[window]
@@ -189,9 +236,10 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     """``doc, start, stop``: ranges of bytes to remove, which may overlap."""
     if 2 * length - gram + 1 > MOST:
         raise ValueError("strings of equal minimiser would be too long")
-    found = occurrences(docs, length, gram)
+    found = materialise(occurrences(docs, length, gram), "repeat-strings")
     repeated = found.groupBy("hash").agg(F.count(F.lit(1)).alias("k"), F.max("own").alias("o")).filter("k > 1 OR o").select("hash")
     candidates = materialise(found.join(repeated, "hash"), "repeat-candidates")
+    drop_table(found)
     same = ["hash", "digest", "n"]
     classes = materialise(candidates.groupBy(*same).agg(F.min(F.struct("doc", "start")).alias("first"), F.count(F.lit(1)).alias("k"),
                                                               F.max("own").alias("own")),
@@ -210,7 +258,7 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     strings = placed.join(docs.select("doc", "bytes"), "doc") \
         .select("block", "part", "doc", "start", "split", cut.alias("string"))
     windows = materialise(strings.groupBy("block", "part").applyInPandas(
-        repeats_in_block(length), "doc long, start long, stop long, window binary"), "repeat-windows")
+        repeats_in_block(length, gram), "doc long, start long, stop long, window binary"), "repeat-windows")
     heads = windows.filter("window IS NOT NULL")
     earliest = heads.groupBy("window").agg(F.min(F.struct("doc", "start")).alias("first"))
     later = heads.join(earliest, "window").filter((F.col("doc") != F.col("first.doc")) | (F.col("start") != F.col("first.start")))

@@ -84,3 +84,31 @@ def test_empty_table_and_short_texts(make_docs):
     assert repeats.remove_repeats(make_docs([])).collect() == []
     rows = [(1, "a" * 99, "en", "a"), (2, "a" * 99, "en", "a"), (3, "b" * 100, "en", "a"), (4, "b" * 100, "en", "a"), (5, "c" * 101, "en", "a")]
     assert rows_of(repeats.remove_repeats(make_docs(rows))) == brute(rows)
+
+
+def test_strings_are_cut_to_what_others_share(words):
+    """What stands around a minimiser in one string only does not go into the transform; shared windows all do."""
+    r = random.Random(5)
+    text = lambda n: " ".join(r.choice(words) for _ in range(n)).encode()
+    length, gram = 40, 12
+    shared, strings = [text(25) for _ in range(6)], []
+    for k in range(300):
+        passage = shared[k % 6]
+        low = r.randrange(len(passage) - 20)
+        data = text(6) + passage[low:low + r.randrange(12, 70)] + text(6)
+        found = repeats.strings_of([(k, 0, data)], length, gram)
+        strings += [(h, own, data[s:s + n + length - 1]) for h, s, n, own in zip(*(found[c].tolist() for c in ("hash", "start", "n", "own")))]
+    strings.append((0, True, b"abcde" * 13))
+    only = [s for *_, s in strings]
+    begin, end = repeats.shared_parts(only, np.zeros(len(only), bool), length, gram)
+    holders = {}
+    for k, s in enumerate(only):
+        for at in range(len(s) - length + 1):
+            holders.setdefault(s[at:at + length], []).append((k, at))
+    several = [x for x in holders.values() if len({k for k, _ in x}) > 1]
+    assert several and all(begin[k] <= at and at + length <= end[k] for x in several for k, at in x)
+    with_some = {k for x in several for k, _ in x} | {k for k, (_, own, _) in enumerate(strings) if own}
+    assert len(with_some) <= np.count_nonzero(end - begin >= length) < 0.7 * len(only)
+    assert (begin[-1], end[-1]) == (0, 65)
+    whole = repeats.shared_parts(only, np.ones(len(only), bool), length, gram)
+    assert not whole[0].any() and whole[1].tolist() == [len(s) for s in only]

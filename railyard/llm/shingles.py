@@ -13,7 +13,7 @@ from typing import NamedTuple
 import numpy as np
 
 #: Bytes of the texts that are hashed as one array; a longer text is a group of its own.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Positions in a word whose bytes' hashes are looked up.
 NEAR = 48

@@ -79,7 +79,9 @@ def keyed_state(keys: DataFrame, checkpoint: str) -> DataFrame:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     schema = state.schema.add("batch_id", "integer").add("batch", "integer")
-    spark.createDataFrame([], schema).drop("batch").write.mode("overwrite").parquet(f"{out}/batch=-1")
+    # Built by the JVM: an empty list would start Python workers on every executor that no other step uses.
+    no_rows = spark.range(0).select([F.lit(None).cast(f.dataType).alias(f.name) for f in schema if f.name != "batch"])
+    no_rows.write.mode("overwrite").parquet(f"{out}/batch=-1")
     newest = F.max_by(F.struct("keep_id", "keep_locator", "group_size"), "batch_id").alias("s")
     return (spark.read.schema(schema).parquet(out).groupBy("text_sha256").agg(newest)
             .select("text_sha256", "s.*"))

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard.llm.pieces import VOCABULARY, Pieces, by_length, expected_pieces, log_marginal, shared_pieces
-from railyard.llm.tables import crc_mod, materialise, python_tasks
+from railyard.llm.tables import TEXT_BATCH, crc_mod, materialise, python_tasks
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -169,7 +169,7 @@ def most_rows(by_lang: dict[str, int], train_rows: int) -> float:
 def learn(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, vocabulary: str = VOCABULARY, with_fit: bool = False) -> Model:
     """Learn from ``doc_id, text, lang``, of which about ``train_rows`` rows; ``with_fit`` the spread of the learning texts too."""
     spark = docs.sparkSession
-    python_tasks(spark)
+    python_tasks(spark, TEXT_BATCH)
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     by_lang = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     most = most_rows(by_lang, train_rows)
@@ -267,7 +267,7 @@ def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every document; rows that are held out teach nothing."""
     spark = docs.sparkSession
     model = learn(docs.filter(~held_out(F.col("doc_id"))), train_rows)
-    python_tasks(spark)
+    python_tasks(spark, TEXT_BATCH)
     p = predictor(spark, model)
     return docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), p(F.col("text")).alias("p")) \
         .select("doc_id", "held_out", "p.lang_pred", "p.score")

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from railyard.llm.components import components
 from railyard.llm.shingles import Hashes, double_sets, groups, mixed, shingle_sets, word_hashes
-from railyard.llm.tables import materialise, python_tasks
+from railyard.llm.tables import TEXT_BATCH, materialise, python_tasks
 from railyard.session import drop_table
 
 BANDS, ROWS = 32, 6
@@ -296,7 +296,7 @@ def near_duplicates(docs: DataFrame, *rules: Rule) -> DataFrame:
     rules = rules or (Rule(),)
     if any(rule.n_hashes % 64 for rule in rules):
         raise ValueError("signatures are whole 64-bit words")
-    python_tasks(docs.sparkSession)
+    python_tasks(docs.sparkSession, TEXT_BATCH)
     all_rows = materialise(sketches(docs, rules), "near-sketches")
     found = None
     for k, rule in enumerate(rules):

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railyard.llm.pieces import MARKER, VOCABULARY, Pieces, best_path, by_length, shared_pieces
-from railyard.llm.tables import python_tasks
+from railyard.llm.tables import TEXT_BATCH, python_tasks
 
 PART = re.compile(rb" *[^ \n]+|\n| +")
 #: Bytes that a worker keeps of parts and their ids, with what Python needs for each.
@@ -127,7 +127,7 @@ def decoder(spark: SparkSession, vocabulary: str = VOCABULARY):
 def encode_documents(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, ids, n_tokens, round_trip``; the last tells whether decoding gave the text again."""
     spark = docs.sparkSession
-    python_tasks(spark)
+    python_tasks(spark, TEXT_BATCH)
     text: Column = F.coalesce(F.col("text"), F.lit(""))
     shared = shared_pieces(spark, vocabulary)
 

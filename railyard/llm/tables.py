@@ -17,6 +17,9 @@ SPACE = r"\x20\x09-\x0D"
 
 #: Bounds of one Arrow batch handed to Python. Texts are long, so the defaults would hold too many bytes at once.
 ARROW_BOUNDS = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2_000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+#: The same for functions that take whole texts apart: strings, words and ids of a batch take some ten times its bytes, and
+#: executor and worker each hold a few copies of it.
+TEXT_BATCH = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,12 +31,12 @@ def documents(df: DataFrame, *extra: str) -> DataFrame:
     return df.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
 
 
-def python_tasks(spark: SparkSession) -> None:
+def python_tasks(spark: SparkSession, batch_bytes: int | None = None) -> None:
     """Get the session ready for Python functions in tasks.
 
     Bounds the rows and bytes of an Arrow batch, unless the session already
     asks for less, and sends this library to the workers (once per context),
-    which need not have it installed.
+    which need not have it installed. ``batch_bytes`` is a smaller bound.
     """
     context = spark.sparkContext
     if not getattr(context, "railyard_sent", False):
@@ -41,7 +44,8 @@ def python_tasks(spark: SparkSession) -> None:
         archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='railyard-code-')}/railyard_code", "zip", package.parent, package.name)
         context.addPyFile(archive)
         context.railyard_sent = True
-    for key, most in ARROW_BOUNDS.items():
+    bounds = ARROW_BOUNDS | ({"spark.sql.execution.arrow.maxBytesPerBatch": batch_bytes} if batch_bytes else {})
+    for key, most in bounds.items():
         now = spark.conf.get(key).rstrip("b")
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))

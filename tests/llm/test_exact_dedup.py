@@ -48,3 +48,15 @@ def test_two_texts_under_one_digest_stay_apart(spark, make_docs, monkeypatch):
     rows = [(1, "a b", "en", "s"), (2, "a  b", "en", "s"), (3, "c", "en", "s"), (4, "c", "en", "s")]
     got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup(make_docs(rows)).collect()}
     assert got == {1: (1, 2), 2: (1, 2), 3: (3, 2), 4: (3, 2)}
+
+
+def test_no_python_workers_start(make_docs, monkeypatch):
+    """Rows made from Python lists pass through a Python worker on each executor, which then stays; this operator needs none."""
+    from pyspark.sql import SparkSession
+    docs = make_docs([(1, "a b", "en", "s"), (2, "a  b", "en", "s")])
+
+    def no_lists(*args, **kwargs):
+        raise AssertionError("rows from a Python list")
+
+    monkeypatch.setattr(SparkSession, "createDataFrame", no_lists)
+    assert {r.doc_id: r.keep_id for r in exact_dedup(docs).collect()} == {1: 1, 2: 1}

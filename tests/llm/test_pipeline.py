@@ -118,6 +118,25 @@ def test_empty_documents(spark, make_docs):
     assert docs.collect() == []
 
 
+@pytest.mark.parametrize("stage", ["language_id", "near_dedup", "sentencepiece"])
+def test_texts_reach_python_in_small_batches(spark, make_docs, stage):
+    """About 3 MB of texts in one partition come in batches of about a MB, whatever more the session allows."""
+    key, before = "spark.sql.execution.arrow.maxBytesPerBatch", spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = make_docs([(k, f"word{k} " * 4000, "en", "a") for k in range(100)]).coalesce(1)
+    try:
+        spark.conf.set(key, str(4 << 20))
+        dict(pipeline.STAGES)[stage](spark, docs, SF_SMALL).count()
+
+        def sizes(frames):
+            for frame in frames:
+                yield frame.assign(n=frame["text"].str.len().sum())[["n"]][:1]
+
+        batches = [r.n for r in docs.select("text").mapInPandas(sizes, "n long").collect()]
+    finally:
+        spark.conf.set(key, before)
+    assert sum(batches) > 2_500_000 and max(batches) < 1.2 * (1 << 20)
+
+
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names and {re.match(r"op(\d+)_", n)[1] for n in names if n.startswith("op")} == set(map(str, range(1, 14)))
